@@ -21,8 +21,40 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(docs, width=4, radius=4).select("doc_id", "fingerprint", "component_id")
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets: three patterns and the battery's additions."""
+    from .secrets import joined, scan_secrets
+
+    found = scan_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    count = lambda k: F.size(F.filter("base", lambda s: s["ord"] == k)).cast("long")
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+        joined(F.array_sort(F.concat("base", "random"))).alias("spans"),
+    )
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of subword embeddings learned from two thirds of the labelled ids."""
+    from .quality import fit, learning_rows, score
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score(docs, fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        F.coalesce(~learning_rows(docs), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op7_secret_scans": op7_secret_scans,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {}
