@@ -21,6 +21,18 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(docs, width=4, radius=4).select("doc_id", "fingerprint", "component_id")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of at most 1024 tokens."""
+    import public_tokenizers
+
+    from .packing import pack
+
+    pieces = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group"
+    )
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets: three patterns and the battery's additions."""
     from .secrets import joined, scan_secrets
@@ -53,6 +65,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_packing": op6_packing,
     "op7_secret_scans": op7_secret_scans,
     "op10_quality_classifier": op10_quality_classifier,
 }
