@@ -13,6 +13,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and what they decode to."""
+    import public_tokenizers
+
+    from .bpe import decode, encode
+
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    docs = _table(spark, sf_dir, "documents").select("doc_id", encode(F.col("text"), path, pattern).alias("ids"))
+    return docs.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(decode(F.col("ids"), path, pattern), 256).alias("decoded_sha256"),
+    )
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of 4-word shingles, linked at 4 bits or fewer."""
     from .simhash import simhash_groups
@@ -64,6 +80,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_byte_bpe": op2_byte_bpe,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_packing": op6_packing,
     "op7_secret_scans": op7_secret_scans,
