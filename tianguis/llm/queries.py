@@ -65,6 +65,16 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, read back from the Huffman-coded files."""
+    import public_tokenizers
+
+    from .huffman import round_trip
+
+    docs = round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of subword embeddings learned from two thirds of the labelled ids."""
     from .quality import fit, learning_rows, score
@@ -84,6 +94,7 @@ QUERIES = {
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_packing": op6_packing,
     "op7_secret_scans": op7_secret_scans,
+    "op8_token_id_output": op8_token_id_output,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
