@@ -29,6 +29,20 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of vectors of one label at cosine 0.93 or more."""
+    from .ivfpq import near_duplicate_vectors
+
+    return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products for every 20th vector."""
+    from .ivfpq import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of 4-word shingles, linked at 4 bits or fewer."""
     from .simhash import simhash_groups
@@ -91,6 +105,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_packing": op6_packing,
     "op7_secret_scans": op7_secret_scans,

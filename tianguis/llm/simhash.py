@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from .common import cut, free_name, text_or_empty, written
 from .components import connected_components
+from .forest import Forest
 
 #: Rows of the sample that the tree's pivots and radii come from.
 SAMPLE_ROWS = 4096
@@ -159,60 +160,6 @@ def cells_of(fp: np.ndarray, levels: list, radius: int) -> tuple[np.ndarray, np.
     return rows, code * 4 + two * 2 + side
 
 
-class _Forest:
-    """Links of a cell, kept as a spanning forest of least distances."""
-
-    def __init__(self) -> None:
-        self.a, self.b, self.d, self.held = [], [], [], 0
-
-    def add(self, a: np.ndarray, b: np.ndarray, d: np.ndarray) -> None:
-        if len(a):
-            self.a.append(a), self.b.append(b), self.d.append(d)
-            self.held += len(a)
-            if self.held > 500_000:
-                self._shrink()
-
-    def _shrink(self) -> None:
-        a, b, d = map(np.concatenate, (self.a, self.b, self.d))
-        nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
-        x, y = ends[: len(a)], ends[len(a) :]
-        root, keep = np.arange(len(nodes)), np.zeros(len(a), bool)
-        order = np.lexsort((y, x, d))
-        # Boruvka: each tree takes its first link to another tree, then trees merge
-        while True:
-            rx, ry = root[x[order]], root[y[order]]
-            order = order[rx != ry]
-            if not len(order):
-                break
-            rx, ry = root[x[order]], root[y[order]]
-            first = np.full(len(nodes), len(order))
-            at = np.arange(len(order))
-            np.minimum.at(first, rx, at)
-            np.minimum.at(first, ry, at)
-            chosen = np.unique(first[first < len(order)])
-            keep[order[chosen]] = True
-            cx, cy = rx[chosen], ry[chosen]
-            while True:
-                was = root.copy()
-                low = np.minimum(root[cx], root[cy])
-                np.minimum.at(root, root[cx], low)
-                np.minimum.at(root, root[cy], low)
-                root = root[root]
-                if (root == was).all():
-                    break
-            while (root != root[root]).any():
-                root = root[root]
-        self.a, self.b, self.d = [a[keep]], [b[keep]], [d[keep]]
-        self.held = int(keep.sum())
-
-    def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if not self.a:
-            z = np.empty(0, np.int64)
-            return z, z, z
-        self._shrink()
-        return self.a[0], self.b[0], self.d[0]
-
-
 def _pairs_in(fp: np.ndarray, left: np.ndarray, right: np.ndarray | None, radius: int, rng, found) -> None:
     """Calls found(rows, rows, distances) with all pairs within ``radius``; the tree within a cell."""
     todo = [(left, right, 0)]
@@ -255,7 +202,7 @@ def _cell_links(radius: int, lane_bits: int, ratio: float):
         ids = pdf["id"].to_numpy()
         lanes = np.stack(pdf["lanes"].to_numpy()).astype(np.int64).view(np.uint64) if len(pdf) else np.empty((0, 1), np.uint64)
         fp, size, role = np.ascontiguousarray(lanes[:, 0]), pdf["size"].to_numpy(), pdf["role"].to_numpy()
-        forest = _Forest()
+        forest = Forest()
 
         def found(a, b, d):
             if lanes.shape[1] > 1 or ratio:
