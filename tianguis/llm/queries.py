@@ -13,6 +13,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The rules that op1 judges by.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all urls, block decisions handed on to aliases."""
+    from .urls import judge
+
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and what they decode to."""
     import public_tokenizers
@@ -89,6 +102,34 @@ def op8_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations formatted, expanded to one example a reply, and read back."""
+    from .chat import examples, format_conversations, parse, trainable
+
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
+    marks = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", marks), (-1, 1, "assistant", marks)], "conv_id long, turn long, role string, text string")
+    formatted = format_conversations(turns.unionByName(extra))
+    back = parse(F.col("formatted"))
+    whole = formatted.select(
+        "conv_id",
+        F.size(back).cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform(back, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+    each = examples(formatted).select("conv_id", F.struct("example", trainable(F.col("target"), F.col("context_chars"), F.col("loss_start"), F.col("loss_end")).alias("text")).alias("x"))
+    loss = each.groupBy("conv_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["text"]), "").alias("loss"))
+    joined = whole.join(loss.withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c")), "left").withColumn("loss", F.coalesce("loss", F.lit("")))
+    return joined.select(
+        "conv_id",
+        "n_turns",
+        "turns_sha256",
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of subword embeddings learned from two thirds of the labelled ids."""
     from .quality import fit, learning_rows, score
@@ -104,6 +145,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filters": op1_url_filters,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_nearest_neighbours": op4_nearest_neighbours,
@@ -111,6 +153,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_secret_scans": op7_secret_scans,
     "op8_token_id_output": op8_token_id_output,
+    "op9_chat_formatting": op9_chat_formatting,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
