@@ -23,7 +23,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tokens import Coder, byte_level_units, chunks
+from .tokens import Coder, byte_level_text, byte_level_units, chunks
 
 #: Bytes of words in one recursive query; longer single words go by the keyed query.
 QUERY_BYTES, LONG_WORD = 400_000, 512
@@ -134,7 +134,7 @@ class Bpe:
             out[k] += made[i]
         return out
 
-    def encode_units(self, units: list[str]) -> list[list[int]]:
+    def encode_texts(self, units: list[str]) -> list[list[int]]:
         """Ids of each text: the pattern's matches, encoded each by itself."""
         matches = [[m.encode("utf-8") for m in self.pattern.findall(u)] for u in units]
         distinct = list(dict.fromkeys(m for ms in matches for m in ms))
@@ -159,7 +159,7 @@ def _held(path: str, pattern: str) -> tuple[Bpe, Coder]:
     """One vocabulary and cache for each worker process."""
     if (path, pattern) not in _HELD:
         bpe = Bpe(path, pattern)
-        _HELD[path, pattern] = bpe, Coder(bpe.encode_units, byte_level_units)
+        _HELD[path, pattern] = bpe, Coder(bpe.encode_texts, byte_level_units, byte_level_text)
     return _HELD[path, pattern]
 
 
@@ -177,9 +177,7 @@ def encode(text: Column, path: str, pattern: str) -> Column:
         for texts in batches:
             out: list[bytes] = []
             for _, some in chunks(list(texts)):
-                ids, counts = coder.encode(some)
-                raw, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
-                out += [raw[a:b] for a, b in zip([0, *ends], ends)]
+                out += coder.encode_raw(some)
             yield pd.Series(out, dtype=object)
 
     return encoded(F.coalesce(text, F.lit("")))

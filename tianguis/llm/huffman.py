@@ -1,24 +1,24 @@
 """Token ids in files of canonical, length-limited Huffman codes.
 
-Two passes over the texts, neither of which keeps ids on disk:
-
-1. Each task encodes its texts and counts ids and tokens; counts are summed by id.  The
+1. Texts are encoded once and their ids dealt out by ranges of the document id, sorted, and
+   written to a table in the shared folder.
+2. Each task of a scan over that table counts ids and tokens; counts are summed by id.  The
    code lengths (package-merge, at most ``LIMIT`` bits) follow from the global counts and
    are as many as the vocabulary, so the driver computes them.
-2. Each task encodes its texts again, writes every document's ids as a run of code bits and
-   notes the bit offset of every ``CHECKPOINT``-th id.  Only these compressed runs are
-   shuffled, by ranges of the document id, sorted, and put together to blocks.
+3. A second scan writes the ids as blocks of code bits, with the bit offset of every
+   ``CHECKPOINT``-th id of a document.
 
 The file format is a folder with two Parquet tables: ``codebook`` (id, length) and ``blocks``
-(shard, block, start, doc_ids, doc_tokens, checkpoints, payload).  A block can be decoded by
-itself, from any checkpoint on, with a table of 2^LIMIT entries; a whole block's segments
-are decoded side by side.
+(start, doc_ids, doc_tokens, checkpoints, payload), where start is the number of ids before
+the block.  A block can be decoded by itself, from any checkpoint on, with a table of
+2^LIMIT entries; a whole block's segments are decoded side by side.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import scratch_path
-from .tokens import chunks, library_coder, with_end
+from .tokens import chunks, library_coder
 
 LIMIT = 18
 CHECKPOINT = 512
@@ -124,12 +124,9 @@ def unpack_bits(data: np.ndarray, starts: np.ndarray, counts: np.ndarray, table:
     return out
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int):
-    coder = library_coder(tokenizer)
-    for b in batches:
-        keys = b.column(0).to_pylist()
-        for at, some in chunks(b.column(1).to_pylist()):
-            yield keys[at : at + len(some)], *with_end(*coder.encode(some), end_id)
+def _width(tokenizer: str) -> str:
+    """How ids are kept on the way: in 16 bits where the vocabulary allows it."""
+    return "<u2" if library_coder(tokenizer).size <= 1 << 16 else "<u4"
 
 
 def _bounds(docs: DataFrame, id_col: str, shards: int) -> list:
@@ -152,26 +149,27 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = _bounds(docs, id_col, shards)
     kind = docs.schema[id_col].dataType
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-
-    def shard_of(key) -> int:
-        return 0 if key is None else bisect_right(bounds, key)
+    form = _width(tokenizer)
+    per = np.dtype(form).itemsize
+    with _shuffles_removed(spark):
+        _sorted_ids(docs, tokenizer, id_col, text_col, end_id, bounds, shards, form).write.option("compression", "zstd").parquet(f"{path}/ids")
+    ids = spark.read.parquet(f"{path}/ids")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_seen, shard_tokens = np.zeros(0, np.int64), {}
-        for keys, ids, counts in _encoded(batches, tokenizer, end_id):
-            seen = np.bincount(ids, minlength=len(ids_seen))
-            seen[: len(ids_seen)] += ids_seen
-            ids_seen = seen
-            for key, n in zip(keys, counts.tolist()):
-                s = shard_of(key)
-                shard_tokens[s] = shard_tokens.get(s, 0) + n
-        used = np.nonzero(ids_seen)[0]
-        keys = np.concatenate([used, -1 - np.fromiter(shard_tokens, np.int64, len(shard_tokens))])
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(np.concatenate([ids_seen[used], np.fromiter(shard_tokens.values(), np.int64, len(shard_tokens))]), pa.int64())], names=["key", "n"])
+        seen, tokens = np.zeros(0, np.int64), {}
+        for b in batches:
+            for shard, raw in zip(b.column(0).to_pylist(), b.column(1)):
+                tokens[shard] = tokens.get(shard, 0) + len(raw.as_buffer()) // per
+            flat = np.frombuffer(b"".join(b.column(1).to_pylist()), form)
+            more = np.bincount(flat, minlength=len(seen))
+            more[: len(seen)] += seen
+            seen = more
+        used = np.nonzero(seen)[0]
+        keys = [*used.tolist(), *(-1 - s for s in tokens)]
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([*seen[used].tolist(), *tokens.values()], pa.int64())], names=["key", "n"])
 
     # as many rows as the vocabulary and the shards have
-    totals = rows.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
+    totals = ids.select("shard", "ids").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
     of_ids, of_shards = totals[totals["key"] >= 0], totals[totals["key"] < 0]
     counts = np.zeros(int(of_ids["key"].max()) + 1 if len(of_ids) else 0, np.int64)
     counts[of_ids["key"].to_numpy()] = of_ids["n"].to_numpy()
@@ -183,63 +181,90 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
     book = pa.table({"id": pa.array(used, pa.int32()), "length": pa.array(lengths[used], pa.int32())})
     spark.createDataFrame(book).coalesce(1).write.parquet(f"{path}/codebook")
     codes = spark.sparkContext.broadcast((canonical_codes(lengths), lengths))
-    run_schema = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("id", kind), T.StructField("n", T.IntegerType()), T.StructField("checkpoints", T.BinaryType()), T.StructField("payload", T.BinaryType())])
+    schema = T.StructType(
+        [T.StructField("start", T.LongType()), T.StructField("doc_ids", T.ArrayType(kind)), T.StructField("doc_tokens", T.ArrayType(T.IntegerType())), T.StructField("checkpoints", T.BinaryType()), T.StructField("payload", T.BinaryType())]
+    )
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        names = to_arrow_schema(run_schema)
+        names = to_arrow_schema(schema)
         code_of, length_of = codes.value
-        for keys, ids, counts in _encoded(batches, tokenizer, end_id):
+
+        def block(held: list) -> pa.RecordBatch:
+            start, counts = bases[held[0][0]] + held[0][1], np.array([len(x[3]) // per for x in held])
+            ids = np.frombuffer(b"".join(x[3] for x in held), form)
             sizes = length_of[ids]
-            last = np.cumsum(counts)
-            first = last - counts
-            before = np.concatenate([[0], np.cumsum(sizes)])
-            doc_bytes = (before[last] - before[first] + 7) // 8
-            base = 8 * (np.cumsum(doc_bytes) - doc_bytes)  # every document starts at a whole byte
-            at = before[:-1] + np.repeat(base - before[first], counts)
-            raw = pack_bits(code_of[ids], sizes, at, 8 * int(doc_bytes.sum()))
-            marks, payloads = [], []
-            for f, n, b, size in zip(first.tolist(), counts.tolist(), base.tolist(), doc_bytes.tolist()):
-                marks.append((at[f : f + n : CHECKPOINT] - b).astype("<u8").tobytes())
-                payloads.append(raw[b // 8 : b // 8 + size])
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip([[shard_of(k) for k in keys], keys, counts, marks, payloads], names)], schema=names)
-
-    block_schema = T.StructType(
-        [T.StructField("shard", T.IntegerType()), T.StructField("block", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("doc_ids", T.ArrayType(kind)), T.StructField("doc_tokens", T.ArrayType(T.IntegerType())), T.StructField("checkpoints", T.BinaryType()), T.StructField("payload", T.BinaryType())]
-    )
+            ends = np.cumsum(sizes)
+            raw = pack_bits(code_of[ids], sizes, ends - sizes, int(ends[-1]))
+            first = np.cumsum(counts) - counts
+            marks = np.concatenate([np.arange(f, f + n, CHECKPOINT) for f, n in zip(first.tolist(), counts.tolist())])
+            row = (start, [x[2] for x in held], counts.tolist(), (ends - sizes)[marks].astype("<u8").tobytes(), raw)
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, names)], schema=names)
 
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
+        held, tokens = [], 0
+        for b in batches:
+            for row in zip(*(c.to_pylist() for c in b.columns)):
+                # a block holds neighbours: documents of one shard, each where the one before ends
+                if held and (tokens >= BLOCK_TOKENS or row[0] != held[0][0] or row[1] != held[0][1] + tokens):
+                    yield block(held)
+                    held, tokens = [], 0
+                held.append(row)
+                tokens += len(row[3]) // per
+        if held:
+            yield block(held)
 
-        names = to_arrow_schema(block_schema)
-        shard, block, start, tokens, bits = None, 0, 0, 0, 0
-        held: tuple[list, list, list, list] = ([], [], [], [])
+    ids.select("shard", "before", "id", "ids").mapInArrow(compress, schema).write.parquet(f"{path}/blocks")
 
-        def close() -> pa.RecordBatch:
-            nonlocal block, start, tokens, bits
-            row = (shard, block, start, held[0][:], held[1][:], b"".join(held[2]), b"".join(held[3]))
-            block, start, tokens, bits = block + 1, start + tokens, 0, 0
-            for x in held:
-                x.clear()
-            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, names)], schema=names)
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within it, a query's shuffle files go when the query has ended, and not when the driver collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, was)
+
+
+def _sorted_ids(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end_id: int, bounds: list, shards: int, form: str) -> DataFrame:
+    """Rows (shard, before, id, ids): sorted by id within each shard; before counts the shard's ids up to a row."""
+    kind = docs.schema[id_col].dataType
+    schema = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("id", kind), T.StructField("ids", T.BinaryType())])
+    out_schema = T.StructType([schema["shard"], T.StructField("before", T.LongType()), schema["id"], schema["ids"]])
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        names, coder, end = to_arrow_schema(schema), library_coder(tokenizer), np.array([end_id], "<u4").tobytes()
+        for b in batches:
+            keys = b.column(0).to_pylist()
+            for at, some in chunks(b.column(1).to_pylist()):
+                mine = keys[at : at + len(some)]
+                raw = [np.frombuffer(x + end, "<u4").astype(form).tobytes() for x in coder.encode_raw(some)]
+                columns = [[0 if k is None else bisect_right(bounds, k) for k in mine], mine, raw]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, names)], schema=names)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        names, shard, before, per = to_arrow_schema(out_schema), None, 0, np.dtype(form).itemsize
         for b in batches:
-            for s, key, n, marks, payload in zip(*(c.to_pylist() for c in b.columns)):
-                if held[0] and (s != shard or tokens >= BLOCK_TOKENS):
-                    yield close()
+            starts = []
+            for s, raw in zip(b.column(0).to_pylist(), b.column(2)):
                 if s != shard:
-                    shard, block, start = s, 0, bases[s]
-                held[0].append(key)
-                held[1].append(n)
-                held[2].append((np.frombuffer(marks, "<u8") + np.uint64(bits)).tobytes())
-                held[3].append(payload)
-                tokens, bits = tokens + n, bits + 8 * len(payload)
-        if held[0]:
-            yield close()
-
-    runs = rows.mapInArrow(compress, run_schema)
-    runs.repartition(shards, "shard").sortWithinPartitions("shard", "id").mapInArrow(assemble, block_schema).write.parquet(f"{path}/blocks")
+                    shard, before = s, 0
+                starts.append(before)
+                before += len(raw.as_buffer()) // per
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(starts, pa.int64()), b.column(1), b.column(2)], schema=names)
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(encode, schema)
+    return rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "id").mapInArrow(place, out_schema)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

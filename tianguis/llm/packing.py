@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tokens import chunks, library_coder, with_end
+from .tokens import chunks, library_coder
 
 #: Context sizes, longest first.
 TIERS = (1024, 512, 256, 128)
@@ -175,7 +175,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         from pyspark import TaskContext
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        names = to_arrow_schema(schema)
+        names, end = to_arrow_schema(schema), np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId() << 36
         coder, packer, groups, made, rows = library_coder(tokenizer), Packer(tiers), _Groups(), 0, []
 
@@ -201,11 +201,9 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             for at, some in chunks(texts):
-                flat, counts = with_end(*coder.encode(some), end_id)
-                flat = flat.astype("<u4", copy=False)
-                stop = np.cumsum(counts)
-                for j, (n, e) in enumerate(zip(counts.tolist(), stop.tolist())):
-                    packer.add((ids[at + j], n), flat[e - n : e])
+                for j, raw in enumerate(coder.encode_raw(some)):
+                    flat = np.frombuffer(raw + end, "<u4")
+                    packer.add((ids[at + j], len(flat)), flat)
                 drain()
                 if rows:
                     yield batch()

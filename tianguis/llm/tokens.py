@@ -2,8 +2,9 @@
 
 A unit is a run of non-white-space with the one white-space character before it.  The
 tokenizers used here never join text across units, so a unit's ids do not depend on its
-neighbours: each distinct unit is encoded by the library once for each worker process (until
-the cache is full and starts anew) and texts are put together from the cache by numpy.
+neighbours: each distinct unit is encoded by the library once for each worker process (as
+long as the cache remembers it) and a text's ids are joined from the cached bytes.  A comma or full
+stop after a letter or digit is a token run of its own, so such units share their stem's ids.
 Texts with white space of any other shape go to the library as they are.
 """
 
@@ -11,13 +12,13 @@ from __future__ import annotations
 
 import os
 import re
+from collections import deque
 from collections.abc import Callable, Iterator
-from itertools import islice
 
 import numpy as np
 
-#: Units that a worker process remembers at most; then it forgets them all.
-CACHE_UNITS = 300_000
+#: Units and stems that a worker process remembers: those in use stay, the rest goes when it is full.
+CACHE_UNITS, CACHE_STEMS = 500_000, 400_000
 #: Texts are encoded together up to so many characters.
 CHUNK_CHARS = 1 << 21
 
@@ -26,11 +27,23 @@ _ODD_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u202
 
 
 def byte_level_units(text: str) -> list[str] | None:
-    """Units for byte-level vocabularies, where a unit starts with its space or line break."""
+    """Units for byte-level vocabularies, where a unit starts with its space or line break.
+
+    The space is left out, but for the first unit, which has none before it: it gets one.
+    """
     if _TWO_SPACES.search(text):
         return None
-    first, *rest = text.replace("\n", " \n").split(" ")
-    return [first, *(u if u[:1] == "\n" else " " + u for u in rest)]
+    units = text.replace("\n", " \n").split(" ")
+    if units[0]:
+        units[0] = " " + units[0]
+    else:
+        del units[0]
+    return units
+
+
+def byte_level_text(unit: str) -> str:
+    """What the library is to encode for a unit of ``byte_level_units``."""
+    return unit if unit[:1] == "\n" else unit[1:] if unit[:1] == " " else " " + unit
 
 
 def bare_units(text: str) -> list[str] | None:
@@ -38,46 +51,80 @@ def bare_units(text: str) -> list[str] | None:
     return None if _ODD_SPACE.search(text) else text.split()
 
 
-class Coder:
-    """ids of texts: ``encode_units`` gives the ids of each distinct unit, ``split`` the units of a text."""
+def folded(stem: str) -> str:
+    """``stem`` in lower case where that is the same for every library (no dotted I, no final sigma)."""
+    return stem.lower() if stem.isascii() or (max(stem) < "\u0370" and "\u0130" not in stem) else stem
+
+
+class _Cache(dict):
+    """Text to the bytes of its ids; notes what it misses, forgets what has not been used for long."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+        self.old: dict[str, bytes] = {}
+        self.missed: dict[str, None] = {}
+
+    def __missing__(self, unit: str) -> bytes:
+        if unit in self.old:
+            found = self[unit] = self.old[unit]
+            return found
+        self.missed[unit] = None
+        return b""
 
-    def __init__(self, encode_units: Callable[[list[str]], list], split: Callable[[str], list[str] | None]):
-        self.encode_units, self.split = encode_units, split
-        self.forget()
+    def age(self) -> None:
+        if len(self) > self.limit // 2:
+            self.old = dict(self)
+            self.clear()
 
-    def forget(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+class Coder:
+    """ids of texts: ``encode_texts`` is the library, ``split`` and ``text_of`` make and undo units."""
+
+    def __init__(self, encode_texts: Callable[[list[str]], list], split: Callable[[str], list[str] | None], text_of: Callable[[str], str] = str, fold: Callable[[str], str] = str):
+        self.encode_texts, self.split, self.text_of, self.fold = encode_texts, split, text_of, fold
+        self.cache, self.stems = _Cache(CACHE_UNITS), _Cache(CACHE_STEMS)
+        self.tails = dict(zip(",.", _raw(encode_texts([",", "."]))))
+        self.size = 0  # of the vocabulary, where known
 
     def _learn(self) -> None:
-        known = len(self.starts) - 1
-        if len(self.index) > known:
-            made = self.encode_units(list(islice(self.index, known, None)))
-            sizes = np.fromiter(map(len, made), np.int64, len(made))
-            flat = np.fromiter((i for ids in made for i in ids), np.uint32, int(sizes.sum()))
-            self.flat = np.concatenate([self.flat, flat])
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        units = list(self.cache.missed)
+        self.cache.missed.clear()
+        self.stems.age()
+        parts = []
+        for u in units:
+            tail = u[-1:] if u[-1:] in self.tails and u[-2:-1].isalnum() else ""
+            parts.append((self.fold(u[:-1] if tail else u), tail))
+        get = self.stems.__getitem__
+        for stem, _ in parts:
+            get(stem)
+        new = list(self.stems.missed)
+        self.stems.missed.clear()
+        self.stems.update(zip(new, _raw(self.encode_texts([self.text_of(x) for x in new]))))
+        tails = self.tails
+        self.cache.update((u, get(stem) + tails[tail] if tail else get(stem)) for u, (stem, tail) in zip(units, parts))
+
+    def encode_raw(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        cache = self.cache
+        cache.age()
+        get = cache.__getitem__
+        split = [self.split(t) for t in texts]
+        for units in split:
+            if units is not None:
+                deque(map(get, units), maxlen=0)
+        if cache.missed:
+            self._learn()
+        whole = iter(_raw(self.encode_texts([t for t, u in zip(texts, split) if u is None])))
+        return [next(whole) if u is None else b"".join(map(get, u)) for u in split]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""
-        if len(self.index) > CACHE_UNITS:
-            self.forget()
-        index, places, counts = self.index, [], []
-        for text in texts:
-            units = self.split(text)
-            if units is None:  # the whole text is one unit
-                units = [text]
-            places += [index.setdefault(u, len(index)) for u in units]
-            counts.append(len(units))
-        self._learn()
-        at = np.fromiter(places, np.int64, len(places))
-        sizes = self.starts[at + 1] - self.starts[at]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(total)]
-        ends = np.concatenate([[0], ends])
-        last = np.cumsum(np.array(counts, np.int64))
-        return ids, ends[last] - ends[last - counts]
+        raw = self.encode_raw(texts)
+        return np.frombuffer(b"".join(raw), "<u4"), np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+
+
+def _raw(made: list) -> list[bytes]:
+    return [np.array(ids, "<u4").tobytes() for ids in made]
 
 
 _CODERS: dict[tuple, Coder] = {}
@@ -92,10 +139,10 @@ def library_coder(path: str) -> Coder:
         tok = Tokenizer.from_file(path)
         tok.encode_special_tokens = True  # their strings in a text are ordinary text
         keeps_space = tok.normalizer is None
-        _CODERS[(path,)] = Coder(
-            lambda units: [e.ids for e in tok.encode_batch_fast(units, add_special_tokens=False)],
-            byte_level_units if keeps_space else bare_units,
-        )
+        library = lambda texts: [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+        coder = Coder(library, byte_level_units, byte_level_text) if keeps_space else Coder(library, bare_units, fold=folded)
+        coder.size = tok.get_vocab_size()
+        _CODERS[(path,)] = coder
     return _CODERS[(path,)]
 
 
@@ -111,10 +158,3 @@ def chunks(texts: list, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, list[st
         size += len(text)
     if held:
         yield at, held
-
-
-def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Every text's ids with the id ``end`` after them."""
-    out = np.full(len(ids) + len(counts), end, np.uint32)
-    out[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
-    return out, counts + 1
