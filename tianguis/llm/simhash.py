@@ -32,7 +32,7 @@ from .forest import Forest
 #: Rows of the sample that the tree's pivots and radii come from.
 SAMPLE_ROWS = 4096
 #: Distinct fingerprints that one cell should hold at most (a task's share of the work).
-CELL_ROWS = 40_000
+CELL_ROWS = 120_000
 #: In a task, blocks of so many fingerprints are compared directly.
 LEAF_ROWS = 512
 _SEED = 42
