@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 from .tokens import Coder, byte_level_text, byte_level_units, chunks
 
 #: Bytes of words in one recursive query; longer single words go by the keyed query.
-QUERY_BYTES, LONG_WORD = 400_000, 512
-_MEMORY = "400MB"
+QUERY_BYTES, LONG_WORD = 200_000, 512
+_MEMORY = "200MB"
 
 # All rows of every round stay in the recursion's result; the last round of a word counts.
 _SHORT = """
@@ -196,7 +196,7 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
             for raw in rows:
                 held.append(np.frombuffer(raw, "<u4"))
                 size += len(held[-1])
-                if size > 500_000:
+                if size > 250_000:
                     out += bpe.decode(np.concatenate(held), np.array([len(x) for x in held]))
                     held, size = [], 0
             if held:

@@ -56,7 +56,12 @@ def text_or_empty(column) -> F.Column:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Sends this package to the executors' Python workers, once for each Spark application."""
+    """Sends this package to the executors' Python workers, once for each Spark application.
+
+    Also bounds the batches that they get at once: texts may be long, and a batch of ten
+    thousand rows with what is made of it should not fill a worker's memory.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     import io
     import os
     import zipfile
