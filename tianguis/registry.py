@@ -1,6 +1,438 @@
-"""All of the library's queries and their SQL equivalents, by name."""
+"""All of the library's queries over the driver's tables, and the same in SQL for DuckDB."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import dates, text
+from .operators import catalogs, contract, coverage, monitor, pages, prices, rawrows, upsert
+from .plans import adapter, requests
+from .plans.adapter import table
+from .sources import readers, sinks
+from .streaming import upserts
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+#: The window of days that the run queries look at, and their "today".
+START, END, TODAY = "1998-01-01", "1998-03-31", "1998-04-07"
+
+
+def _query(oracle: str | None = None, adapted: bool = False):
+    """Registers a query under its name; ``adapted`` puts the adapter's tables before its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = f"WITH {adapter.SQL} {oracle}" if adapted else oracle
+        return f
+
+    return add
+
+
+def _day(d: str):
+    return F.lit(d).cast("date")
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that executors share; a temporary one only where none is set (one machine)."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="spark-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _typed(spark: SparkSession, d: str) -> DataFrame:
+    good, _ = contract.accepted_and_rejected(adapter.parsed(spark, d))
+    return rawrows.to_raw_rows(good).where("reject_reason is null").drop("reject_reason")
+
+
+def _landed(spark: SparkSession, d: str) -> DataFrame:
+    """Line items as landed rows: market and day."""
+    return table(spark, d, "lineitem").select(F.col("l_suppkey").alias("destino_id"), F.to_date("l_shipdate").alias("fecha"))
+
+
+@_query(f"""SELECT l_suppkey AS destino_id, CAST(l_shipdate AS DATE) AS fecha, count(*) AS n_rows FROM lineitem
+WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '{START}' AND DATE '{END}' GROUP BY 1, 2""")
+def rows_by_market_day(spark, d):
+    return monitor.rows_by_market_day(_landed(spark, d), _day(START), _day(END))
+
+
+@_query(f"""WITH c AS (SELECT CAST(l_suppkey AS VARCHAR) AS m, CAST(l_shipdate AS DATE) AS fecha, count(*) AS n FROM lineitem
+WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '{START}' AND DATE '{END}' GROUP BY 1, 2)
+SELECT (SELECT string_agg(m || '=' || n, ',' ORDER BY m) FROM (SELECT m, sum(n) AS n FROM c GROUP BY m)) AS markets,
+  (SELECT string_agg(CAST(fecha AS VARCHAR), ',' ORDER BY fecha) FROM (SELECT DISTINCT fecha FROM c)) AS days,
+  CAST((SELECT sum(n) FROM c) AS BIGINT) AS n_rows, (SELECT max(fecha) FROM c) AS last_date""")
+def run_report(spark, d):
+    r = monitor.run_report(rows_by_market_day(spark, d))
+    pairs = F.transform(F.map_entries("rows_by_market"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return r.select(F.array_join(pairs, ",").alias("markets"), F.array_join(F.transform("dates_with_data", lambda x: x.cast("string")), ",").alias("days"), "n_rows", "last_date")
+
+
+@_query(f"""WITH c AS (SELECT CAST(l_suppkey AS VARCHAR) AS m, CAST(l_shipdate AS DATE) AS fecha FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '{START}' AND DATE '{END}'),
+e AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS m FROM customer),
+x AS (SELECT (SELECT count(*) FROM c) AS n_rows, (SELECT count(DISTINCT m) FROM c) AS n_seen, (SELECT count(*) FROM e WHERE m NOT IN (SELECT m FROM c)) AS n_silent,
+ (SELECT max(fecha) FROM c) AS last_date, (SELECT count(*) FROM events WHERE event_type = 'error') AS n_failed),
+y AS (SELECT *, (SELECT count(*) FROM generate_series(coalesce(last_date, DATE '{START}') + INTERVAL 1 DAY, DATE '{TODAY}', INTERVAL 1 DAY) AS g(t) WHERE isodow(t) < 6) AS age FROM x)
+SELECT 1 AS ord, 'resumen' AS kind, 'info' AS level, 'Ingesta {START}..{END}: ' || n_rows || ' filas de ' || n_seen || ' mercados' AS message FROM y
+UNION ALL SELECT 2, 'sin_datos', 'error', 'Ventana {START}..{END} sin una sola fila' FROM y WHERE n_seen = 0
+UNION ALL SELECT 3, 'mercados_sin_datos', 'warning', n_silent || ' mercado(s) activos sin datos en la ventana' FROM y WHERE n_seen > 0 AND n_silent > 0
+UNION ALL SELECT 4, 'datos_atrasados', 'error', 'Sin datos nuevos desde hace ' || age || ' días hábiles' FROM y WHERE age >= 3
+UNION ALL SELECT 5, 'mercados_fallidos', 'error', n_failed || ' ventana(s) fallaron en el barrido' FROM y WHERE n_failed > 0""")
+def completeness_alerts(spark, d):
+    expected = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("market"))
+    failed = table(spark, d, "events").where("event_type = 'error'").select(F.col("event_id").cast("string").alias("line"))
+    found = monitor.alerts(rows_by_market_day(spark, d), expected, failed, _day(START), _day(END), _day(TODAY))
+    return found.select("ord", "kind", "level", "message")
+
+
+@_query("""SELECT CAST(l_suppkey AS VARCHAR) AS m FROM lineitem WHERE false
+UNION ALL SELECT DISTINCT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey NOT IN (SELECT l_suppkey FROM lineitem)""")
+def silent_markets(spark, d):
+    counts = _landed(spark, d).groupBy("destino_id", "fecha").agg(F.count("*").alias("n_rows"))
+    return monitor.silent_markets(counts, table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("market"))).withColumnRenamed("market", "m")
+
+
+@_query("""SELECT page_id, row_pos, fecha, product AS producto_raw, destination AS destino_raw, CAST(destination_id AS BIGINT) AS destino_id,
+ CASE prices_per_id WHEN '1' THEN 'presentacion_comercial' ELSE 'kilogramo_calculado' END AS tipo_precio,
+ CAST(low AS DOUBLE) AS low, CAST(high AS DOUBLE) AS high, CAST(freq AS DOUBLE) AS freq,
+ concat_ws(',', CASE WHEN price_min IS NULL THEN 'precio_ausente' WHEN low IS NULL THEN 'precio_no_numerico' WHEN low = 0 THEN 'precio_cero' END,
+  CASE WHEN high = 0 THEN 'precio_cero' END, CASE WHEN NOT (low <= freq AND freq <= high) THEN 'precios_incoherentes' END) AS flags FROM typed""", True)
+def price_typing_flags(spark, d):
+    good, _ = contract.accepted_and_rejected(adapter.parsed(spark, d))
+    return good.select(
+        "page_id", "row_pos", dates.parse_day(F.col("natural_key")[0]).alias("fecha"), F.col("product").alias("producto_raw"), F.col("destination").alias("destino_raw"), F.col("destination_id").cast("long").alias("destino_id"), rawrows.price_mode(F.col("prices_per_id")).alias("tipo_precio"),
+        *[rawrows.price(F.col(c)).cast("double").alias(n) for c, n in (("price_min", "low"), ("price_max", "high"), ("price_frequent", "freq"))],
+        F.array_join(rawrows.quality_flags(F.col("price_min"), F.col("price_max"), F.col("price_frequent")), ",").alias("flags"),
+    )
+
+
+@_query("SELECT llave_fila, fecha, product AS producto_raw, CAST(destination_id AS BIGINT) AS destino_id, CAST(freq AS DOUBLE) AS freq FROM typed", True)
+def raw_rows(spark, d):
+    return _typed(spark, d).select("llave_fila", "fecha", "producto_raw", "destino_id", F.col("precio_frecuente").cast("double").alias("freq"))
+
+
+@_query("SELECT page_id, row_pos, sha256(natural_key) AS llave_fila FROM keyed WHERE presentation <> ''", True)
+def row_key(spark, d):
+    return contract.with_identity(adapter.parsed(spark, d)).where(F.size("missing") == 0).select("page_id", "row_pos", contract.row_key(F.col("natural_key")).alias("llave_fila"))
+
+
+@_query("SELECT page_id, row_pos, CASE WHEN presentation = '' THEN 'presentation' ELSE '' END AS missing FROM keyed", True)
+def contract_missing(spark, d):
+    return contract.with_identity(adapter.parsed(spark, d)).select("page_id", "row_pos", F.array_join("missing", ",").alias("missing"))
+
+
+@_query("SELECT page_id, reason, n_rows FROM verdicts WHERE reason IS NOT NULL", True)
+def page_all_or_nothing(spark, d):
+    return contract.accepted_and_rejected(adapter.parsed(spark, d))[1].withColumnRenamed("rows", "n_rows")
+
+
+@_query("SELECT page_id, natural_key, count(*) AS n FROM keyed GROUP BY 1, 2 HAVING count(*) > 1", True)
+def duplicate_keys(spark, d):
+    keyed = contract.with_identity(adapter.parsed(spark, d)).withColumn("natural_key", F.array_join("natural_key", "|"))
+    return keyed.groupBy("page_id", "natural_key").agg(F.count("*").alias("n")).where("n > 1")
+
+
+@_query("SELECT count(*) AS n, count(DISTINCT llave_fila) AS n_keys FROM typed", True)
+def key_uniqueness(spark, d):
+    return _typed(spark, d).agg(F.count("*").alias("n"), F.countDistinct("llave_fila").alias("n_keys"))
+
+
+@_query("SELECT 'null fecha' AS \"check\", count(*) AS n FROM typed WHERE fecha IS NULL HAVING count(*) > 0 UNION ALL SELECT 'repeated llave_fila', count(*) - count(DISTINCT llave_fila) FROM typed HAVING count(*) > count(DISTINCT llave_fila)", True)
+def raw_table_checks(spark, d):
+    return rawrows.violations(_typed(spark, d).drop("page_id"))
+
+
+@_query("SELECT o_orderkey, CAST(strptime(CAST(day(o_orderdate) AS VARCHAR) || '/' || month(o_orderdate) || '/' || year(o_orderdate), '%d/%m/%Y') AS DATE) AS fecha FROM orders")
+def date_typing(spark, d):
+    o = table(spark, d, "orders")
+    text_day = F.concat_ws("/", F.dayofmonth("o_orderdate"), F.month("o_orderdate"), F.year("o_orderdate"))
+    return o.select("o_orderkey", dates.parse_day(text_day).alias("fecha"))
+
+
+@_query("SELECT event_id, CAST(ts - INTERVAL 6 HOUR AS DATE) AS source_day FROM events")
+def source_day(spark, d):
+    # Mexico City has kept winter time all year since 2022: six hours behind UTC
+    return table(spark, d, "events").select("event_id", dates.source_day(F.col("ts").cast("timestamp")).alias("source_day"))
+
+
+@_query("""SELECT l_orderkey, l_linenumber, l_partkey, s_name AS destino_raw, CASE WHEN l_returnflag <> 'N' THEN l_suppkey END AS destino_id FROM
+(SELECT l.*, CASE WHEN l_returnflag <> 'N' THEN s_name END AS s_name FROM lineitem l LEFT JOIN supplier ON l_suppkey = s_suppkey)""")
+def destination_fill(spark, d):
+    li = table(spark, d, "lineitem").withColumn("destination_id", F.when(F.col("l_returnflag") != "N", F.col("l_suppkey").cast("string")).otherwise("-1"))
+    names = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("label"))
+    joined = li.join(names, F.col("destination_id") == F.col("id"), "left")
+    return joined.select("l_orderkey", "l_linenumber", "l_partkey", F.col("label").alias("destino_raw"), F.when(F.col("destination_id") != "-1", F.col("destination_id").cast("long")).alias("destino_id"))
+
+
+@_query("SELECT p.page_id, p.row_pos, k.p_partkey FROM keyed p LEFT JOIN (SELECT p_name || ' - ' || p_type AS label, min(p_partkey) AS p_partkey FROM part GROUP BY 1) k ON k.label = p.product_key", True)
+def product_match(spark, d):
+    labels = table(spark, d, "part").groupBy(contract.product_label(F.col("p_name"), F.col("p_type")).alias("label")).agg(F.min("p_partkey").alias("p_partkey"))
+    rows = adapter.parsed(spark, d).withColumn("key", contract.product_label(F.col("product"), F.col("quality")))
+    return rows.join(labels, F.col("key") == F.col("label"), "left").select("page_id", "row_pos", "p_partkey")
+
+
+_GRID = "g AS (SELECT CAST(c_custkey AS VARCHAR) AS destination_id, CAST(y AS INTEGER) AS year FROM customer, generate_series(1993, 2002) AS t(y))"
+_BY_YEAR = f"""{_GRID}, c AS (SELECT CAST(o_custkey AS VARCHAR) AS destination_id, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS rows FROM orders GROUP BY 1, 2),
+by_year AS (SELECT g.destination_id, g.year, coalesce(c.rows, 0) AS rows FROM g LEFT JOIN c USING (destination_id, year))"""
+_SUMMARY = f"""{_BY_YEAR}, live AS (SELECT * FROM by_year WHERE rows > 0), s AS (SELECT b.destination_id, min(l.year) AS first_year, max(l.year) AS last_year, count(l.year) AS years_with_data, CAST(sum(b.rows) AS BIGINT) AS total_rows
+ FROM by_year b LEFT JOIN live l USING (destination_id, year) GROUP BY 1)"""
+
+
+def _by_year(spark, d):
+    """Orders a customer and year: not every customer orders every year, so there are gaps."""
+    grid = coverage.year_grid(table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("destination_id")), 1993, F.lit(2002))
+    return coverage.dense(grid, coverage.rows_by_year(table(spark, d, "orders"), "o_custkey", "o_orderdate"))
+
+
+@_query(f"WITH {_BY_YEAR} SELECT destination_id, year, rows AS n_rows FROM by_year")
+def coverage_by_year(spark, d):
+    return _by_year(spark, d).withColumnRenamed("rows", "n_rows")
+
+
+@_query(f"""WITH {_SUMMARY} SELECT destination_id, first_year, last_year, years_with_data, total_rows,
+ coalesce((SELECT string_agg(CAST(b.year AS VARCHAR), ' ' ORDER BY b.year) FROM by_year b WHERE b.destination_id = s.destination_id AND b.rows = 0 AND b.year BETWEEN s.first_year AND s.last_year), '') AS gap_years FROM s""")
+def coverage_summary(spark, d):
+    return coverage.summary(_by_year(spark, d)).withColumn("gap_years", F.array_join(F.transform("gap_years", lambda y: y.cast("string")), " "))
+
+
+@_query(f"WITH {_SUMMARY} SELECT destination_id, last_year FROM s WHERE last_year > 2002 - 2")
+def active_markets(spark, d):
+    return coverage.active(coverage.summary(_by_year(spark, d)), F.lit(2002)).select("destination_id", "last_year")
+
+
+@_query(f"WITH {_SUMMARY} SELECT s.destination_id, CAST(y AS INTEGER) AS year FROM s, generate_series(1993, 2002) AS t(y) WHERE y BETWEEN first_year AND last_year AND NOT EXISTS (SELECT 1 FROM by_year b WHERE b.destination_id = s.destination_id AND b.year = y AND b.rows = 0)")
+def backfill_years(spark, d):
+    return coverage.backfill(coverage.summary(_by_year(spark, d)))
+
+
+@_query(f"""WITH {_SUMMARY}, r AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS destination_id FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{START}' AND DATE '{END}')
+SELECT destination_id, CASE WHEN coalesce(last_year, 0) > 2003 - 2 THEN 'ingest_hole' ELSE 'series_end' END AS state FROM s WHERE destination_id NOT IN (SELECT destination_id FROM r)""")
+def ended_series(spark, d):
+    seen = table(spark, d, "orders").where(F.to_date("o_orderdate").between(START, END)).select(F.col("o_custkey").cast("string").alias("destination_id"))
+    return coverage.ended_series(coverage.summary(_by_year(spark, d)), seen, F.lit(2003))
+
+
+@_query("""WITH y AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS rows FROM orders GROUP BY 1)
+SELECT CAST(sum(rows) AS BIGINT) AS total_rows, (SELECT year FROM y ORDER BY rows, year LIMIT 1) AS thinnest_year, min(rows) AS thinnest_rows, (SELECT year FROM y ORDER BY rows DESC, year LIMIT 1) AS fattest_year, max(rows) AS fattest_rows FROM y""")
+def volume_stats(spark, d):
+    return coverage.volume(table(spark, d, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("rows")))
+
+
+@_query(f"WITH {_BY_YEAR} SELECT destination_id, year FROM by_year WHERE rows = 0")
+def remaining_cells(spark, d):
+    by = _by_year(spark, d)
+    return coverage.remaining(by.select("destination_id", "year"), by.where("rows > 0"))
+
+
+@_query(f"WITH {_BY_YEAR} SELECT DISTINCT destination_id FROM by_year WHERE rows > 0 AND year = 1997")
+def reconciliation(spark, d):
+    by = _by_year(spark, d)
+    stored = by.withColumn("rows", F.when(F.col("year") == 1997, F.lit(0)).otherwise(F.col("rows")))
+    return coverage.differing(coverage.summary(by), coverage.summary(stored))
+
+
+_SPANS = "s AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) + CAST(o_custkey % 400 AS INTEGER) AS b FROM orders)"
+
+
+def _spans(spark, d):
+    return table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("start"), F.date_add(F.to_date("o_orderdate"), (F.col("o_custkey") % 400).cast("int")).alias("end"))
+
+
+@_query(f"""WITH {_SPANS} SELECT o_orderkey, greatest(CAST(q AS DATE), a) AS window_start, least(CAST(q + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE), b) AS window_end
+FROM (SELECT *, unnest(generate_series(CAST(date_trunc('quarter', a) AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL 3 MONTH)) AS q FROM s)""")
+def quarterly_windows(spark, d):
+    return dates.quarterly_windows(_spans(spark, d)).select("o_orderkey", "window_start", "window_end")
+
+
+@_query(f"""WITH {_SPANS}, h AS (SELECT *, b - a + 1 AS n, a + CAST((b - a + 2) // 2 AS INTEGER) - 1 AS m FROM s)
+SELECT o_orderkey, n <= 1 AS exhausted, 0 AS half, a AS window_start, CASE WHEN n <= 1 THEN b ELSE m END AS window_end FROM h
+UNION ALL SELECT o_orderkey, false, 1, m + 1, b FROM h WHERE n > 1""")
+def split_windows(spark, d):
+    w = _spans(spark, d).withColumnsRenamed({"start": "window_start", "end": "window_end"})
+    return dates.split_windows(w).select("o_orderkey", "exhausted", "half", "window_start", "window_end")
+
+
+@_query(f"""WITH {_SPANS} SELECT o_orderkey, CAST((SELECT count(*) FROM generate_series(0, 399) AS g(k) WHERE k >= 1 AND k <= b - a AND isodow(a + CAST(k AS INTEGER)) < 6) AS INTEGER) AS days FROM s""")
+def business_days(spark, d):
+    return _spans(spark, d).select("o_orderkey", dates.business_days(F.col("start"), F.col("end")).alias("days"))
+
+
+_BASE = "https://prices.example.org/results"
+
+
+@_query(f"""SELECT CAST(s_suppkey AS VARCHAR) AS destination_id, m AS prices_per_id,
+ '{_BASE}?fechaInicio=01%2F01%2F1998&fechaFinal=31%2F03%2F1998&ProductoId=-1&OrigenId=-1&DestinoId=' || s_suppkey || '&PreciosPorId=' || m || '&RegistrosPorPagina=5000' AS url FROM supplier, (VALUES ('1'), ('2')) AS t(m)""")
+def plan_grid(spark, d):
+    markets = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("destination_id"))
+    return requests.plan(markets, _day(START), _day(END), _BASE).select("destination_id", "prices_per_id", "url")
+
+
+@_query(f"SELECT CAST(s_suppkey AS VARCHAR) AS destination_id, m AS prices_per_id, DATE '{START}' AS window_start, DATE '{END}' AS window_end FROM supplier, (VALUES ('1'), ('2')) AS t(m)")
+def url_context(spark, d):
+    c = requests.context_of_url(F.col("url"))
+    return plan_grid(spark, d).select(*[c[n].alias(n) for n in ("destination_id", "prices_per_id", "window_start", "window_end")])
+
+
+@_query("""WITH p AS (SELECT CAST(s_suppkey AS VARCHAR) AS destination_id, m AS prices_per_id FROM supplier, (VALUES ('1'), ('2')) AS t(m)),
+l AS (SELECT CAST(l_suppkey AS VARCHAR) AS destination_id, CASE WHEN l_returnflag = 'R' THEN '2' ELSE '1' END AS prices_per_id, count(*) AS n FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1998-01-01' AND DATE '1998-01-10' GROUP BY 1, 2),
+r AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS destination_id, '1' AS prices_per_id FROM customer WHERE c_acctbal < 0)
+SELECT p.destination_id, p.prices_per_id, coalesce(n, 0) AS n_rows, CASE WHEN n > 0 THEN 'landed' WHEN r.destination_id IS NOT NULL THEN 'rejected' ELSE 'missing' END AS state
+FROM p LEFT JOIN l USING (destination_id, prices_per_id) LEFT JOIN r USING (destination_id, prices_per_id)""")
+def plan_vs_landed(spark, d):
+    li = table(spark, d, "lineitem").where(F.to_date("l_shipdate").between("1998-01-01", "1998-01-10"))
+    landed = li.groupBy(F.col("l_suppkey").cast("string").alias("destination_id"), F.when(F.col("l_returnflag") == "R", "2").otherwise("1").alias("prices_per_id")).agg(F.count("*").alias("rows"))
+    bad = table(spark, d, "customer").where("c_acctbal < 0").select(F.col("c_custkey").cast("string").alias("destination_id"), F.lit("1").alias("prices_per_id"))
+    return requests.outcome(plan_grid(spark, d), landed, bad).withColumnRenamed("rows", "n_rows")
+
+
+@_query("SELECT CAST(s_suppkey AS VARCHAR) AS destination_id FROM supplier WHERE s_suppkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000)")
+def market_selection(spark, d):
+    markets = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("destination_id"))
+    wanted = table(spark, d, "customer").where("c_acctbal > 5000").select(F.col("c_custkey").cast("string").alias("destination_id"))
+    return requests.chosen(markets, wanted)[0]
+
+
+@_query("""SELECT 'repeated label' AS "check", count(p_name) - count(DISTINCT p_name) AS n FROM part HAVING count(p_name) > count(DISTINCT p_name)""")
+def catalog_checks(spark, d):
+    return catalogs.violations(table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("label")))
+
+
+@_query("""WITH a AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS label FROM part WHERE p_size > 4), b AS (SELECT CAST(p_partkey AS VARCHAR) AS id, CASE WHEN p_brand = 'Brand#7' THEN p_name || '!' ELSE p_name END AS label FROM part WHERE p_size < 47)
+SELECT coalesce(a.id, b.id) AS id, CASE WHEN a.id IS NULL THEN 'added' WHEN b.id IS NULL THEN 'removed' ELSE 'renamed' END AS change, a.label AS old_label, b.label AS new_label FROM a FULL JOIN b ON a.id = b.id WHERE a.label IS DISTINCT FROM b.label""")
+def catalog_drift(spark, d):
+    p = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("label"), "p_size", "p_brand")
+    new = p.where("p_size < 47").withColumn("label", F.when(F.col("p_brand") == "Brand#7", F.concat("label", F.lit("!"))).otherwise(F.col("label")))
+    return catalogs.drift(p.where("p_size > 4").select("id", "label"), new.select("id", "label"))
+
+
+@_query("SELECT p_partkey, p_name || ' - ' || p_brand AS name, p_type AS quality, CASE p_size % 2 WHEN 0 THEN 'Distrito Federal' ELSE p_type END AS state, p_name AS market FROM part")
+def label_split(spark, d):
+    p = table(spark, d, "part")
+    name, quality = text.split_at_last_dash(F.concat_ws(" - ", "p_name", "p_brand", "p_type"))
+    state, market = text.split_at_colon(F.concat(F.when(F.col("p_size") % 2 == 0, F.lit("DF ")).otherwise(F.col("p_type")), F.lit(": "), F.col("p_name")), catalogs.STATE_ALIASES)
+    return p.select("p_partkey", name.alias("name"), quality.alias("quality"), state.alias("state"), market.alias("market"))
+
+
+@_query("SELECT DISTINCT n_regionkey AS state FROM nation WHERE n_regionkey NOT IN (SELECT r_regionkey FROM region WHERE r_name < 'C')")
+def unknown_states(spark, d):
+    known = table(spark, d, "region").where("r_name < 'C'").select(F.col("r_regionkey").alias("label"), F.lit("state").alias("kind"))
+    return catalogs.unknown_states(table(spark, d, "nation").select(F.col("n_regionkey").alias("state")), known)
+
+
+@_query("SELECT DISTINCT product AS producto_raw, category AS grupo_raw FROM typed", True)
+def category_map(spark, d):
+    return catalogs.category_map(_typed(spark, d))[0]
+
+
+@_query("SELECT product AS producto_raw, count(DISTINCT category) AS n FROM typed GROUP BY 1 HAVING count(DISTINCT category) > 1", True)
+def category_conflicts(spark, d):
+    return catalogs.category_map(_typed(spark, d))[1]
+
+
+@_query("SELECT reason, count(*) AS n FROM verdicts WHERE reason IS NOT NULL GROUP BY 1", True)
+def failure_count(spark, d):
+    return contract.accepted_and_rejected(adapter.parsed(spark, d))[1].groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def _versions(spark, d):
+    """A table without the pending orders, and a stage of the last year's with revised prices."""
+    o = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("llave_fila"), F.to_date("o_orderdate").alias("fecha"), F.col("o_totalprice").alias("price"), F.col("o_orderdate").cast("timestamp").alias("extraido_en"), "o_orderstatus")
+    target = o.where("o_orderstatus <> 'P'").drop("o_orderstatus")
+    stage = o.where("fecha >= '2001-01-01'").drop("o_orderstatus").withColumn("price", F.col("price") + 1)
+    return target, stage
+
+
+_UPSERTED = """SELECT CAST(o_orderkey AS VARCHAR) AS llave_fila, CAST(o_orderdate AS DATE) AS fecha, CASE WHEN o_orderdate >= TIMESTAMP '2001-01-01' THEN o_totalprice + 1 ELSE o_totalprice END AS price
+FROM orders WHERE o_orderstatus <> 'P' OR o_orderdate >= TIMESTAMP '2001-01-01'"""
+
+
+@_query(_UPSERTED)
+def upsert_rows(spark, d):
+    target, stage = _versions(spark, d)
+    return upsert.upserted(target, stage).select("llave_fila", "fecha", "price")
+
+
+@_query(_UPSERTED)
+def upsert_idempotent(spark, d):
+    """Written twice to a table of monthly partitions' days; the second time changes nothing."""
+    target, stage = _versions(spark, d)
+    month = lambda df: df.withColumn("month", F.trunc("fecha", "month"))
+    path = _scratch(spark, "table")
+    for rows in (target, stage, stage):
+        upsert.upsert(month(rows), path, day="month", cluster=("llave_fila",))
+    return spark.read.parquet(path).select("llave_fila", "fecha", "price")
+
+
+@_query(_UPSERTED)
+def stream_upsert(spark, d):
+    """The same as a stream of files, each batch upserted."""
+    target, stage = _versions(spark, d)
+    source, path = _scratch(spark, "arrivals"), _scratch(spark, "table")
+    month = lambda df, n: df.withColumn("month", F.trunc("fecha", "month")).withColumn("extraido_en", F.lit(f"2020-01-0{n} 00:00:00").cast("timestamp"))
+    # the first load is there already; the files of the stage arrive
+    upsert.upsert(month(target, 1), path, day="month", cluster=("llave_fila",))
+    month(stage, 2).coalesce(2).write.parquet(source)
+    schema = spark.read.parquet(source).schema
+    upserts.stream_upsert(upserts.files(spark, source, schema), path, _scratch(spark, "progress"), day="month").awaitTermination()
+    return spark.read.parquet(path).select("llave_fila", "fecha", "price")
+
+
+@_query("SELECT llave_fila, CAST(date_trunc('month', fecha) AS DATE) AS fecha, product AS producto_raw, CAST(high AS DOUBLE) AS high FROM typed", True)
+def ndjson_roundtrip(spark, d):
+    """All rows as lines, in partitions of months for all markets together, read back."""
+    root = _scratch(spark, "lines")
+    rows = _typed(spark, d).drop("page_id").withColumns({"fecha": F.trunc("fecha", "month").cast("date"), "destino_id": F.lit(None).cast("long")})
+    sinks.write_lines(rows, root)
+    return sinks.read_lines(spark, root).select("llave_fila", "fecha", "producto_raw", F.col("precio_max").cast("double").alias("high"))
+
+
+@_query("""SELECT CAST(l_orderkey AS VARCHAR) AS page_id, strftime(l_shipdate, '%d/%m/%Y') AS "date", CASE WHEN l_linenumber % 3 = 0 THEN '<b> & "x"' ELSE l_returnflag END AS product, CAST(l_linenumber AS VARCHAR) AS obs,
+ CASE WHEN l_quantity < 10 THEN NULL ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS price_min, l_linestatus AS category FROM lineitem
+ WHERE l_orderkey NOT IN (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)""")
+def page_roundtrip(spark, d):
+    """Orders rendered as pages in the source's markup and parsed back (orders with a repeated line number have no defined order of lines)."""
+    li = table(spark, d, "lineitem")
+    twice = li.groupBy("l_orderkey", "l_linenumber").count().where("count > 1").select("l_orderkey")
+    li = li.join(twice, "l_orderkey", "left_anti").select(
+        "l_orderkey", "l_linenumber", F.date_format("l_shipdate", "dd/MM/yyyy").alias("date"), F.when(F.col("l_linenumber") % 3 == 0, '<b> & "x"').otherwise(F.col("l_returnflag")).alias("product"),
+        F.col("l_linenumber").cast("string").alias("obs"), F.when(F.col("l_quantity") >= 10, F.col("l_quantity").cast("long").cast("string")).alias("price_min"), F.col("l_linestatus").alias("category"),
+    )
+    html = pages.result_html(li, "l_orderkey", "l_linenumber", {"Fecha": "date", "Producto": "product", "Obs.": "obs", "Precio Mín": "price_min"}, "category")
+    readable = pages.page_verdicts(html).where("reject_reason is null").select("page_id", "html")
+    return pages.parsed_rows(readable).where("reject_reason is null").select("page_id", "date", "product", "obs", "price_min", "category")
+
+
+@_query(""", f AS (SELECT page_id, row_pos, CAST(freq AS DOUBLE) AS central FROM typed) SELECT page_id, row_pos, round(central * 0.95 * 0.9 - 2.5, 6) AS farm_gate FROM f""", True)
+def farm_gate_price(spark, d):
+    good, _ = contract.accepted_and_rejected(adapter.parsed(spark, d))
+    rows = good.withColumn("precio_frecuente", rawrows.price(F.col("price_frequent")).cast("double"))
+    out = prices.farm_gate(rows, F.lit(0.05), F.lit(0.10), F.lit(2.5))
+    return out.select("page_id", "row_pos", F.round("farm_gate", 6).alias("farm_gate"))
+
+
+@_query(""", m AS (SELECT product, CAST(week(fecha) AS INTEGER) AS week, CAST(year(fecha) AS INTEGER) AS year, avg(CAST(freq AS DOUBLE)) AS price FROM typed GROUP BY 1, 2, 3)
+SELECT a.product AS producto_raw, a.week, a.year, count(b.year) AS years, CASE WHEN count(b.year) >= 2 THEN round(count(*) FILTER (WHERE b.price < a.price) / count(b.year), 6) END AS share_below
+FROM m a LEFT JOIN m b ON a.product = b.product AND a.week = b.week AND b.year < a.year GROUP BY a.product, a.week, a.year""", True)
+def season_position(spark, d):
+    rows = _typed(spark, d).withColumn("precio_frecuente", F.col("precio_frecuente").cast("double"))
+    return prices.season_position(rows, ["producto_raw"], 2).select("producto_raw", "week", "year", "years", F.round("share_below", 6).alias("share_below"))
+
+
+@_query("""SELECT product AS producto_raw, CAST(year(fecha) AS INTEGER) AS year, count(*) AS n, round(avg(CAST(freq AS DOUBLE) * 0.95 * 0.9 - 2.5), 2) AS mean FROM typed GROUP BY 1, 2""", True)
+def final_prices(spark, d):
+    rows = _typed(spark, d).withColumn("precio_frecuente", F.col("precio_frecuente").cast("double")).withColumn("year", F.year("fecha"))
+    out = prices.final_table(prices.farm_gate(rows, F.lit(0.05), F.lit(0.10), F.lit(2.5)), ["producto_raw", "year"])
+    return out.select("producto_raw", "year", "n", F.round("mean", 2).alias("mean"))
+
+
+@_query("SELECT destination_id, last_year FROM (SELECT CAST(l_suppkey AS VARCHAR) AS destination_id, CAST(max(year(l_shipdate)) AS INTEGER) AS last_year FROM lineitem GROUP BY 1)")
+def coverage_csv_roundtrip(spark, d):
+    """The summary as a catalog file, read back."""
+    path = _scratch(spark, "coverage")
+    by = coverage.rows_by_year(_landed(spark, d))
+    sinks.write_catalog(coverage.summary(by), path, "destination_id")
+    back = readers.catalog(spark, path, "destination_id string, first_year int, last_year int, years_with_data long, total_rows long, gap_years string")
+    return back.select("destination_id", "last_year")
