@@ -157,4 +157,51 @@ QUERIES = {
     "op10_quality_classifier": op10_quality_classifier,
 }
 
-ORACLES: dict[str, str] = {}
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _sql_url(url: str) -> dict[str, str]:
+    """SQL of host, path and alias key of a url expression."""
+    rest = f"(CASE WHEN instr({url}, '://') > 0 THEN substr({url}, instr({url}, '://') + 3) ELSE '' END)"
+    host = f"coalesce(translate(regexp_extract({rest}, '^[^/?#]*'), {_AZ}), '')"
+    path = f"coalesce(regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1), '')"
+    return {"host": host, "path": path, "key": f"{host} || {path} || coalesce(regexp_extract({rest}, '^[^?#]*(\\?[^#]*)', 1), '')"}
+
+
+def _op1_sql() -> str:
+    url, target = _sql_url("url"), _sql_url("target")
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+    return rf"""
+WITH RECURSIVE rules(r_host, r_path, r_verdict) AS (VALUES {rules}),
+p AS (SELECT page_id, url, html, {url['host']} AS host, {url['path']} AS path, {url['key']} AS key FROM pages),
+tags AS (SELECT key, url, host, path, unnest(list_concat(regexp_extract_all(html, '(?i)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), regexp_extract_all(html, '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'))) AS t FROM p WHERE host <> ''),
+refs AS (SELECT *, trim(replace(coalesce(nullif(regexp_extract(t, '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1), ''), regexp_extract(t, '(?i)\burl\s*=\s*["'']?([^"''\s>;]+)', 1)), '&amp;', '&')) AS h, regexp_extract(url, '^[^:/?#]+') AS scheme, regexp_extract(path, '^(.*/)?') AS folder FROM tags),
+targets AS (SELECT key AS a, CASE WHEN contains(h, '://') THEN h WHEN starts_with(h, '//') THEN scheme || ':' || h WHEN starts_with(h, '/') THEN scheme || '://' || host || h WHEN h <> '' THEN scheme || '://' || host || (CASE WHEN folder = '' THEN '/' ELSE folder END) || h END AS target FROM refs),
+edges AS (SELECT a, {target['key']} AS b, {target['host']} AS host, {target['path']} AS path FROM targets WHERE target IS NOT NULL AND {target['host']} <> ''),
+nodes AS (SELECT key, host, path FROM p WHERE host <> '' UNION SELECT b, host, path FROM edges),
+fits AS (SELECT key, r_host || r_path AS rule, r_verdict, row_number() OVER (PARTITION BY key ORDER BY length(r_host || r_path) DESC, r_verdict, r_host || r_path) AS n FROM nodes JOIN rules ON (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path)),
+ruled AS (SELECT key, rule, r_verdict FROM fits WHERE n = 1),
+reached(key) AS (SELECT key FROM ruled WHERE r_verdict = 'block' UNION SELECT CASE WHEN e.a = r.key THEN e.b ELSE e.a END FROM reached r JOIN edges e ON e.a = r.key OR e.b = r.key)
+SELECT page_id, host, path, rule, coalesce(r_verdict, CASE WHEN p.host <> '' AND p.key IN (SELECT key FROM reached) THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN ruled ON p.host <> '' AND ruled.key = p.key"""
+
+
+_OP3_SQL = """
+WITH RECURSIVE links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id
+  AND list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) >= 0.93),
+reach(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+SELECT vec_id, (SELECT count(*) FROM links WHERE x = vec_id) AS n_links, c AS component_id, vec_id = c AS kept
+FROM embeddings JOIN (SELECT x, min(y) AS c FROM reach GROUP BY x) ON x = vec_id"""
+
+_OP9_SQL = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))),
+m AS (SELECT *, length(text) + len(regexp_extract_all(text, '[\[<]\\*(/?INST\]|/?s>|</?SYS>>|/?ROLE\]|TEXT\])'))
+  + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 9 WHEN 'system' THEN 17 ELSE 23 + length(role) + len(regexp_extract_all(role, '[\[<]\\*(/?INST\]|/?s>|</?SYS>>|/?ROLE\]|TEXT\])')) END AS chars FROM t),
+g AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '') AS loss, CAST(sum(chars) AS BIGINT) AS formatted_chars FROM m GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g"""
+
+#: For the others SQL has no such function (fingerprints, tokenizers, files, models) or the result is a method's own
+#: (approximate search, randomness tests); the tests compare those with brute force.
+ORACLES: dict[str, str] = {"op1_url_filters": _op1_sql(), "op3_embedding_near_dedup": _OP3_SQL, "op9_chat_formatting": _OP9_SQL}

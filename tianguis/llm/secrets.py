@@ -68,22 +68,22 @@ def _matches(text: Column, pattern: str, least: int) -> Column:
     return F.aggregate(sizes, state, step, lambda acc: acc["out"])
 
 
-def _spans(text: Column, pattern: str, least: int, order: int, keep=None) -> Column:
+def _spans(text: Column, pattern: str, least: int, order: int, hint: str, keep=None) -> Column:
     none = F.array().cast(_SPAN)
     found = _matches(text, pattern, least)
     if keep is not None:
         found = F.filter(found, keep)
     as_span = F.transform(found, lambda x: F.struct(x["start"].alias("start"), F.lit(order).alias("ord"), x["end"].alias("end")))
-    # a first look for a long enough match saves the work on most texts
-    return F.when(text.rlike(f"(?:{pattern[:-1]}{{{least},}})" if order else pattern), as_span).otherwise(none)
+    # a first look for a match, where it can be said long enough, saves the work on most texts
+    return F.when(text.rlike(hint), as_span).otherwise(none)
 
 
 def base_spans(text: Column) -> Column:
     """Array of structs (start, ord, end): the spans of the three patterns, by start, then kind."""
-    assign = _spans(text, ASSIGN, 1, 0, lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= ASSIGN_LEAST)
+    assign = _spans(text, ASSIGN, 1, 0, ASSIGN, lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= ASSIGN_LEAST)
     # the runs are maximal, so "at least n" finds the matches that are long enough
-    access = _spans(text, ACCESS, ACCESS_LEAST, 1)
-    hexa = _spans(text, HEX, HEX_LEAST, 2)
+    access = _spans(text, ACCESS, ACCESS_LEAST, 1, f"AKIA[A-Z0-9]{{{ACCESS_LEAST - 4},}}")
+    hexa = _spans(text, HEX, HEX_LEAST, 2, f"[0-9a-f]{{{HEX_LEAST},}}")
     return F.array_sort(F.concat(assign, access, hexa))
 
 
