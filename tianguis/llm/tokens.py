@@ -10,15 +10,18 @@ Texts with white space of any other shape go to the library as they are.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import sys
+from array import array
 from collections import deque
 from collections.abc import Callable, Iterator
 
 import numpy as np
 
 #: Units and stems that a worker process remembers: those in use stay, the rest goes when it is full.
-CACHE_UNITS, CACHE_STEMS = 500_000, 400_000
+CACHE_UNITS, CACHE_STEMS = 1_000_000, 700_000
 #: Texts are encoded together up to so many characters.
 CHUNK_CHARS = 1 << 21
 
@@ -80,9 +83,9 @@ class _Cache(dict):
 class Coder:
     """ids of texts: ``encode_texts`` is the library, ``split`` and ``text_of`` make and undo units."""
 
-    def __init__(self, encode_texts: Callable[[list[str]], list], split: Callable[[str], list[str] | None], text_of: Callable[[str], str] = str, fold: Callable[[str], str] = str):
+    def __init__(self, encode_texts: Callable[[list[str]], list], split: Callable[[str], list[str] | None], text_of: Callable[[str], str] = str, fold: Callable[[str], str] = str, units: int = CACHE_UNITS, stems: int = CACHE_STEMS):
         self.encode_texts, self.split, self.text_of, self.fold = encode_texts, split, text_of, fold
-        self.cache, self.stems = _Cache(CACHE_UNITS), _Cache(CACHE_STEMS)
+        self.cache, self.stems = _Cache(units), _Cache(stems)
         self.tails = dict(zip(",.", _raw(encode_texts([",", "."]))))
         self.size = 0  # of the vocabulary, where known
 
@@ -124,14 +127,26 @@ class Coder:
 
 
 def _raw(made: list) -> list[bytes]:
-    return [np.array(ids, "<u4").tobytes() for ids in made]
+    return [ids if isinstance(ids, bytes) else array("I", ids).tobytes() for ids in made]
 
 
+if array("I").itemsize != 4 or sys.byteorder != "little":
+    raise ImportError("ids are kept as little-endian 32-bit integers")
+
 _CODERS: dict[tuple, Coder] = {}
 
 
+def _plain_word(text: str) -> bool:
+    """One word of letters that every normaliser leaves as they are, a space before it at most."""
+    return (text[1:] if text[:1] == " " else text).isalpha() and max(text) < "\u0300" and "\u0130" not in text
+
+
 def library_coder(path: str) -> Coder:
-    """The coder of a file of the tokenizers library; one for each worker process and file."""
+    """The coder of a file of the tokenizers library; one for each worker process and file.
+
+    Words of plain letters need no normalising or splitting, which costs the library more
+    than the merges; they go to a copy of the tokenizer without these steps.
+    """
     if (path,) not in _CODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -139,7 +154,18 @@ def library_coder(path: str) -> Coder:
         tok = Tokenizer.from_file(path)
         tok.encode_special_tokens = True  # their strings in a text are ordinary text
         keeps_space = tok.normalizer is None
-        library = lambda texts: [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+        with open(path, encoding="utf-8") as f:
+            layout = json.load(f)
+        layout |= {"normalizer": None, "post_processor": None, "added_tokens": [], "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}}
+        bare = Tokenizer.from_str(json.dumps(layout))
+
+        def library(texts: list[str]) -> list:
+            # where the library lower-cases, only folded words are plain
+            plain = [_plain_word(t) and (keeps_space or t == folded(t) and " " not in t) for t in texts]
+            quick = iter(bare.encode_batch_fast([t for t, p in zip(texts, plain) if p], add_special_tokens=False))
+            full = iter(tok.encode_batch_fast([t for t, p in zip(texts, plain) if not p], add_special_tokens=False))
+            return [next(quick if p else full).ids for p in plain]
+
         coder = Coder(library, byte_level_units, byte_level_text) if keeps_space else Coder(library, bare_units, fold=folded)
         coder.size = tok.get_vocab_size()
         _CODERS[(path,)] = coder
