@@ -247,8 +247,9 @@ def test_bpe_equals_tiktoken_and_decodes(spark):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
     enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     texts = odd_texts(8, 200)
-    df = docs(spark, *enumerate(texts), (-1, None)).withColumn("ids", bpe.encode(F.col("text"), path, pattern)).withColumn("back", bpe.decode(F.col("ids"), path, pattern))
+    df = docs(spark, *enumerate(texts), (-1, None)).withColumn("ids", bpe.encode(F.col("text"), path, pattern)).withColumn("back", bpe.decode(F.col("ids"), path, pattern)).withColumn("x", bpe.round_trip(F.col("text"), path, pattern))
     for r in df.collect():
+        assert (r.x.ids, r.x.decoded) == (r.ids, r.back)
         assert np.frombuffer(r.ids, "<u4").tolist() == enc.encode_ordinary(r.text or "")
         assert bytes(r.back) == (r.text or "").encode()
     assert docs(spark).select(bpe.encode(F.col("text"), path, pattern)).count() == 0
@@ -260,7 +261,9 @@ def test_long_words_contract_alike():
     b = bpe._held(path, pattern)[0]
     rng = random.Random(9)
     for word in ["".join(rng.choice("etaoinshrdlu") for _ in range(300)).encode(), b"abab" * 70, b"a" * 255, "日本語テスト".encode() * 15]:
-        assert b._contract([word], bpe._SHORT)[1].tolist() == b._contract([word], bpe._LONG)[1].tolist()
+        data = np.frombuffer(word, np.uint8)
+        w, p = np.zeros(len(data)), np.arange(len(data))
+        assert b._contract(w, p, data, bpe._SHORT)[1].tolist() == b._contract(w, p, data, bpe._LONG)[1].tolist()
 
 
 # --- packing --------------------------------------------------------------------------

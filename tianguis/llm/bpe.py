@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import tempfile
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,9 +26,13 @@ from pyspark.sql import types as T
 
 from .tokens import Coder, byte_level_text, byte_level_units, chunks
 
+#: Ids that one query decodes, about.
+DECODE_IDS = 250_000
 #: Bytes of words in one recursive query; longer single words go by the keyed query.
 QUERY_BYTES, LONG_WORD = 200_000, 512
-_MEMORY = "200MB"
+_MEMORY = "150MB"
+#: Less is remembered than elsewhere: DuckDB needs room, too.
+CACHE_UNITS, CACHE_STEMS = 400_000, 250_000
 
 # All rows of every round stay in the recursion's result; the last round of a word counts.
 _SHORT = """
@@ -91,55 +96,52 @@ class Bpe:
         self.db.register("v", pa.table({"t": pa.array(list(self.ranks.values()), pa.int32()), "bytes": [k.decode("latin-1") for k in self.ranks]}))
         self.db.execute("create table vocabulary as select * from v")
 
-    def _contract(self, parts: list[bytes], query: str) -> tuple[np.ndarray, np.ndarray]:
-        sizes = np.array([len(x) for x in parts], np.int64)
-        tokens = self.of_byte[np.frombuffer(b"".join(parts), np.uint8)]
-        place = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        self.db.register("words", pa.table({"w": np.repeat(np.arange(len(parts), dtype=np.int32), sizes), "p": place.astype(np.int32), "t": tokens}))
+    def _contract(self, w: np.ndarray, p: np.ndarray, data: np.ndarray, query: str) -> tuple[np.ndarray, np.ndarray]:
+        """Words and tokens, in order, from the bytes ``data`` at places ``p`` of words ``w``."""
+        self.db.register("words", pa.table({"w": w.astype(np.int32), "p": p.astype(np.int32), "t": self.of_byte[data]}))
         out = self.db.execute(query).fetchnumpy()
         return np.asarray(out["w"]), np.asarray(out["t"])
 
-    def _parts(self, word: bytes) -> list[bytes]:
-        v = np.frombuffer(word, np.uint8).astype(np.int64)
-        cuts = np.nonzero(~self.joins[v[:-1] * 256 + v[1:]])[0] + 1
-        return [word[i:j] for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(word)])]
-
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of each word; a word that is a token is that token."""
-        known = [self.ranks.get(w) for w in words]
-        parts, owner = [], []
-        for i, w in enumerate(words):
-            if known[i] is None and w:
-                p = self._parts(w)
-                parts += p
-                owner += [i] * len(p)
-        out: list[list[int]] = [[k] if k is not None else [] for k in known]
-        short = [i for i, p in enumerate(parts) if len(p) <= LONG_WORD]
-        groups, held = [], 0
-        for i in short:
-            if not groups or held + len(parts[i]) > QUERY_BYTES:
-                groups.append([])
-                held = 0
-            groups[-1].append(i)
-            held += len(parts[i])
-        made: dict[int, list[int]] = {}
-        for group, query in [*((g, _SHORT) for g in groups), *(([i], _LONG) for i, p in enumerate(parts) if len(p) > LONG_WORD)]:
-            w, t = self._contract([parts[i] for i in group], query)
-            ends = np.searchsorted(w, np.arange(len(group)), side="right").tolist()
-            ids, start = t.tolist(), 0
-            for i, end in zip(group, ends):
-                made[i] = ids[start:end]
-                start = end
-        for i, k in enumerate(owner):
-            out[k] += made[i]
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids (little-endian, 32 bits) of each word; a word that is a token is that token."""
+        found = [self.ranks.get(x) for x in words]
+        out = [b"" if k is None else array("I", (k,)).tobytes() for k in found]
+        open_words = [i for i, k in enumerate(found) if k is None and words[i]]
+        if not open_words:
+            return out
+        data = np.frombuffer(b"".join(words[i] for i in open_words), np.uint8)
+        sizes = np.array([len(words[i]) for i in open_words], np.int64)
+        first = np.zeros(len(data), bool)
+        first[np.cumsum(sizes) - sizes] = True
+        # a part begins where a word does, and between bytes that are neighbours in no token
+        cut = first.copy()
+        cut[1:] |= ~self.joins[data[:-1].astype(np.int64) * 256 + data[1:]]
+        starts = np.nonzero(cut)[0]
+        lengths = np.diff(np.append(starts, len(data)))
+        part = np.repeat(np.arange(len(starts)), lengths)
+        place = np.arange(len(data)) - starts[part]
+        word_of_part = np.cumsum(first)[starts] - 1
+        long = lengths > LONG_WORD
+        # parts go together until they have QUERY_BYTES; each long one goes by itself
+        group = np.where(long, -1, np.cumsum(np.where(long, 0, lengths)) // QUERY_BYTES)
+        jobs = [(group[part] == g, _SHORT) for g in np.unique(group[group >= 0])] + [(part == i, _LONG) for i in np.nonzero(long)[0]]
+        made = [self._contract(part[take], place[take], data[take], query) for take, query in jobs]
+        of_part, ids = (np.concatenate(c) for c in zip(*made))
+        if long.any():
+            order = np.argsort(of_part, kind="stable")
+            of_part, ids = of_part[order], ids[order]
+        ends = (4 * np.cumsum(np.bincount(word_of_part[of_part], minlength=len(open_words)))).tolist()
+        raw = ids.astype("<u4").tobytes()
+        for i, start, end in zip(open_words, [0, *ends], ends):
+            out[i] = raw[start:end]
         return out
 
-    def encode_texts(self, units: list[str]) -> list[list[int]]:
+    def encode_texts(self, texts: list[str]) -> list[bytes]:
         """Ids of each text: the pattern's matches, encoded each by itself."""
-        matches = [[m.encode("utf-8") for m in self.pattern.findall(u)] for u in units]
+        matches = [[m.encode("utf-8") for m in self.pattern.findall(t)] for t in texts]
         distinct = list(dict.fromkeys(m for ms in matches for m in ms))
         ids = dict(zip(distinct, self.encode_words(distinct)))
-        return [[i for m in ms for i in ids[m]] for ms in matches]
+        return [ids[ms[0]] if len(ms) == 1 else b"".join([ids[m] for m in ms]) for ms in matches]
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The bytes of each run of ``counts`` ids."""
@@ -159,7 +161,7 @@ def _held(path: str, pattern: str) -> tuple[Bpe, Coder]:
     """One vocabulary and cache for each worker process."""
     if (path, pattern) not in _HELD:
         bpe = Bpe(path, pattern)
-        _HELD[path, pattern] = bpe, Coder(bpe.encode_texts, byte_level_units, byte_level_text)
+        _HELD[path, pattern] = bpe, Coder(bpe.encode_texts, byte_level_units, byte_level_text, units=CACHE_UNITS, stems=CACHE_STEMS)
     return _HELD[path, pattern]
 
 
@@ -183,6 +185,22 @@ def encode(text: Column, path: str, pattern: str) -> Column:
     return encoded(F.coalesce(text, F.lit("")))
 
 
+def _decoded(bpe: Bpe, rows: list) -> list[bytes]:
+    """The bytes of each run of ids, in blocks of bounded size."""
+    out: list[bytes] = []
+    held: list[np.ndarray] = []
+    size = 0
+    for raw in rows:
+        held.append(np.frombuffer(raw, "<u4"))
+        size += len(held[-1])
+        if size > DECODE_IDS:
+            out += bpe.decode(np.concatenate(held), np.array([len(x) for x in held]))
+            held, size = [], 0
+    if held:
+        out += bpe.decode(np.concatenate(held), np.array([len(x) for x in held]))
+    return out
+
+
 def decode(ids: Column, path: str, pattern: str) -> Column:
     """The bytes (binary) that ids, as ``encode`` gives them, stand for.  Null gives an empty binary."""
 
@@ -190,17 +208,25 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = _held(path, pattern)[0]
         for rows in batches:
-            out: list[bytes] = []
-            held: list[np.ndarray] = []
-            size = 0
-            for raw in rows:
-                held.append(np.frombuffer(raw, "<u4"))
-                size += len(held[-1])
-                if size > 250_000:
-                    out += bpe.decode(np.concatenate(held), np.array([len(x) for x in held]))
-                    held, size = [], 0
-            if held:
-                out += bpe.decode(np.concatenate(held), np.array([len(x) for x in held]))
-            yield pd.Series(out, dtype=object)
+            yield pd.Series(_decoded(bpe, list(rows)), dtype=object)
 
     return decoded(F.coalesce(ids, F.lit(b"")))
+
+
+def round_trip(text: Column, path: str, pattern: str) -> Column:
+    """Struct of ``ids`` (as ``encode``) and ``decoded`` (``decode`` of those ids), by one worker of each task.
+
+    Two columns of their own would hold two workers a task, each with a vocabulary.
+    """
+    schema = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
+
+    @F.pandas_udf(schema)
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        bpe, coder = _held(path, pattern)
+        for texts in batches:
+            ids: list[bytes] = []
+            for _, some in chunks(list(texts)):
+                ids += coder.encode_raw(some)
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(_decoded(bpe, ids), dtype=object)})
+
+    return both(F.coalesce(text, F.lit("")))

@@ -30,15 +30,15 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and what they decode to."""
     import public_tokenizers
 
-    from .bpe import decode, encode
+    from .bpe import round_trip
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    docs = _table(spark, sf_dir, "documents").select("doc_id", encode(F.col("text"), path, pattern).alias("ids"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", round_trip(F.col("text"), path, pattern).alias("x"))
     return docs.select(
         "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids"), path, pattern), 256).alias("decoded_sha256"),
+        (F.octet_length("x.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("x.ids", 256).alias("ids_sha256"),
+        F.sha2("x.decoded", 256).alias("decoded_sha256"),
     )
 
 
