@@ -109,22 +109,20 @@ def _encoding(token: Column) -> Column:
     )
 
 
-def _tests(token: Column, encoding: str) -> Column:
+def _tests(token: Column, encoding: Column) -> Column:
     """Fisher's combination of the three p-values, as -ln(p) of the combination."""
-    alphabet = _ALPHABETS[encoding]
-    k = float(len(alphabet))
-    plain = F.translate(token, "-_", "+/") if k == 64 else F.lower(token) if encoding in ("hex", "base36") else token
+    alphabet, plain = F.lit(None).cast("string"), token
+    for name, letters in _ALPHABETS.items():
+        alphabet = F.when(encoding == name, F.lit(letters)).otherwise(alphabet)
+    plain = F.when(encoding == "base64", F.translate(token, "-_", "+/")).when(encoding == "base32", token).otherwise(F.lower(token))
+    k = F.length(alphabet).cast("double")
     n = F.length(token).cast("double")
     # chi-squared of a uniform alphabet, to a normal deviate by the cube root
-    squares = F.aggregate(
-        F.array(*[F.lit(c) for c in alphabet]),
-        F.lit(0.0),
-        lambda acc, c: acc + F.pow(n - F.length(F.replace(plain, c, F.lit(""))), F.lit(2.0)),
-    )
+    squares = F.aggregate(F.split(alphabet, ""), F.lit(0.0), lambda acc, c: acc + F.pow(n - F.length(F.replace(plain, c, F.lit(""))), F.lit(2.0)))
     df = k - 1
     spread = F.greatest((k / n * squares - n) / df, F.lit(0.0))
-    p_alphabet = _upper_tail((F.pow(spread, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)))
-    codes = F.transform(F.sequence(F.lit(1), F.length(token)), lambda i: F.instr(F.lit(alphabet), F.substr(plain, i, F.lit(1))).cast("double"))
+    p_alphabet = _upper_tail((F.pow(spread, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df)))
+    codes = F.transform(F.split(plain, ""), lambda c: F.instr(alphabet, c).cast("double"))
     # runs about the middle of the alphabet, and lag-one products about the mean code
     middle = (k + 1) / 2
 
@@ -163,14 +161,11 @@ def candidates(text: Column) -> Column:
     runs = F.filter(runs, lambda x: x["e"].isNotNull())
 
     def judged(x):
-        surprise = F.lit(None).cast("double")
-        for e in _ALPHABETS:
-            surprise = F.when(x["e"] == e, _tests(x["m"], e)).otherwise(surprise)
         size = x["end"] - x["start"]
         band = F.lit(0)
         for i, least in enumerate(BANDS):
             band = F.when(size >= least, F.lit(i)).otherwise(band)
-        return F.struct(x["start"].alias("start"), x["end"].alias("end"), x["e"].alias("encoding"), band.alias("band"), surprise.alias("surprise"))
+        return F.struct(x["start"].alias("start"), x["end"].alias("end"), x["e"].alias("encoding"), band.alias("band"), _tests(x["m"], x["e"]).alias("surprise"))
 
     return F.when(text.rlike(f"{RUN[:-1]}{{{RUN_LEAST},}}"), F.transform(runs, judged)).otherwise(F.array().cast(kind))
 
