@@ -50,8 +50,10 @@ def with_page_verdict(rows: DataFrame) -> DataFrame:
     """Adds ``reject_reason``: one bad row rejects its whole page.
 
     MissingFields names every missing part of any row; DuplicateKey says that two rows of
-    the page have one natural key.  Rows of accepted pages have null.  One shuffle by page.
+    the page have one natural key.  Rows of accepted pages have null.  One shuffle by page,
+    which serves both windows.
     """
+    rows = rows.repartition(F.col("page_id"))
     page = Window.partitionBy("page_id")
     same = F.count(F.lit(1)).over(Window.partitionBy("page_id", "natural_key"))
     marked = rows.withColumn("__same", same)

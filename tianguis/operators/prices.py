@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,15 +21,14 @@ def season_position(rows: DataFrame, by: list[str], min_years: int, price: str =
     """Each row's price among earlier years' mean prices of the same week: share below, and years compared.
 
     The share is null where fewer than ``min_years`` earlier years are known.  Weekly means
-    are made first, so the self-join meets one row a series, week and year.
+    come first, so a series' week has one row a year, and a window over those years does.
     """
     week, year = F.weekofyear(day), F.year(day)
     means = rows.where(F.col(price).isNotNull()).groupBy(*by, week.alias("week"), year.alias("year")).agg(F.avg(price).alias("price"))
-    past = means.select(*[F.col(c).alias(f"__{c}") for c in by], F.col("week").alias("__week"), F.col("year").alias("__year"), F.col("price").alias("__price"))
-    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
-    joined = means.join(past, [*same, F.col("week") == F.col("__week"), F.col("__year") < F.col("year")], "left")
-    out = joined.groupBy(*by, "week", "year", "price").agg(F.count("__year").alias("years"), F.count_if(F.col("__price") < F.col("price")).alias("below"))
-    return out.withColumn("share_below", F.when(F.col("years") >= min_years, F.col("below") / F.col("years"))).drop("below")
+    before = Window.partitionBy(*by, "week").orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
+    out = means.withColumn("__past", F.collect_list("price").over(before)).withColumn("years", F.size("__past").cast("long"))
+    below = F.size(F.filter("__past", lambda p: p < F.col("price")))
+    return out.withColumn("share_below", F.when(F.col("years") >= min_years, below / F.col("years"))).drop("__past")
 
 
 def final_table(rows: DataFrame, by: list[str]) -> DataFrame:
