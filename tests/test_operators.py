@@ -221,3 +221,57 @@ def test_text(spark):
     df = spark.createDataFrame([("  a \n b ", "x &amp; &oacute;"), ("  ", None)], "a string, b string")
     got = df.select(text.squeezed(F.col("a")).alias("a"), text.unescape(F.col("b")).alias("b")).collect()
     assert [tuple(r) for r in got] == [("a b", "x & ó"), (None, None)]
+
+
+def test_next_windows(spark):
+    rows = [("a", True, D(2026, 7, 1), D(2026, 7, 3)), ("b", True, D(2026, 7, 1), D(2026, 7, 1)), ("c", False, D(2026, 7, 1), D(2026, 7, 9))]
+    df = spark.createDataFrame([(*r, None) for r in rows], "page_id string, truncated boolean, window_start date, window_end date, reject_reason string")
+    again, dead = requests.next_windows(df)
+    assert sorted((r.window_start.day, r.window_end.day) for r in again.collect()) == [(1, 2), (3, 3)]
+    assert [(r.page_id, r.reject_reason) for r in dead.collect()] == [("b", "WindowExhausted")]
+    line = df.where("page_id = 'a'").select(requests.failure_line(F.lit("210"), F.lit("2"), F.col("window_start"), F.col("window_end"), F.lit("E"), F.lit("m"))).first()[0]
+    assert line == "destino=210 precio=2 ventana=2026-07-01..2026-07-03: E: m"
+
+
+def test_archive_manifest_and_failures(spark, tmp_path):
+    (tmp_path / "p.html").write_bytes(b"ok \xff P\xc3\xa1gina")
+    (tmp_path / "m.json").write_text('{"p": {"file": "p.html", "url": "http://x?DestinoId=210", "purpose": "t", "bytes": 3}}')
+    (tmp_path / "f.txt").write_text("one\n\ntwo\n")
+    assert [tuple(r) for r in readers.page_archive(spark, f"file://{tmp_path}").collect()] == [("p", "ok \ufffd Página")]
+    row = readers.manifest(spark, f"file://{tmp_path}/m.json").select("name", "file", requests.context_of_url(F.col("url"))["destination_id"].alias("d")).first()
+    assert tuple(row) == ("p", "p.html", "210")
+    assert readers.failures(spark, f"file://{tmp_path}/f.txt").count() == 2
+    assert readers.failures(spark, f"file://{tmp_path}/none.txt").count() == 0 and readers.counts(spark, f"file://{tmp_path}/none.csv").count() == 0
+
+
+def test_csv_and_tables(spark, tmp_path):
+    rows = spark.createDataFrame([("10", 'La "Baja", MX', [1999, 2000]), ("9", "x", [])], "destination_id string, label string, gap_years array<int>")
+    sinks.write_catalog(rows, f"file://{tmp_path}/c", "destination_id")
+    back = readers.catalog(spark, f"file://{tmp_path}/c", "destination_id string, label string, gap_years string").collect()
+    assert [tuple(r) for r in back] == [("9", "x", None), ("10", 'La "Baja", MX', "1999 2000")]
+    sinks.create_table(spark, "raw_prices", f"file://{tmp_path}/t")
+    upsert.upsert(raw(spark, ("2026-07-01", "a", 1)), f"file://{tmp_path}/t")
+    spark.sql("msck repair table raw_prices")
+    assert spark.table("raw_prices").count() == 1 and set(spark.table("raw_prices").columns) == {f.name for f in RAW_SCHEMA}
+    assert readers.window(spark, f"file://{tmp_path}/t", "2026-07-01", "2026-07-02").count() == 1
+    spark.sql("drop table raw_prices")
+    sinks.append(rows, f"file://{tmp_path}/a"), sinks.append(rows, f"file://{tmp_path}/a")
+    assert spark.read.parquet(f"file://{tmp_path}/a").count() == 4
+    sinks.write_failures(rows.limit(0), f"file://{tmp_path}/b")
+    assert spark.read.parquet(f"file://{tmp_path}/b").count() == 0
+    report = sinks.load_report(raw(spark, ("2026-07-01", "a", 1), ("2026-07-02", "b", 1)), spark.createDataFrame([(3,)], "n_files long")).first()
+    assert (report.files, report.staged_rows, len(report.dates)) == (3, 2, 2)
+
+
+def test_stream_keeps_the_newest_and_is_idempotent(spark, tmp_path):
+    from tianguis.streaming import upserts
+
+    source, target = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
+    stage = raw(spark, ("2026-07-01", "a", 1), ("2026-07-01", "a", 2), ("2026-07-02", "b", 1)).withColumn("extraido_en", F.timestamp_seconds(F.col("precio_frecuente").cast("long")))
+    stage.write.parquet(source)
+    for run in ("one", "two"):  # the same files again, as after a lost checkpoint
+        upserts.stream_upsert(upserts.files(spark, source, RAW_SCHEMA), target, f"file://{tmp_path}/{run}").awaitTermination()
+        assert {r.llave_fila: int(r.precio_frecuente) for r in spark.read.parquet(target).collect()} == {"a": 2, "b": 1}
+    totals = upserts.day_totals(upserts.files(spark, source, RAW_SCHEMA), "extraido_en").writeStream.format("memory").queryName("totals").outputMode("complete").trigger(availableNow=True).start()
+    totals.awaitTermination()
+    assert spark.table("totals").agg(F.sum("n_rows")).first()[0] == 3
