@@ -222,7 +222,7 @@ def test_coder_equals_the_library(name):
 
     tok = Tokenizer.from_file(public_tokenizers.path(name))
     tok.encode_special_tokens = True
-    texts = odd_texts(7)
+    texts = odd_texts(7) + [f"Été{chr(i)},b {chr(i)}. x{chr(i)} ,{chr(i)} 3.1{chr(i)}" for i in range(1, 256)]
     got = tokens.library_coder(public_tokenizers.path(name)).encode_raw(texts)
     for t, raw, e in zip(texts, got, tok.encode_batch(texts, add_special_tokens=False)):
         assert np.frombuffer(raw, "<u4").tolist() == e.ids, repr(t)

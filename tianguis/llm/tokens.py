@@ -49,9 +49,30 @@ def byte_level_text(unit: str) -> str:
     return unit if unit[:1] == "\n" else unit[1:] if unit[:1] == " " else " " + unit
 
 
+def _latin_classes() -> bytes:
+    """For each Latin-1 character: a letter or digit, s white space, o odd white space, p comma or full stop, q other."""
+    kind = lambda c: "o" if c.isspace() and c not in " \t\n\r\x0b\x0c" else "s" if c.isspace() else "a" if c.isalnum() else "p" if c in ",." else "q"
+    return "".join(kind(chr(i)) for i in range(256)).encode()
+
+
+_LATIN = _latin_classes()
+
+
 def bare_units(text: str) -> list[str] | None:
-    """Units for vocabularies that drop white space."""
-    return None if _ODD_SPACE.search(text) else text.split()
+    """Units for vocabularies that drop white space and case.
+
+    In Latin-1 texts a comma or full stop with no punctuation beside it is a unit of its own,
+    and units are in lower case, which makes fewer different ones.
+    """
+    try:
+        kinds = text.encode("latin-1").translate(_LATIN)
+    except UnicodeEncodeError:
+        return None if _ODD_SPACE.search(text) else text.split()
+    if b"o" in kinds:
+        return None
+    if b"pp" in kinds or b"pq" in kinds or b"qp" in kinds:
+        return text.split()
+    return text.lower().replace(",", " , ").replace(".", " . ").split()
 
 
 def folded(stem: str) -> str:
