@@ -125,6 +125,23 @@ def test_near_duplicates_equal_brute_force(spark):
     assert {r.doc_id for r in got.collect()} == keep
 
 
+def test_near_duplicates_behind_false_candidates(spark, monkeypatch):
+    """A shared template makes every pair a candidate (Jaccard 0.77); planted pairs have 0.84."""
+    rng = random.Random(5)
+    template, rows, keep = prose(rng, 304), [], set()
+    for i in range(160):
+        tail = prose(rng, 44).split()
+        keep.add(len(rows))
+        rows.append((len(rows), f"{template} {' '.join(tail)}"))
+        if i % 4 == 0:
+            rows.append((len(rows), f"{template} {' '.join(tail[:15])} {prose(rng, 29)}"))
+        if i == 80:  # a large group of near copies
+            rows += [(len(rows) + k, f"{template} {' '.join(tail[:-1])} copy{k}") for k in range(90)]
+    assert {r.doc_id for r in simhash.drop_near_duplicates(docs(spark, *rows)).collect()} == keep
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 40)  # many blocks give the same rows
+    assert {r.doc_id for r in simhash.drop_near_duplicates(docs(spark, *rows)).collect()} == keep
+
+
 def test_near_duplicates_at_the_edges(spark):
     got = simhash.drop_near_duplicates(docs(spark, *EDGES)).collect()
     assert sorted((r.doc_id is None, r.doc_id, (r.text or "")[:4]) for r in got) == [(False, 1, ""), (False, 4, "one"), (False, 6, "xxxx"), (False, 7, "é漢字 "), (True, None, "two ")]

@@ -339,30 +339,104 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 STAGE_LANES, STAGE_RADIUS, STAGE_BITS = 4, 17, 60
 
 
-def _jaccard_of_links(links: DataFrame, keyed: DataFrame, text_col: str, width: int) -> DataFrame:
-    """Links with the exact Jaccard of their shingle sets; only linked texts are read again."""
-    schema = T.ArrayType(T.LongType(), False)
+#: Rows and bytes of shingle sets that a block of a group still to be settled should hold; a task holds two.
+BLOCK_ROWS, BLOCK_BYTES = 4096, 32 << 20
 
-    @F.pandas_udf(schema)
+
+def _shingle_sets(links: DataFrame, keyed: DataFrame, text_col: str, width: int) -> DataFrame:
+    """Rows (id, s: the distinct shingles, sorted) of the links' ends; only these texts are read again."""
+
+    @F.pandas_udf(T.ArrayType(T.LongType(), False))
     def shingle_set(texts: pd.Series) -> pd.Series:
         return pd.Series([np.unique(shingle_hashes(t, width)).view(np.int64) for t in texts])
 
     ends = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = cut(keyed.join(ends, "id", "left_semi").select("id", shingle_set(text_or_empty(text_col)).alias("s")))
+    return cut(keyed.join(ends, "id", "left_semi").select("id", shingle_set(text_or_empty(text_col)).alias("s")))
+
+
+def _jaccard_of_links(links: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links with the exact Jaccard of their shingle sets."""
     both = links.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
     inter = F.size(F.array_intersect("sa", "sb")).cast("double")
     union = F.size("sa") + F.size("sb") - inter
     return both.select("a", "b", F.when(union > 0, inter / union).otherwise(1.0).alias("jaccard"))
 
 
+def _block_links(similarity: float):
+    """applyInPandas function: links that join the roots of two blocks, each verified on the shingle sets."""
+
+    def links(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, size = pdf["id"].to_numpy(), pdf["size"].to_numpy().astype(np.int64)
+        root = np.unique(pdf["root"].to_numpy(), return_inverse=True)[1]
+        lanes = np.stack(pdf["lanes"].to_numpy()).astype(np.int64).view(np.uint64)
+        sets = list(pdf["s"])
+        ends = np.cumsum([0] + [len(x) for x in sets])
+        shingles, at = np.unique(np.concatenate(sets), return_inverse=True)
+        marked = np.zeros(len(shingles), bool)
+        left, right = np.nonzero(pdf["role"].to_numpy() == 0)[0], np.nonzero(pdf["role"].to_numpy() == 1)[0]
+        two, found = bool(len(right)), []
+        for i, a in enumerate(left):
+            others = right if two else left[i + 1 :]
+            others = others[(root[others] != root[a]) & (np.bitwise_count(lanes[others, 0] ^ lanes[a, 0]) <= STAGE_RADIUS)]
+            others = others[np.minimum(size[others], size[a]) >= similarity * np.maximum(size[others], size[a])]
+            others = others[np.bitwise_count(lanes[others] ^ lanes[a]).sum(axis=1) <= STAGE_BITS]
+            if not len(others):
+                continue
+            mine = at[ends[a] : ends[a + 1]]
+            marked[mine] = True
+            shared = np.array([np.count_nonzero(marked[at[ends[b] : ends[b + 1]]]) for b in others])
+            marked[mine] = False
+            union = size[a] + size[others] - shared
+            for b in others[shared >= similarity * union]:
+                if root[a] != root[b]:
+                    found.append((ids[a], ids[b]))
+                    root[root == root[b]] = root[a]
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+    return links
+
+
+def _links_across(near: DataFrame, found: DataFrame, classes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Verified links ``(a, b)`` that the forest of candidates ``near`` hides behind its false links.
+
+    Rows that verified links join (``found``: their components) have one root.  Where a false link lies between
+    two roots, a path of false links may stand for a true one, so every candidate between
+    roots that false links connect is verified: their rows are dealt out in blocks, each
+    pair of blocks is a task.  Rows of one root need no comparison, so blocks of a large
+    root meet the other roots' blocks alone.
+    """
+    rooted = cut(sets.join(found, F.col("id") == F.col("node"), "left").select("id", F.coalesce("component", "id").alias("root"), F.size("s").alias("size")))
+    root_a, root_b = (rooted.select(F.col("id").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
+    open_links = cut(near.join(root_a, "a").join(root_b, "b").where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
+    groups = connected_components(open_links)
+    groups = cut(groups.unionByName(groups.select(F.col("component").alias("node"), "component").distinct()))
+    blocks_of = F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("bytes") / BLOCK_BYTES))
+    roots = rooted.join(groups, F.col("root") == F.col("node")).groupBy("component", "root").agg(F.count("*").alias("n"), F.sum(8 * F.col("size").cast("long")).alias("bytes")).withColumn("own", blocks_of)
+    small = roots.where("own <= 1").groupBy("component").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).select("component", blocks_of.alias("shared"))
+    # two rows have the one link between them that was false
+    alone = roots.groupBy("component").agg(F.sum("n").alias("n")).where("n <= 2").select("component")
+    roots = cut(roots.join(small, "component", "left").join(alone, "component", "left_anti").select("component", "root", "own", "shared"))
+    large = F.col("own") > 1
+    block = F.when(large, F.concat_ws(":", "root", F.pmod(F.xxhash64("id"), "own"))).otherwise(F.pmod(F.xxhash64("root"), "shared").cast("string"))
+    rows = cut(rooted.select("id", "root").join(roots, "root").select("id", "root", "component", block.alias("block"), F.when(large, F.col("root")).alias("only")))
+    blocks = rows.select("component", "block", "only").distinct()
+    x, y = blocks.toDF("component", "x", "only_x"), blocks.toDF("component", "y", "only_y")
+    pairs = cut(x.join(y, "component").where("x <= y and (only_x is null or only_y is null or only_x <> only_y)").select("component", "x", "y"))
+    sides = pairs.select("component", "x", "y", F.col("x").alias("block"), F.lit(0).alias("role")).unionByName(pairs.where("x < y").select("component", "x", "y", F.col("y").alias("block"), F.lit(1).alias("role")))
+    full = rows.join(classes.select("id", "lanes"), "id").join(sets.select("id", "s", F.size("s").alias("size")), "id")
+    dealt = full.join(sides, ["component", "block"]).select("id", "root", "lanes", "size", "s", "component", "x", "y", "role")
+    return cut(dealt.groupBy("component", "x", "y").applyInPandas(_block_links(similarity), "a long, b long"))
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates, same columns.
 
     Documents link if the Jaccard similarity of their ``width``-word shingle sets is
     ``similarity`` or more.  Candidates come from 64-bit fingerprints by the tree, are
-    checked against longer fingerprints in the same task, and the links that join groups
-    are verified on the whole texts.  The document with the least (id, row) of a group
-    stays; null ids come last.
+    checked against longer fingerprints in the same task, and are verified on the whole
+    texts: first a spanning forest of them, then, where a link of it is false, every
+    candidate between the groups around it.  The document with the least (id, row) of a
+    group stays; null ids come last.
 
     Equal word sequences (empty and null texts among them) are one class.  Repeated ids
     are rows of their own.  Empty tables give empty results; extra columns stay as they are.
@@ -379,8 +453,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         .select(F.col("first.r").alias("id"), "first", F.col(f"x.{lanes}").alias("lanes"), F.col(f"x.{size}").alias("size"))
     )
     near = cut(links_between(classes.select("id", "lanes", "size"), STAGE_RADIUS, STAGE_BITS, similarity))
-    sure = _jaccard_of_links(near, marked.select(F.col(rid).alias("id"), text_col), text_col, width).where(F.col("jaccard") >= similarity)
-    found = connected_components(sure)
+    sets = _shingle_sets(near, marked.select(F.col(rid).alias("id"), text_col), text_col, width)
+    found = connected_components(_jaccard_of_links(near, sets).where(F.col("jaccard") >= similarity))
+    found = connected_components(found.toDF("a", "b").unionByName(_links_across(near, found, classes, sets, similarity)))
     rooted = classes.join(found, F.col("id") == F.col("node"), "left").select(F.coalesce("component", "id").alias("root"), "first")
     keep = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.r").alias(rid))
     return marked.join(keep, rid, "left_semi").select(*docs.columns)
