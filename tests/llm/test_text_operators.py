@@ -142,6 +142,20 @@ def test_near_duplicates_behind_false_candidates(spark, monkeypatch):
     assert {r.doc_id for r in simhash.drop_near_duplicates(docs(spark, *rows)).collect()} == keep
 
 
+def test_near_duplicates_with_repeated_lines(spark):
+    rng = random.Random(6)
+    rows, keep = [], set()
+    for times in (5, 20, 40):
+        body = prose(rng, 600)
+        keep.add(len(rows))
+        for _ in range(2):
+            rows.append((len(rows), "\n".join([body] + [prose(rng, 10)] * times)))
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for _, t in rows]
+    linked = {(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert linked == {(k + 1, k) for k in keep}
+    assert {r.doc_id for r in simhash.drop_near_duplicates(docs(spark, *rows)).collect()} == keep
+
+
 def test_near_duplicates_at_the_edges(spark):
     got = simhash.drop_near_duplicates(docs(spark, *EDGES)).collect()
     assert sorted((r.doc_id is None, r.doc_id, (r.text or "")[:4]) for r in got) == [(False, 1, ""), (False, 4, "one"), (False, 6, "xxxx"), (False, 7, "é漢字 "), (True, None, "two ")]

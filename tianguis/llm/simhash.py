@@ -95,9 +95,11 @@ def fingerprint_udf(width: int, lanes: int):
             lane_rows, sizes, keys = [], [], []
             for text in texts:
                 h = shingle_hashes(text, width)
+                if lanes > 1:  # the check of similarity is on sets: repeats don't count
+                    h = np.unique(h)
                 lane_rows.append([majority_bits(_mixed(h, k)) for k in range(lanes)])
-                if lanes > 1:  # sizes and keys serve the check of similarity only
-                    sizes.append(len(np.unique(h)))
+                if lanes > 1:  # sizes and keys serve that check only
+                    sizes.append(len(h))
                     keys.append(xxh3_128_hexdigest(b" ".join(_words(text))))
                 else:
                     sizes.append(0)
