@@ -202,6 +202,14 @@ def test_redaction(spark):
     assert secrets.redact(docs(spark)).count() == 0
 
 
+def test_upper_case_base_36_keys_are_found_and_redacted(spark):
+    rng = random.Random(8)
+    keys = ["".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n)) + "Z9" for n in (30, 46, 90, 190) * 5]
+    rows = [(i, f"{prose(rng, 20)} {k} {prose(rng, 20)}") for i, k in enumerate(keys)]
+    got = {r.doc_id: r.text for r in secrets.redact(docs(spark, *rows)).collect()}
+    assert sum(t == rows[i][1].replace(keys[i], "[SECRET]") for i, t in got.items()) >= 18
+
+
 # --- quality --------------------------------------------------------------------------
 
 

@@ -104,7 +104,7 @@ def _encoding(token: Column) -> Column:
     return (
         F.when(token.rlike("^([0-9a-f]+|[0-9A-F]+)$") & digit & (lower | upper), F.lit("hex"))
         .when(token.rlike("^[A-Z2-7]+$") & digit & upper, F.lit("base32"))
-        .when(token.rlike("^[a-z0-9]+$") & digit & lower, F.lit("base36"))
+        .when(token.rlike("^([a-z0-9]+|[A-Z0-9]+)$") & digit & (lower | upper), F.lit("base36"))
         .when(digit & lower & upper, F.lit("base64"))
     )
 
