@@ -8,31 +8,41 @@ no pair is left.  Decoding joins ids to their bytes and aggregates them in order
 
 Only distinct words are encoded, see ``tokens``.  Before that, words are cut between bytes
 that are neighbours in no token: no merge can cross such a place.
+
+Parts that are still long are encoded in pieces, and the seams between pieces are proved.
+Tokens t1..tn are the encoding of their joined bytes if each two neighbours are the encoding
+of theirs: until a first merge crosses a place between ti and ti+1, both sides contract as
+they do by themselves, in the same order (a region's next merge is its own leftmost pair of
+least rank, whatever happens elsewhere); so that merge would be made in the encoding of the
+two alone, which has none there.  Where a seam's neighbours fail this, the tokens around it
+are encoded anew together, ever more of them, until all neighbours pass.
 """
 
 from __future__ import annotations
 
 import base64
 import tempfile
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tokens import Coder, byte_level_text, byte_level_units, chunks
+from .tokens import Coder, Ids, binary_array, flat_ids, gather, spaced_cuts
 
 #: Ids that one query decodes, about.
 DECODE_IDS = 250_000
-#: Bytes of words in one recursive query; longer single words go by the keyed query.
-QUERY_BYTES, LONG_WORD = 200_000, 512
+#: Sum of squared lengths of the words in one recursive query: a bound of the rows that its rounds make.
+QUERY_ROWS = 3_000_000
+#: Bytes of a part that is encoded whole, and of the pieces of a longer one.
+LONG_WORD, PIECE = 256, 48
+#: Windows around a seam that have grown to so many bytes go by the keyed query.
+KEYED_WORD = 2048
 _MEMORY = "150MB"
 #: Less is remembered than elsewhere: DuckDB needs room, too.
-CACHE_UNITS, CACHE_STEMS = 400_000, 250_000
+STORE_UNITS = 450_000
 
 # All rows of every round stay in the recursion's result; the last round of a word counts.
 _SHORT = """
@@ -48,7 +58,7 @@ with recursive s(round, w, p, t) as (
 select s.w, t from s join (select w, max(round) as round from s group by w) using (w, round) order by s.w, p
 """
 
-# Long words: one row for each position, changed in place.  In a round all pairs of the least
+# Long windows: one row for each position, changed in place.  In a round all pairs of the least
 # rank are contracted from the left, unless the new token could take part in a pair of a lower
 # or equal rank (solo): then the leftmost alone.
 _LONG = """
@@ -80,6 +90,7 @@ class Bpe:
         self.pattern = regex.compile(pattern)
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.tokens = {r: token for token, r in self.ranks.items()}
         self.of_byte = np.array([self.ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
         rows = [(x, y, r) for token, r in self.ranks.items() for i in range(1, len(token)) if (x := self.ranks.get(token[:i])) is not None and (y := self.ranks.get(token[i:])) is not None]
         a, b, r = (np.array(c, np.int32) for c in zip(*rows)) if rows else (np.empty(0, np.int32),) * 3
@@ -102,13 +113,67 @@ class Bpe:
         out = self.db.execute(query).fetchnumpy()
         return np.asarray(out["w"]), np.asarray(out["t"])
 
-    def encode_words(self, words: list[bytes]) -> list[bytes]:
-        """Ids (little-endian, 32 bits) of each word; a word that is a token is that token."""
-        found = [self.ranks.get(x) for x in words]
-        out = [b"" if k is None else array("I", (k,)).tobytes() for k in found]
-        open_words = [i for i, k in enumerate(found) if k is None and words[i]]
+    def _encode_parts(self, data: np.ndarray, starts: np.ndarray) -> Ids:
+        """Ids of each part of ``data``; each must be short or else a window around a seam."""
+        lengths = np.diff(np.append(starts, len(data)))
+        part = np.repeat(np.arange(len(starts)), lengths)
+        place = np.arange(len(data)) - starts[part]
+        keyed = lengths > KEYED_WORD
+        # short ones go together; each long one goes by itself
+        group = np.where(keyed, -1, np.cumsum(np.where(keyed, 0, lengths**2)) // QUERY_ROWS)
+        jobs = [(group[part] == g, _SHORT) for g in np.unique(group[group >= 0])] + [(part == i, _LONG) for i in np.nonzero(keyed)[0]]
+        made = [self._contract(part[take], place[take], data[take], query) for take, query in jobs]
+        of_part, ids = (np.concatenate(c) for c in zip(*made))
+        if keyed.any():
+            order = np.argsort(of_part, kind="stable")
+            of_part, ids = of_part[order], ids[order]
+        return ids.astype(np.uint32), np.bincount(of_part, minlength=len(starts))
+
+    def _encode_list(self, words: list[bytes]) -> list[list[int]]:
+        if not words:
+            return []
+        sizes = np.array([len(w) for w in words], np.int64)
+        ids, counts = self._encode_parts(np.frombuffer(b"".join(words), np.uint8), np.cumsum(sizes) - sizes)
+        return [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+
+    def _encode_long(self, word: bytes) -> list[int]:
+        """Ids of a long part: pieces, then windows around the seams that fail."""
+        runs = self._encode_list([word[i : i + PIECE] for i in range(0, len(word), PIECE)])
+        reach, proved = 4, {}
+        while True:
+            seams = [(a[-1], b[0]) for a, b in zip(runs, runs[1:])]
+            new = list({p for p in seams if p not in proved})
+            made = self._encode_list([self.tokens[a] + self.tokens[b] for a, b in new])
+            proved.update((p, list(p) == ids) for p, ids in zip(new, made))
+            bad = [i for i, p in enumerate(seams) if not proved[p]]
+            if not bad:
+                return [k for run in runs for k in run]
+            # windows of ``reach`` tokens on both sides; those that touch become one
+            ends = np.cumsum([len(run) for run in runs])
+            flat = [k for run in runs for k in run]
+            windows: list[list[int]] = []
+            for i in bad:
+                low, high = max(0, int(ends[i]) - reach), min(len(flat), int(ends[i]) + reach)
+                if windows and low <= windows[-1][1]:
+                    windows[-1][1] = high
+                else:
+                    windows.append([low, high])
+            again = self._encode_list([b"".join(self.tokens[k] for k in flat[low:high]) for low, high in windows])
+            # what lies between windows keeps its own seams: they were proved or are windows' edges now
+            out, at = [], 0
+            for (low, high), ids in zip(windows, again):
+                out += [flat[at:low], ids]
+                at = high
+            runs, reach = [run for run in [*out, flat[at:]] if run], reach * 2
+
+    def encode_words(self, words: list[bytes]) -> Ids:
+        """Ids of each word; a word that is a token is that token."""
+        known = np.array([self.ranks.get(x, -1) for x in words], np.int64)
+        open_words = [i for i in np.nonzero(known < 0)[0].tolist() if words[i]]
+        counts = (known >= 0).astype(np.int64)
+        ids = known[known >= 0].astype(np.uint32)
         if not open_words:
-            return out
+            return ids, counts
         data = np.frombuffer(b"".join(words[i] for i in open_words), np.uint8)
         sizes = np.array([len(words[i]) for i in open_words], np.int64)
         first = np.zeros(len(data), bool)
@@ -118,30 +183,39 @@ class Bpe:
         cut[1:] |= ~self.joins[data[:-1].astype(np.int64) * 256 + data[1:]]
         starts = np.nonzero(cut)[0]
         lengths = np.diff(np.append(starts, len(data)))
-        part = np.repeat(np.arange(len(starts)), lengths)
-        place = np.arange(len(data)) - starts[part]
         word_of_part = np.cumsum(first)[starts] - 1
         long = lengths > LONG_WORD
-        # parts go together until they have QUERY_BYTES; each long one goes by itself
-        group = np.where(long, -1, np.cumsum(np.where(long, 0, lengths)) // QUERY_BYTES)
-        jobs = [(group[part] == g, _SHORT) for g in np.unique(group[group >= 0])] + [(part == i, _LONG) for i in np.nonzero(long)[0]]
-        made = [self._contract(part[take], place[take], data[take], query) for take, query in jobs]
-        of_part, ids = (np.concatenate(c) for c in zip(*made))
+        parts = np.zeros(len(starts), np.int64)
+        small = np.repeat(~long, lengths)
+        runs = []
+        if (~long).any():
+            made, parts[~long] = self._encode_parts(data[small], np.cumsum(lengths[~long]) - lengths[~long])
+            runs.append(made)
         if long.any():
-            order = np.argsort(of_part, kind="stable")
-            of_part, ids = of_part[order], ids[order]
-        ends = (4 * np.cumsum(np.bincount(word_of_part[of_part], minlength=len(open_words)))).tolist()
-        raw = ids.astype("<u4").tobytes()
-        for i, start, end in zip(open_words, [0, *ends], ends):
-            out[i] = raw[start:end]
-        return out
-
-    def encode_texts(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text: the pattern's matches, encoded each by itself."""
-        matches = [[m.encode("utf-8") for m in self.pattern.findall(t)] for t in texts]
-        distinct = list(dict.fromkeys(m for ms in matches for m in ms))
-        ids = dict(zip(distinct, self.encode_words(distinct)))
-        return [ids[ms[0]] if len(ms) == 1 else b"".join([ids[m] for m in ms]) for ms in matches]
+            made, parts[long] = flat_ids([self._encode_long(data[a : a + n].tobytes()) for a, n in zip(starts[long], lengths[long])])
+            runs.append(made)
+            order = np.concatenate([np.nonzero(~long)[0], np.nonzero(long)[0]])
+            at = np.empty(len(parts), np.int64)
+            at[order] = np.cumsum(parts[order]) - parts[order]
+            runs = [gather(np.concatenate(runs), at, parts)]
+        counts[open_words] = np.bincount(word_of_part, parts, len(open_words)).astype(np.int64)
+        out = np.empty(int(counts.sum()), np.uint32)
+        is_token = np.repeat(known >= 0, counts)
+        out[is_token], out[~is_token] = ids, runs[0]
+        return out, counts
+
+    def encode_units(self, units: list[str]) -> Ids:
+        """Ids of each text unit: the pattern's matches, encoded each by itself."""
+        matches = [self.pattern.findall(u) for u in units]
+        flat = [m for ms in matches for m in ms]
+        distinct = {m: i for i, m in enumerate(dict.fromkeys(flat))}
+        ids, counts = self.encode_words([m.encode("utf-8") for m in distinct])
+        at = np.array([distinct[m] for m in flat], np.int64)
+        first = np.cumsum(counts) - counts
+        counts = counts[at]
+        ids = gather(ids, first[at], counts)
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        return ids, np.diff(ends[np.cumsum([0, *map(len, matches)])])
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The bytes of each run of ``counts`` ids."""
@@ -158,59 +232,55 @@ _HELD: dict[tuple[str, str], tuple[Bpe, Coder]] = {}
 
 
 def _held(path: str, pattern: str) -> tuple[Bpe, Coder]:
-    """One vocabulary and cache for each worker process."""
+    """One vocabulary and store for each worker process."""
     if (path, pattern) not in _HELD:
         bpe = Bpe(path, pattern)
-        _HELD[path, pattern] = bpe, Coder(bpe.encode_texts, byte_level_units, byte_level_text, units=CACHE_UNITS, stems=CACHE_STEMS)
+        _HELD[path, pattern] = bpe, Coder(bpe.encode_units, spaced_cuts, STORE_UNITS)
     return _HELD[path, pattern]
 
 
 def encode(text: Column, path: str, pattern: str) -> Column:
     """Ids of whole texts as little-endian unsigned 32-bit integers (binary).
 
-    ``path`` is a file of base64 tokens and ranks, ``pattern`` splits texts into words; no
-    string is a special token.  Null and empty texts give an empty binary.  Equal texts give
-    equal ids.  Every single byte must be a token.
+    ``path`` is a file of base64 tokens and ranks, ``pattern`` splits texts into words and must
+    end a match at white space and between a letter and a mark; no string is a special
+    token.  Null and empty texts give an empty binary.  Equal texts give equal ids.  Every
+    single byte must be a token.
     """
 
-    @F.pandas_udf(T.BinaryType())
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.BinaryType())
+    def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = _held(path, pattern)[1]
         for texts in batches:
-            out: list[bytes] = []
-            for _, some in chunks(list(texts)):
-                out += coder.encode_raw(some)
-            yield pd.Series(out, dtype=object)
+            yield binary_array(*coder.encode(texts))
 
-    return encoded(F.coalesce(text, F.lit("")))
+    return encoded(text)
 
 
-def _decoded(bpe: Bpe, rows: list) -> list[bytes]:
+def _decoded(bpe: Bpe, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
     """The bytes of each run of ids, in blocks of bounded size."""
     out: list[bytes] = []
-    held: list[np.ndarray] = []
-    size = 0
-    for raw in rows:
-        held.append(np.frombuffer(raw, "<u4"))
-        size += len(held[-1])
-        if size > DECODE_IDS:
-            out += bpe.decode(np.concatenate(held), np.array([len(x) for x in held]))
-            held, size = [], 0
-    if held:
-        out += bpe.decode(np.concatenate(held), np.array([len(x) for x in held]))
+    ends = np.cumsum(counts)
+    i = 0
+    while i < len(counts):
+        start = ends[i] - counts[i]
+        k = max(i + 1, int(np.searchsorted(ends, start + DECODE_IDS, side="right")))
+        out += bpe.decode(ids[start : ends[k - 1]], counts[i:k])
+        i = k
     return out
 
 
 def decode(ids: Column, path: str, pattern: str) -> Column:
     """The bytes (binary) that ids, as ``encode`` gives them, stand for.  Null gives an empty binary."""
 
-    @F.pandas_udf(T.BinaryType())
-    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.BinaryType())
+    def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = _held(path, pattern)[0]
         for rows in batches:
-            yield pd.Series(_decoded(bpe, list(rows)), dtype=object)
+            raw = [x or b"" for x in rows.to_pylist()]
+            yield pa.array(_decoded(bpe, np.frombuffer(b"".join(raw), "<u4"), np.array([len(x) // 4 for x in raw], np.int64)), pa.binary())
 
-    return decoded(F.coalesce(ids, F.lit(b"")))
+    return decoded(ids)
 
 
 def round_trip(text: Column, path: str, pattern: str) -> Column:
@@ -220,13 +290,11 @@ def round_trip(text: Column, path: str, pattern: str) -> Column:
     """
     schema = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
 
-    @F.pandas_udf(schema)
-    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(schema)
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe, coder = _held(path, pattern)
         for texts in batches:
-            ids: list[bytes] = []
-            for _, some in chunks(list(texts)):
-                ids += coder.encode_raw(some)
-            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(_decoded(bpe, ids), dtype=object)})
+            ids, counts = coder.encode(texts)
+            yield pa.StructArray.from_arrays([binary_array(ids, counts), pa.array(_decoded(bpe, ids, counts), pa.binary())], names=["ids", "decoded"])
 
-    return both(F.coalesce(text, F.lit("")))
+    return both(text)

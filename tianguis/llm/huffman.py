@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import scratch_path
-from .tokens import chunks, library_coder
+from .tokens import binary_array, library_coder, with_end
 
 LIMIT = 18
 CHECKPOINT = 512
@@ -124,6 +124,16 @@ def unpack_bits(data: np.ndarray, starts: np.ndarray, counts: np.ndarray, table:
     return out
 
 
+def _runs(column: pa.Array, form: str) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a column of binaries, and how many each row has."""
+    if not len(column):
+        return np.empty(0, form), np.empty(0, np.int64)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    flat = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(form) if data else np.empty(0, form)
+    return flat, np.diff(offsets) // np.dtype(form).itemsize
+
+
 def _width(tokenizer: str) -> str:
     """How ids are kept on the way: in 16 bits where the vocabulary allows it."""
     return "<u2" if library_coder(tokenizer).size <= 1 << 16 else "<u4"
@@ -143,14 +153,13 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
     """Writes the ids of all texts, each with ``end_id`` after it, in ascending order of the document id.
 
     Null and empty texts have the end id alone.  Null ids come first; rows with equal ids
-    keep no order among themselves.  An empty table gives an empty codebook and no blocks.
+    are ordered by their token ids' bytes.  An empty table gives an empty codebook and no blocks.
     """
     spark = docs.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = _bounds(docs, id_col, shards)
     kind = docs.schema[id_col].dataType
     form = _width(tokenizer)
-    per = np.dtype(form).itemsize
     with _shuffles_removed(spark):
         _sorted_ids(docs, tokenizer, id_col, text_col, end_id, bounds, shards, form).write.option("compression", "zstd").parquet(f"{path}/ids")
     ids = spark.read.parquet(f"{path}/ids")
@@ -158,9 +167,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, tokens = np.zeros(0, np.int64), {}
         for b in batches:
-            for shard, raw in zip(b.column(0).to_pylist(), b.column(1)):
-                tokens[shard] = tokens.get(shard, 0) + len(raw.as_buffer()) // per
-            flat = np.frombuffer(b"".join(b.column(1).to_pylist()), form)
+            flat, sizes = _runs(b.column(1), form)
+            shards, of = np.unique(b.column(0).to_numpy(), return_inverse=True)
+            for shard, n in zip(shards.tolist(), np.bincount(of, sizes).astype(np.int64).tolist()):
+                tokens[shard] = tokens.get(shard, 0) + n
             more = np.bincount(flat, minlength=len(seen))
             more[: len(seen)] += seen
             seen = more
@@ -191,28 +201,27 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
         names = to_arrow_schema(schema)
         code_of, length_of = codes.value
 
-        def block(held: list) -> pa.RecordBatch:
-            start, counts = bases[held[0][0]] + held[0][1], np.array([len(x[3]) // per for x in held])
-            ids = np.frombuffer(b"".join(x[3] for x in held), form)
+        def block(start: int, keys: list, counts: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
             sizes = length_of[ids]
             ends = np.cumsum(sizes)
             raw = pack_bits(code_of[ids], sizes, ends - sizes, int(ends[-1]))
+            marks_of = -(-counts // CHECKPOINT)
             first = np.cumsum(counts) - counts
-            marks = np.concatenate([np.arange(f, f + n, CHECKPOINT) for f, n in zip(first.tolist(), counts.tolist())])
-            row = (start, [x[2] for x in held], counts.tolist(), (ends - sizes)[marks].astype("<u8").tobytes(), raw)
+            marks = np.repeat(first - CHECKPOINT * (np.cumsum(marks_of) - marks_of), marks_of) + CHECKPOINT * np.arange(marks_of.sum())
+            row = (start, keys, counts.tolist(), (ends - sizes)[marks].astype("<u8").tobytes(), raw)
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, names)], schema=names)
 
-        held, tokens = [], 0
         for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns)):
-                # a block holds neighbours: documents of one shard, each where the one before ends
-                if held and (tokens >= BLOCK_TOKENS or row[0] != held[0][0] or row[1] != held[0][1] + tokens):
-                    yield block(held)
-                    held, tokens = [], 0
-                held.append(row)
-                tokens += len(row[3]) // per
-        if held:
-            yield block(held)
+            flat, counts = _runs(b.column(3), form)
+            ends, shard, before = np.cumsum(counts), b.column(0).to_numpy(), b.column(1).to_numpy()
+            # a block holds neighbours: documents of one shard, each where the one before ends
+            broken = np.nonzero((shard[1:] != shard[:-1]) | (before[1:] != before[:-1] + counts[:-1]))[0] + 1
+            i = 0
+            while i < len(counts):
+                full = np.searchsorted(ends, ends[i] - counts[i] + BLOCK_TOKENS) + 1
+                k = min([full, len(counts), *broken[np.searchsorted(broken, i, side="right") :][:1]])
+                yield block(bases[shard[i]] + int(before[i]), b.column(2)[i:k].to_pylist(), counts[i:k], flat[ends[i] - counts[i] : ends[k - 1]])
+                i = k
 
     ids.select("shard", "before", "id", "ids").mapInArrow(compress, schema).write.parquet(f"{path}/blocks")
 
@@ -241,30 +250,32 @@ def _sorted_ids(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        names, coder, end = to_arrow_schema(schema), library_coder(tokenizer), np.array([end_id], "<u4").tobytes()
+        names, coder = to_arrow_schema(schema), library_coder(tokenizer)
         for b in batches:
-            keys = b.column(0).to_pylist()
-            for at, some in chunks(b.column(1).to_pylist()):
-                mine = keys[at : at + len(some)]
-                raw = [np.frombuffer(x + end, "<u4").astype(form).tobytes() for x in coder.encode_raw(some)]
-                columns = [[0 if k is None else bisect_right(bounds, k) for k in mine], mine, raw]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, names)], schema=names)
+            ids, counts = with_end(*coder.encode(b.column(1)), end_id)
+            shard = [0 if k is None else bisect_right(bounds, k) for k in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), b.column(0), binary_array(ids.astype(form), counts)], schema=names)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        names, shard, before, per = to_arrow_schema(out_schema), None, 0, np.dtype(form).itemsize
+        names, last, held = to_arrow_schema(out_schema), None, 0
         for b in batches:
-            starts = []
-            for s, raw in zip(b.column(0).to_pylist(), b.column(2)):
-                if s != shard:
-                    shard, before = s, 0
-                starts.append(before)
-                before += len(raw.as_buffer()) // per
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(starts, pa.int64()), b.column(1), b.column(2)], schema=names)
+            if not len(b):
+                continue
+            counts, shard = _runs(b.column(2), form)[1], b.column(0).to_numpy()
+            ends = np.cumsum(counts)
+            first = np.concatenate([[True], shard[1:] != shard[:-1]])
+            # ids before the shard's first row in this batch, less those of the shard in the batches before
+            base = (ends - counts)[first]
+            if shard[0] == last:
+                base[0] -= held
+            before = ends - counts - base[np.cumsum(first) - 1]
+            last, held = shard[-1], before[-1] + counts[-1]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(before, pa.int64()), b.column(1), b.column(2)], schema=names)
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(encode, schema)
-    return rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "id").mapInArrow(place, out_schema)
+    return rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "id", "ids").mapInArrow(place, out_schema)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -299,9 +310,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 base += len(payload)
             ids = unpack_bits(np.concatenate(data), np.concatenate(seg_starts), np.concatenate(seg_counts), table)
             counts = np.concatenate(counts)
-            raw, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
-            each = [raw[a:b] for a, b in zip([0, *ends], ends)]
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip([keys, np.concatenate(starts), counts, each], names)], schema=names)
+            columns = [pa.array(keys, names.field(0).type), pa.array(np.concatenate(starts)), pa.array(counts), binary_array(ids.astype("<u4"), counts)]
+            return pa.RecordBatch.from_arrays(columns, schema=names)
 
         held, tokens = [], 0
         for b in batches:

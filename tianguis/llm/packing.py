@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tokens import chunks, library_coder
+from .tokens import binary_array, library_coder, with_end
 
 #: Context sizes, longest first.
 TIERS = (1024, 512, 256, 128)
@@ -175,21 +175,23 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         from pyspark import TaskContext
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        names, end = to_arrow_schema(schema), np.array([end_id], "<u4").tobytes()
+        names = to_arrow_schema(schema)
         part = TaskContext.get().partitionId() << 36
         coder, packer, groups, made, rows = library_coder(tokenizer), Packer(tiers), _Groups(), 0, []
 
         def batch() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), names)], schema=names)
+            doc, start, ids, *rest = zip(*rows)
             rows.clear()
-            return out
+            length = np.fromiter(map(len, ids), np.int64, len(ids))
+            columns = [pa.array(doc, names.field(0).type), pa.array(start), pa.array(length), binary_array(np.concatenate(ids).astype("<u4"), length), *map(pa.array, rest)]
+            return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, names)], schema=names)
 
         def emit(windows) -> None:
             nonlocal made
             for tier, group, pieces in windows:
                 offset = 0
                 for (doc, tokens), start, ids in pieces:
-                    rows.append((doc, start, len(ids), ids.tobytes(), tokens, part + made, offset, tier, part + group))
+                    rows.append((doc, start, ids, tokens, part + made, offset, tier, part + group))
                     offset += len(ids)
                 made += 1
 
@@ -199,14 +201,13 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
             packer.ready.clear()
 
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for at, some in chunks(texts):
-                for j, raw in enumerate(coder.encode_raw(some)):
-                    flat = np.frombuffer(raw + end, "<u4")
-                    packer.add((ids[at + j], len(flat)), flat)
-                drain()
-                if rows:
-                    yield batch()
+            flat, counts = with_end(*coder.encode(b.column(1)), end_id)
+            ends = np.cumsum(counts).tolist()
+            for doc, n, at in zip(b.column(0).to_pylist(), counts.tolist(), ends):
+                packer.add((doc, n), flat[at - n : at])
+            drain()
+            if rows:
+                yield batch()
         packer.finish()
         drain()
         for tier in list(groups.held):

@@ -1,207 +1,217 @@
-"""Token ids of whole texts by a published tokenizer file, with a bounded cache of text units.
-
-A unit is a run of non-white-space with the one white-space character before it.  The
-tokenizers used here never join text across units, so a unit's ids do not depend on its
-neighbours: each distinct unit is encoded by the library once for each worker process (as
-long as the cache remembers it) and a text's ids are joined from the cached bytes.  A comma or full
-stop after a letter or digit is a token run of its own, so such units share their stem's ids.
-Texts with white space of any other shape go to the library as they are.
+"""Token ids of whole texts by a published tokenizer file, with a bounded store of text units.
+
+A batch's texts are cut into units at places that no match of the tokenizers' patterns
+crosses, whatever stands around them.  So a unit's ids do not depend on its neighbours: each
+distinct unit is encoded once for each worker process (as long as the store remembers it),
+and a text's ids are gathered from the store.  Cutting, finding the distinct units and
+gathering run over whole batches in Arrow and numpy.
 """
 
 from __future__ import annotations
 
-import json
 import os
-import re
-import sys
-from array import array
-from collections import deque
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Units and stems that a worker process remembers: those in use stay, the rest goes when it is full.
-CACHE_UNITS, CACHE_STEMS = 1_000_000, 700_000
-#: Texts are encoded together up to so many characters.
-CHUNK_CHARS = 1 << 21
-
-_TWO_SPACES = re.compile(r"\s\s")
-_ODD_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Units that a worker process remembers before it begins anew.
+STORE_UNITS = 600_000
+#: Units that the library encodes as one text.
+JOINED = 256
 
+Ids = tuple[np.ndarray, np.ndarray]  # all ids, and how many each item has
 
-def byte_level_units(text: str) -> list[str] | None:
-    """Units for byte-level vocabularies, where a unit starts with its space or line break.
 
-    The space is left out, but for the first unit, which has none before it: it gets one.
-    """
-    if _TWO_SPACES.search(text):
-        return None
-    units = text.replace("\n", " \n").split(" ")
-    if units[0]:
-        units[0] = " " + units[0]
-    else:
-        del units[0]
-    return units
+def _byte_class(chars: str) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(chars.encode("latin-1"))] = True
+    return out
 
 
-def byte_level_text(unit: str) -> str:
-    """What the library is to encode for a unit of ``byte_level_units``."""
-    return unit if unit[:1] == "\n" else unit[1:] if unit[:1] == " " else " " + unit
+_SPACE = _byte_class(" \t\n\r\x0b\x0c")
+_ANY_SPACE = _byte_class(" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f")
+_WORD = _byte_class("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+#: ASCII marks but the apostrophe, which some patterns join to the letters behind it.
+_MARK = _byte_class('!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~')
+_LEADS = _byte_class("\xc2\xe1\xe2\xe3")
+#: The bytes of white space beyond ASCII, as numbers of three bytes.
+_WIDE_SPACE = [int.from_bytes(chr(c).encode().ljust(3, b"\0"), "big") for c in (0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 
 
-def _latin_classes() -> bytes:
-    """For each Latin-1 character: a letter or digit, s white space, o odd white space, p comma or full stop, q other."""
-    kind = lambda c: "o" if c.isspace() and c not in " \t\n\r\x0b\x0c" else "s" if c.isspace() else "a" if c.isalnum() else "p" if c in ",." else "q"
-    return "".join(kind(chr(i)) for i in range(256)).encode()
+def _marks_apart(data: np.ndarray, cut: np.ndarray) -> None:
+    """Cuts between an ASCII letter or digit and an ASCII mark: every pattern ends a match there, and nothing composes across it."""
+    word, mark = _WORD[data], _MARK[data]
+    cut[1:] |= (word[:-1] & mark[1:]) | (mark[:-1] & word[1:])
 
 
-_LATIN = _latin_classes()
+def spaced_cuts(data: np.ndarray) -> np.ndarray:
+    """Cuts for patterns that keep white space: before a lone space or line break, so that a unit begins with it.
 
+    In longer runs of white space a match may take all but the last character; they are not cut.
+    """
+    space = _ANY_SPACE[data]
+    at = np.nonzero(_LEADS[data])[0]
+    if len(at):
+        far = np.append(data, np.zeros(2, np.uint8)).astype(np.int32)
+        two = far[at] == 0xC2
+        wide = np.isin(far[at] << 16 | far[at + 1] << 8 | np.where(two, 0, far[at + 2]), _WIDE_SPACE)
+        for k in (0, 1):
+            space[at[wide] + k] = True
+        space[at[wide & ~two] + 2] = True
+    cut = np.zeros(len(data), bool)
+    cut[1:-1] = ((data[1:-1] == 32) | (data[1:-1] == 10)) & ~space[:-2] & ~space[2:]
+    _marks_apart(data, cut)
+    return cut
+
+
+def bare_cuts(data: np.ndarray) -> np.ndarray:
+    """Cuts for patterns that drop white space: where ASCII white space begins and where it ends."""
+    space = _SPACE[data]
+    cut = np.zeros(len(data), bool)
+    cut[1:] = space[1:] != space[:-1]
+    _marks_apart(data, cut)
+    return cut
+
+
+def gather(values: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``counts[i]`` values from ``first[i]`` on, for all i, one run after another."""
+    ends = np.cumsum(counts, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    at = np.repeat(first - (ends - counts), counts)
+    at += np.arange(total)
+    return values[at]
+
+
+class Store:
+    """Keys to runs of ids: what is missing is made by ``make``; begins anew when ``limit`` keys are held."""
+
+    def __init__(self, make: Callable[[list], Ids], limit: int = STORE_UNITS):
+        self.make, self.limit = make, limit
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict = {}
+        self.ids, self.first, self.counts = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def places(self, keys: list) -> np.ndarray:
+        """The place of each of some distinct keys; good until the next call."""
+        if len(self.place) > self.limit:
+            self._forget()
+        found = list(map(self.place.get, keys))
+        if None in found:
+            missing = [k for k, p in zip(keys, found) if p is None]
+            ids, counts = self.make(missing)
+            self.place.update(zip(missing, range(len(self.counts), len(self.counts) + len(missing))))
+            self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(counts) - counts])
+            self.counts, self.ids = np.concatenate([self.counts, counts]), np.concatenate([self.ids, ids])
+            found = list(map(self.place.get, keys))
+        return np.array(found, np.int64)
+
+    def gathered(self, places: np.ndarray) -> Ids:
+        counts = self.counts[places]
+        return gather(self.ids, self.first[places], counts), counts
 
-def bare_units(text: str) -> list[str] | None:
-    """Units for vocabularies that drop white space and case.
 
-    In Latin-1 texts a comma or full stop with no punctuation beside it is a unit of its own,
-    and units are in lower case, which makes fewer different ones.
-    """
-    try:
-        kinds = text.encode("latin-1").translate(_LATIN)
-    except UnicodeEncodeError:
-        return None if _ODD_SPACE.search(text) else text.split()
-    if b"o" in kinds:
-        return None
-    if b"pp" in kinds or b"pq" in kinds or b"qp" in kinds:
-        return text.split()
-    return text.lower().replace(",", " , ").replace(".", " . ").split()
+class Coder:
+    """Ids of texts: ``cuts`` marks where units begin, ``encode_units`` encodes distinct units."""
 
+    def __init__(self, encode_units: Callable[[list[str]], Ids], cuts: Callable[[np.ndarray], np.ndarray], limit: int = STORE_UNITS):
+        self.cuts, self.store = cuts, Store(encode_units, limit)
+        self.size = 0  # of the vocabulary, where known
 
-def folded(stem: str) -> str:
-    """``stem`` in lower case where that is the same for every library (no dotted I, no final sigma)."""
-    return stem.lower() if stem.isascii() or (max(stem) < "\u0370" and "\u0130" not in stem) else stem
+    def encode(self, texts: pa.Array) -> Ids:
+        """All ids of an array of strings, and how many each text has; null texts are empty."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        if not len(texts) or not texts.buffers()[2]:
+            return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+        starts = offsets - offsets[0]
+        if not len(data):
+            return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
+        cut = self.cuts(data)
+        cut[starts[starts < len(data)]] = True
+        at = np.nonzero(cut)[0].astype(np.int32)
+        units = pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(np.append(at, np.int32(len(data)))), pa.py_buffer(data)]).dictionary_encode()
+        places = self.store.places(units.dictionary.to_numpy(zero_copy_only=False).tolist())[units.indices.to_numpy()]
+        ids, counts = self.store.gathered(places)
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        return ids, np.diff(ends[np.searchsorted(at, starts)])
 
 
-class _Cache(dict):
-    """Text to the bytes of its ids; notes what it misses, forgets what has not been used for long."""
+def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> Ids:
+    """The same with ``end_id`` after each item's ids."""
+    return np.insert(ids, np.cumsum(counts), end_id), counts + 1
 
-    def __init__(self, limit: int) -> None:
-        self.limit = limit
-        self.old: dict[str, bytes] = {}
-        self.missed: dict[str, None] = {}
 
-    def __missing__(self, unit: str) -> bytes:
-        if unit in self.old:
-            found = self[unit] = self.old[unit]
-            return found
-        self.missed[unit] = None
-        return b""
+def binary_array(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Runs of ids as an Arrow array of binaries, without a Python object for each."""
+    offsets = np.concatenate([[0], np.cumsum(counts)]) * ids.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(ids))])
 
-    def age(self) -> None:
-        if len(self) > self.limit // 2:
-            self.old = dict(self)
-            self.clear()
 
+def flat_ids(lists: list[list[int]]) -> Ids:
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter((k for ids in lists for k in ids), np.uint32, int(counts.sum())), counts
 
-class Coder:
-    """ids of texts: ``encode_texts`` is the library, ``split`` and ``text_of`` make and undo units."""
 
-    def __init__(self, encode_texts: Callable[[list[str]], list], split: Callable[[str], list[str] | None], text_of: Callable[[str], str] = str, fold: Callable[[str], str] = str, units: int = CACHE_UNITS, stems: int = CACHE_STEMS):
-        self.encode_texts, self.split, self.text_of, self.fold = encode_texts, split, text_of, fold
-        self.cache, self.stems = _Cache(units), _Cache(stems)
-        self.tails = dict(zip(",.", _raw(encode_texts([",", "."]))))
-        self.size = 0  # of the vocabulary, where known
+def _library_units(tok, keeps_space: bool) -> Callable[[list[str]], Ids]:
+    """Encodes units by the library, many of them as one text where their ids can be told apart again.
 
-    def _learn(self) -> None:
-        units = list(self.cache.missed)
-        self.cache.missed.clear()
-        self.stems.age()
-        parts = []
-        for u in units:
-            tail = u[-1:] if u[-1:] in self.tails and u[-2:-1].isalnum() else ""
-            parts.append((self.fold(u[:-1] if tail else u), tail))
-        get = self.stems.__getitem__
-        for stem, _ in parts:
-            get(stem)
-        new = list(self.stems.missed)
-        self.stems.missed.clear()
-        self.stems.update(zip(new, _raw(self.encode_texts([self.text_of(x) for x in new]))))
-        tails = self.tails
-        self.cache.update((u, get(stem) + tails[tail] if tail else get(stem)) for u, (stem, tail) in zip(units, parts))
-
-    def encode_raw(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        cache = self.cache
-        cache.age()
-        get = cache.__getitem__
-        split = [self.split(t) for t in texts]
-        for units in split:
-            if units is not None:
-                deque(map(get, units), maxlen=0)
-        if cache.missed:
-            self._learn()
-        whole = iter(_raw(self.encode_texts([t for t, u in zip(texts, split) if u is None])))
-        return [next(whole) if u is None else b"".join(map(get, u)) for u in split]
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and how many each text has."""
-        raw = self.encode_raw(texts)
-        return np.frombuffer(b"".join(raw), "<u4"), np.fromiter(map(len, raw), np.int64, len(raw)) // 4
-
-
-def _raw(made: list) -> list[bytes]:
-    return [ids if isinstance(ids, bytes) else array("I", ids).tobytes() for ids in made]
-
-
-if array("I").itemsize != 4 or sys.byteorder != "little":
-    raise ImportError("ids are kept as little-endian 32-bit integers")
-
-_CODERS: dict[tuple, Coder] = {}
-
-
-def _plain_word(text: str) -> bool:
-    """One word of letters that every normaliser leaves as they are, a space before it at most."""
-    return (text[1:] if text[:1] == " " else text).isalpha() and max(text) < "\u0300" and "\u0130" not in text
+    Units that begin with white space have one token each that does, words one token each that
+    ends a word.  Each unit has at least one such token, so if a joined text has as many of
+    them as units, they part its ids exactly; else its units are encoded one by one.
+    """
+    vocabulary = tok.get_vocab()
+    marks = np.zeros(max(vocabulary.values()) + 1, bool)
+    # the byte-level alphabet writes a space and a line break so
+    marks[[k for t, k in vocabulary.items() if (t[:1] in ("Ġ", "Ċ") if keeps_space else t.endswith("</w>"))]] = True
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def units_of(units: list[str]) -> Ids:
+        likely = [u[:1] in (" ", "\n") for u in units] if keeps_space else [u.isalpha() for u in units]
+        counts, parts = np.zeros(len(units), np.int64), []
+        joined, single = [i for i, yes in enumerate(likely) if yes], [i for i, yes in enumerate(likely) if not yes]
+        groups = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)]
+        order: list[int] = []
+        for group, ids in zip(groups, encode([("" if keeps_space else " ").join([units[i] for i in g]) for g in groups])):
+            ids = np.array(ids, np.uint32)
+            at = np.nonzero(marks[ids])[0]
+            if len(at) != len(group):
+                single += group
+                continue
+            counts[group] = np.diff(np.append(at, len(ids))) if keeps_space else np.diff(np.append(-1, at))
+            parts.append(ids)
+            order += group
+        ids, counts[single] = flat_ids(encode([units[i] for i in single]))
+        parts.append(ids)
+        order += single
+        # back into the order of the units
+        made = np.concatenate(parts)
+        first = np.empty(len(units), np.int64)
+        first[order] = np.cumsum(counts[order]) - counts[order]
+        return gather(made, first, counts), counts
+
+    return units_of
+
+
+_CODERS: dict[str, Coder] = {}
 
 
 def library_coder(path: str) -> Coder:
-    """The coder of a file of the tokenizers library; one for each worker process and file.
-
-    Words of plain letters need no normalising or splitting, which costs the library more
-    than the merges; they go to a copy of the tokenizer without these steps.
-    """
-    if (path,) not in _CODERS:
+    """The coder of a file of the tokenizers library; one for each worker process and file."""
+    if path not in _CODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(path)
         tok.encode_special_tokens = True  # their strings in a text are ordinary text
         keeps_space = tok.normalizer is None
-        with open(path, encoding="utf-8") as f:
-            layout = json.load(f)
-        layout |= {"normalizer": None, "post_processor": None, "added_tokens": [], "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}}
-        bare = Tokenizer.from_str(json.dumps(layout))
-
-        def library(texts: list[str]) -> list:
-            # where the library lower-cases, only folded words are plain
-            plain = [_plain_word(t) and (keeps_space or t == folded(t) and " " not in t) for t in texts]
-            quick = iter(bare.encode_batch_fast([t for t, p in zip(texts, plain) if p], add_special_tokens=False))
-            full = iter(tok.encode_batch_fast([t for t, p in zip(texts, plain) if not p], add_special_tokens=False))
-            return [next(quick if p else full).ids for p in plain]
-
-        coder = Coder(library, byte_level_units, byte_level_text) if keeps_space else Coder(library, bare_units, fold=folded)
+        coder = Coder(_library_units(tok, keeps_space), spaced_cuts if keeps_space else bare_cuts)
         coder.size = tok.get_vocab_size()
-        _CODERS[(path,)] = coder
-    return _CODERS[(path,)]
-
-
-def chunks(texts: list, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str]]]:
-    """Runs of texts of about ``limit`` characters with the place of the first; null texts are empty."""
-    at, held, size = 0, [], 0
-    for i, text in enumerate(texts):
-        text = text or ""
-        if held and size + len(text) > limit:
-            yield at, held
-            at, held, size = i, [], 0
-        held.append(text)
-        size += len(text)
-    if held:
-        yield at, held
+        _CODERS[path] = coder
+    return _CODERS[path]
