@@ -163,6 +163,49 @@ def test_few_or_no_vectors(spark):
     assert ivfpq.near_duplicate_vectors(few.where("label is null")).select("kept").distinct().count() == 1
 
 
+@pytest.mark.parametrize("widths", [1, 4])
+def test_links_of_mixed_widths_equal_brute_force(spark, monkeypatch, widths):
+    """Each width by itself: with an index of its own or, beyond MOST_WIDTHS, compared whole."""
+    monkeypatch.setattr(ivfpq, "MOST_WIDTHS", widths)
+    rng, rows = np.random.default_rng(8), [(0, [1.0, 0.0], 1), (1, [1.0, 0.0], 1)]
+    for dim, n in ((3, 90), (5, 40), (16, 60), (1, 5)):
+        base = rng.normal(size=(n, dim))
+        rows += [(len(rows) + i, v, int(i % 2)) for i, v in enumerate(np.concatenate([base, base + 0.05 * rng.normal(size=base.shape)]).astype(np.float32).tolist())]
+    got = {r.vec_id: r for r in ivfpq.near_duplicate_vectors(vectors(spark, rows)).collect()}
+    unit = [np.array(v) / np.linalg.norm(v) for _, v, _ in rows]
+    links = {i: {j for j in range(len(rows)) if j != i and len(unit[i]) == len(unit[j]) and rows[i][2] == rows[j][2] and unit[i] @ unit[j] >= 0.93} for i in range(len(rows))}
+    assert (got[0].n_links, got[1].component_id) == (1, 0)
+    wrong = [i for i in links if got[i].n_links != len(links[i])]
+    assert len(wrong) <= len(rows) // 100
+
+
+@pytest.mark.parametrize("n", [2, 20, 21, 60, 100, 200])
+def test_every_query_gets_all_it_can(spark, n):
+    """As many rows as there are candidates, 20 at most, also where norms are skewed and every row is a query."""
+    rng = np.random.default_rng(n)
+    x = (rng.normal(size=(n, 8)) * rng.pareto(0.7, size=(n, 1))).astype(np.float32)
+    rows = [(i // 2 if i < n // 4 else i, v.tolist(), 1) for i, v in enumerate(x)] + [(5000 + i, [1.0, float(i + 1)], 1) for i in range(7)]
+    got = ivfpq.nearest(vectors(spark, rows), F.lit(True), 20).toPandas()
+    ids = [r[0] for r in rows]
+    want = sum(min(20, sum(a != b and len(v) == len(w) for b, w, _ in rows)) for a, v, _ in rows)
+    assert len(got) == want and set(got["query_id"]) <= set(ids) and (got["query_id"] != got["vec_id"]).all()
+    narrow = got[got["query_id"] >= 5000]
+    assert (narrow.groupby("query_id").size() == 6).all()
+    assert narrow.sort_values("rank").groupby("query_id")["vec_id"].apply(list).map(lambda k: k == sorted(k, reverse=True)).all()
+
+
+def test_two_level_centroids_still_find(monkeypatch):
+    monkeypatch.setattr(ivfpq, "LISTS_AT_ONCE", 8)
+    rng = np.random.default_rng(9)
+    x = ivfpq.unit(rng.normal(size=(3000, 12)))
+    index = ivfpq.fit(x, 3000)
+    assert 30 <= index.lists <= 70
+    lists, _, _ = index.encode(x)
+    probed = ivfpq.near_probes(0.9, 1.0)(index, x, lists)
+    a, b = np.nonzero(x @ x.T >= 0.9)
+    assert probed[a, lists[b]].all()
+
+
 # --- chats ----------------------------------------------------------------------------
 
 NASTY = ["[INST] [/INST]", "</s>", "<<SYS>> x <</SYS>>", "[\\INST]", "[\\\\/INST] \\", " ", "", "<s", "$1 \\2", "[ROLE] a [TEXT] b [/ROLE]", "😀 é\n\n", "[[INST]", "<<s>", "x" * 20_000]

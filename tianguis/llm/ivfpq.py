@@ -1,9 +1,12 @@
 """Inverted files with product-quantised residuals, for search and for similarity joins.
 
-The index (coarse centroids and subspace codebooks) is fitted in numpy on the driver on at
-most ``SAMPLE`` vectors, the least by hash; its size does not grow with the data, so it is
-broadcast.  Every vector is indexed: its list, the code of its residual, and the length of
-the quantisation error, which bounds how far any asymmetric distance can be off.
+Vectors are compared with those of their own width alone, so each width has an index: coarse
+centroids and subspace codebooks, fitted in numpy on the driver on a sample of at most
+16 * MOST_LISTS vectors, the least by hash.  Its size does not grow with the data, so it is
+broadcast.  The MOST_WIDTHS most frequent widths are fitted; any other has one list and no
+codes, which compares all of its vectors exactly, in blocks.  Every vector is indexed: its
+list, the code of its residual, and the length of the quantisation error, which bounds how
+far any asymmetric distance can be off.
 
 Lists are dealt into shards of about ``SHARD_ROWS`` vectors, near lists together; larger
 shards split into blocks.  A query goes to the shards that hold lists it probes.
@@ -12,7 +15,7 @@ shards split into blocks.  A query goes to the shards that hold lists it probes.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -22,12 +25,16 @@ from pyspark.sql import functions as F
 from .common import cut
 from .forest import Forest
 
+#: Vectors that an index is fitted on: SAMPLE, or 16 for each list where there are more lists.
 SAMPLE = 16_384
-MOST_LISTS = 512
+#: Lists are about the square root of the vectors; centroids beyond LISTS_AT_ONCE are found in two levels.
+MOST_LISTS, LISTS_AT_ONCE = 4096, 512
+#: Widths that have an index of their own.
+MOST_WIDTHS = 4
 SUBSPACES, CODEWORDS = 16, 256
 SHARD_ROWS = 8192
-#: Queries that a task compares at once.
-QUERY_BLOCK = 256
+#: Queries that a task compares at once, and vectors that are given their lists at once.
+QUERY_BLOCK, DEAL_BLOCK = 256, 1024
 
 
 def _kmeans(x: np.ndarray, k: int, rng, rounds: int) -> np.ndarray:
@@ -65,6 +72,8 @@ class Index:
     centroids: np.ndarray
     books: np.ndarray  # subspace, codeword, dimension; unused dimensions are zero
     width: int
+    probes: int = 1  # of a search
+    plain: bool = False  # one list, no codes: estimates tell nothing, their errors are whole lengths
 
     @property
     def lists(self) -> int:
@@ -97,13 +106,25 @@ class Index:
         return out
 
 
+def lists_for(total: int) -> int:
+    return int(max(1, min(MOST_LISTS, np.sqrt(total))))
+
+
+def _coarse(x: np.ndarray, lists: int, rng) -> np.ndarray:
+    if lists <= LISTS_AT_ONCE:
+        return _kmeans(x, lists, rng, 8)
+    top = _kmeans(x, int(np.sqrt(lists)), rng, 8)
+    at = _nearest(x, top)
+    parts = [x[at == i] for i in range(len(top)) if (at == i).any()]
+    return np.concatenate([_kmeans(p, max(1, round(lists * len(p) / len(x))), rng, 8) for p in parts])
+
+
 def fit(sample: np.ndarray, total: int, seed: int = 5) -> Index:
     """An index for ``total`` vectors like ``sample``: about sqrt(total) lists, MOST_LISTS at most."""
     rng = np.random.default_rng(seed)
     x = sample.astype(np.float64)
     width = x.shape[1]
-    lists = int(max(1, min(MOST_LISTS, np.sqrt(total), len(x) // 16)))
-    c = _kmeans(x, lists, rng, 8)
+    c = _coarse(x, max(1, min(lists_for(total), len(x) // 16)), rng)
     c = c[_by_nearness(c, np.arange(len(c)))]
     w = -(-width // SUBSPACES)
     m = -(-width // w)
@@ -114,21 +135,35 @@ def fit(sample: np.ndarray, total: int, seed: int = 5) -> Index:
     return Index(c, np.stack([np.resize(_kmeans(some[:, j], CODEWORDS, rng, 6), (min(CODEWORDS, len(some)), w)) for j in range(m)]), width)
 
 
+def plain_index(width: int) -> Index:
+    return Index(np.zeros((1, width)), np.zeros((1, 1, width)), width, plain=True)
+
+
+class Indexes:
+    """The indexes of the most frequent widths; any other width has a plain one."""
+
+    def __init__(self, of_width: dict[int, Index]):
+        self.of_width = of_width
+
+    def of(self, width: int) -> Index:
+        return self.of_width.get(width) or plain_index(width)
+
+
+def fit_all(vectors: DataFrame, vector: str, make) -> Indexes:
+    """``make(sample, total)`` for each of the MOST_WIDTHS most frequent widths."""
+    top = vectors.groupBy(F.size(vector).alias("w")).count().orderBy(F.desc("count"), "w").limit(MOST_WIDTHS).collect()
+    return Indexes({r["w"]: make(sample_of(vectors.where(F.size(vector) == r["w"]), vector, max(SAMPLE, 16 * lists_for(r["count"]))), r["count"]) for r in top})
+
+
 def usable(vector: str) -> Column:
     """True for vectors that are not null, have no null or non-finite component and are not zero."""
     fine = F.forall(vector, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     return F.col(vector).isNotNull() & F.coalesce(fine, F.lit(False)) & F.exists(vector, lambda v: v != 0)
 
 
-def common_width(vectors: DataFrame, vector: str) -> int:
-    """The most frequent number of components (the smaller of equally frequent ones); 0 for none."""
-    row = vectors.groupBy(F.size(vector).alias("w")).count().orderBy(F.desc("count"), "w").first()
-    return row["w"] if row else 0
-
-
-def sample_of(vectors: DataFrame, vector: str) -> np.ndarray:
-    rows = vectors.select(F.col(vector).alias("v")).orderBy(F.xxhash64("v", F.lit(11))).limit(SAMPLE).toPandas()
-    return np.stack(rows["v"].to_numpy()).astype(np.float64) if len(rows) else np.empty((0, 1))
+def sample_of(vectors: DataFrame, vector: str, most: int) -> np.ndarray:
+    rows = vectors.select(F.col(vector).alias("v")).orderBy(F.xxhash64("v", F.lit(11))).limit(most).toPandas()
+    return np.stack(rows["v"].to_numpy()).astype(np.float64)
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -137,72 +172,97 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 # --- dealing out ----------------------------------------------------------------------
 
-_ROW = "rid long, key string, w long, v array<double>, role int, shard int, list int, probes binary, code binary, err double"
+_CODED = "rid long, key string, w long, v array<double>, query boolean, need long, shards int, list int, code binary, err double"
+_DEALT = "rid long, key string, w long, v array<double>, role int, shard int, list int, probes binary, code binary, err double"
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
 
-def dealt(rows: DataFrame, index: Index, probed, directions: bool) -> DataFrame:
-    """``rows`` (rid, key, w, v, member, query, shards) as members of their shard and as queries of those they probe.
+def _by_width(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Parts of one width, of DEAL_BLOCK rows at most."""
+    widths = pdf["v"].map(len).to_numpy()
+    for w in np.unique(widths):
+        part = pdf[widths == w]
+        for i in range(0, len(part), DEAL_BLOCK):
+            yield part.iloc[i : i + DEAL_BLOCK]
 
-    ``probed(x, lists)`` gives each query's lists as a boolean matrix.  ``directions``: index
-    unit vectors.  Adds ``mb`` and ``qb``, the blocks of shards that have too many members:
-    every query block meets every member block.
+
+def coded(rows: DataFrame, indexes: Indexes, directions: bool) -> DataFrame:
+    """``rows`` (rid, key, w, v, query, need, shards), indexed: ``list``, ``code`` and ``err`` added; ``shards`` at most the lists.
+
+    Vectors of one ``key`` have one width.  ``directions``: index unit vectors.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(indexes)
+
+    def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for part in _by_width(pdf):
+                x = _matrix(part["v"])
+                ix = shared.value.of(x.shape[1])
+                lists, codes, err = ix.encode(unit(x) if directions else x)
+                yield part.assign(v=list(x), shards=np.minimum(part["shards"], ix.lists).astype(np.int32), list=lists.astype(np.int32), code=[c.tobytes() for c in codes], err=err)
+
+    return cut(rows.mapInPandas(code, _CODED))
+
+
+def dealt(rows: DataFrame, indexes: Indexes, probed, directions: bool) -> DataFrame:
+    """``rows`` (as ``coded``) as members of their shard (role 0) and, if queries, as queries of those they probe (role 1).
+
+    ``probed(index, x, lists, need)`` gives each query's lists as a boolean matrix.  Adds ``mb`` and ``qb``,
+    the blocks of shards that have too many members: every query block meets every member block.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(index)
+    shared = rows.sparkSession.sparkContext.broadcast(indexes)
+    columns = [c.split()[0] for c in _DEALT.split(", ")]
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ix = shared.value
-        place = np.arange(ix.lists)
         for pdf in batches:
-            if not len(pdf):
-                continue
-            x = _matrix(pdf["v"])
-            u = unit(x) if directions else x
-            lists, codes, err = ix.encode(u)
-            wanted = probed(ix, u, lists)
-            bits = np.packbits(wanted, axis=1, bitorder="little")
-            shards = pdf["shards"].to_numpy()
-            base = pd.DataFrame({"rid": pdf["rid"], "key": pdf["key"], "w": pdf["w"], "v": list(x), "list": lists.astype(np.int32), "probes": [b.tobytes() for b in bits], "code": [c.tobytes() for c in codes], "err": err})
-            base["shard"] = (lists * shards // ix.lists).astype(np.int32)
-            base["role"] = np.int32(0)
-            columns = [c.split()[0] for c in _ROW.split(", ")]
-            yield base[pdf["member"].to_numpy()][columns]
-            for s in np.unique(shards):
-                rows_s = np.nonzero((shards == s) & pdf["query"].to_numpy())[0]
-                if not len(rows_s):
-                    continue
-                of_list = place * s // ix.lists
-                starts = np.nonzero(np.concatenate([[True], of_list[1:] != of_list[:-1]]))[0]
-                visits = np.logical_or.reduceat(wanted[rows_s], starts, axis=1)
-                q, k = np.nonzero(visits)
-                out = base.iloc[rows_s[q]].copy()
-                out["shard"] = of_list[starts][k].astype(np.int32)
-                out["role"] = np.int32(1)
-                yield out[columns]
-
-    visits = cut(rows.mapInPandas(deal, _ROW))
-    sizes = visits.where("role = 0").groupBy("key", "shard").count().select("key", "shard", F.ceil(F.col("count") / SHARD_ROWS).cast("int").alias("blocks"))
-    visits = visits.join(sizes, ["key", "shard"])
+            for part in _by_width(pdf):
+                x = _matrix(part["v"])
+                ix = shared.value.of(x.shape[1])
+                lists, shards, place = part["list"].to_numpy(), part["shards"].to_numpy().astype(np.int64), np.arange(ix.lists)
+                wanted = probed(ix, unit(x) if directions else x, lists, part["need"].to_numpy())
+                base = part.assign(v=list(x), shard=(lists * shards // ix.lists).astype(np.int32), role=np.int32(0), probes=[b.tobytes() for b in np.packbits(wanted, axis=1, bitorder="little")])[columns]
+                yield base
+                for s in np.unique(shards):
+                    rows_s = np.nonzero((shards == s) & part["query"].to_numpy())[0]
+                    if not len(rows_s):
+                        continue
+                    of_list = place * s // ix.lists
+                    starts = np.nonzero(np.concatenate([[True], of_list[1:] != of_list[:-1]]))[0]
+                    q, k = np.nonzero(np.logical_or.reduceat(wanted[rows_s], starts, axis=1))
+                    out = base.iloc[rows_s[q]].copy()
+                    out["shard"], out["role"] = of_list[starts][k].astype(np.int32), np.int32(1)
+                    yield out
+
+    lists_of_key = F.col("lists")
+    sizes = rows.withColumn("lists", _lists_column(indexes)).withColumn("shard", F.floor(F.col("list").cast("long") * F.col("shards") / lists_of_key).cast("int"))
+    sizes = sizes.groupBy("key", "shard").count().select("key", "shard", F.ceil(F.col("count") / SHARD_ROWS).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
-    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    members = visits.where("role = 0").withColumn("mb", own).withColumn("qb", each)
-    queries = visits.where("role = 1").withColumn("qb", own).withColumn("mb", each)
-    return members.unionByName(queries).drop("blocks")
+    visits = rows.mapInPandas(deal, _DEALT).join(sizes, ["key", "shard"])
+    visits = visits.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    member = F.col("role") == 0
+    return visits.withColumns({"mb": F.when(member, F.col("own")).otherwise(F.col("other")), "qb": F.when(member, F.col("other")).otherwise(F.col("own"))}).drop("blocks", "own", "other")
+
+
+def _lists_column(indexes: Indexes) -> Column:
+    out = F.lit(1)
+    for width, ix in indexes.of_width.items():
+        out = F.when(F.size("v") == width, F.lit(ix.lists)).otherwise(out)
+    return out
 
 
 class Shard:
-    """One task's members and queries."""
+    """One task's members and queries, all of one width."""
 
-    def __init__(self, pdf: pd.DataFrame, index: Index, directions: bool):
-        self.index = index
+    def __init__(self, pdf: pd.DataFrame, indexes: Indexes, directions: bool):
         self.m, self.q = pdf[pdf["role"] == 0], pdf[pdf["role"] == 1]
         self.empty = not len(self.m) or not len(self.q)
         if self.empty:
             return
         self.mx, self.qx = _matrix(self.m["v"]), _matrix(self.q["v"])
+        self.index = indexes.of(self.mx.shape[1])
         self.lists = self.m["list"].to_numpy()
         self.codes = np.frombuffer(b"".join(self.m["code"]), np.uint8).reshape(len(self.m), -1)
         self.err = self.m["err"].to_numpy()
@@ -232,7 +292,7 @@ def near_probes(threshold: float, slack: float):
     """
     reach = slack * np.sqrt(max(0.0, 2 - 2 * threshold))
 
-    def probed(index: Index, u: np.ndarray, own: np.ndarray) -> np.ndarray:
+    def probed(index: Index, u: np.ndarray, own: np.ndarray, need: np.ndarray | None = None) -> np.ndarray:
         c = index.centroids
         half = (c * c).sum(axis=1) / 2
         score = u @ c.T - half
@@ -244,14 +304,14 @@ def near_probes(threshold: float, slack: float):
     return probed
 
 
-def similar(rows: DataFrame, index: Index, threshold: float, slack: float = 0.5) -> DataFrame:
-    """Links among ``rows`` (rid, key, w, v, shards) of equal key with cosine ``threshold`` or more.
+def similar(rows: DataFrame, indexes: Indexes, threshold: float, slack: float = 0.5) -> DataFrame:
+    """Links among ``rows`` (rid, key, w, v, shards) of equal key, and so of equal width, with cosine ``threshold`` or more.
 
     Returns rows (a, b, n): where b is null, n is to be added to a's number of linked
     vectors (each weighs w); else a-b is a link of a spanning forest (n is 0).
     """
-    shared = rows.sparkSession.sparkContext.broadcast(index)
-    every = rows.withColumns({"member": F.lit(True), "query": F.lit(True)})
+    shared = rows.sparkSession.sparkContext.broadcast(indexes)
+    every = coded(rows.select("rid", "key", "w", "v", F.lit(True).alias("query"), F.lit(0).cast("long").alias("need"), "shards"), indexes, True)
 
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
         s = Shard(pdf, shared.value, True)
@@ -282,7 +342,7 @@ def similar(rows: DataFrame, index: Index, threshold: float, slack: float = 0.5)
         out = pd.concat([linked.astype({"b": "Int64"}), counted.assign(b=pd.array([None] * len(counted), dtype="Int64"))[["a", "b", "n"]]], ignore_index=True)
         return out
 
-    return dealt(every, index, near_probes(threshold, slack), True).groupBy("key", "shard", "mb", "qb").applyInPandas(links, "a long, b long, n long")
+    return dealt(every, indexes, near_probes(threshold, slack), True).groupBy("key", "shard", "mb", "qb").applyInPandas(links, "a long, b long, n long")
 
 
 def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.93) -> DataFrame:
@@ -292,22 +352,18 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
     more.  Equal vectors are compared once, as a class, and count as linked copies.
     ``component_id`` is the least id reachable, ``kept`` says that it is the row's own.
 
-    Vectors that are null, zero, of another length than most or hold a null or non-finite
-    component link with nothing, nor do vectors without a label.  Rows with equal ids are
-    different vectors.  Empty tables give empty results; other columns are not read.
+    Vectors that are null, zero or hold a null or non-finite component link with nothing,
+    nor do vectors without a label; vectors of different widths don't link.  Rows with equal
+    ids are different vectors.  Empty tables give empty results; other columns are not read.
     """
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("v"), F.col(label_col).alias("label"))
-    fine = rows.where(usable("v") & F.col("label").isNotNull())
-    width = common_width(fine, "v")
-    takes_part = usable("v") & F.col("label").isNotNull() & (F.size("v") == width)
-    classes = rows.where(takes_part).groupBy(F.col("label").cast("string").alias("key"), "v").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("w"))
+    takes_part = usable("v") & F.col("label").isNotNull()
+    key_of = F.concat_ws(":", F.size("v").cast("string"), F.col("label").cast("string"))
+    classes = rows.where(takes_part).groupBy(key_of.alias("key"), "v").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("w"))
     classes = cut(classes.withColumn("rid", F.monotonically_increasing_id()))
-    total = classes.count()
-    if not total:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    index = fit(unit(sample_of(classes, "v")), total)
-    per_key = classes.groupBy("key").agg(F.least(F.lit(index.lists), F.ceil(F.count(F.lit(1)) / SHARD_ROWS)).cast("int").alias("shards"))
-    found = cut(similar(classes.join(per_key, "key").select("rid", "key", "w", F.col("v").cast("array<double>").alias("v"), "shards"), index, threshold))
+    indexes = fit_all(classes, "v", lambda sample, total: fit(unit(sample), total))
+    per_key = classes.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / SHARD_ROWS).cast("int").alias("shards"))
+    found = cut(similar(classes.join(per_key, "key").select("rid", "key", "w", F.col("v").cast("array<double>").alias("v"), "shards"), indexes, threshold))
     from .components import connected_components
 
     counts = found.groupBy(F.col("a").alias("rid")).agg(F.sum("n").alias("links"))
@@ -320,7 +376,7 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
     rooted = cut(rooted)
     roots = rooted.groupBy("root").agg(F.min("least").alias("group"))
     named = rooted.join(roots, "root").select(F.col("key").alias("__key"), F.col("v").alias("__v"), "links", "group")
-    key = F.when(takes_part, F.col("label").cast("string"))
+    key = F.when(takes_part, key_of)
     joined = rows.withColumn("key", key).join(named, (F.col("key") == F.col("__key")) & (F.col("v") == F.col("__v")), "left")
     component = F.when(F.col("__key").isNotNull(), F.col("group")).otherwise(F.col("vec_id"))
     return joined.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), component.eqNullSafe(F.col("vec_id")).alias("kept"))
@@ -348,31 +404,49 @@ def probes_for(index: Index, sample: np.ndarray, k: int, recall: float = RECALL)
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """The ``k`` vectors of largest inner product (double precision) for each query, nearest first.
 
-    Queries are the rows where ``is_query`` holds; candidates are all rows with another id.
-    Returns query_id, rank (from 1), vec_id, score; ties go to the smaller id.  A query with
-    fewer candidates gets them all, if their lists are probed.
+    Queries are the rows where ``is_query`` holds; candidates are all rows of its width with
+    another id.  Returns query_id, rank (from 1), vec_id, score; ties go to the smaller id.  A
+    query probes the chosen number of lists, and more until they hold ``k`` candidates, so it
+    gets ``k`` rows, or all candidates if they are fewer.
 
-    Vectors that are null, zero, of another length than most or hold a null or non-finite
-    component, and rows with null ids, take no part.  Rows with equal ids are different
-    vectors, none of which is a candidate of the others; queries with equal ids give a
-    ranking of their own each.  Empty tables give empty results; other columns are not read.
+    Vectors that are null, zero or hold a null or non-finite component, and rows with null
+    ids, take no part.  Rows with equal ids are different vectors, none of which is a
+    candidate of the others; queries with equal ids give a ranking of their own each.  Empty
+    tables give empty results; other columns are not read.
     """
     schema = "query_row long, query_id long, vec_id long, score double"
+    spark = vectors.sparkSession
     fine = vectors.where(usable(vector_col) & F.col(id_col).isNotNull())
-    width = common_width(fine, vector_col)
-    rows = fine.where(F.size(vector_col) == width).select(F.col(id_col).cast("long").alias("w"), F.col(vector_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("query"))
+    rows = fine.select(F.col(id_col).cast("long").alias("w"), F.col(vector_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("query"))
     rows = cut(rows.withColumn("rid", F.monotonically_increasing_id()))
-    total = rows.count()
-    if not total:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    sample = sample_of(rows, "v")
-    index = fit(sample, total)
-    probes = probes_for(index, sample, k)
-    shared = rows.sparkSession.sparkContext.broadcast(index)
-
-    def probed(ix: Index, x: np.ndarray, own: np.ndarray) -> np.ndarray:
-        rank = np.argsort(np.argsort(-(x @ ix.centroids.T), axis=1), axis=1)
-        return rank < probes
+
+    def searchable(sample: np.ndarray, total: int) -> Index:
+        index = fit(sample, total)
+        return replace(index, probes=probes_for(index, sample, k))
+
+    indexes = fit_all(rows, "v", searchable)
+    # candidates that a query must meet: k, besides the rows of its own id
+    twice = rows.groupBy("w").count().where("count > 1").select("w", F.col("count").alias("same"))
+    per_width = rows.groupBy(F.size("v").alias("width")).agg(F.ceil(F.count(F.lit(1)) / SHARD_ROWS).cast("int").alias("shards"))
+    every = rows.withColumn("width", F.size("v")).join(per_width, "width").join(twice, "w", "left")
+    every = coded(every.select("rid", F.col("width").cast("string").alias("key"), "w", "v", "query", (F.coalesce("same", F.lit(1)) + k).alias("need"), "shards"), indexes, False)
+    # the lengths of the lists: MOST_WIDTHS * MOST_LISTS numbers at most
+    held = every.where(F.size("v").isin(list(indexes.of_width))).groupBy(F.size("v").alias("width"), "list").count().collect()
+    lengths = {w: np.zeros(ix.lists, np.int64) for w, ix in indexes.of_width.items()}
+    for r in held:
+        lengths[r["width"]][r["list"]] = r["count"]
+    shared, sizes = spark.sparkContext.broadcast(indexes), spark.sparkContext.broadcast(lengths)
+
+    def probed(ix: Index, x: np.ndarray, own: np.ndarray, need: np.ndarray) -> np.ndarray:
+        if ix.plain:
+            return np.ones((len(x), 1), bool)
+        order = np.argsort(-(x @ ix.centroids.T), axis=1, kind="stable")
+        met = np.cumsum(sizes.value[ix.width][order], axis=1)
+        # lists before the one that fills up what is needed, and that one
+        count = np.maximum((met < need[:, None]).sum(axis=1) + 1, ix.probes)
+        out = np.zeros(order.shape, bool)
+        np.put_along_axis(out, order, np.arange(ix.lists)[None] < count[:, None], axis=1)
+        return out
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         s = Shard(pdf, shared.value, False)
@@ -380,7 +454,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
         if not s.empty:
             # in the shard's rows, w carries the id
             m_id, q_id, q_row = s.m["w"].to_numpy(), s.q["w"].to_numpy(), s.q["rid"].to_numpy()
-            margin = s.err * min(1.0, DEVIATIONS / np.sqrt(s.mx.shape[1]))
+            margin = s.err * (1.0 if s.index.plain else min(1.0, DEVIATIONS / np.sqrt(s.mx.shape[1])))
             for at, est in s.blocks():
                 est[q_id[at][:, None] == m_id[None]] = -np.inf
                 for i, row in zip(at, est):
@@ -390,14 +464,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
                     if len(live) > k:
                         best = live[np.argpartition(-row[live], k - 1)[:k]]
                         floor = (s.mx[best] * s.qx[i]).sum(axis=1).min()
-                        live = live[row[live] + np.linalg.norm(s.qx[i]) * margin[live] + 1e-5 >= floor]
+                        near = row + np.linalg.norm(s.qx[i]) * margin + 1e-5 >= floor
+                        near[best] = True
+                        live = live[near[live]]
                     exact = (s.mx[live] * s.qx[i]).sum(axis=1)
                     order = np.lexsort((m_id[live], -exact))[:k]
                     out += zip([int(q_row[i])] * len(order), [int(q_id[i])] * len(order), m_id[live[order]].tolist(), exact[order].tolist())
         return pd.DataFrame(out, columns=["query_row", "query_id", "vec_id", "score"]).astype({"query_row": "int64", "query_id": "int64", "vec_id": "int64", "score": "float64"})
 
-    shards = int(min(index.lists, -(-total // SHARD_ROWS)))
-    every = rows.select("rid", F.lit("").alias("key"), "w", "v", F.lit(True).alias("member"), "query", F.lit(shards).alias("shards"))
-    found = dealt(every, index, probed, False).groupBy("key", "shard", "mb", "qb").applyInPandas(search, schema)
+    found = dealt(every, indexes, probed, False).groupBy("key", "shard", "mb", "qb").applyInPandas(search, schema)
     by = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
