@@ -63,7 +63,7 @@ def test_simhash_groups_equal_brute_force(spark, monkeypatch):
     fps = [int(r["_fingerprint"], 16) for r in got]
     assert got[0]["fingerprint"] == "mine" and "text" not in got[0].asDict()
     assert [r["component_id"] for r in got] == brute_groups(fps, [r["doc_id"] for r in got], 4)
-    monkeypatch.setattr(simhash, "CELL_ROWS", 20)  # many cells give the same groups
+    monkeypatch.setattr(simhash, "CELL_ROWS", 120)  # many cells give the same groups
     again = simhash.simhash_groups(docs(spark, *rows, *EDGES)).collect()
     key = lambda r: (r["_fingerprint"], r["component_id"] is None, r["component_id"])
     assert sorted(map(key, again)) == sorted(map(key, got))
@@ -80,26 +80,62 @@ def test_fingerprint_by_hand():
     assert len(simhash.shingle_hashes("a b", 4)) == 1 and simhash.majority_bits(simhash.shingle_hashes("", 4)) == 0
 
 
-@pytest.mark.parametrize("radius", [2, 4, 17])
+def clustered(rng, n):
+    base = rng.integers(0, 2**64, n, dtype=np.uint64)
+    return np.unique(np.concatenate([base, base ^ (np.uint64(1) << rng.integers(0, 64, n, dtype=np.uint64)), base ^ np.uint64(0b1011), base[0] ^ (np.uint64(1) << np.arange(64, dtype=np.uint64))]))
+
+
+@pytest.mark.parametrize("radius", [0, 2, 4, 17])
 def test_tree_meets_every_pair_once(radius):
     rng = np.random.default_rng(radius)
-    base = rng.integers(0, 2**64, 300, dtype=np.uint64)
-    fp = np.unique(np.concatenate([base, base ^ (np.uint64(1) << rng.integers(0, 64, 300, dtype=np.uint64)), base ^ np.uint64(0b1011)]))
-    levels = simhash.build_tree(fp, len(fp), 60)
-    assert levels
-    rows, code = simhash.cells_of(fp, levels, radius)
+    fp = clustered(rng, 300)
+    fp = fp & np.uint64(0xFFF) if not radius else fp  # many equal values where only these count
+    tree = simhash.Tree(fp, 1.0, 60, radius)
+    assert sum(node is not None for node in tree.nodes) > 2 or radius == 17  # nothing to prune: one cell
     cells = defaultdict(list)
-    for r, c in zip(rows, code):
-        cells[c >> 1 if c & 2 else c].append((r, c & 1))
+    for r, c, role in zip(*tree.route(fp)):
+        cells[c].append((r, role))
     met = defaultdict(int)
-    for key, members in cells.items():
-        left = np.array([r for r, s in members if not s])
-        right = np.array([r for r, s in members if s])
-        found = lambda a, b, d: [met.__setitem__((min(x, y), max(x, y)), met[min(x, y), max(x, y)] + 1) for x, y in zip(a.tolist(), b.tolist())]
-        two = bool(len(right)) or any(True for r, c in zip(rows, code) if (c >> 1 if c & 2 else c) == key and c & 2)
-        simhash._pairs_in(fp, left, right if two else None, radius, np.random.default_rng(0), found)
-    want = {(i, j) for i in range(len(fp)) for j in np.nonzero(np.bitwise_count(fp ^ fp[i]) <= radius)[0] if j > i}
-    assert set(met) == {(int(i), int(j)) for i, j in want} and set(met.values()) <= {1}
+    for members in cells.values():
+        left = np.array([r for r, s in members if s % 2 == 0], np.int64)
+        right = np.array([r for r, s in members if s % 2], np.int64) if members[0][1] >= 2 else None
+        found = lambda a, b: [met.__setitem__((min(x, y), max(x, y)), met[min(x, y), max(x, y)] + 1) for x, y in zip(a.tolist(), b.tolist())]
+        simhash._pairs_in(fp, left, right, radius, np.random.default_rng(0), found)
+    want = {(i, int(j)) for i in range(len(fp)) for j in np.nonzero(np.bitwise_count(fp ^ fp[i]) <= radius)[0] if j > i}
+    assert set(met) == want and set(met.values()) <= {1}
+    if not radius:
+        assert len(tree.route(fp)[0]) == len(fp)
+
+
+@pytest.mark.parametrize("bands", [1, 3, 5])
+@pytest.mark.parametrize("cell", [16_384, 150])
+def test_links_equal_brute_force_for_any_bands(spark, monkeypatch, bands, cell):
+    """Boundary shards (1 and 3 bands), none (5), and cells in blocks, hot ones among them, find the same components."""
+    monkeypatch.setattr(simhash, "CELL_ROWS", cell)
+    monkeypatch.setattr(simhash, "LEAST_CELL", 40)
+    fp = clustered(np.random.default_rng(7), 150).view(np.int64)
+    reps = spark.createDataFrame([(int(x), int(x), 0) for x in fp], "id long, l0 long, size int")
+    links = simhash.links_between(reps, 1, simhash.band_masks(1, bands), 4 // bands, 4).collect()
+    assert all(bin((r.a ^ r.b) & (2**64 - 1)).count("1") == r.bits <= 4 for r in links)
+    got = brute_groups([int(x) & (2**64 - 1) for x in fp], list(range(len(fp))), 4)
+    at, group = {int(x): i for i, x in enumerate(fp)}, list(range(len(fp)))
+    for r in links:
+        a, b = group[at[r.a]], group[at[r.b]]
+        group = [min(a, b) if g in (a, b) else g for g in group]
+    assert group == got
+
+
+def test_rows_dealt_out_grow_with_the_rows():
+    """Unlike fingerprints and a hot group of near copies: five trees deal out five rows a row at every size."""
+    rng = np.random.default_rng(11)
+    for n in (50_000, 250_000):
+        fp = np.unique(np.concatenate([rng.integers(0, 2**64, n, dtype=np.uint64), np.uint64(12345) ^ (np.uint64(1) << rng.integers(0, 64, n // 10, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, n // 10, dtype=np.uint64))]))
+        bands = simhash.band_masks(1, 5)
+        trees = simhash.plan_trees(rng.choice(fp, simhash.SAMPLE_ROWS)[:, None], len(fp), bands, 0, 200)
+        for (lane, first, bits), tree in zip(bands, trees):
+            rows, leaf, _ = tree.route(simhash.band_values(fp, first, bits))
+            sizes = np.bincount(leaf)
+            assert len(rows) == len(fp) and np.median(sizes[sizes > 0]) <= 2 * simhash.CELL_ROWS
 
 
 def test_near_duplicates_equal_brute_force(spark):

@@ -2,17 +2,22 @@
 
 1. Every text becomes a fingerprint (majority bits over the hashes of its word shingles).
 2. Equal fingerprints collapse to one class; only distinct ones are compared.
-3. A vantage-point tree, its pivots and medians taken from a bounded sample, deals the
-   distinct fingerprints out into cells.  A node with pivot v and radius m splits a set S
-   into ``inner`` (d <= m) and ``outer`` (d > m).  By the triangle inequality two
-   fingerprints within r bits of each other that fall on different sides both lie within
-   r of the boundary, so S splits exactly into the three smaller problems
-   pairs(inner), pairs(outer), pairs(inner boundary x outer boundary); a two-sided problem
-   splits into four.  No pair is lost and none is met twice.
-4. Each cell is one task: the tree goes on in numpy until a block is small, which is then
-   compared by popcount.  A cell gives back a spanning forest of its links (fewer rows
-   than it has members), never all pairs within a group.
-5. Connected components over the forests give the groups.
+3. The bits are dealt into bands.  Two fingerprints within r bits of each other are within
+   r // bands bits of each other in one band at least, so each band has a vantage-point
+   tree of its own that looks for pairs within that smaller radius.
+4. A node of a tree has a pivot and a radius m of its own, chosen from a bounded sample so
+   that it parts its members evenly: ``inner`` (d <= m) and ``outer`` (d > m).  By the
+   triangle inequality two members within r of each other that fall on different sides both
+   lie within r of the boundary, so a node splits exactly into pairs(inner), pairs(outer)
+   and pairs(inner boundary x outer boundary); a two-sided node splits into four.  At radius
+   0 nothing lies in the boundary, and a tree deals every row out once.
+5. Leaves are cells.  A cell that is still too large (rows that no pivot can part) is cut into
+   blocks, every two of which meet in one task.  A task gives back a spanning forest of its
+   links (fewer rows than it has members), never all pairs within a group.
+6. Connected components over the forests give the groups.
+
+One tree over all 64 bits would deal unlike fingerprints out 1.7 times over at each level, as
+two thirds of them lie within 4 bits of any median: rows would grow near N^1.75.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,12 +35,16 @@ from .common import cut, free_name, text_or_empty, written
 from .components import connected_components
 from .forest import Forest
 
-#: Rows of the sample that the tree's pivots and radii come from.
-SAMPLE_ROWS = 4096
-#: Distinct fingerprints that one cell should hold at most (a task's share of the work).
-CELL_ROWS = 120_000
+#: Rows of the sample that the trees' pivots and radii come from, and what a node needs to be split.
+SAMPLE_ROWS, NODE_SAMPLE = 16_384, 16
+#: A node is split if that leaves less than this share of its pairs to compare, while the tree has few nodes.
+WORTH, MOST_NODES = 0.85, 8192
+#: Rows that one task should compare, at most and (where there are fewer rows than tasks could share) at least.
+CELL_ROWS, LEAST_CELL = 16_384, 512
 #: In a task, blocks of so many fingerprints are compared directly.
 LEAF_ROWS = 512
+#: Comparisons that are held in memory at once.
+COMPARED = 1 << 20
 _SEED = 42
 
 
@@ -109,61 +119,110 @@ def fingerprint_udf(width: int, lanes: int):
     return fingerprint
 
 
-# --- the tree -------------------------------------------------------------------------
+# --- the trees ------------------------------------------------------------------------
 
 
 def _near(a: np.ndarray, pivot) -> np.ndarray:
     return np.bitwise_count(a ^ pivot)
 
 
-def build_tree(sample: np.ndarray, total: int, cell_rows: int = CELL_ROWS) -> list:
-    """Pivot and radius for each level of the tree; the nodes of a level share them.
-
-    Sharing keeps the tree as small as its depth and lets every cell be named by one digit
-    a level.  Pivots are spread out: each is the sample point farthest from those before.
-    """
-    levels, rows = [], total
-    if not len(sample):
-        return levels
-    gap = np.full(len(sample), 99, np.int64)
-    pivot = sample[0]
-    while rows > cell_rows and len(levels) < 24:
-        d = _near(sample, pivot).astype(np.int64)
-        levels.append((int(pivot), int(np.median(d))))
-        gap = np.minimum(gap, np.minimum(d, 64 - d))
-        pivot = sample[int(np.argmax(gap))]
-        rows /= 2
-    return levels
-
-
-def cells_of(fp: np.ndarray, levels: list, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers and cell codes: every cell in which a fingerprint takes part.
-
-    A code is built from one base-4 digit a level.  In a one-sided cell: 0 inner, 1 outer,
-    2/3 the boundary cell as its left/right side.  In a two-sided cell the digit names one
-    of its four sub-cells; the side is kept in the lowest bit of the code.
-    """
-    rows, code = np.arange(len(fp)), np.ones(len(fp), np.int64)  # a leading 1 keeps levels apart
-    two, side = np.zeros(len(fp), bool), np.zeros(len(fp), np.int64)
-    for pivot, mid in levels:
-        d = _near(fp[rows], np.uint64(pivot)).astype(np.int64)
-        inner = d <= mid
-        edge = np.where(inner, d > mid - radius, d <= mid + radius)
-        # the cell on its own side of the boundary
-        own = (np.where(inner, 0, 1), two, side)
-        # and the one across it: a one-sided cell becomes two-sided (left: inner, right: outer);
-        # in a two-sided cell, left-inner meets right-outer (2) and left-outer meets right-inner (3)
-        across_digit = np.where(two, np.where(side == 0, np.where(inner, 2, 3), np.where(inner, 3, 2)), 2)
-        across_side = np.where(two, side, np.where(inner, 0, 1))
-        rows = np.concatenate([rows, rows[edge]])
-        code = np.concatenate([code * 4 + own[0], code[edge] * 4 + across_digit[edge]])
-        side = np.concatenate([side, across_side[edge]])
-        two = np.concatenate([two, np.ones(int(edge.sum()), bool)])
-    return rows, code * 4 + two * 2 + side
+def band_masks(lanes: int, bands: int, width: int = 0) -> list[tuple[int, int, int]]:
+    """(lane, first bit, bits) of each band: ``bands`` equal shares of each lane, or as many of ``width`` bits as it holds."""
+    if width:
+        return [(lane, at, width) for lane in range(lanes) for at in range(0, 64 - width + 1, width)]
+    ends = [64 * i // bands for i in range(bands + 1)]
+    return [(lane, a, b - a) for lane in range(lanes) for a, b in zip(ends, ends[1:])]
+
+
+def band_values(lane: np.ndarray, first: int, bits: int) -> np.ndarray:
+    return (lane >> np.uint64(first)) & np.uint64((1 << bits) - 1)
+
+
+class Tree:
+    """A vantage-point tree; each node is a leaf (None) or (pivot, radius, children)."""
+
+    def __init__(self, sample: np.ndarray, per_sample: float, cell_rows: float, radius: int):
+        self.radius, self.nodes = radius, []
+        self._rng = np.random.default_rng(1)
+        self._grow(sample, None, per_sample, cell_rows, 0)
+
+    def _pivot(self, x: np.ndarray) -> tuple | None:
+        """Of some members, the one whose distances part the others best: (pivot, radius) or none."""
+        best = None
+        for pivot in np.unique(self._rng.choice(x, min(8, len(x)), replace=False)):
+            d = np.sort(_near(x, pivot).astype(np.int64))
+            steps = np.nonzero(d[1:] > d[:-1])[0]
+            if len(steps):
+                i = steps[np.argmin(np.abs(steps + 1 - len(d) / 2))]
+                uneven = abs(int(i) + 1 - len(d) / 2)
+                if best is None or uneven < best[0]:
+                    best = uneven, pivot, int(d[i])
+        return best and best[1:]
+
+    def _grow(self, left: np.ndarray, right: np.ndarray | None, per: float, cell_rows: float, depth: int) -> int:
+        at = len(self.nodes)
+        self.nodes.append(None)
+        both = left if right is None else np.concatenate([left, right])
+        if len(both) * per <= cell_rows or len(both) < NODE_SAMPLE or depth > 40:
+            return at
+        found = self._pivot(both)
+        if found is None:
+            return at
+        pivot, mid = found
+
+        def parts(x):
+            d = _near(x, pivot).astype(np.int64)
+            inner = d <= mid
+            return x[inner], x[~inner], x[inner & (d > mid - self.radius)], x[~inner & (d <= mid + self.radius)]
+
+        a_in, a_out, a_edge_in, a_edge_out = parts(left)
+        if right is not None:
+            b_in, b_out, b_edge_in, b_edge_out = parts(right)
+        # pairs left to compare: a split that prunes next to nothing would only deal rows out
+        if right is None:
+            work, before = len(a_in) ** 2 / 2 + len(a_out) ** 2 / 2 + len(a_edge_in) * len(a_edge_out), len(left) ** 2 / 2
+        else:
+            work, before = len(a_in) * len(b_in) + len(a_out) * len(b_out) + len(a_edge_in) * len(b_edge_out) + len(a_edge_out) * len(b_edge_in), len(left) * len(right)
+        if work > WORTH * before or len(self.nodes) > MOST_NODES:
+            return at
+        grow = lambda x, y: self._grow(x, y, per, cell_rows, depth + 1)
+        if right is None:
+            children = [grow(a_in, None), grow(a_out, None)] + ([grow(a_edge_in, a_edge_out)] if self.radius else [])
+        else:
+            children = [grow(a_in, b_in), grow(a_out, b_out)] + ([grow(a_edge_in, b_edge_out), grow(a_edge_out, b_edge_in)] if self.radius else [])
+        self.nodes[at] = (pivot, mid, children)
+        return at
+
+    def route(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row numbers, leaves and roles: every leaf that a value takes part in; role 0 in one-sided leaves, 2 or 3 as a side of others."""
+        out, todo = [], [(0, np.arange(len(values)), None)]
+        while todo:
+            at, rows, side = todo.pop()
+            if not len(rows):
+                continue
+            node = self.nodes[at]
+            if node is None:
+                out.append((rows, np.full(len(rows), at), np.zeros(len(rows), np.int64) if side is None else 2 + side))
+                continue
+            pivot, mid, children = node
+            d = _near(values[rows], pivot).astype(np.int64)
+            inner = d <= mid
+            todo += [(children[0], rows[inner], side if side is None else side[inner]), (children[1], rows[~inner], side if side is None else side[~inner])]
+            if self.radius:
+                edge = np.where(inner, d > mid - self.radius, d <= mid + self.radius)
+                if side is None:
+                    todo.append((children[2], rows[edge], (~inner[edge]).astype(np.int64)))
+                else:
+                    # left-inner meets right-outer, left-outer meets right-inner
+                    first = edge & (inner == (side == 0))
+                    todo += [(children[2], rows[first], side[first]), (children[3], rows[edge & ~first], side[edge & ~first])]
+        if not out:
+            return (np.empty(0, np.int64),) * 3
+        return tuple(map(np.concatenate, zip(*out)))
 
 
 def _pairs_in(fp: np.ndarray, left: np.ndarray, right: np.ndarray | None, radius: int, rng, found) -> None:
-    """Calls found(rows, rows, distances) with all pairs within ``radius``; the tree within a cell."""
+    """Calls found(rows, rows) with all pairs within ``radius``; the tree within a task."""
     todo = [(left, right, 0)]
     while todo:
         a, b, depth = todo.pop()
@@ -171,22 +230,21 @@ def _pairs_in(fp: np.ndarray, left: np.ndarray, right: np.ndarray | None, radius
             continue
         n, m = len(a), len(b) if b is not None else len(a)
         if n * m <= LEAF_ROWS * LEAF_ROWS or min(n, m) <= 16 or depth > 40 or radius > 8:
-            step = max(1, (1 << 20) // m)
+            step = max(1, COMPARED // m)
             for i in range(0, n, step):
-                d = np.bitwise_count(fp[a[i : i + step], None] ^ fp[None, a if b is None else b])
-                x, y = np.nonzero(d <= radius)
+                x, y = np.nonzero(np.bitwise_count(fp[a[i : i + step], None] ^ fp[None, a if b is None else b]) <= radius)
                 if b is None:
                     up = y > x + i
                     x, y = x[up], y[up]
                 if len(x):
-                    found(a[i + x], (a if b is None else b)[y], d[x, y].astype(np.int64))
+                    found(a[i + x], (a if b is None else b)[y])
             continue
         pivot = fp[a[rng.integers(n)]] if b is None or rng.integers(2) else fp[b[rng.integers(m)]]
         da = _near(fp[a], pivot).astype(np.int64)
         mid = int(np.median(da))
         if mid == da.max():
             mid -= 1
-        ai, a_in, a_out = da <= mid, None, None
+        ai = da <= mid
         a_in, a_out = a[ai & (da > mid - radius)], a[~ai & (da <= mid + radius)]
         if b is None:
             todo += [(a[ai], None, depth + 1), (a[~ai], None, depth + 1), (a_in, a_out, depth + 1)]
@@ -197,120 +255,158 @@ def _pairs_in(fp: np.ndarray, left: np.ndarray, right: np.ndarray | None, radius
         todo += [(a[ai], b[bi], depth + 1), (a[~ai], b[~bi], depth + 1), (a_in, b_out, depth + 1), (a_out, b_in, depth + 1)]
 
 
-def _cell_links(radius: int, lane_bits: int, ratio: float):
-    """applyInPandas function: the forest of links of one cell."""
+def bits_allowed(size: np.ndarray, bits: int, ratio: float) -> np.ndarray:
+    """Bits that rows may differ in; where sets are compared, small ones, whose majorities vary more, a fifth more."""
+    return np.where(size < SMALL_SET, bits * 6 // 5, bits) if ratio else np.full(len(size), bits)
+
+
+def _same_band(lanes: np.ndarray, size: np.ndarray, value: np.ndarray, left: np.ndarray, right: np.ndarray | None, bits: int, ratio: float, found) -> None:
+    """Calls found(rows, rows, distances) with the pairs of equal ``value`` that differ in few bits and are of like size."""
+    left = left[np.lexsort((size[left], value[left]))]
+    other = left if right is None else right[np.lexsort((size[right], value[right]))]
+    allowed = bits_allowed(size, bits, ratio)
+    values, first = np.unique(value[left], return_index=True)
+    lows, highs = np.searchsorted(value[other], values), np.searchsorted(value[other], values, side="right")
+    columns = [np.ascontiguousarray(c) for c in lanes.T]
+    for k, (start, end) in enumerate(zip(first, np.append(first[1:], len(left)))):
+        run = other[lows[k] : highs[k]]
+        if not len(run) or right is None and len(run) < 2:
+            continue
+        sizes, step = size[run], max(1, COMPARED // len(run))
+        for i in range(start, end, step):
+            a = left[i : min(i + step, end)]
+            # both are in order of size: only a stretch of the others can be like enough
+            low = 0 if not ratio else int(np.searchsorted(sizes, ratio * size[a[0]]))
+            high = len(run) if not ratio else int(np.searchsorted(sizes, size[a[-1]] / ratio, side="right"))
+            if right is None:
+                low = max(low, i - start)
+            b = run[low:high]
+            d = np.bitwise_count(columns[0][a, None] ^ columns[0][None, b]).astype(np.uint16)
+            for c in columns[1:]:
+                d += np.bitwise_count(c[a, None] ^ c[None, b])
+            x, y = np.nonzero(d <= int(allowed[a].max()))
+            if right is None:
+                up = y + low > x + (i - start)
+                x, y = x[up], y[up]
+            p, q, d = a[x], b[y], d[x, y].astype(np.int64)
+            fine = d <= np.minimum(allowed[p], allowed[q]) if not ratio else (d <= np.maximum(allowed[p], allowed[q])) & (np.minimum(size[p], size[q]) >= ratio * np.maximum(size[p], size[q]))
+            if fine.any():
+                found(p[fine], q[fine], d[fine])
+
+
+def _cell_links(lanes_n: int, radius: int, bits: int, ratio: float):
+    """applyInPandas function: the forest of links of one task."""
 
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
         ids = pdf["id"].to_numpy()
-        lanes = np.stack(pdf["lanes"].to_numpy()).astype(np.int64).view(np.uint64) if len(pdf) else np.empty((0, 1), np.uint64)
-        fp, size, role = np.ascontiguousarray(lanes[:, 0]), pdf["size"].to_numpy(), pdf["role"].to_numpy()
+        lanes = np.stack([pdf[f"l{k}"].to_numpy() for k in range(lanes_n)], axis=1).view(np.uint64)
+        size, role, value = pdf["size"].to_numpy().astype(np.int64), pdf["role"].to_numpy(), pdf["value"].to_numpy().view(np.uint64)
         forest = Forest()
+        left = np.nonzero(role % 2 == 0)[0]
+        right = np.nonzero(role % 2 == 1)[0] if len(role) and role[0] >= 2 else None
+        if radius:
+            allowed = bits_allowed(size, bits, ratio)
 
-        def found(a, b, d):
-            if lanes.shape[1] > 1 or ratio:
+            def near(a, b):
                 d = np.bitwise_count(lanes[a] ^ lanes[b]).sum(axis=1).astype(np.int64)
-                ok = np.minimum(size[a], size[b]) >= ratio * np.maximum(size[a], size[b])
-                if lane_bits:
-                    ok &= d <= lane_bits
-                a, b, d = a[ok], b[ok], d[ok]
-            forest.add(a, b, d)
+                fine = (d <= np.maximum(allowed[a], allowed[b])) & (np.minimum(size[a], size[b]) >= ratio * np.maximum(size[a], size[b]))
+                forest.add(a[fine], b[fine], d[fine])
 
-        left = np.nonzero(role % 2 == 0)[0]
-        two = bool(len(role)) and role[0] >= 2
-        _pairs_in(fp, left, np.nonzero(role % 2 == 1)[0] if two else None, radius, np.random.default_rng(1), found)
+            _pairs_in(value, left, right, radius, np.random.default_rng(1), near)
+        else:
+            _same_band(lanes, size, value, left, right, bits, ratio, forest.add)
         a, b, d = forest.links()
         return pd.DataFrame({"a": ids[a], "b": ids[b], "bits": d})
 
     return links
 
 
-def _in_cells(reps: DataFrame, levels: list, radius: int) -> DataFrame:
-    """``reps`` (id, lanes, size, band) once for each cell it takes part in: cell, role added.
-
-    Bands (of sizes) are a first, coarser split: a row is a member of its own band and the
-    left side of the two-sided cell with the next band.
-    """
-    schema = "id long, lanes array<long>, size int, cell string, role int"
-
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            fp = np.array([x[0] for x in pdf["lanes"]], np.int64).view(np.uint64)
-            rows, code = cells_of(fp, levels, radius)
-            out = pdf.iloc[rows]
-            yield pd.DataFrame(
-                {"id": out["id"], "lanes": out["lanes"], "size": out["size"], "cell": [f"{b}:{c >> 2}:{(c >> 1) & 1}" for b, c in zip(out["band"], code)], "role": (code & 3).astype(np.int32)}
-            )
-
-    return reps.mapInPandas(deal, schema)
-
-
-def _across_bands(reps: DataFrame, levels: list, radius: int) -> DataFrame:
-    """Rows for the two-sided cells between a band and the next: both sides visit the same tree."""
-    schema = "id long, lanes array<long>, size int, cell string, role int"
-
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            fp = np.array([x[0] for x in pdf["lanes"]], np.int64).view(np.uint64)
-            for side, shift in ((0, 0), (1, -1)):
-                rows, code = _two_sided(fp, levels, radius, side)
-                out = pdf.iloc[rows]
-                yield pd.DataFrame(
-                    {"id": out["id"], "lanes": out["lanes"], "size": out["size"], "cell": [f"{b + shift}/{c}" for b, c in zip(out["band"], code)], "role": np.full(len(rows), 2 + side, np.int32)}
-                )
-
-    return reps.mapInPandas(deal, schema)
-
-
-def _two_sided(fp: np.ndarray, levels: list, radius: int, side: int) -> tuple[np.ndarray, np.ndarray]:
-    rows, code = np.arange(len(fp)), np.ones(len(fp), np.int64)
-    for pivot, mid in levels:
-        d = _near(fp[rows], np.uint64(pivot)).astype(np.int64)
-        inner = d <= mid
-        edge = np.where(inner, d > mid - radius, d <= mid + radius)
-        across = np.where(inner, 2, 3) if side == 0 else np.where(inner, 3, 2)
-        rows, code = np.concatenate([rows, rows[edge]]), np.concatenate([code * 4 + np.where(inner, 0, 1), code[edge] * 4 + across[edge]])
-    return rows, code
+def _sample(reps: DataFrame, lanes: int) -> np.ndarray:
+    """At most SAMPLE_ROWS rows of lanes, the least by hash: the same rows however they are dealt out."""
+    names = [f"l{k}" for k in range(lanes)]
+    rows = reps.select(*names).orderBy(F.xxhash64(*names, F.lit(7)), *names).limit(SAMPLE_ROWS).toPandas()
+    return rows.to_numpy(np.int64).view(np.uint64).reshape(-1, lanes)
 
 
-def _sample(reps: DataFrame) -> np.ndarray:
-    """At most SAMPLE_ROWS first lanes, the least by hash: the same rows however they are dealt out."""
-    rows = reps.select(F.col("lanes")[0].alias("x")).distinct().orderBy(F.xxhash64("x", F.lit(7)), "x").limit(SAMPLE_ROWS).collect()
-    return np.array([r["x"] for r in rows], np.int64).view(np.uint64)
+def plan_trees(sample: np.ndarray, total: int, bands: list, radius: int, partitions: int, cell_rows: int | None = None) -> list[Tree]:
+    """A tree for each band; cells are as large as CELL_ROWS allows and tasks can share."""
+    cell = cell_rows or min(CELL_ROWS, max(LEAST_CELL, total * len(bands) // (2 * partitions)))
+    per = total / max(1, len(sample))
+    return [Tree(band_values(sample[:, lane], first, bits), per, cell, radius) for lane, first, bits in bands]
 
 
-def links_between(reps: DataFrame, radius: int, lane_bits: int = 0, similarity: float = 0.0) -> DataFrame:
-    """Links ``(a, b, bits)`` among ``reps`` (id, lanes, size): a spanning forest for each cell of the tree.
+def links_between(reps: DataFrame, lanes: int, bands: list, band_radius: int, bits: int, similarity: float = 0.0) -> DataFrame:
+    """Links ``(a, b, bits)`` among ``reps`` (id, l0.. lanes, size): a spanning forest for each task.
 
-    Two rows link if the first lanes differ in at most ``radius`` bits and, where asked, all
-    lanes together in at most ``lane_bits`` and the sizes' ratio is ``similarity`` or more
-    (sets can't be more alike than that).
+    Two rows link if they are within ``band_radius`` in one band, differ in at most ``bits`` bits of all
+    lanes and, where asked, the sizes' ratio is ``similarity`` or more (sets can't be more
+    alike than that).
     """
-    total = reps.count()
-    sample = _sample(reps)
-    # Jaccard >= s bounds the sizes' ratio by s: rows meet only within a band or in adjacent ones
-    band = F.floor(F.log(F.greatest(F.col("size"), F.lit(1)).cast("double")) / F.lit(float(-np.log(similarity) * 1.0001))).cast("int") if similarity else F.lit(0)
-    banded = reps.select("id", "lanes", "size", band.alias("band"))
-    largest = banded.groupBy("band").count().agg(F.max("count")).first()[0] or 0 if similarity else total
-    levels = build_tree(sample, largest)
-    dealt = _in_cells(banded, levels, radius)
-    if similarity:
-        dealt = dealt.unionByName(_across_bands(banded, levels, radius))
-    return dealt.groupBy("cell").applyInPandas(_cell_links(radius, lane_bits, similarity), "a long, b long, bits long")
+    spark = reps.sparkSession
+    total, sample = reps.count(), _sample(reps, lanes)
+    trees = plan_trees(sample, total, bands, band_radius, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shared = spark.sparkContext.broadcast((bands, trees))
+    names = ["id", *[f"l{k}" for k in range(lanes)], "size"]
+
+    def routed(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for band, ((lane, first, width), tree) in enumerate(zip(*shared.value)):
+            value = band_values(batch.column(1 + lane).to_numpy().view(np.uint64), first, width)
+            rows, leaf, role = tree.route(value)
+            yield rows, band << 32 | leaf, role, value
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, cell, role, _ in routed(batch):
+                kinds, n = np.unique(cell * 4 + role, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(n)], names=["kind", "n"])
+
+    # as many rows as the trees have leaves, which the sample bounds
+    counted = reps.select(*names).mapInArrow(count, "kind long, n long").groupBy("kind").agg(F.sum("n").alias("n")).where(F.col("n") > CELL_ROWS).collect()
+    blocks = spark.sparkContext.broadcast({r["kind"]: -(-r["n"] // CELL_ROWS) for r in counted})
+    schema = ", ".join(f"{n} long" for n in names[:-1]) + ", size int, value long, cell long, x int, y int, role int"
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = _mixed(batch.column(0).to_numpy().view(np.uint64), 9)
+            for rows, cell, role, value in routed(batch):
+                rows, cell, x, y, role = _in_blocks(rows, cell, role, own, blocks.value)
+                part = batch.take(pa.array(rows))
+                columns = [*part.columns, pa.array(value[rows].view(np.int64)), pa.array(cell), pa.array(x, pa.int32()), pa.array(y, pa.int32()), pa.array(role, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "value", "cell", "x", "y", "role"])
+
+    dealt = reps.select(*names).mapInArrow(deal, schema)
+    return dealt.groupBy("cell", "x", "y").applyInPandas(_cell_links(lanes, band_radius, bits, similarity), "a long, b long, bits long")
+
+
+def _in_blocks(rows: np.ndarray, cell: np.ndarray, role: np.ndarray, own: np.ndarray, blocks: dict) -> tuple:
+    """Rows of cells with several blocks once for each pair of blocks (x, y) that theirs is in; the others stay in (0, 0)."""
+    hot = {kind >> 2 for kind in blocks}
+    large = np.isin(cell, list(hot)) if hot else np.zeros(len(cell), bool)
+    out = [(rows[~large], cell[~large], np.zeros((~large).sum(), np.int64), np.zeros((~large).sum(), np.int64), role[~large])]
+    for kind in np.unique(cell[large] * 4 + role[large]).tolist():
+        c, r = kind >> 2, kind & 3
+        mine = rows[large & (cell == c) & (role == r)]
+        k = blocks.get(kind, 1)
+        b = (own[mine] % np.uint64(k)).astype(np.int64)
+        for j in range(k if r == 0 else blocks.get(kind ^ 1, 1)):
+            other = np.full(len(mine), j)
+            x, y = (np.minimum(b, other), np.maximum(b, other)) if r == 0 else (b, other) if r == 2 else (other, b)
+            # in a one-sided cell a block meets itself (one-sided) and each other one, the lesser block on the left
+            as_role = np.where(b == j, 0, np.where(b < j, 2, 3)) if r == 0 else np.full(len(mine), r)
+            out.append((mine, np.full(len(mine), c), x, y, as_role))
+    return tuple(map(np.concatenate, zip(*out)))
 
 
 # --- the operators --------------------------------------------------------------------
 
 
-def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, radius: int = 4) -> DataFrame:
+def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, radius: int = 4, bands: int | None = None) -> DataFrame:
     """Groups documents whose fingerprints are linked, directly or over others.
 
     Returns the columns of ``docs`` but the text, with ``fingerprint`` (16 hex digits) and
     ``component_id`` (the least non-null id of the group).  Links join fingerprints that
-    differ in ``radius`` bits or fewer; equal ones always link.
+    differ in ``radius`` bits or fewer; equal ones always link.  ``bands`` (radius + 1 unless
+    given) changes the work alone.
 
     Null texts count as empty; texts without words have fingerprint zero and link like any
     other.  Repeated ids and rows with null ids keep their rows; a group whose ids are all
@@ -322,8 +418,9 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marked = cut(docs.withColumn(tmp, lane).drop(text_col))
     classes = cut(marked.groupBy(F.col(tmp).alias("fp")).agg(F.min(id_col).alias("least")))
     # a class goes by its fingerprint while links are made: ids may be null or repeated
-    reps = classes.select(F.col("fp").alias("id"), F.array("fp").alias("lanes"), F.lit(0).alias("size"))
-    found = connected_components(links_between(reps, radius))
+    reps = classes.select(F.col("fp").alias("id"), F.col("fp").alias("l0"), F.lit(0).alias("size"))
+    bands = bands or radius + 1
+    found = connected_components(links_between(reps, 1, band_masks(1, bands), radius // bands, radius))
     rooted = classes.join(found, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component", "fp").alias("root"), "least")
     roots = rooted.groupBy("root").agg(F.min("least").alias("group"))
     named = rooted.join(roots, "root").select(F.col("fp").alias("__fp"), F.col("group").alias("__group"))
@@ -335,10 +432,11 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
-#: The stage of near-duplicates: 64-bit lanes, bits that the first lane and that all lanes may differ in.
-#: Sets of Jaccard 0.8 have cosine 0.89, so a bit differs with chance 0.15: 9.7 +- 2.9 bits of 64 and
-#: 39 +- 5.7 of 256.  Both limits lie more than two (first lane) and three (all lanes) deviations above.
-STAGE_LANES, STAGE_RADIUS, STAGE_BITS = 4, 17, 60
+#: The stage of near-duplicates: 64-bit lanes, bits of a band, bits that all lanes may differ in.  Sets of Jaccard 0.8
+#: have cosine 0.89, so a bit differs with chance 0.15.  Of 28 bands of 9 bits one at least is equal but for a chance
+#: of 0.0007; of 256 bits 39 +- 5.7 differ, 60 lies 3.7 deviations above.  Sets under SMALL_SET shingles may differ
+#: in a fifth more (4 shingles against 5: a chance of 0.19, all bands unlike in 0.009).
+STAGE_LANES, STAGE_BAND, STAGE_BITS, SMALL_SET = 4, 9, 60, 24
 
 
 #: Rows and bytes of shingle sets that a block of a group still to be settled should hold; a task holds two.
@@ -376,12 +474,12 @@ def _block_links(similarity: float):
         shingles, at = np.unique(np.concatenate(sets), return_inverse=True)
         marked = np.zeros(len(shingles), bool)
         left, right = np.nonzero(pdf["role"].to_numpy() == 0)[0], np.nonzero(pdf["role"].to_numpy() == 1)[0]
-        two, found = bool(len(right)), []
+        two, found, allowed = bool(len(right)), [], bits_allowed(size, STAGE_BITS, similarity)
         for i, a in enumerate(left):
             others = right if two else left[i + 1 :]
-            others = others[(root[others] != root[a]) & (np.bitwise_count(lanes[others, 0] ^ lanes[a, 0]) <= STAGE_RADIUS)]
+            others = others[root[others] != root[a]]
             others = others[np.minimum(size[others], size[a]) >= similarity * np.maximum(size[others], size[a])]
-            others = others[np.bitwise_count(lanes[others] ^ lanes[a]).sum(axis=1) <= STAGE_BITS]
+            others = others[np.bitwise_count(lanes[others] ^ lanes[a]).sum(axis=1) <= np.maximum(allowed[others], allowed[a])]
             if not len(others):
                 continue
             mine = at[ends[a] : ends[a + 1]]
@@ -434,9 +532,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` with one document of each group of near-duplicates, same columns.
 
     Documents link if the Jaccard similarity of their ``width``-word shingle sets is
-    ``similarity`` or more.  Candidates come from 64-bit fingerprints by the tree, are
-    checked against longer fingerprints in the same task, and are verified on the whole
-    texts: first a spanning forest of them, then, where a link of it is false, every
+    ``similarity`` or more.  Candidates agree in a band of their fingerprints' bits (a tree
+    each), are checked on all bits and on sizes in the same task, and are verified on the whole texts: first a spanning forest of them, then, where a link of it is false, every
     candidate between the groups around it.  The document with the least (id, row) of a
     group stays; null ids come last.
 
@@ -454,7 +551,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         .agg(first.alias("first"), F.min(F.struct(lanes, size)).alias("x"))
         .select(F.col("first.r").alias("id"), "first", F.col(f"x.{lanes}").alias("lanes"), F.col(f"x.{size}").alias("size"))
     )
-    near = cut(links_between(classes.select("id", "lanes", "size"), STAGE_RADIUS, STAGE_BITS, similarity))
+    each_lane = [F.col("lanes")[k].alias(f"l{k}") for k in range(STAGE_LANES)]
+    near = cut(links_between(classes.select("id", *each_lane, "size"), STAGE_LANES, band_masks(STAGE_LANES, 0, STAGE_BAND), 0, STAGE_BITS, similarity))
     sets = _shingle_sets(near, marked.select(F.col(rid).alias("id"), text_col), text_col, width)
     found = connected_components(_jaccard_of_links(near, sets).where(F.col("jaccard") >= similarity))
     found = connected_components(found.toDF("a", "b").unionByName(_links_across(near, found, classes, sets, similarity)))
