@@ -232,6 +232,95 @@ def test_battery_tells_keys_from_words(spark):
     assert sum(got[1000 + i] for i in range(120)) <= 6
 
 
+def battery(token, encoding):
+    """The three tests with scipy's exact normal tails replaced by math.erfc, and Fisher's sum of logs: -ln p."""
+    import math
+
+    alphabet = secrets._ALPHABETS[encoding]
+    plain = token.replace("-", "+").replace("_", "/") if encoding == "base64" else token if encoding in ("base32", "both") else token.lower()
+    codes = np.array([alphabet.index(c) + 1 for c in plain], float)
+    n, k = len(codes), len(alphabet)
+    tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    counts = np.bincount(codes.astype(int), minlength=k + 1)[1:]
+    chi, df = (counts**2).sum() * k / n - n, k - 1
+    p1 = tail((max(chi / df, 0) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)))
+    high = codes > (k + 1) / 2
+    hi, lo, runs = high.sum(), (~high).sum(), 1 + (high[1:] != high[:-1]).sum()
+    mean = 1 + 2 * hi * lo / n
+    p2 = min(1.0, 2 * tail(abs(runs - mean) / math.sqrt(max((mean - 1) * (mean - 2) / (n - 1), 1e-9))))
+    c = codes - (k + 1) / 2
+    p3 = min(1.0, 2 * tail(abs((c[1:] * c[:-1]).sum() / ((k * k - 1) / 12) / math.sqrt(n - 1))))
+    half = -sum(math.log(max(p, 1e-300)) for p in (p1, p2, p3))
+    # the upper tail of chi-squared with six degrees of freedom at 2 * half
+    return half - math.log1p(half + half * half / 2)
+
+
+def infer(token):
+    digit, lower, upper = (any(c in s for c in token) for s in (secrets._DIGITS, secrets._LOWER, secrets._LOWER.upper()))
+    one_case = lower != upper
+    inside = lambda s: set(token) <= set(s)
+    for name, fits in (
+        ("hex", digit and one_case and inside("0123456789abcdef") or digit and one_case and inside("0123456789ABCDEF")),
+        ("base32", digit and upper and inside(secrets._ALPHABETS["base32"])),
+        ("base36", digit and one_case and token.isalnum()),
+        ("letters", one_case and token.isalpha()),
+        ("both", token.isalpha()),
+        ("base64", lower or upper),
+    ):
+        if fits:
+            return name if len(token) >= secrets.least_length(name) else None
+    return None
+
+
+ORDINARY = ["iphone15promaxreviewvideos", "sha256WithRSAEncryption", "thequickbrownfoxjumpsoverthelazydogandrunsaway", "Docs/some_page_name/the-thing-that-was-there-7", "getElementsByClassNameAndAttribute", "internationalizationofeverything2024edition", "ABSOLUTELYNOTASECRETJUSTSHOUTINGATEVERYONEHERE"]
+
+
+def test_battery_equals_brute_force(spark):
+    rng = random.Random(12)
+    tokens_ = list(ORDINARY)
+    for letters in secrets._ALPHABETS.values():
+        tokens_ += ["".join(rng.choice(letters) for _ in range(rng.choice([18, 20, 24, 31, 33, 45, 70, 150, 300]))) for _ in range(25)]
+    tokens_ += ["A" * 40, "0" * 30, "ab" * 30, "a1" * 15, "-" * 25, "_9" * 20]
+    rows = [(i, f"see {t} there") for i, t in enumerate(tokens_)]
+    got = {r.doc_id: r.c for r in docs(spark, *rows).select("doc_id", secrets.candidates(F.col("text")).alias("c")).collect()}
+    for i, t in enumerate(tokens_):
+        want = infer(t) if len(t) >= secrets.RUN_LEAST else None
+        assert [(c["start"], c["end"], c["encoding"]) for c in got[i]] == ([(4, 4 + len(t), want)] if want else []), t
+        for c in got[i]:
+            assert c["surprise"] == pytest.approx(battery(t, want), rel=1e-3, abs=1e-3), t
+            assert secrets.BANDS[c["band"]] <= len(t) and (c["band"] == 4 or len(t) < secrets.BANDS[c["band"] + 1])
+
+
+def test_reported_runs_equal_brute_force(spark):
+    """Thresholds by the same rule in numpy; letters without digits are found, ordinary names are not."""
+    import math
+
+    rng = random.Random(13)
+    words = "the of and to in is that for it was on are with as be this have from or had by not but what all were when we there can".split()
+    tokens_ = ["".join(rng.choice(secrets._ALPHABETS["both"]) for _ in range(rng.choice([32, 40]))) for _ in range(60)]
+    tokens_ += ["".join(rng.choice(words).capitalize() for _ in range(12)) for _ in range(400)] + ["qZkPwLrTxVbNmHgFdSaQyUiOcEjKzXwB", *ORDINARY]
+    rows = [(i, f"x {t} y") for i, t in enumerate(tokens_)]
+    got = {r["doc_id"]: len(r["random"]) for r in secrets.scan_secrets(docs(spark, *rows)).collect()}
+    found = {i: (e, max(b for b in range(5) if secrets.BANDS[b] <= len(t)), battery(t, e)) for i, t in enumerate(tokens_) if (e := infer(t))}
+    half = math.floor(math.log(2) / secrets.BIN)
+    reported = set()
+    for key in {f[:2] for f in found.values()}:
+        mine = {i: math.floor(s / secrets.BIN) for i, (e, b, s) in found.items() if (e, b) == key}
+        h = sum(x < half for x in mine.values())
+        limits = [math.log(2)]
+        for x in set(mine.values()):
+            edge, r = (x + 1) * secrets.BIN, sum(y <= x for y in mine.values())
+            keys = (h + math.sqrt(h)) * (1 - math.exp(-edge)) / (1 - math.exp(-half * secrets.BIN))
+            if edge <= -math.log(secrets.LEAST_P) and r - keys <= secrets.FALSE_DISCOVERY * r:
+                limits.append(edge)
+        limit = max(limits[1:], default=limits[0])
+        reported |= {i for i in mine if found[i][2] < limit}
+    assert {i for i, n in got.items() if n} == reported
+    assert sum(i < 60 for i in reported) >= 54 and sum(60 <= i < 460 for i in reported) <= 3
+    # 460 changes its case at every letter: as the runs test says, that is no random string
+    assert not any(i >= 460 for i in reported)
+
+
 def test_redaction(spark):
     rows = [(1, "a password=hunter2222 b " + "0a" * 20 + "!"), (2, None), (3, "clean"), (4, "token: " + "ab12" * 10), (5, "")]
     got = {r.doc_id: r.text for r in secrets.redact(docs(spark, *rows)).collect()}

@@ -1,14 +1,19 @@
 """Secret scans: three fixed patterns and a battery of randomness tests, in Spark expressions alone.
 
 The patterns give the base spans.  The battery looks at every other long run of code
-characters.  It infers an encoding (hexadecimal, base 32, base 36, base 64) and tests the
-hypothesis that the symbols were drawn at random: a chi-squared test of a uniform alphabet,
-a runs test about the middle of the alphabet and a test of lag-one serial correlation,
-combined by Fisher's method.  Ordinary names, paths and words fail that hypothesis; what
-does not fail it looks like a key.  False discoveries (keys taken for words) are controlled
-by Benjamini-Hochberg steps within each encoding and band of lengths, because short strings
-have little power and must not share a threshold with long ones.  The steps need the ranks
-of all p-values; they are read from a histogram of fixed size, so no global sort is made.
+characters.  It infers an encoding (hexadecimal, base 32, base 36, letters of one or both
+cases, base 64) and tests the hypothesis that the symbols were drawn at random: a
+chi-squared test of a uniform alphabet, a runs test about the middle of the alphabet and a
+test of lag-one serial correlation, combined by Fisher's method.  Ordinary names, paths and
+words fail that hypothesis; what does not fail it looks like a key.
+
+Two rules keep words from being reported.  A run is judged only if it is so long that
+ordinary text of its length lies POWER deviations beyond a uniform alphabet.  And within each
+encoding and band of lengths the share of words among what is reported (false discoveries)
+is held at FALSE_DISCOVERY: p-values of keys are uniform, so those above one half tell how
+many keys there are, and what is reported beyond the keys' share of it counts as words.  No
+run with p below LEAST_P is reported, so a key is missed with that chance at least.  The
+counts are read from a histogram of fixed size: no global sort is made.
 
 Positions count code points, from 0, ends exclusive.
 """
@@ -31,22 +36,39 @@ HEX = r"[0-9a-f]+"
 HEX_LEAST = 32
 KINDS = ("assign", "access", "hex", "random")
 
-#: Runs that the battery looks at, and the shortest ones with enough power.
+#: Runs that the battery looks at, and the shortest ones.
 RUN = r"[A-Za-z0-9+/_-]+"
 RUN_LEAST = 20
-#: Share of keys that may be taken for words.
-FALSE_DISCOVERY = 0.05
+#: Share of words among the reported runs, and the least p-value that is reported.
+FALSE_DISCOVERY, LEAST_P = 0.05, 0.01
+#: Chance that two letters of ordinary text are equal, and deviations that text must lie beyond a uniform alphabet.
+COINCIDENCE, POWER = 0.065, 4.0
 #: Length bands start at these lengths.
 BANDS = (20, 32, 48, 80, 160)
 #: The histogram: bins of -ln(p).
 BIN, BINS = 0.05, 1200
 
+_LOWER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 _ALPHABETS = {
-    "hex": "0123456789abcdef",
-    "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
-    "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
-    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "hex": _DIGITS + "abcdef",
+    "base32": _LOWER.upper() + "234567",
+    "base36": _DIGITS + _LOWER,
+    "letters": _LOWER,
+    "both": _LOWER.upper() + _LOWER,
+    "base64": _LOWER.upper() + _LOWER + _DIGITS + "+/",
 }
+
+
+def least_length(encoding: str) -> int:
+    """The shortest run that tells random symbols from text: n (k * COINCIDENCE - 1) >= POWER * sqrt(2 (k - 1)).
+
+    Words of hexadecimal digits alone are rare at any length that is looked at.
+    """
+    k = len(_ALPHABETS[encoding])
+    excess = k * COINCIDENCE - 1
+    return max(RUN_LEAST, math.ceil(POWER * math.sqrt(2 * (k - 1)) / excess)) if excess > 0.1 else RUN_LEAST
+
+
 _SPAN = "array<struct<start:int,ord:int,end:int>>"
 
 
@@ -100,13 +122,21 @@ def _upper_tail(z: Column) -> Column:
 
 
 def _encoding(token: Column) -> Column:
+    """The smallest encoding that the run fits; null for numbers and for runs too short for theirs."""
     digit, lower, upper = token.rlike("[0-9]"), token.rlike("[a-z]"), token.rlike("[A-Z]")
-    return (
-        F.when(token.rlike("^([0-9a-f]+|[0-9A-F]+)$") & digit & (lower | upper), F.lit("hex"))
-        .when(token.rlike("^[A-Z2-7]+$") & digit & upper, F.lit("base32"))
-        .when(token.rlike("^([a-z0-9]+|[A-Z0-9]+)$") & digit & (lower | upper), F.lit("base36"))
-        .when(digit & lower & upper, F.lit("base64"))
-    )
+    letters = lower | upper
+    fits = {
+        "hex": token.rlike("^([0-9a-f]+|[0-9A-F]+)$") & digit & letters,
+        "base32": token.rlike("^[A-Z2-7]+$") & digit & upper,
+        "base36": token.rlike("^([a-z0-9]+|[A-Z0-9]+)$") & digit & letters,
+        "letters": token.rlike("^([a-z]+|[A-Z]+)$"),
+        "both": token.rlike("^[A-Za-z]+$"),
+        "base64": letters,
+    }
+    out = F.lit(None).cast("string")
+    for name, fit in reversed(fits.items()):
+        out = F.when(fit, F.when(F.length(token) >= least_length(name), F.lit(name))).otherwise(out)
+    return out
 
 
 def _tests(token: Column, encoding: Column) -> Column:
@@ -114,7 +144,7 @@ def _tests(token: Column, encoding: Column) -> Column:
     alphabet, plain = F.lit(None).cast("string"), token
     for name, letters in _ALPHABETS.items():
         alphabet = F.when(encoding == name, F.lit(letters)).otherwise(alphabet)
-    plain = F.when(encoding == "base64", F.translate(token, "-_", "+/")).when(encoding == "base32", token).otherwise(F.lower(token))
+    plain = F.when(encoding == "base64", F.translate(token, "-_", "+/")).when(encoding.isin("base32", "both"), token).otherwise(F.lower(token))
     k = F.length(alphabet).cast("double")
     n = F.length(token).cast("double")
     # chi-squared of a uniform alphabet, to a normal deviate by the cube root
@@ -171,18 +201,22 @@ def candidates(text: Column) -> Column:
 
 
 def thresholds(scanned: DataFrame, column: str) -> list[tuple[str, int, float]]:
-    """Benjamini-Hochberg by encoding and band: candidates above the threshold are no keys.
+    """By encoding and band, the surprise from which on nothing is reported.
 
-    The histogram has at most BINS bins for each of the 20 encodings and bands; only the
-    thresholds, at most 20 rows, come to the driver.
+    With h runs of p above one half there are 2 h keys, of which (1 - p) lie above p.  What is reported
+    beyond that, and beyond one standard error of h, counts as words.  Above one half the
+    estimate can find none, so that much is reported at least.  The histogram has BINS
+    bins at most for each of the 30 encodings and bands; one threshold each comes to the driver.
     """
     each = scanned.select(F.explode(column).alias("c"))
     bins = each.groupBy(F.col("c.encoding").alias("e"), F.col("c.band").alias("b"), F.least(F.floor(F.col("c.surprise") / BIN), F.lit(BINS)).alias("bin")).count()
     by = Window.partitionBy("e", "b")
-    ranked = bins.select("e", "b", "bin", F.sum("count").over(by).alias("m"), F.sum("count").over(by.orderBy(F.desc("bin"))).alias("rank"))
-    # the i-th smallest p-value may be i * q / m; a bin counts with the largest p-value in it
-    passed = ranked.where(F.exp(-F.col("bin") * BIN) <= F.col("rank") * FALSE_DISCOVERY / F.col("m"))
-    return [(r["e"], r["b"], r["t"]) for r in passed.groupBy("e", "b").agg(F.min(F.col("bin") * BIN).alias("t")).collect()]
+    half = math.floor(math.log(2) / BIN)
+    sums = bins.select("e", "b", "bin", F.sum("count").over(by.orderBy("bin")).alias("r"), F.sum(F.when(F.col("bin") < half, F.col("count"))).over(by).alias("h"))
+    edge, h = (F.col("bin") + 1) * BIN, F.coalesce("h", F.lit(0))
+    keys = (h + F.sqrt(h)) * (1 - F.exp(-edge)) / (1 - math.exp(-half * BIN))
+    fine = sums.where(((F.col("r") - keys) <= FALSE_DISCOVERY * F.col("r")) & (edge <= -math.log(LEAST_P)))
+    return [(r["e"], r["b"], r["t"]) for r in fine.groupBy("e", "b").agg(F.max(edge).alias("t")).collect()]
 
 
 def scan_secrets(docs: DataFrame, text_col: str = "text", keep_text: bool = True) -> DataFrame:
@@ -200,7 +234,7 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", keep_text: bool = True
     limits = thresholds(scanned, cand)
 
     def limit(c: Column) -> Column:
-        out = F.lit(math.inf)
+        out = F.lit(math.log(2))
         for encoding, band, t in limits:
             out = F.when((c["encoding"] == encoding) & (c["band"] == band), F.lit(t)).otherwise(out)
         return out
