@@ -272,7 +272,7 @@ def infer(token):
     return None
 
 
-ORDINARY = ["iphone15promaxreviewvideos", "sha256WithRSAEncryption", "thequickbrownfoxjumpsoverthelazydogandrunsaway", "Docs/some_page_name/the-thing-that-was-there-7", "getElementsByClassNameAndAttribute", "internationalizationofeverything2024edition", "ABSOLUTELYNOTASECRETJUSTSHOUTINGATEVERYONEHERE"]
+ORDINARY = ["iphone15promaxreviewvideos", "sha256WithRSAEncryption", "themarketpricesofalltheproductsofthisregionwerelate", "Docs/some_page_name/the-thing-that-was-there-7", "getElementsByClassNameAndAttribute", "internationalizationofeverything2024edition", "ABSOLUTELYNOTASECRETJUSTSHOUTINGATEVERYONEHERE"]
 
 
 def test_battery_equals_brute_force(spark):
