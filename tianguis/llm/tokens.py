@@ -17,7 +17,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Units that a worker process remembers before it begins anew.
-STORE_UNITS = 600_000
+STORE_UNITS = 300_000
+#: Texts are cut into units together up to so many bytes (a longer text by itself).
+SLICE_BYTES = 2 << 20
 #: Units that the library encodes as one text.
 JOINED = 256
 
@@ -129,8 +131,17 @@ class Coder:
         offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
         data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
         starts = offsets - offsets[0]
+        parts, i = [], 0
+        while i < len(texts):
+            k = max(i + 1, int(np.searchsorted(starts, starts[i] + SLICE_BYTES, side="right")) - 1)
+            parts.append(self._encode(data[starts[i] : starts[k]], starts[i : k + 1] - starts[i]))
+            i = k
+        ids, counts = zip(*parts)
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def _encode(self, data: np.ndarray, starts: np.ndarray) -> Ids:
         if not len(data):
-            return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
+            return np.empty(0, np.uint32), np.zeros(len(starts) - 1, np.int64)
         cut = self.cuts(data)
         cut[starts[starts < len(data)]] = True
         at = np.nonzero(cut)[0].astype(np.int32)
