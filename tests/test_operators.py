@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tianguis.functions import dates, text
-from tianguis.operators import catalogs, contract, coverage, monitor, pages, prices, rawrows, upsert
+from tianguis.operators import capture, catalogs, contract, coverage, monitor, pages, prices, rawrows, upsert
 from tianguis.plans import requests
 from tianguis.schemas import RAW_SCHEMA
 from tianguis.sources import readers, sinks
@@ -123,6 +123,103 @@ def test_pages(spark):
     assert [(r.date, r.product, r.obs, r.category, r.origin) for r in parsed if r.page_id == "good"] == [("01/07/2026", "Aguacate Hass", None, "Frutas", None), ("02/07/2026", "Limón & sal", "x", None, None)]
 
 
+def test_captured_pages_give_rows_or_reasons(spark):
+    head = ["Fecha", "Producto", "Calidad", "Presentación", "Origen", "Precio Mín"]
+    row = ["01/07/2026", "Papa", "Primera", "Saco", "Puebla", "1,000.50"]
+    week = (D(2026, 7, 1), D(2026, 7, 7))
+    made = [
+        ("good", page(head, row, ["02/07/2026", *row[1:]]), "2", *week),
+        ("empty", "NO HAY REGISTROS", "2", *week),
+        ("cut", page(head, row, n=4), "2", *week),
+        ("day", page(head, row, n=4), "2", week[0], week[0]),
+        ("twice", page(head, row, row), "2", *week),
+        ("lacks", page(head, row[:3] + [""] + row[4:]), "2", *week),
+        ("mode", page(head), None, *week),
+        ("odd mode", page(head, row), "7", *week),
+        ("bad day", page(head, row, ["31/02/2026", *row[1:]]), "2", *week),
+        ("column", page(["Color"], ["x"]), "2", *week),
+        ("refused", "No puede seleccionar todos los productos", "2", *week),
+        ("no rows", page(head), "2", *week),
+    ]
+    schema = "page_id string, html string, prices_per_id string, window_start date, window_end date, source_url string, fetched_at timestamp, product_id string, origin_id string, destination_id string"
+    df = spark.createDataFrame([(*m, "u", NOW, "-1", "-1", "210") for m in made], schema)
+    names = spark.createDataFrame([("210", "Puebla: Central")], "destination_id string, label string")
+    raw_rows, rejections, again = capture.pages_to_raw(df, names)
+    assert {(r.page_id, r.fecha.day, float(r.precio_min), r.destino_raw, r.destino_id) for r in raw_rows.collect()} == {("good", 1, 1000.5, "Puebla: Central", 210), ("good", 2, 1000.5, "Puebla: Central", 210)}
+    assert sorted((r.page_id, r.reason) for r in rejections.collect()) == [
+        ("bad day", "UnwritableRow"), ("column", "UnknownColumn"), ("day", "WindowExhausted"), ("lacks", "MissingFields: presentation"), ("mode", "MissingFields: prices_per_id"),
+        ("odd mode", "UnwritableRow"), ("refused", "QueryRejected"), ("twice", "DuplicateKey"),
+    ]
+    assert sorted((r.page_id, r.window_start.day, r.window_end.day) for r in again.collect()) == [("cut", 1, 4), ("cut", 5, 7)]
+    nothing = capture.pages_to_raw(df.limit(0), names)
+    assert [x.count() for x in nothing] == [0, 0, 0]
+
+
+def test_strict_forms_refuse(spark):
+    markets = spark.createDataFrame([("210",), ("100",)], "destination_id string")
+    assert requests.chosen_strict(markets, markets.limit(1)).count() == 1
+    with pytest.raises(ValueError, match="7"):
+        requests.chosen_strict(markets, spark.createDataFrame([("7",)], "destination_id string"))
+    day = F.lit("2026-07-01").cast("date")
+    url = lambda d: requests.strict_url(requests.request_url("b", day, day, F.lit("-1"), F.lit("-1"), F.lit(d), F.lit("1")))
+    assert spark.range(1).select(url("210")).first()[0].startswith("b?fechaInicio=01%2F07%2F2026")
+    with pytest.raises(Exception, match="cannot all be"):
+        spark.range(1).select(url("-1")).collect()
+
+
+def test_outcomes_of_a_plan(spark):
+    keys = "destination_id string, prices_per_id string"
+    planned = spark.createDataFrame([(m, "1") for m in "abcde"], keys)
+    landed = spark.createDataFrame([("a", "1", 3)], keys + ", rows long")
+    one = lambda m: spark.createDataFrame([(m, "1")], keys)
+    got = {r.destination_id: r.state for r in requests.outcome(planned, landed, one("b"), one("c"), one("d")).collect()}
+    assert got == {"a": "landed", "b": "rejected", "c": "empty", "d": "expected_empty", "e": "missing"}
+
+
+def test_typed_layer_marks_and_keeps(spark):
+    rows = raw(spark, ("2026-07-01", "a", 1))
+    products = spark.createDataFrame([("7", "p - q"), ("9", "p - q")], "product_id string, label string")
+    places = spark.createDataFrame([("1", "d")], "destination_id string, label string")
+    for catalog, market, want in ((products, places, ("7", "1", [])), (products.limit(0), places, (None, "1", ["unknown_product"]))):
+        r = rawrows.typed_layer(rows, catalog, market).first()
+        assert (r.product_key, r.destination_key, r.problems) == want
+    loose = rawrows.typed_layer(rows.withColumn("destino_id", F.lit(None).cast("long")), products, places).first()
+    assert loose.destination_key == "1"
+    assert rawrows.typed_layer(rows.withColumns({"destino_id": F.lit(None).cast("long"), "destino_raw": F.lit("?")}), products, places).first().problems == ["unknown_destination"]
+
+
+def test_season_goes_by_iso_years_and_earlier_observations(spark):
+    days = [("2024-12-30", 10), ("2024-12-31", 20), ("2025-12-29", 15), ("2026-12-29", 99), ("2026-01-01", 5)]
+    df = spark.createDataFrame([("x", D.fromisoformat(a), float(p)) for a, p in days], "g string, fecha date, precio_frecuente double")
+    got = {(r.week, r.year): (r.years, r.observations, r.share_below) for r in prices.season_position(df, ["g"], 1).collect()}
+    # 30 and 31 December 2024 are in week 1 of 2025; 29 December 2025 and 1 January 2026 in week 1 of 2026
+    assert got == {(1, 2025): (0, 0, None), (1, 2026): (1, 2, 0.0), (53, 2026): (0, 0, None)}
+
+
+def test_backfill_quarters_and_spans(spark):
+    rows = spark.createDataFrame([("1", y, n) for y, n in ((1998, 5), (1999, 0), (2000, 2))] + [("2", 1998, 0)], "destination_id string, year int, rows long")
+    s = coverage.summary(rows)
+    known = spark.createDataFrame([("1", D(1998, 4, 1))], "destination_id string, window_start date")
+    got = sorted((r.window_start, r.window_end) for r in coverage.backfill_quarters(s, known).collect())
+    assert len(got) == 7 and got[0] == (D(1998, 1, 1), D(1998, 3, 31)) and got[1][0] == D(1998, 7, 1) and got[-1] == (D(2000, 10, 1), D(2000, 12, 31))
+    assert {(r.first_year, r.last_year, r.n_markets) for r in coverage.markets_by_span(s).collect()} == {(1998, 2000, 1), (None, None, 1)}
+    plan = requests.daily_plan(s, F.lit("2001-03-05").cast("date"), 5, "b").collect()
+    assert {(r.destination_id, r.prices_per_id, r.window_start, r.window_end) for r in plan} == {("1", m, D(2001, 3, 1), D(2001, 3, 5)) for m in "12"}
+
+
+def test_alerts_name_some_and_count_all(spark):
+    want = spark.range(1000, 1250).select(F.col("id").cast("string").alias("market"))
+    lines = spark.range(300).select(F.format_string("destino=%03d", "id").alias("line"))
+    day = lambda x: F.lit(x).cast("date")
+    got = {r.kind: r for r in monitor.alerts(counts(spark, (1, "2026-08-11", 5)), want, lines, day("2026-08-05"), day("2026-08-11"), day("2026-08-11")).collect()}
+    import json
+
+    silent, failed = json.loads(got["mercados_sin_datos"].context), json.loads(got["mercados_fallidos"].context)
+    assert got["mercados_sin_datos"].message.startswith("250 ") and silent["total"] == 250 and silent["mercados"] == [str(k) for k in range(1000, 1100)]
+    assert failed["total"] == 300 and failed["ventanas"][0] == "destino=000" and len(failed["ventanas"]) == 100
+    assert spark.range(1).select(monitor.short_context(F.lit("x" * 400)).alias("c")).first().c == "x" * 300
+
+
 def test_plan_urls(spark):
     markets = spark.createDataFrame([("210",), ("210",), ("100",)], "destination_id string")
     plan = requests.plan(markets, F.lit("2026-07-01").cast("date"), F.lit("2026-07-05").cast("date"), "http://x/y")
@@ -165,8 +262,40 @@ def test_lines_and_stray_files(spark, tmp_path):
     for name in ("fecha=2026-07-04/x.ndjson", "stray.ndjson"):
         with open(f"{root}/{name}", "w") as f:
             f.write(line)
-    assert readers.raw_lines(spark, f"file://{root}").count() == 2
-    assert {(str(r.day), r.n_files) for r in readers.partition_days(spark, f"file://{root}").collect()} == {("None", 1), ("2026-07-04", 1)}
+    with open(f"{root}/notes.txt", "w") as f:
+        f.write("no line\n")
+    assert {r.llave_fila for r in readers.raw_lines(spark, f"file://{root}").collect()} == {"a", "c", "z"}
+    assert {(str(r.day), r.n_files) for r in readers.partition_days(spark, f"file://{root}").collect()} == {("None", 1), ("2026-07-01", 1), ("2026-07-02", 1), ("2026-07-04", 1)}
+    with pytest.raises(ValueError):
+        readers.checked_days(spark, f"file://{root}")
+
+
+def test_load_reports_and_refuses(spark, tmp_path):
+    root, table = f"file://{tmp_path}/raw", f"file://{tmp_path}/table"
+    sinks.write_lines(raw(spark, ("2026-07-01", "a", 1), ("2026-07-02", "b", 2)), root)
+    for _ in range(2):  # idempotent
+        report = sinks.load(spark, root, table).first()
+        assert (report.files, report.staged_rows, report.affected_rows, report.table, report.dates) == (2, 2, 2, table, [D(2026, 7, 1), D(2026, 7, 2)])
+    got = spark.read.schema(RAW_SCHEMA).parquet(table)
+    assert {(str(r.fecha), r.llave_fila, int(r.precio_max)) for r in got.collect()} == {("2026-07-01", "a", 2), ("2026-07-02", "b", 2)}
+    import os
+
+    os.makedirs(f"{tmp_path}/nothing")
+    with pytest.raises(ValueError):
+        sinks.load(spark, f"file://{tmp_path}/nothing", table)
+    with open(f"{tmp_path}/raw/stray.ndjson", "w") as f:
+        f.write("{}\n")
+    with pytest.raises(ValueError):
+        sinks.load(spark, root, table)
+
+
+def test_failures_are_lines_that_the_monitor_reads(spark, tmp_path):
+    bad = spark.createDataFrame([("210", "2", D(2026, 7, 1), D(2026, 7, 3), "DuplicateKey", "two rows"), ("9", None, None, None, "E", None)], "destination_id string, prices_per_id string, window_start date, window_end date, reason string, message string")
+    path = f"file://{tmp_path}/failed"
+    sinks.write_failures(bad, path)
+    assert {r.line for r in readers.failures(spark, path).collect()} == {"destino=210 precio=2 ventana=2026-07-01..2026-07-03: DuplicateKey: two rows", "destino=9 precio= ventana=..: E: "}
+    sinks.write_failures(bad.limit(0), path)
+    assert readers.failures(spark, path).count() == 0
 
 
 def counts(spark, *rows):
@@ -257,8 +386,6 @@ def test_csv_and_tables(spark, tmp_path):
     spark.sql("drop table raw_prices")
     sinks.append(rows, f"file://{tmp_path}/a"), sinks.append(rows, f"file://{tmp_path}/a")
     assert spark.read.parquet(f"file://{tmp_path}/a").count() == 4
-    sinks.write_failures(rows.limit(0), f"file://{tmp_path}/b")
-    assert spark.read.parquet(f"file://{tmp_path}/b").count() == 0
     report = sinks.load_report(raw(spark, ("2026-07-01", "a", 1), ("2026-07-02", "b", 1)), spark.createDataFrame([(3,)], "n_files long")).first()
     assert (report.files, report.staged_rows, len(report.dates)) == (3, 2, 2)
 

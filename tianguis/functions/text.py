@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,6 +31,14 @@ def blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def split_at_last_dash(label: Column) -> tuple[Column, Column]:
     """Name and quality around the last `` - ``; null without one."""
     part = lambda i: F.nullif(F.trim(F.regexp_extract(label, "^(.*) - (.*)$", i)), F.lit(""))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null
@@ -46,25 +46,40 @@ def row_key(natural_key: Column) -> Column:
     return F.sha2(F.array_join(natural_key, "|"), 256)
 
 
-def with_page_verdict(rows: DataFrame) -> DataFrame:
-    """Adds ``reject_reason``: one bad row rejects its whole page.
+def _narrow(keyed: DataFrame) -> DataFrame:
+    """What a verdict needs of each row, by page: one shuffle serves the groupings by key and by page."""
+    return keyed.select("page_id", "natural_key", "missing").repartition(F.col("page_id"))
+
+
+def duplicate_keys(rows: DataFrame) -> DataFrame:
+    """Natural keys that a page holds more than once: (page_id, natural_key joined by pipes, n)."""
+    same = _narrow(with_identity(rows)).groupBy("page_id", "natural_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return same.select("page_id", F.array_join("natural_key", "|").alias("natural_key"), "n")
+
+
+def page_reasons(keyed: DataFrame) -> DataFrame:
+    """One line for each bad page (page_id, reason, rows) of rows with identity.
 
     MissingFields names every missing part of any row; DuplicateKey says that two rows of
-    the page have one natural key.  Rows of accepted pages have null.  One shuffle by page,
-    which serves both windows.
+    the page have one natural key.
     """
-    rows = rows.repartition(F.col("page_id"))
-    page = Window.partitionBy("page_id")
-    same = F.count(F.lit(1)).over(Window.partitionBy("page_id", "natural_key"))
-    marked = rows.withColumn("__same", same)
-    lacks = F.array_sort(F.array_distinct(F.flatten(F.collect_set("missing").over(page))))
-    twice = F.max(F.col("__same")).over(page) > 1
-    reason = F.when(F.size(lacks) > 0, F.concat(F.lit("MissingFields: "), F.array_join(lacks, ", "))).when(twice, F.lit("DuplicateKey"))
-    return marked.withColumn("reject_reason", reason).drop("__same")
+    keys = _narrow(keyed).groupBy("page_id", "natural_key").agg(F.count(F.lit(1)).alias("n"), F.first("missing").alias("missing"))
+    page = keys.groupBy("page_id").agg(F.sum("n").alias("rows"), F.max("n").alias("same"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("missing")))).alias("lacks"))
+    reason = F.when(F.size("lacks") > 0, F.concat(F.lit("MissingFields: "), F.array_join("lacks", ", "))).when(F.col("same") > 1, F.lit("DuplicateKey"))
+    return page.select("page_id", reason.alias("reason"), "rows").where("reason is not null")
 
 
 def accepted_and_rejected(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of good pages, and one line for each bad page (page_id, reason, rows)."""
-    judged = with_page_verdict(with_identity(rows))
-    bad = judged.where("reject_reason is not null").groupBy("page_id").agg(F.first("reject_reason").alias("reason"), F.count(F.lit(1)).alias("rows"))
-    return judged.where("reject_reason is null").drop("reject_reason"), bad
+    """Rows of good pages, and one line for each bad page (page_id, reason, rows): one bad row rejects its whole page.
+
+    Whole rows are not shuffled by page: verdicts come from a narrow aggregate, and bad pages
+    are taken out by an anti-join that Spark broadcasts if they are few.
+    """
+    keyed = with_identity(rows)
+    bad = page_reasons(keyed)
+    return keyed.join(bad.select("page_id"), "page_id", "left_anti"), bad
+
+
+def failure_counts(rejections: DataFrame) -> DataFrame:
+    """Rejected pages of each reason."""
+    return rejections.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import quarterly_windows
+
 
 def rows_by_year(raw: DataFrame, market: str = "destino_id", day: str = "fecha") -> DataFrame:
     return raw.groupBy(F.col(market).cast("string").alias("destination_id"), F.year(day).alias("year")).agg(F.count(F.lit(1)).alias("rows"))
@@ -69,6 +71,18 @@ def backfill(summaries: DataFrame) -> DataFrame:
     return summaries.where("first_year is not null").select("destination_id", F.explode(F.array_except(F.sequence("first_year", "last_year"), "gap_years")).alias("year"))
 
 
+def backfill_quarters(summaries: DataFrame, known: DataFrame) -> DataFrame:
+    """Quarters worth asking for: those of ``backfill`` years but the ones that are known already (destination_id, window_start)."""
+    years = backfill(summaries).select("destination_id", F.make_date("year", F.lit(1), F.lit(1)).alias("start"), F.make_date("year", F.lit(12), F.lit(31)).alias("end"))
+    quarters = quarterly_windows(years).select("destination_id", "window_start", "window_end")
+    return quarters.join(known.select("destination_id", "window_start"), ["destination_id", "window_start"], "left_anti")
+
+
+def markets_by_span(summaries: DataFrame) -> DataFrame:
+    """Markets by the years in which they begin and end: (first_year, last_year, n_markets); null years for those without rows."""
+    return summaries.groupBy("first_year", "last_year").agg(F.count(F.lit(1)).alias("n_markets"))
+
+
 def ended_series(summaries: DataFrame, days: DataFrame, this_year: Column) -> DataFrame:
     """Markets with no row in the window: ``series_end`` if they stopped years ago, else ``ingest_hole``."""
     return summaries.join(days.select("destination_id").distinct(), "destination_id", "left_anti").select("destination_id", F.when(F.coalesce("last_year", F.lit(0)) > this_year - 2, F.lit("ingest_hole")).otherwise(F.lit("series_end")).alias("state"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,17 +18,20 @@ def farm_gate(rows: DataFrame, shrink: Column, commission: Column, freight_per_k
 
 
 def season_position(rows: DataFrame, by: list[str], min_years: int, price: str = "precio_frecuente", day: str = "fecha") -> DataFrame:
-    """Each row's price among earlier years' mean prices of the same week: share below, and years compared.
+    """The mean price of each week of a year against all observations of that week in earlier years.
 
-    The share is null where fewer than ``min_years`` earlier years are known.  Weekly means
-    come first, so a series' week has one row a year, and a window over those years does.
+    Weeks and years are ISO ones (29 December may lie in week 1 of the next year).  Returns one
+    row for each group, week and year with a price: ``years`` (earlier years with prices),
+    ``observations`` and ``share_below``, the share of them below the mean; null where fewer than
+    ``min_years`` earlier years are known.  An observation meets the means of later years
+    alone, so it is read as often as there are such years.
     """
-    week, year = F.weekofyear(day), F.year(day)
-    means = rows.where(F.col(price).isNotNull()).groupBy(*by, week.alias("week"), year.alias("year")).agg(F.avg(price).alias("price"))
-    before = Window.partitionBy(*by, "week").orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
-    out = means.withColumn("__past", F.collect_list("price").over(before)).withColumn("years", F.size("__past").cast("long"))
-    below = F.size(F.filter("__past", lambda p: p < F.col("price")))
-    return out.withColumn("share_below", F.when(F.col("years") >= min_years, below / F.col("years"))).drop("__past")
+    dated = rows.where(F.col(price).isNotNull()).select(*by, F.weekofyear(day).alias("week"), F.expr(f"extract(yearofweek from {day})").cast("int").alias("year"), F.col(price).alias("__price"))
+    means = dated.groupBy(*by, "week", "year").agg(F.avg("__price").alias("price"))
+    past = dated.select(*by, "week", F.col("year").alias("__year"), "__price")
+    met = means.join(past, [*by, "week"]).where("__year < year").groupBy(*by, "week", "year").agg(F.countDistinct("__year").alias("years"), F.count("__price").alias("observations"), F.count_if(F.col("__price") < F.col("price")).alias("__below"))
+    out = means.join(met, [*by, "week", "year"], "left").withColumns({"years": F.coalesce("years", F.lit(0)), "observations": F.coalesce("observations", F.lit(0))})
+    return out.withColumn("share_below", F.when(F.col("years") >= min_years, F.col("__below") / F.col("observations"))).drop("__below")
 
 
 def final_table(rows: DataFrame, by: list[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,25 +31,30 @@ def upserted(target: DataFrame, stage: DataFrame, key: str = KEY, day: str = DAY
     return merged(target, stage, key, day).unionByName(untouched.select(*stage.columns))
 
 
-def upsert(stage: DataFrame, path: str, key: str = KEY, day: str = DAY, cluster: tuple[str, ...] = ("producto_raw", "destino_id", "tipo_precio")) -> None:
-    """Replaces the touched days under ``path``; other days stay.  One writer at a time.
+def upsert(stage: DataFrame, path: str, key: str = KEY, day: str = DAY, cluster: tuple[str, ...] = ("producto_raw", "destino_id", "tipo_precio")) -> int:
+    """Replaces the touched days under ``path``; other days stay.  One writer at a time.  Returns the rows staged.
 
-    A stage with a key twice in a day is refused.  Rows are sorted within a day by the
-    cluster columns, so that row groups can be skipped.
+    A stage with a key twice in a day is refused.  The stage is read once and kept while
+    it is used.  Rows are sorted within a day by the cluster columns, so that row groups can
+    be skipped; a day that is too large for one task is split over several (adaptive rebalancing).
     """
-    spark = stage.sparkSession
-    if stage.groupBy(key, day).count().where("count > 1").limit(1).count():
-        raise ValueError("a key is staged twice")
+    spark, stage = stage.sparkSession, stage.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        target = spark.read.schema(stage.schema).parquet(path)
-        rows = merged(target, stage, key, day)
-    except Exception as e:  # no table yet
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        rows = stage
-    sort = [c for c in cluster if c in stage.columns]
-    out = rows.repartition(F.col(day)).sortWithinPartitions(day, *sort)
-    out.write.partitionBy(day).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        checks = stage.groupBy(key, day).count().agg(F.max("count").alias("most"), F.sum("count").alias("n")).first()
+        if (checks["most"] or 0) > 1:
+            raise ValueError("a key is staged twice")
+        try:
+            rows = merged(spark.read.schema(stage.schema).parquet(path), stage, key, day)
+        except AnalysisException as e:  # no table yet
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows = stage
+        sort = [c for c in cluster if c in stage.columns]
+        out = rows.hint("rebalance", F.col(day)).sortWithinPartitions(day, *sort)
+        out.write.partitionBy(day).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        return checks["n"] or 0
+    finally:
+        stage.unpersist()
 
 
 def newest(stage: DataFrame, key: str = KEY, moment: str = "extraido_en") -> DataFrame:

@@ -22,12 +22,15 @@ def _grouped(cents):
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows in the layout of parsed pages, all criteria strings."""
     li, part, supplier, nation = (table(spark, sf_dir, n) for n in ("lineitem", "part", "supplier", "nation"))
+    # some lines twice, at another place of their page: repeated natural keys
+    twice = F.when((F.col("l_linenumber") == 2) & (F.col("l_quantity") > 48), F.array(F.lit(0), F.lit(100))).otherwise(F.array(F.lit(0)))
+    li = li.withColumn("copy", F.explode(twice))
     rows = li.join(part, F.col("l_partkey") == F.col("p_partkey")).join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     cents = F.round(F.col("l_extendedprice") * 100).cast("long")
     n = F.col("l_linenumber")
     return rows.select(
         F.col("l_orderkey").alias("page_id"),
-        n.alias("row_pos"),
+        (n + F.col("copy")).alias("row_pos"),
         F.date_format("l_shipdate", "dd/MM/yyyy").alias("date"),
         F.col("p_name").alias("product"),
         F.col("p_type").alias("quality"),
@@ -51,7 +54,7 @@ def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The same rows for DuckDB.
 SQL = """
 parsed AS (
-  SELECT l_orderkey AS page_id, l_linenumber AS row_pos, strftime(l_shipdate, '%d/%m/%Y') AS "date", p_name AS product, p_type AS quality,
+  SELECT l_orderkey AS page_id, l_linenumber + copy AS row_pos, strftime(l_shipdate, '%d/%m/%Y') AS "date", p_name AS product, p_type AS quality,
     CASE WHEN l_linenumber = 3 AND l_quantity > 48 THEN '' ELSE p_brand END AS presentation, n_name AS origin, s_name AS destination,
     '-1' AS product_id, '-1' AS origin_id, CAST(l_suppkey AS VARCHAR) AS destination_id,
     CASE WHEN l_returnflag = 'R' THEN '2' ELSE '1' END AS prices_per_id,
@@ -61,7 +64,7 @@ parsed AS (
     CAST((cents + tax) // 100 AS VARCHAR) || '.' || lpad(CAST((cents + tax) % 100 AS VARCHAR), 2, '0') AS price_max,
     CAST((cents - less) // 100 AS VARCHAR) || '.' || lpad(CAST((cents - less) % 100 AS VARCHAR), 2, '0') AS price_frequent,
     p_brand AS category, l_shipdate AS fetched_at
-  FROM (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents, CAST(round(l_tax * 10000) AS BIGINT) AS tax, CASE WHEN l_discount > 0.085 THEN 100 ELSE 0 END AS less FROM lineitem)
+  FROM (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents, CAST(round(l_tax * 10000) AS BIGINT) AS tax, CASE WHEN l_discount > 0.085 THEN 100 ELSE 0 END AS less FROM lineitem JOIN (VALUES (0), (100)) AS c(copy) ON copy = 0 OR l_linenumber = 2 AND l_quantity > 48)
   JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 ),
 keyed AS (

@@ -5,11 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import dates, text
-from .operators import catalogs, contract, coverage, monitor, pages, prices, rawrows, upsert
+from .operators import capture, catalogs, contract, coverage, monitor, pages, prices, rawrows, upsert
 from .plans import adapter, requests
 from .plans.adapter import table
 from .sources import readers, sinks
@@ -40,7 +40,11 @@ def _day(d: str):
 
 def _scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that executors share; a temporary one only where none is set (one machine)."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="spark-")
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -102,10 +106,10 @@ def silent_markets(spark, d):
   CASE WHEN high = 0 THEN 'precio_cero' END, CASE WHEN NOT (low <= freq AND freq <= high) THEN 'precios_incoherentes' END) AS flags FROM typed""", True)
 def price_typing_flags(spark, d):
     good, _ = contract.accepted_and_rejected(adapter.parsed(spark, d))
-    return good.select(
+    return rawrows.with_prices(good).select(
         "page_id", "row_pos", dates.parse_day(F.col("natural_key")[0]).alias("fecha"), F.col("product").alias("producto_raw"), F.col("destination").alias("destino_raw"), F.col("destination_id").cast("long").alias("destino_id"), rawrows.price_mode(F.col("prices_per_id")).alias("tipo_precio"),
-        *[rawrows.price(F.col(c)).cast("double").alias(n) for c, n in (("price_min", "low"), ("price_max", "high"), ("price_frequent", "freq"))],
-        F.array_join(rawrows.quality_flags(F.col("price_min"), F.col("price_max"), F.col("price_frequent")), ",").alias("flags"),
+        *[F.col(c).cast("double").alias(n) for c, n in (("precio_min", "low"), ("precio_max", "high"), ("precio_frecuente", "freq"))],
+        F.array_join("banderas_calidad", ",").alias("flags"),
     )
 
 
@@ -131,8 +135,7 @@ def page_all_or_nothing(spark, d):
 
 @_query("SELECT page_id, natural_key, count(*) AS n FROM keyed GROUP BY 1, 2 HAVING count(*) > 1", True)
 def duplicate_keys(spark, d):
-    keyed = contract.with_identity(adapter.parsed(spark, d)).withColumn("natural_key", F.array_join("natural_key", "|"))
-    return keyed.groupBy("page_id", "natural_key").agg(F.count("*").alias("n")).where("n > 1")
+    return contract.duplicate_keys(adapter.parsed(spark, d))
 
 
 @_query("SELECT count(*) AS n, count(DISTINCT llave_fila) AS n_keys FROM typed", True)
@@ -161,17 +164,31 @@ def source_day(spark, d):
 @_query("""SELECT l_orderkey, l_linenumber, l_partkey, s_name AS destino_raw, CASE WHEN l_returnflag <> 'N' THEN l_suppkey END AS destino_id FROM
 (SELECT l.*, CASE WHEN l_returnflag <> 'N' THEN s_name END AS s_name FROM lineitem l LEFT JOIN supplier ON l_suppkey = s_suppkey)""")
 def destination_fill(spark, d):
-    li = table(spark, d, "lineitem").withColumn("destination_id", F.when(F.col("l_returnflag") != "N", F.col("l_suppkey").cast("string")).otherwise("-1"))
-    names = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("label"))
-    joined = li.join(names, F.col("destination_id") == F.col("id"), "left")
-    return joined.select("l_orderkey", "l_linenumber", "l_partkey", F.col("label").alias("destino_raw"), F.when(F.col("destination_id") != "-1", F.col("destination_id").cast("long")).alias("destino_id"))
+    pinned = F.when(F.col("l_returnflag") != "N", F.col("l_suppkey").cast("string")).otherwise("-1")
+    li = table(spark, d, "lineitem").withColumns({"destination_id": pinned, "destination": F.lit("")})
+    names = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("destination_id"), F.col("s_name").alias("label"))
+    return rawrows.with_destination(li, names).select("l_orderkey", "l_linenumber", "l_partkey", "destino_raw", "destino_id")
 
 
 @_query("SELECT p.page_id, p.row_pos, k.p_partkey FROM keyed p LEFT JOIN (SELECT p_name || ' - ' || p_type AS label, min(p_partkey) AS p_partkey FROM part GROUP BY 1) k ON k.label = p.product_key", True)
 def product_match(spark, d):
-    labels = table(spark, d, "part").groupBy(contract.product_label(F.col("p_name"), F.col("p_type")).alias("label")).agg(F.min("p_partkey").alias("p_partkey"))
-    rows = adapter.parsed(spark, d).withColumn("key", contract.product_label(F.col("product"), F.col("quality")))
-    return rows.join(labels, F.col("key") == F.col("label"), "left").select("page_id", "row_pos", "p_partkey")
+    return rawrows.with_product(adapter.parsed(spark, d), _products(spark, d)).select("page_id", "row_pos", F.col("product_key").alias("p_partkey"))
+
+
+def _products(spark, d):
+    return table(spark, d, "part").select(F.col("p_partkey").alias("product_id"), contract.product_label(F.col("p_name"), F.col("p_type")).alias("label"))
+
+
+@_query("""SELECT llave_fila, p_partkey AS product_key, destination_id AS destination_key, CASE WHEN s_suppkey IS NULL THEN 'unlisted' ELSE 'listed' END AS market,
+ concat_ws(',', CASE WHEN price_min IS NULL THEN 'precio_ausente' WHEN low IS NULL THEN 'precio_no_numerico' WHEN low = 0 THEN 'precio_cero' END,
+  CASE WHEN high = 0 THEN 'precio_cero' END, CASE WHEN NOT (low <= freq AND freq <= high) THEN 'precios_incoherentes' END, CASE WHEN p_partkey IS NULL THEN 'unknown_product' END) AS problems
+FROM typed t LEFT JOIN (SELECT p_name || ' - ' || p_type AS label, min(p_partkey) AS p_partkey FROM part WHERE p_size > 4 GROUP BY 1) k ON k.label = t.product_key LEFT JOIN supplier ON s_name = t.destination""", True)
+def typed_layer(spark, d):
+    """Raw rows with catalog keys; the catalog of products lacks some."""
+    names = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("destination_id"), F.col("s_name").alias("label"))
+    some = table(spark, d, "part").where("p_size > 4").select(F.col("p_partkey").alias("product_id"), contract.product_label(F.col("p_name"), F.col("p_type")).alias("label"))
+    out = rawrows.typed_layer(_typed(spark, d), some, names)
+    return out.select("llave_fila", "product_key", "destination_key", F.when(F.col("destination_key").isNull(), "unlisted").otherwise("listed").alias("market"), F.array_join("problems", ",").alias("problems"))
 
 
 _GRID = "g AS (SELECT CAST(c_custkey AS VARCHAR) AS destination_id, CAST(y AS INTEGER) AS year FROM customer, generate_series(1993, 2002) AS t(y))"
@@ -208,6 +225,20 @@ def backfill_years(spark, d):
     return coverage.backfill(coverage.summary(_by_year(spark, d)))
 
 
+@_query(f"""WITH {_SUMMARY}, k AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS destination_id, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS window_start FROM orders),
+q AS (SELECT s.destination_id, make_date(CAST(y AS BIGINT), CAST(m AS BIGINT), 1) AS window_start FROM s, generate_series(1993, 2002) AS t(y), (VALUES (1), (4), (7), (10)) AS v(m)
+ WHERE y BETWEEN first_year AND last_year AND NOT EXISTS (SELECT 1 FROM by_year b WHERE b.destination_id = s.destination_id AND b.year = y AND b.rows = 0))
+SELECT destination_id, window_start, CAST(window_start + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS window_end FROM q ANTI JOIN k USING (destination_id, window_start)""")
+def backfill_quarters(spark, d):
+    known = table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("destination_id"), F.trunc("o_orderdate", "quarter").alias("window_start")).distinct()
+    return coverage.backfill_quarters(coverage.summary(_by_year(spark, d)), known)
+
+
+@_query(f"WITH {_SUMMARY} SELECT first_year, last_year, count(*) AS n_markets FROM s GROUP BY 1, 2")
+def markets_by_span(spark, d):
+    return coverage.markets_by_span(coverage.summary(_by_year(spark, d)))
+
+
 @_query(f"""WITH {_SUMMARY}, r AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS destination_id FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{START}' AND DATE '{END}')
 SELECT destination_id, CASE WHEN coalesce(last_year, 0) > 2003 - 2 THEN 'ingest_hole' ELSE 'series_end' END AS state FROM s WHERE destination_id NOT IN (SELECT destination_id FROM r)""")
 def ended_series(spark, d):
@@ -277,15 +308,36 @@ def url_context(spark, d):
 
 
 @_query("""WITH p AS (SELECT CAST(s_suppkey AS VARCHAR) AS destination_id, m AS prices_per_id FROM supplier, (VALUES ('1'), ('2')) AS t(m)),
-l AS (SELECT CAST(l_suppkey AS VARCHAR) AS destination_id, CASE WHEN l_returnflag = 'R' THEN '2' ELSE '1' END AS prices_per_id, count(*) AS n FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1998-01-01' AND DATE '1998-01-10' GROUP BY 1, 2),
+l AS (SELECT CAST(l_suppkey AS VARCHAR) AS destination_id, CASE WHEN l_returnflag = 'R' THEN '2' ELSE '1' END AS prices_per_id, count(*) AS n FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1998-01-01' AND DATE '1998-03-31' GROUP BY 1, 2),
+e AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS destination_id, '2' AS prices_per_id, true AS said FROM customer WHERE c_acctbal > 8000),
+g AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS destination_id, true AS gap FROM customer WHERE c_custkey % 3 = 0),
 r AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS destination_id, '1' AS prices_per_id FROM customer WHERE c_acctbal < 0)
-SELECT p.destination_id, p.prices_per_id, coalesce(n, 0) AS n_rows, CASE WHEN n > 0 THEN 'landed' WHEN r.destination_id IS NOT NULL THEN 'rejected' ELSE 'missing' END AS state
-FROM p LEFT JOIN l USING (destination_id, prices_per_id) LEFT JOIN r USING (destination_id, prices_per_id)""")
+SELECT p.destination_id, p.prices_per_id, coalesce(n, 0) AS n_rows, CASE WHEN n > 0 THEN 'landed' WHEN r.destination_id IS NOT NULL THEN 'rejected' WHEN said THEN 'empty' WHEN gap THEN 'expected_empty' ELSE 'missing' END AS state
+FROM p LEFT JOIN l USING (destination_id, prices_per_id) LEFT JOIN r USING (destination_id, prices_per_id) LEFT JOIN e USING (destination_id, prices_per_id) LEFT JOIN g USING (destination_id)""")
 def plan_vs_landed(spark, d):
-    li = table(spark, d, "lineitem").where(F.to_date("l_shipdate").between("1998-01-01", "1998-01-10"))
+    li = table(spark, d, "lineitem").where(F.to_date("l_shipdate").between(START, END))
     landed = li.groupBy(F.col("l_suppkey").cast("string").alias("destination_id"), F.when(F.col("l_returnflag") == "R", "2").otherwise("1").alias("prices_per_id")).agg(F.count("*").alias("rows"))
     bad = table(spark, d, "customer").where("c_acctbal < 0").select(F.col("c_custkey").cast("string").alias("destination_id"), F.lit("1").alias("prices_per_id"))
-    return requests.outcome(plan_grid(spark, d), landed, bad).withColumnRenamed("rows", "n_rows")
+    empty = table(spark, d, "customer").where("c_acctbal > 8000").select(F.col("c_custkey").cast("string").alias("destination_id"), F.lit("2").alias("prices_per_id"))
+    gaps = table(spark, d, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").cast("string").alias("destination_id"))
+    return requests.outcome(plan_grid(spark, d), landed, bad, empty, gaps).withColumnRenamed("rows", "n_rows")
+
+
+@_query(f"""WITH {_SUMMARY} SELECT destination_id, m AS prices_per_id, DATE '2002-03-27' AS window_start, DATE '2002-03-31' AS window_end,
+ '{_BASE}?fechaInicio=27%2F03%2F2002&fechaFinal=31%2F03%2F2002&ProductoId=-1&OrigenId=-1&DestinoId=' || destination_id || '&PreciosPorId=' || m || '&RegistrosPorPagina=5000' AS url FROM s, (VALUES ('1'), ('2')) AS t(m) WHERE last_year > 2002 - 2""")
+def daily_plan(spark, d):
+    plan = requests.daily_plan(coverage.summary(_by_year(spark, d)), _day("2002-03-31"), 5, _BASE)
+    return plan.withColumn("url", requests.strict_url(F.col("url")))
+
+
+@_query(f"""WITH {_SPANS}, w AS (SELECT *, b - a + 1 AS n, a + CAST((b - a + 2) // 2 AS INTEGER) - 1 AS m FROM s WHERE o_orderkey % 3 = 0)
+SELECT o_orderkey, a AS window_start, m AS window_end, NULL AS reason FROM w WHERE n > 1 UNION ALL SELECT o_orderkey, m + 1, b, NULL FROM w WHERE n > 1
+UNION ALL SELECT o_orderkey, a, b, 'WindowExhausted' FROM w WHERE n <= 1""")
+def next_windows(spark, d):
+    """Every third order's span as the window of a truncated page: its halves, or a rejection."""
+    w = _spans(spark, d).withColumnsRenamed({"start": "window_start", "end": "window_end"}).withColumns({"truncated": F.col("o_orderkey") % 3 == 0, "reject_reason": F.lit(None).cast("string")})
+    again, dead = requests.next_windows(w)
+    return again.select("o_orderkey", "window_start", "window_end", F.lit(None).cast("string").alias("reason")).unionByName(dead.select("o_orderkey", "window_start", "window_end", F.col("reject_reason").alias("reason")))
 
 
 @_query("SELECT CAST(s_suppkey AS VARCHAR) AS destination_id FROM supplier WHERE s_suppkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000)")
@@ -334,7 +386,7 @@ def category_conflicts(spark, d):
 
 @_query("SELECT reason, count(*) AS n FROM verdicts WHERE reason IS NOT NULL GROUP BY 1", True)
 def failure_count(spark, d):
-    return contract.accepted_and_rejected(adapter.parsed(spark, d))[1].groupBy("reason").agg(F.count("*").alias("n"))
+    return contract.failure_counts(contract.accepted_and_rejected(adapter.parsed(spark, d))[1])
 
 
 def _versions(spark, d):
@@ -380,31 +432,99 @@ def stream_upsert(spark, d):
     return spark.read.parquet(path).select("llave_fila", "fecha", "price")
 
 
-@_query("SELECT llave_fila, CAST(date_trunc('month', fecha) AS DATE) AS fecha, product AS producto_raw, CAST(high AS DOUBLE) AS high FROM typed", True)
-def ndjson_roundtrip(spark, d):
-    """All rows as lines, in partitions of months for all markets together, read back."""
+_BY_YEAR_AND_MARKET = """SELECT sha256(llave_fila || page_id) AS llave_fila, CAST(date_trunc('year', fecha) AS DATE) AS fecha, product AS producto_raw,
+ CASE WHEN CAST(destination_id AS BIGINT) % 10 = 0 THEN CAST(destination_id AS BIGINT) END AS destino_id, CAST(high AS DOUBLE) AS high FROM typed"""
+
+
+def _lines(spark, d) -> str:
+    """All rows as lines in folders of (first day of the year, market, mode); most markets are not pinned (``todos``)."""
     root = _scratch(spark, "lines")
-    rows = _typed(spark, d).drop("page_id").withColumns({"fecha": F.trunc("fecha", "month").cast("date"), "destino_id": F.lit(None).cast("long")})
+    # pages may hold the same key: each page's rows count as rows of their own here
+    key = F.sha2(F.concat("llave_fila", F.col("page_id").cast("string")), 256)
+    rows = _typed(spark, d).withColumn("llave_fila", key).drop("page_id").withColumns({"fecha": F.trunc("fecha", "year").cast("date"), "destino_id": F.when(F.col("destino_id") % 10 == 0, F.col("destino_id"))})
     sinks.write_lines(rows, root)
-    return sinks.read_lines(spark, root).select("llave_fila", "fecha", "producto_raw", F.col("precio_max").cast("double").alias("high"))
+    return root
+
+
+@_query(_BY_YEAR_AND_MARKET, True)
+def ndjson_roundtrip(spark, d):
+    """All rows as lines by day, market and mode, read back by the scan of raw lines."""
+    back = readers.raw_lines(spark, _lines(spark, d))
+    return back.select("llave_fila", "fecha", "producto_raw", "destino_id", F.col("precio_max").cast("double").alias("high"))
+
+
+@_query(_BY_YEAR_AND_MARKET, True)
+def load_lines(spark, d):
+    """The lines found by their folders, upserted into the table, and the table."""
+    path = _scratch(spark, "table")
+    sinks.load(spark, _lines(spark, d), path)
+    return readers.window(spark, path, "1900-01-01", "2100-01-01").select("llave_fila", "fecha", "producto_raw", "destino_id", F.col("precio_max").cast("double").alias("high"))
+
+
+@_query("""SELECT 'destino=' || page_id || ' precio=1 ventana=1998-01-01..1998-03-31: ' || reason || ': ' || n_rows || ' filas' AS line FROM verdicts WHERE reason IS NOT NULL""", True)
+def failure_lines(spark, d):
+    """Rejected pages written as lines of failed windows and read back as the monitor does."""
+    bad = contract.accepted_and_rejected(adapter.parsed(spark, d))[1]
+    path = _scratch(spark, "failures")
+    sinks.write_failures(bad.select(F.col("page_id").alias("destination_id"), F.lit("1").alias("prices_per_id"), _day(START).alias("window_start"), _day(END).alias("window_end"), "reason", F.concat(F.col("rows").cast("string"), F.lit(" filas")).alias("message")), path)
+    return readers.failures(spark, path)
 
 
 @_query("""SELECT CAST(l_orderkey AS VARCHAR) AS page_id, strftime(l_shipdate, '%d/%m/%Y') AS "date", CASE WHEN l_linenumber % 3 = 0 THEN '<b> & "x"' ELSE l_returnflag END AS product, CAST(l_linenumber AS VARCHAR) AS obs,
- CASE WHEN l_quantity < 10 THEN NULL ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS price_min, l_linestatus AS category FROM lineitem
- WHERE l_orderkey NOT IN (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)""")
+ CASE WHEN l_quantity < 10 THEN NULL ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS price_min, l_linestatus AS category FROM lineitem""")
 def page_roundtrip(spark, d):
-    """Orders rendered as pages in the source's markup and parsed back (orders with a repeated line number have no defined order of lines)."""
+    """All orders rendered as pages in the source's markup and parsed back; lines in order of number, then of the other columns."""
     li = table(spark, d, "lineitem")
-    twice = li.groupBy("l_orderkey", "l_linenumber").count().where("count > 1").select("l_orderkey")
-    li = li.join(twice, "l_orderkey", "left_anti").select(
-        "l_orderkey", "l_linenumber", F.date_format("l_shipdate", "dd/MM/yyyy").alias("date"), F.when(F.col("l_linenumber") % 3 == 0, '<b> & "x"').otherwise(F.col("l_returnflag")).alias("product"),
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", *[c for c in li.columns if c not in ("l_orderkey", "l_linenumber")]))
+    li = li.select(
+        "l_orderkey", place.alias("place"), F.date_format("l_shipdate", "dd/MM/yyyy").alias("date"), F.when(F.col("l_linenumber") % 3 == 0, '<b> & "x"').otherwise(F.col("l_returnflag")).alias("product"),
         F.col("l_linenumber").cast("string").alias("obs"), F.when(F.col("l_quantity") >= 10, F.col("l_quantity").cast("long").cast("string")).alias("price_min"), F.col("l_linestatus").alias("category"),
     )
-    html = pages.result_html(li, "l_orderkey", "l_linenumber", {"Fecha": "date", "Producto": "product", "Obs.": "obs", "Precio Mín": "price_min"}, "category")
+    html = pages.result_html(li, "l_orderkey", "place", {"Fecha": "date", "Producto": "product", "Obs.": "obs", "Precio Mín": "price_min"}, "category")
     readable = pages.page_verdicts(html).where("reject_reason is null").select("page_id", "html")
     return pages.parsed_rows(readable).where("reject_reason is null").select("page_id", "date", "product", "obs", "price_min", "category")
 
 
+_PAGES_SQL = """, p AS (SELECT *, CAST(page_id AS VARCHAR) AS pid, page_id % 50 AS k, CASE WHEN page_id % 50 <> 6 THEN CAST(1 + page_id % 2 AS VARCHAR) END AS mode FROM parsed),
+q AS (SELECT *, concat_ws('|', "date", product || ' - ' || quality, nullif(presentation, ''), origin, destination, mode) AS nk FROM p),
+v AS (SELECT pid, k, bool_or(presentation = '') AS lacks, max(same) AS same FROM (SELECT *, count(*) OVER (PARTITION BY pid, nk) AS same FROM q) GROUP BY 1, 2),
+r AS (SELECT pid, k, CASE WHEN k IN (1, 5) THEN NULL WHEN k = 2 THEN 'QueryRejected' WHEN k IN (3, 8) THEN 'UnexpectedResponse' WHEN k = 4 THEN 'UnknownColumn' WHEN k = 7 THEN 'InvalidPageCount'
+ WHEN k = 9 THEN 'WindowExhausted' WHEN k = 10 THEN 'MissingFields: prices_per_id' WHEN k = 6 AND lacks THEN 'MissingFields: presentation, prices_per_id' WHEN k = 6 THEN 'MissingFields: prices_per_id'
+ WHEN lacks THEN 'MissingFields: presentation' WHEN same > 1 THEN 'DuplicateKey' END AS reason FROM v)
+"""
+
+
+def _captured(spark, d) -> DataFrame:
+    """Every order as a captured page; one in fifty of each kind is empty, refused, without a table, of an unknown column and so on."""
+    rows = adapter.parsed(spark, d)
+    place = F.row_number().over(Window.partitionBy("page_id").orderBy("row_pos", "date", "product", "quality", "presentation", "origin", "destination", "price_min", "price_max", "price_frequent"))
+    served = {"Fecha": "date", "Producto": "product", "Calidad": "quality", "Presentación": "presentation", "Origen": "origin", "Destino": "destination", "Precio Mín": "price_min", "Precio Max": "price_max", "Precio Frec": "price_frequent", "Obs.": "obs"}
+    html = pages.result_html(rows.withColumn("place", place), "page_id", "place", served, "category")
+    k, page = F.col("page_id").cast("long") % 50, F.col("html")
+    count = lambda n: F.replace(page, F.lit("de&nbsp; 1<"), F.lit(f"de&nbsp; {n}<"))
+    broken = (
+        F.when(k == 1, F.lit(f"<html>{pages.EMPTY}</html>")).when(k == 2, F.lit(f"<html>{pages.REJECTED}</html>")).when(k == 3, F.lit("<html></html>"))
+        .when(k == 4, F.replace(page, F.lit(">Obs.<"), F.lit(">Color<"))).when(k.isin(5, 9), count(3)).when(k == 7, count(-7))
+        .when(k == 8, F.replace(page, F.lit("</table>"), F.lit("<tr><td>a</td><td>b</td></tr></table>"))).when(k == 10, F.concat(F.regexp_extract(page, "(?s)^.*?</tr>", 0), F.lit("</table></html>")))
+        .otherwise(page)
+    )
+    mode = F.when(~k.isin(6, 10), (1 + F.col("page_id").cast("long") % 2).cast("string"))
+    last = F.when(k == 9, _day(START)).otherwise(_day(END))
+    return html.select("page_id", broken.alias("html"), F.concat(F.lit("page/"), "page_id").alias("source_url"), F.lit("1998-04-01 00:00:00").cast("timestamp").alias("fetched_at"), *[F.lit("-1").alias(c) for c in ("product_id", "origin_id", "destination_id")], mode.alias("prices_per_id"), _day(START).alias("window_start"), last.alias("window_end"))
+
+
+@_query(_PAGES_SQL + """SELECT q.pid AS page_id, sha256(nk) AS llave_fila, CAST(strptime("date", '%d/%m/%Y') AS DATE) AS fecha, product AS producto_raw, destination AS destino_raw, category AS grupo_raw,
+ CAST(TRY_CAST(replace(price_frequent, ',', '') AS DECIMAL(38,9)) AS DOUBLE) AS freq FROM q JOIN r ON r.pid = q.pid WHERE reason IS NULL AND r.k NOT IN (1, 5)""", True)
+def page_to_raw(spark, d):
+    raw, _, _ = capture.pages_to_raw(_captured(spark, d))
+    return raw.select("page_id", "llave_fila", "fecha", "producto_raw", "destino_raw", "grupo_raw", F.col("precio_frecuente").cast("double").alias("freq"))
+
+
+@_query(_PAGES_SQL + "SELECT pid AS page_id, reason FROM r WHERE reason IS NOT NULL", True)
+def page_rejections(spark, d):
+    return capture.pages_to_raw(_captured(spark, d))[1]
+
+
 @_query(""", f AS (SELECT page_id, row_pos, CAST(freq AS DOUBLE) AS central FROM typed) SELECT page_id, row_pos, round(central * 0.95 * 0.9 - 2.5, 6) AS farm_gate FROM f""", True)
 def farm_gate_price(spark, d):
     good, _ = contract.accepted_and_rejected(adapter.parsed(spark, d))
@@ -413,12 +533,14 @@ def farm_gate_price(spark, d):
     return out.select("page_id", "row_pos", F.round("farm_gate", 6).alias("farm_gate"))
 
 
-@_query(""", m AS (SELECT product, CAST(week(fecha) AS INTEGER) AS week, CAST(year(fecha) AS INTEGER) AS year, avg(CAST(freq AS DOUBLE)) AS price FROM typed GROUP BY 1, 2, 3)
-SELECT a.product AS producto_raw, a.week, a.year, count(b.year) AS years, CASE WHEN count(b.year) >= 2 THEN round(count(*) FILTER (WHERE b.price < a.price) / count(b.year), 6) END AS share_below
-FROM m a LEFT JOIN m b ON a.product = b.product AND a.week = b.week AND b.year < a.year GROUP BY a.product, a.week, a.year""", True)
+@_query(""", o AS (SELECT product, CAST(week(fecha) AS INTEGER) AS week, CAST(isoyear(fecha) AS INTEGER) AS year, CAST(freq AS DOUBLE) AS price FROM typed),
+m AS (SELECT product, week, year, avg(price) AS price FROM o GROUP BY 1, 2, 3)
+SELECT a.product AS producto_raw, a.week, a.year, count(DISTINCT b.year) AS years, count(b.year) AS observations,
+ CASE WHEN count(DISTINCT b.year) >= 2 THEN round(count(*) FILTER (WHERE b.price < a.price) / count(b.year), 6) END AS share_below
+FROM m a LEFT JOIN o b ON a.product = b.product AND a.week = b.week AND b.year < a.year GROUP BY a.product, a.week, a.year""", True)
 def season_position(spark, d):
     rows = _typed(spark, d).withColumn("precio_frecuente", F.col("precio_frecuente").cast("double"))
-    return prices.season_position(rows, ["producto_raw"], 2).select("producto_raw", "week", "year", "years", F.round("share_below", 6).alias("share_below"))
+    return prices.season_position(rows, ["producto_raw"], 2).select("producto_raw", "week", "year", "years", "observations", F.round("share_below", 6).alias("share_below"))
 
 
 @_query("""SELECT product AS producto_raw, CAST(year(fecha) AS INTEGER) AS year, count(*) AS n, round(avg(CAST(freq AS DOUBLE) * 0.95 * 0.9 - 2.5), 2) AS mean FROM typed GROUP BY 1, 2""", True)

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.upsert import upsert
+from ..plans.requests import failure_line
 from ..schemas import RAW_SCHEMA, REQUIRED
+from . import readers
 
 
 def write_lines(raw: DataFrame, root: str) -> None:
@@ -20,7 +23,13 @@ def write_lines(raw: DataFrame, root: str) -> None:
 
 def read_lines(spark: SparkSession, root: str) -> DataFrame:
     """What ``write_lines`` wrote, as raw rows."""
-    return spark.read.option("recursiveFileLookup", "true").text(root).select(F.from_json("value", RAW_SCHEMA.simpleString()).alias("r")).select("r.*")
+    return readers.raw_lines(spark, root)
+
+
+def load_report(stage: DataFrame, files: DataFrame) -> DataFrame:
+    """One row on a stage before it is loaded: files, staged rows and days."""
+    days = stage.agg(F.count(F.lit(1)).alias("staged_rows"), F.array_sort(F.collect_set("fecha")).alias("dates"))
+    return files.agg(F.sum("n_files").alias("files")).crossJoin(days)  # one row each
 
 
 def create_table(spark: SparkSession, name: str, path: str | None = None) -> None:
@@ -42,11 +51,23 @@ def append(rows: DataFrame, path: str) -> None:
 
 
 def write_failures(rejections: DataFrame, path: str) -> None:
-    """This run's failures only, an empty table if there are none."""
-    rejections.write.mode("overwrite").parquet(path)
-
-
-def load_report(stage: DataFrame, files: DataFrame) -> DataFrame:
-    """One row on a load: files, staged rows and days."""
-    days = stage.agg(F.count(F.lit(1)).alias("staged_rows"), F.array_sort(F.collect_set("fecha")).alias("dates"))
-    return files.agg(F.sum("n_files").alias("files")).crossJoin(days)  # one row each
+    """This run's failures only, as the lines that ``readers.failures`` reads; no line if there are none.
+
+    ``rejections`` has destination_id, prices_per_id, window_start, window_end, reason and message.
+    """
+    line = failure_line(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("destination_id", "prices_per_id", "window_start", "window_end", "reason", "message")])
+    rejections.select(line.alias("value")).write.mode("overwrite").text(path)
+
+
+def load(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Upserts all raw lines below ``root`` into the table at ``table``: one row with files, staged_rows, affected_rows, table and dates.
+
+    A file outside any day's folder and an empty input are errors.
+    """
+    days = readers.checked_days(spark, root)
+    # a year has 366 days: the report's list is as long as the days that were touched
+    files = days.agg(F.sum("n_files").alias("files"), F.array_sort(F.collect_set("day")).alias("dates")).first()
+    if not files["files"]:
+        raise ValueError(f"no raw lines below {root}")
+    staged = upsert(readers.raw_lines(spark, root), table)
+    return spark.createDataFrame([(files["files"], staged, staged, table, files["dates"])], "files long, staged_rows long, affected_rows long, table string, dates array<date>")
