@@ -236,6 +236,16 @@ def test_chat_round_trip(spark):
     assert chat.examples(chat.format_conversations(df.limit(0))).count() == 0
 
 
+def test_a_very_long_conversation(spark):
+    """Work follows the number of turns: places are running sums, not growing lists."""
+    n = 4000
+    turns = spark.range(n).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.format_string("t%05d", "id").alias("text"))
+    got = chat.examples(chat.format_conversations(turns)).orderBy("example").collect()
+    assert len(got) == n // 2 and got[-1].context_turns == n - 1 and [r.example for r in got] == list(range(n // 2))
+    step = got[1].context_chars - got[0].context_chars
+    assert all(b.context_chars - a.context_chars == step for a, b in zip(got, got[1:]))
+
+
 def test_control_strings_never_survive_in_texts(spark):
     df = spark.createDataFrame([(x,) for x in NASTY], "t string")
     for r in df.select("t", chat.escape(F.col("t")).alias("e"), chat.unescape(chat.escape(F.col("t"))).alias("u")).collect():

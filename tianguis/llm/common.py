@@ -18,6 +18,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
