@@ -69,3 +69,29 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark, tmp_path):
         assert out.columns == docs.columns and out.count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() == 0
     assert corpus_pipeline.ORACLE_SQL is None and [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "secrets", "packing"]
+
+
+def test_stages_take_odd_rows_and_clashing_columns(spark, tmp_path):
+    """Nulls, empty and very long texts, repeated ids and rows, and columns named like the operators' own, through all four stages."""
+    folder = f"file://{tmp_path}"
+    rows, _ = corpus(spark, folder)
+    rng = random.Random(22)
+    long = prose(rng, 40_000)
+    odd = [(None, None, None, None, None), (0, rows[0][1], "en", "s", 5), (0, rows[0][1], "en", "s", 5), (7001, "", "en", None, 0), (7001, None, "en", "s", 0), (7002, long, "en", "s", len(long)), (None, prose(rng, 90), "en", "s", 9), (7003, f"{long[:-9]} token=abcdefgh12345", "xx", "s", 1)]
+    table = spark.createDataFrame([(*r, "own", 0.5, "mine", 3) for r in [*rows, *odd]], "doc_id long, text string, lang string, source string, n_chars long, base string, score double, random string, __rid long")
+    docs, kept = table, {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        docs = docs.sparkSession.createDataFrame(docs.collect(), table.schema)
+        assert docs.columns == table.columns
+        kept[name] = docs.collect()
+        assert {(r.base, r.score, r.random, r["__rid"]) for r in kept[name]} == {("own", 0.5, "mine", 3)}
+    # one of the two long texts, which share nearly all shingles; no copy of document 0; no two rows without words
+    assert len([r for r in kept["near_duplicates"] if r.text and len(r.text) > 100_000]) == 1
+    assert len([r for r in kept["near_duplicates"] if r.doc_id == 0]) == 1
+    assert len([r for r in kept["near_duplicates"] if not r.text]) <= 1
+    assert not any("token=abcdefgh" in (r.text or "") for r in kept["secrets"])
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in kept["secrets"])
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, folder).toPandas()
+    assert pieces["length"].sum() == pieces[pieces["start"] == 0]["doc_tokens"].sum()
+    assert len(pieces[pieces["start"] == 0]) == len(kept["secrets"])

@@ -190,9 +190,11 @@ def train(examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, pri
             g = (p - onehot[batch]) * weight[batch, None] / len(batch)
             rate = RATE * (1 - step / steps) + 1e-3
             back = g @ layer.T
-            grad = np.stack([np.bincount(idx, w * back[seg, d], minlength=BUCKETS) for d in range(DIMENSIONS)], axis=1)
-            past_t += (grad**2).mean(axis=1)
-            table -= rate * grad / np.sqrt(past_t)[:, None]
+            # only the buckets of the batch have a gradient
+            met, at = np.unique(idx, return_inverse=True)
+            grad = np.stack([np.bincount(at, w * back[seg, d], minlength=len(met)) for d in range(DIMENSIONS)], axis=1)
+            past_t[met] += (grad**2).mean(axis=1)
+            table[met] -= rate * grad / np.sqrt(past_t[met])[:, None]
             grad_l = mean.T @ g
             past_l += float((grad_l**2).mean())
             layer -= rate * grad_l / np.sqrt(past_l)
