@@ -46,9 +46,9 @@ def row_key(natural_key: Column) -> Column:
     return F.sha2(F.array_join(natural_key, "|"), 256)
 
 
-def _narrow(keyed: DataFrame) -> DataFrame:
+def _narrow(keyed: DataFrame, *more: Column) -> DataFrame:
     """What a verdict needs of each row, by page: one shuffle serves the groupings by key and by page."""
-    return keyed.select("page_id", "natural_key", "missing").repartition(F.col("page_id"))
+    return keyed.select("page_id", "natural_key", "missing", *more).repartition(F.col("page_id"))
 
 
 def duplicate_keys(rows: DataFrame) -> DataFrame:
@@ -57,15 +57,25 @@ def duplicate_keys(rows: DataFrame) -> DataFrame:
     return same.select("page_id", F.array_join("natural_key", "|").alias("natural_key"), "n")
 
 
-def page_reasons(keyed: DataFrame) -> DataFrame:
+def page_reasons(keyed: DataFrame, broken: Column | None = None, unwritable: Column | None = None) -> DataFrame:
     """One line for each bad page (page_id, reason, rows) of rows with identity.
 
     MissingFields names every missing part of any row; DuplicateKey says that two rows of
-    the page have one natural key.
+    the page have one natural key.  ``broken`` is a row's own reason, which comes before these,
+    ``unwritable`` a condition that gives UnwritableRow where none of them holds.
     """
-    keys = _narrow(keyed).groupBy("page_id", "natural_key").agg(F.count(F.lit(1)).alias("n"), F.first("missing").alias("missing"))
-    page = keys.groupBy("page_id").agg(F.sum("n").alias("rows"), F.max("n").alias("same"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("missing")))).alias("lacks"))
-    reason = F.when(F.size("lacks") > 0, F.concat(F.lit("MissingFields: "), F.array_join("lacks", ", "))).when(F.col("same") > 1, F.lit("DuplicateKey"))
+    none = F.lit(None)
+    own, odd = none.cast("string") if broken is None else broken, none.cast("boolean") if unwritable is None else unwritable
+    keys = _narrow(keyed, own.alias("own"), odd.alias("odd")).groupBy("page_id", "natural_key")
+    keys = keys.agg(F.count(F.lit(1)).alias("n"), F.first("missing").alias("missing"), F.min("own").alias("own"), F.max("odd").alias("odd"))
+    lacks = F.array_sort(F.array_distinct(F.flatten(F.collect_set("missing"))))
+    page = keys.groupBy("page_id").agg(F.sum("n").alias("rows"), F.max("n").alias("same"), lacks.alias("lacks"), F.min("own").alias("own"), F.max("odd").alias("odd"))
+    reason = (
+        F.when(F.col("own").isNotNull(), F.col("own"))
+        .when(F.size("lacks") > 0, F.concat(F.lit("MissingFields: "), F.array_join("lacks", ", ")))
+        .when(F.col("same") > 1, F.lit("DuplicateKey"))
+        .when(F.col("odd"), F.lit("UnwritableRow"))
+    )
     return page.select("page_id", reason.alias("reason"), "rows").where("reason is not null")
 
 

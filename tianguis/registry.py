@@ -495,7 +495,7 @@ r AS (SELECT pid, k, CASE WHEN k IN (1, 5) THEN NULL WHEN k = 2 THEN 'QueryRejec
 
 
 def _captured(spark, d) -> DataFrame:
-    """Every order as a captured page; one in fifty of each kind is empty, refused, without a table, of an unknown column and so on."""
+    """Every order as a captured page in an archive; one in fifty of each kind is empty, refused, without a table, of an unknown column and so on."""
     rows = adapter.parsed(spark, d)
     place = F.row_number().over(Window.partitionBy("page_id").orderBy("row_pos", "date", "product", "quality", "presentation", "origin", "destination", "price_min", "price_max", "price_frequent"))
     served = {"Fecha": "date", "Producto": "product", "Calidad": "quality", "Presentación": "presentation", "Origen": "origin", "Destino": "destination", "Precio Mín": "price_min", "Precio Max": "price_max", "Precio Frec": "price_frequent", "Obs.": "obs"}
@@ -510,7 +510,10 @@ def _captured(spark, d) -> DataFrame:
     )
     mode = F.when(~k.isin(6, 10), (1 + F.col("page_id").cast("long") % 2).cast("string"))
     last = F.when(k == 9, _day(START)).otherwise(_day(END))
-    return html.select("page_id", broken.alias("html"), F.concat(F.lit("page/"), "page_id").alias("source_url"), F.lit("1998-04-01 00:00:00").cast("timestamp").alias("fetched_at"), *[F.lit("-1").alias(c) for c in ("product_id", "origin_id", "destination_id")], mode.alias("prices_per_id"), _day(START).alias("window_start"), last.alias("window_end"))
+    archive = _scratch(spark, "pages")
+    shown = html.select("page_id", broken.alias("html"), F.concat(F.lit("page/"), "page_id").alias("source_url"), F.lit("1998-04-01 00:00:00").cast("timestamp").alias("fetched_at"), *[F.lit("-1").alias(c) for c in ("product_id", "origin_id", "destination_id")], mode.alias("prices_per_id"), _day(START).alias("window_start"), last.alias("window_end"))
+    shown.write.parquet(archive)
+    return spark.read.parquet(archive)
 
 
 @_query(_PAGES_SQL + """SELECT q.pid AS page_id, sha256(nk) AS llave_fila, CAST(strptime("date", '%d/%m/%Y') AS DATE) AS fecha, product AS producto_raw, destination AS destino_raw, category AS grupo_raw,
