@@ -289,6 +289,17 @@ def test_load_reports_and_refuses(spark, tmp_path):
         sinks.load(spark, root, table)
 
 
+def test_load_refuses_nulls_and_counts_go_on(spark, tmp_path):
+    root = f"file://{tmp_path}/raw"
+    sinks.write_lines(raw(spark, ("2026-07-01", "a", 1)).withColumn("url_consulta", F.lit(None).cast("string")), root)
+    with pytest.raises(ValueError, match="null url_consulta"):
+        sinks.load(spark, root, f"file://{tmp_path}/table")
+    grid = spark.createDataFrame([("1", 1998), ("1", 1999), ("2", 1998)], "destination_id string, year int")
+    path, count = f"file://{tmp_path}/counts", lambda cells: cells.withColumn("rows", F.lit(7).cast("long"))
+    assert [sinks.resume_counts(g, path, count) for g in (grid.limit(1), grid, grid)] == [1, 2, 0]
+    assert sorted(tuple(r) for r in readers.stored_counts(spark, path).collect()) == [("1", 1998, 7), ("1", 1999, 7), ("2", 1998, 7)]
+
+
 def test_failures_are_lines_that_the_monitor_reads(spark, tmp_path):
     bad = spark.createDataFrame([("210", "2", D(2026, 7, 1), D(2026, 7, 3), "DuplicateKey", "two rows"), ("9", None, None, None, "E", None)], "destination_id string, prices_per_id string, window_start date, window_end date, reason string, message string")
     path = f"file://{tmp_path}/failed"

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.coverage import remaining
+from ..operators.rawrows import violations
 from ..operators.upsert import upsert
 from ..plans.requests import failure_line
 from ..schemas import RAW_SCHEMA, REQUIRED
@@ -45,6 +49,20 @@ def write_catalog(rows: DataFrame, path: str, id_col: str) -> None:
     flat.orderBy(F.col(id_col).cast("long")).coalesce(1).write.mode("overwrite").csv(path, header=True, escape='"')
 
 
+def resume_counts(grid: DataFrame, path: str, count: Callable[[DataFrame], DataFrame]) -> int:
+    """Counts the cells of ``grid`` (destination_id, year) that the table at ``path`` lacks and appends them.
+
+    ``count`` gives rows (destination_id, year, rows) of the cells it is handed.  After a failure the next call
+    goes on with what is missing.  Returns how many cells were missing.
+    """
+    known = readers.stored_counts(grid.sparkSession, path)
+    rest = remaining(grid, known)
+    n = rest.count()
+    if n:
+        append(count(rest).select("destination_id", "year", "rows"), path)
+    return n
+
+
 def append(rows: DataFrame, path: str) -> None:
     """Appends counts or alerts to their table."""
     rows.write.mode("append").parquet(path)
@@ -62,12 +80,17 @@ def write_failures(rejections: DataFrame, path: str) -> None:
 def load(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Upserts all raw lines below ``root`` into the table at ``table``: one row with files, staged_rows, affected_rows, table and dates.
 
-    A file outside any day's folder and an empty input are errors.
+    A file outside any day's folder, an empty input and a null in a required field are errors.
     """
     days = readers.checked_days(spark, root)
     # a year has 366 days: the report's list is as long as the days that were touched
     files = days.agg(F.sum("n_files").alias("files"), F.array_sort(F.collect_set("day")).alias("dates")).first()
     if not files["files"]:
         raise ValueError(f"no raw lines below {root}")
-    staged = upsert(readers.raw_lines(spark, root), table)
+    stage = readers.raw_lines(spark, root)
+    # Parquet keeps no "not null": required fields are checked before they are written
+    nulls = [r["check"] for r in violations(stage).where("check like 'null %'").collect()]
+    if nulls:
+        raise ValueError(f"required fields without a value: {', '.join(sorted(nulls))}")
+    staged = upsert(stage, table)
     return spark.createDataFrame([(files["files"], staged, staged, table, files["dates"])], "files long, staged_rows long, affected_rows long, table string, dates array<date>")
