@@ -450,7 +450,8 @@ def _shingle_sets(links: DataFrame, keyed: DataFrame, text_col: str, width: int)
     def shingle_set(texts: pd.Series) -> pd.Series:
         return pd.Series([np.unique(shingle_hashes(t, width)).view(np.int64) for t in texts])
 
-    ends = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    # as a table, so that its size is known before the join is planned: texts are shuffled only if the ends are many
+    ends = written(links.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
     return cut(keyed.join(ends, "id", "left_semi").select("id", shingle_set(text_or_empty(text_col)).alias("s")))
 
 
