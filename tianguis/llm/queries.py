@@ -144,6 +144,28 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """40 centroids of all vectors of 64 components, five rounds."""
+    from .clusters import cluster
+
+    return cluster(_table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256, salt="2")[0]
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all their orders, by source."""
+    from .audit import audit_documents
+
+    return audit_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without the windows of 35 words that start anywhere else too."""
+    from .spans import drop_repeated_spans
+
+    out = drop_repeated_spans(_table(spark, sf_dir, "documents").select("doc_id", "text"), words=35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_byte_bpe": op2_byte_bpe,
@@ -155,6 +177,9 @@ QUERIES = {
     "op8_token_id_output": op8_token_id_output,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -202,6 +227,56 @@ g AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) ||
   coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '') AS loss, CAST(sum(chars) AS BIGINT) AS formatted_chars FROM m GROUP BY conv_id)
 SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g"""
 
+
+def _op11_sql(k: int = 40, rounds: int = 5) -> str:
+    """Every round as two tables: nearest centroids, and means."""
+    nearest = lambda c: (
+        f"SELECT id, k, s FROM (SELECT id, k, s, row_number() OVER (PARTITION BY id ORDER BY s, k) AS n FROM (SELECT e.id, c.k, sum((e.x - c.x) * (e.x - c.x)) AS s FROM e JOIN {c} c USING (d) GROUP BY 1, 2)) WHERE n = 1"
+    )
+    out = f"""WITH v AS (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), embedding) AS id, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF isfinite(x)]) = 64),
+e AS (SELECT id, unnest(range(64)) AS d, CAST(floor(256 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x FROM v),
+c0 AS (SELECT id AS k, d, x FROM e WHERE id <= {k})"""
+    for i in range(rounds):
+        out += f""",
+n{i} AS MATERIALIZED ({nearest(f"c{i}")}),
+c{i + 1} AS MATERIALIZED (SELECT c.k, c.d, coalesce(CAST((t - ((t % n) + n) % n) // n AS BIGINT), c.x) AS x FROM c{i} c
+  LEFT JOIN (SELECT k, d, CAST(sum(x) AS BIGINT) AS t, count(*) AS n FROM e JOIN n{i} USING (id) GROUP BY 1, 2) m ON m.k = c.k AND m.d = c.d)"""
+    return out + f""",
+f AS ({nearest(f"c{rounds}")}),
+h AS (SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY 1)
+SELECT vec_id, CAST(f.k - 1 AS INTEGER) AS cluster, CAST(s AS BIGINT) AS distance, CAST(sum(s) OVER (PARTITION BY f.k) AS BIGINT) AS cluster_inertia, CAST(sum(s) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM f JOIN v USING (id) JOIN h ON h.k = f.k"""
+
+
+_OP12_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+m AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS least FROM w),
+l AS (SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS bad FROM labels GROUP BY 1),
+j AS (SELECT part, [len(words) < 50, 100 * len(list_distinct(words)) < 65 * len(words), 100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text), regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > least, false)] AS fails,
+  coalesce(good, false) AS good, coalesce(bad, false) AS bad FROM m LEFT JOIN l USING (doc_id)),
+g AS (SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE bad) AS bad FROM j GROUP BY 1, 2),
+o(filter_order) AS (SELECT '' UNION ALL SELECT filter_order || f FROM o, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS t(f) WHERE NOT contains(filter_order, f)),
+s AS (SELECT filter_order, CAST(i AS INTEGER) AS step, filter_order[i] AS f, [strpos('ABCDE', x) FOR x IN string_split(left(filter_order, i - 1), '') IF x <> ''] AS before FROM o, range(1, 6) AS t(i) WHERE length(filter_order) = 5),
+x AS (SELECT part, filter_order, step, f, n, good, bad, fails[strpos('ABCDE', f)] AS fail, len([b FOR b IN before IF fails[b]]) > 0 AS gone, len([v FOR v IN fails IF v]) AS n_fails FROM g, s),
+r AS (SELECT part, filter_order, step, f, sum(CASE WHEN NOT fail AND NOT gone THEN n ELSE 0 END) AS kept, sum(CASE WHEN fail AND NOT gone THEN n ELSE 0 END) AS removed, sum(CASE WHEN fail AND gone THEN n ELSE 0 END) AS redundant,
+  sum(CASE WHEN fail AND n_fails = 1 THEN n ELSE 0 END) AS unique_fails, sum(CASE WHEN fail AND NOT gone THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN fail AND NOT gone THEN bad ELSE 0 END) AS toxic_lost FROM x GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM r"""
+
+_OP13_SQL = r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT r, unnest(range(len(words))) AS i, unnest(words) AS word FROM t),
+s AS (SELECT *, CASE WHEN count(*) OVER ahead = 35 THEN string_agg(word, ' ') OVER ahead END AS run FROM w WINDOW ahead AS (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+c AS (SELECT r, i, word, run IS NOT NULL AND count(*) OVER (PARTITION BY run) > 1 AS again FROM s),
+k AS (SELECT r, i, word, coalesce(max(CASE WHEN again THEN i END) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) >= 0, false) AS gone FROM c),
+a AS (SELECT r, count(*) FILTER (WHERE gone) AS n, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM k GROUP BY 1)
+SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM t LEFT JOIN a USING (r)"""
+
 #: For the others SQL has no such function (fingerprints, tokenizers, files, models) or the result is a method's own
 #: (approximate search, randomness tests); the tests compare those with brute force.
-ORACLES: dict[str, str] = {"op1_url_filters": _op1_sql(), "op3_embedding_near_dedup": _OP3_SQL, "op9_chat_formatting": _OP9_SQL}
+ORACLES: dict[str, str] = {"op1_url_filters": _op1_sql(), "op3_embedding_near_dedup": _OP3_SQL, "op9_chat_formatting": _OP9_SQL} | {
+    "op11_centroid_clustering": _op11_sql(),
+    "op12_filter_audit": _OP12_SQL,
+    "op13_substring_dedup": _OP13_SQL,
+}
