@@ -174,11 +174,11 @@ def odd_texts(rng):
 def test_spans_equal_brute_force(spark, n, k):
     texts = odd_texts(random.Random(n + k))
     rows = [(i if i % 9 else None, t, "mine") for i, t in enumerate(texts)] + [(1, texts[1], "mine"), (30, texts[30], "mine"), (31, texts[32], "mine")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, kept string").repartition(4)
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_words string").repartition(4)
     out = spans.drop_repeated_spans(df, words=n, k=k)
-    assert out.columns == ["doc_id", "text", "kept", "n_words", "n_removed", "_kept"]
-    want = [(r[0], r[1], *x) for r, x in zip(rows, brute_spans([r[1] for r in rows], n))]
-    assert sorted([(r.doc_id, r.text, r.n_words, r.n_removed, r["_kept"]) for r in out.collect()], key=key) == sorted(want, key=key)
+    assert out.columns == ["doc_id", "text", "n_words", "_n_words", "n_removed"]
+    want = [(r[0], *x, r[2]) for r, x in zip(rows, brute_spans([r[1] for r in rows], n))]
+    assert sorted([(r.doc_id, r["_n_words"], r.n_removed, r.text, r.n_words) for r in out.collect()], key=key) == sorted(want, key=key)
     assert spans.drop_repeated_spans(df.limit(0), words=n).count() == 0
 
 

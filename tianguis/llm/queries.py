@@ -163,7 +163,7 @@ def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .spans import drop_repeated_spans
 
     out = drop_repeated_spans(_table(spark, sf_dir, "documents").select("doc_id", "text"), words=35)
-    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
 QUERIES = {

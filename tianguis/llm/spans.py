@@ -11,15 +11,18 @@ chosen k-mer of a text to the end of the next are an edge.
    predecessors are doubled by Spark joins until each edge knows the head of its path and its
    place in it.  A path's head occurs as often as the whole path, so its occurrences
    are spans of the source that repeat.
-3. *Verification* at source coordinates: texts with repeated nodes are visited once.  Every
-   span of a path, and every window of a repeated node, is claimed with two independent 64-bit
-   hashes of its very words, but not windows of inner nodes within their path's span: all their
-   equals lie in that path's other spans.  A claim stands if another place claims the same words.
+3. *Verification* at source coordinates: texts with repeated nodes are visited once.  Spans of
+   paths, and the context of every other repeated node (all windows that chose it, as one run of
+   words), are claimed with two independent 64-bit hashes of their words.  A claim stands if
+   another place claims the same words; contexts of inner nodes within their path's
+   span need no claim.  Where a node has several different contexts, one of each shows its
+   windows, and those of contexts met once stand if another context has them too.
 4. Words of standing claims are cut out of the texts.
 
 The work is one row for each chosen k-mer, and for repeated passages one row a path, not one a
 word.  Nothing gathers a group: counts are summed map-side, and rows of frequent k-mers meet
 their verdict in plain sort-merge joins with written tables, which adaptive execution splits.
+Texts are compressed one by one before they are shuffled to their coordinates.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,18 +105,37 @@ def _chosen(offsets: np.ndarray, hashes: _Rolling, words: int, k: int) -> tuple[
     return starts, where[starts]
 
 
-def _slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that their texts have SLICE_BYTES together at most, or are one text."""
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Batches cut so that their texts have SLICE_BYTES together at most, or are one text; column ``text`` apart, opened if it is packed."""
+    opener = zstandard.ZstdDecompressor()
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy(zero_copy_only=False)
-        start, total = 0, 0
-        for i, size in enumerate(sizes):
-            if i > start and total + size > SLICE_BYTES:
-                yield batch.slice(start, i - start)
-                start, total = i, 0
-            total += size
-        if len(sizes):
-            yield batch.slice(start)
+        at = batch.schema.get_field_index("text")
+        column, packed = batch.column(at), batch.schema.field(at).type == pa.binary()
+        start, total, texts = 0, 0, []
+        for i, value in enumerate(column):
+            raw = value.as_buffer().to_pybytes() if value.is_valid else b""
+            text = opener.decompress(raw) if packed else raw
+            if texts and total + len(text) > SLICE_BYTES:
+                yield batch.slice(start, i - start), pa.array(texts, pa.binary()).cast(pa.string())
+                start, total, texts = i, 0, []
+            texts.append(text)
+            total += len(text)
+        if texts:
+            yield batch.slice(start), pa.array(texts, pa.binary()).cast(pa.string())
+
+
+def packed(docs: DataFrame, column: str) -> DataFrame:
+    """``docs`` with its texts compressed, each by itself."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            at = batch.schema.get_field_index(column)
+            done = pa.array([small.compress(x.as_buffer() if x.is_valid else b"") for x in batch.column(at)], pa.binary())
+            yield batch.set_column(at, column, done)
+
+    schema = T.StructType([T.StructField(f.name, T.BinaryType() if f.name == column else f.dataType) for f in docs.schema])
+    return docs.mapInArrow(pack, schema)
 
 
 _ANCHORS = "key long, pos int, node long, edge_in long, edge_out long, step int"
@@ -120,8 +143,8 @@ _ANCHORS = "key long, pos int, node long, edge_in long, edge_out long, step int"
 
 def _anchors(batches: Iterator[pa.RecordBatch], words: int, k: int) -> Iterator[pa.RecordBatch]:
     """A row for each chosen k-mer of each text: its place, its hash, its edges (null at a text's ends) and the way to the next."""
-    for batch in _slices(batches, "text"):
-        offsets, tokens = _split(batch.column(1))
+    for batch, texts in _slices(batches):
+        offsets, tokens = _split(texts)
         hashes = _Rolling(tokens, 0)
         starts, where = _chosen(offsets, hashes, words, k)
         places = np.unique(where)
@@ -169,17 +192,18 @@ def compacted(occurrences: DataFrame, k: int, max_rounds: int = 60) -> DataFrame
     return chain.groupBy(F.col("to").alias("head")).agg((F.max(F.col("way") + F.col("step")) + k).alias("length"))
 
 
-_CLAIMS = "key long, start int, length int, a long, b long"
+_CLAIMS = "key long, start int, length int, a long, b long, windows array<long>"
 
 
 def _claims(batches: Iterator[pa.RecordBatch], words: int, k: int) -> Iterator[pa.RecordBatch]:
-    """Spans of paths, and windows of repeated nodes that no span stands for, with hashes of their words.
+    """Spans of paths, and contexts of repeated nodes that no span stands for, with hashes of their words.
 
     Columns: key, text, and lists of equal length: places of repeated nodes, lengths of the paths
-    that begin there (0: none), and whether the nodes are inner.
+    that begin there (0: none), and whether the nodes are inner.  ``a`` and ``b`` are both lanes' hashes of a span;
+    ``a`` of a context is its node's.  The first of equal contexts of a slice shows hashes of its windows.
     """
-    for batch in _slices(batches, "text"):
-        offsets, tokens = _split(batch.column(1))
+    for batch, texts in _slices(batches):
+        offsets, tokens = _split(texts)
         lanes = _Rolling(tokens, 0), _Rolling(tokens, 1)
         starts, where = _chosen(offsets, lanes[0], words, k)
         counts = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
@@ -187,39 +211,58 @@ def _claims(batches: Iterator[pa.RecordBatch], words: int, k: int) -> Iterator[p
         places = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.int64) + offsets[doc]
         lengths = batch.column(3).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         inner = batch.column(4).flatten().to_numpy(zero_copy_only=False)
-        # places of another text with the same key lie beyond this one's end or claim what no other place claims
+        # places of another text with the same key lie beyond this one's end, are no choice of it, or claim what no other place claims
         fits = places + np.maximum(lengths, k) <= offsets[doc + 1]
         places, lengths, inner = places[fits], lengths[fits], inner[fits]
-        n = int(offsets[-1])
-        marked, passed, held = np.zeros(n + 1, bool), np.zeros(n + 1, bool), np.zeros(n + 2, np.int64)
-        marked[places], passed[places[inner]] = True, True
         long = lengths >= words
-        np.add.at(held, places[long], 1)
-        np.add.at(held, places[long] + lengths[long] - words + 1, -1)
-        free = starts[marked[where] & ~(passed[where] & (np.cumsum(held)[starts] > 0))]
         spans = np.unique(np.stack([places[long], lengths[long]]), axis=1)
-        begin = np.concatenate([spans[0], free])
-        size = np.concatenate([spans[1], np.full(len(free), words)])
+        held = np.zeros(int(offsets[-1]) + 2, np.int64)
+        np.add.at(held, spans[0], 1)
+        np.add.at(held, spans[0] + spans[1] - words + 1, -1)
+        inside = np.concatenate([[0], np.cumsum(np.cumsum(held)[starts] > 0)])
+
+        places, at = np.unique(places, return_index=True)
+        low, high = np.searchsorted(where, places), np.searchsorted(where, places, "right")
+        stands_for = inner[at] & (inside[high] - inside[low] == high - low)
+        rest = (high > low) & ~stands_for
+        places, low, high = places[rest], low[rest], high[rest]
+        begin = starts[low]
+        size = starts[high - 1] + words - begin
+        a, b = lanes[0].runs(places, places + k), lanes[1].runs(begin, begin + size)
+        _, first = np.unique(np.stack([a, b, size.astype(np.uint64)]), axis=1, return_index=True)
+        shows = np.zeros(len(begin), bool)
+        shows[first] = True
+        many = np.where(shows, high - low, 0)
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(many)])
+        shown = np.repeat(begin - ends[:-1], many) + np.arange(ends[-1])
+        shown = pa.array(lanes[1].runs(shown, shown + words).view(np.int64))
+        # spans show no windows
+        ends = np.concatenate([np.zeros(spans.shape[1], np.int64), ends]).astype(np.int32)
+        blank = np.concatenate([np.ones(spans.shape[1], bool), ~shows, np.zeros(1, bool)])
+        windows = pa.ListArray.from_arrays(pa.array(ends, mask=blank), shown)
+        sa, sb = (x.runs(spans[0], spans[0] + spans[1]) for x in lanes)
+        begin, size = np.concatenate([spans[0], begin]), np.concatenate([spans[1], size])
         of = np.searchsorted(offsets, begin, "right") - 1
-        a, b = (x.runs(begin, begin + size).view(np.int64) for x in lanes)
+        whole = [pa.array(np.concatenate(x).view(np.int64)) for x in ((sa, a), (sb, b))]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(of)), pa.array((begin - offsets[of]).astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(a), pa.array(b)], names=["key", "start", "length", "a", "b"]
+            [batch.column(0).take(pa.array(of)), pa.array((begin - offsets[of]).astype(np.int32)), pa.array(size.astype(np.int32)), *whole, windows], names=["key", "start", "length", "a", "b", "windows"]
         )
 
 
-_CUT = "n_words long, n_removed long, kept string"
+_CUT = "kept string, n_words long, n_removed long"
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without the words of their spans; further columns pass."""
-    for batch in _slices(batches, "__text"):
+    own = ("text", "starts", "lengths")
+    for batch, texts in _slices(batches):
         column = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-        offsets, tokens = _split(column["__text"])
-        lists = column["__starts"]
+        offsets, tokens = _split(texts)
+        lists = column["starts"]
         counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
         doc = np.repeat(np.arange(batch.num_rows), counts)
         begin = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64) + offsets[doc]
-        size = column["__lengths"].flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        size = column["lengths"].flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         depth = np.zeros(int(offsets[-1]) + 1, np.int64)
         np.add.at(depth, begin, 1)
         np.add.at(depth, np.minimum(begin + size, offsets[doc + 1]), -1)
@@ -227,9 +270,8 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept_to = np.concatenate([[0], np.cumsum(stays)])[offsets]
         kept = pa.ListArray.from_arrays(pa.array(kept_to.astype(np.int32)), tokens.filter(pa.array(stays)))
         n = np.diff(offsets)
-        rest = [column[c] for c in column if c not in ("__text", "__starts", "__lengths")]
-        names = [c for c in column if c not in ("__text", "__starts", "__lengths")]
-        yield pa.RecordBatch.from_arrays([*rest, pa.array(n), pa.array(n - np.diff(kept_to)), pc.binary_join(kept, " ")], names=[*names, "n_words", "n_removed", "kept"])
+        names = [c for c in column if c not in own]
+        yield pa.RecordBatch.from_arrays([*[column[c] for c in names], pc.binary_join(kept, " "), pa.array(n), pa.array(n - np.diff(kept_to))], names=[*names, "kept", "n_words", "n_removed"])
 
 
 def repeated_spans(docs: DataFrame, words: int = 35, k: int = K) -> DataFrame:
@@ -246,31 +288,43 @@ def repeated_spans(docs: DataFrame, words: int = 35, k: int = K) -> DataFrame:
     paths = written(compacted(occurrences, k).where(F.col("length") >= words), "paths")
     begun = occurrences.join(paths, F.col("edge_out") == F.col("head"), "left").select("key", "pos", F.coalesce("length", F.lit(0)).cast("int").alias("length"), "inner")
     per_text = begun.distinct().groupBy("key").agg(F.collect_list(F.struct("pos", "length", "inner")).alias("x"))
-    visited = docs.join(per_text, "key").select("key", "text", F.col("x.pos").alias("places"), F.col("x.length").alias("lengths"), F.col("x.inner").alias("inner"))
+    visited = packed(docs, "text").join(per_text, "key").select("key", "text", F.col("x.pos").alias("places"), F.col("x.length").alias("lengths"), F.col("x.inner").alias("inner"))
     claims = written(visited.mapInArrow(lambda it: _claims(it, words, k), _CLAIMS), "claims")
+
     same = ["length", "a", "b"]
-    standing = written(claims.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*same), "standing")
-    return claims.join(standing, same).select("key", "start", "length")
+    shows = F.col("windows").isNotNull()
+    groups = claims.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.min(F.when(shows, F.struct("key", "start"))).alias("at"))
+    groups = written(groups, "groups")
+    standing = claims.join(groups.where("n > 1").select(*same), same).select("key", "start", "length")
+
+    # nodes with several contexts, one of them met once: one of each context shows its windows
+    mixed = groups.where("at is not null").groupBy("a").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least")).where("m > 1 and least = 1").select("a")
+    chosen = groups.where("at is not null").join(written(mixed, "mixed"), "a").select(*same, "n", "at.key", "at.start")
+    shown = claims.where(shows).join(chosen, [*same, "key", "start"]).select("key", "start", "a", "n", F.posexplode("windows").alias("i", "w"))
+    shown = written(shown.select("key", (F.col("start") + F.col("i")).alias("start"), "a", "w", "n"), "windows")
+    again = written(shown.groupBy("a", "w").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("a", "w"), "again")
+    single = shown.where("n = 1").join(again, ["a", "w"]).select("key", "start", F.lit(words).alias("length"))
+    return standing.unionByName(single)
 
 
 def drop_repeated_spans(docs: DataFrame, words: int = 35, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
-    """``docs`` with the words left in ``kept`` (joined by one space), ``n_words`` and ``n_removed``.
+    """``docs`` with only the kept words in its texts, joined by one space, and ``n_words`` (before) and ``n_removed``.
 
     A word goes if a window of ``words`` consecutive words that covers it starts anywhere else
     too, in the same text or another.  Words are runs of anything but ASCII white space.  Windows are judged on
-    the input.  Null and empty texts have no words; rows with the same id, and rows given twice, are
-    texts of their own (so a row given twice loses all its windows).  Columns named like the new
-    ones stay; the new ones get underscores in front.
+    the input.  Null and empty texts have no words and become empty; rows with the same id, and rows given twice,
+    are texts of their own (so a row given twice loses all its windows).  Columns named like the
+    new ones stay; the new ones get underscores in front.
     """
     ship_package(docs.sparkSession)
-    keyed = docs.select("*", text_or_empty(text_col).alias("__text")).withColumn("__key", F.xxhash64(F.col(id_col), "__text"))
-    spans = repeated_spans(keyed.select(F.col("__key").alias("key"), F.col("__text").alias("text")), words, k)
-    # rows of one key are alike, or (two texts of one hash) get no claim that isn't their own
-    per_text = spans.distinct().groupBy(F.col("key").alias("__key")).agg(F.collect_list(F.struct("start", "length")).alias("x")).select("__key", F.col("x.start").alias("__starts"), F.col("x.length").alias("__lengths"))
-    joined = keyed.join(per_text, "__key", "left").drop("__key")
-    names = {c: free_name(docs, c) for c in ("n_words", "n_removed", "kept")}
-    inner = [c for c in docs.columns]
-    plain = joined.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(inner)], "__text", "__starts", "__lengths")
-    schema = T.StructType([*[T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)], *T._parse_datatype_string(_CUT).fields])
-    out = plain.mapInArrow(_cut_out, schema)
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(inner)], *[F.col(c).alias(names[c]) for c in names])
+    order = docs.columns
+    text = text_or_empty(text_col)
+    keyed = docs.select(F.xxhash64(F.col(id_col), text).alias("key"), text.alias("text"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(order) if c != text_col])
+    spans = repeated_spans(keyed, words, k)
+    # rows of one key are alike
+    per_text = spans.distinct().groupBy("key").agg(F.collect_list(F.struct("start", "length")).alias("x")).select("key", F.col("x.start").alias("starts"), F.col("x.length").alias("lengths"))
+    joined = packed(keyed, "text").join(per_text, "key", "left").drop("key")
+    rest = [f for f in keyed.schema if f.name not in ("key", "text")]
+    out = joined.mapInArrow(_cut_out, T.StructType([*rest, *T._parse_datatype_string(_CUT).fields]))
+    columns = [F.col("kept" if c == text_col else f"c{i}").alias(c) for i, c in enumerate(order)]
+    return out.select(*columns, *[F.col(c).alias(free_name(docs, c)) for c in ("n_words", "n_removed")])
