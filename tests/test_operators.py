@@ -123,7 +123,7 @@ def test_pages(spark):
     assert [(r.date, r.product, r.obs, r.category, r.origin) for r in parsed if r.page_id == "good"] == [("01/07/2026", "Aguacate Hass", None, "Frutas", None), ("02/07/2026", "Limón & sal", "x", None, None)]
 
 
-def test_captured_pages_give_rows_or_reasons(spark):
+def test_captured_pages_give_rows_or_reasons(spark, tmp_path):
     head = ["Fecha", "Producto", "Calidad", "Presentación", "Origen", "Precio Mín"]
     row = ["01/07/2026", "Papa", "Primera", "Saco", "Puebla", "1,000.50"]
     week = (D(2026, 7, 1), D(2026, 7, 7))
@@ -144,14 +144,14 @@ def test_captured_pages_give_rows_or_reasons(spark):
     schema = "page_id string, html string, prices_per_id string, window_start date, window_end date, source_url string, fetched_at timestamp, product_id string, origin_id string, destination_id string"
     df = spark.createDataFrame([(*m, "u", NOW, "-1", "-1", "210") for m in made], schema)
     names = spark.createDataFrame([("210", "Puebla: Central")], "destination_id string, label string")
-    raw_rows, rejections, again = capture.pages_to_raw(df, names)
+    raw_rows, rejections, again = capture.pages_to_raw(df, names, str(tmp_path / "judged"))
     assert {(r.page_id, r.fecha.day, float(r.precio_min), r.destino_raw, r.destino_id) for r in raw_rows.collect()} == {("good", 1, 1000.5, "Puebla: Central", 210), ("good", 2, 1000.5, "Puebla: Central", 210)}
     assert sorted((r.page_id, r.reason) for r in rejections.collect()) == [
         ("bad day", "UnwritableRow"), ("column", "UnknownColumn"), ("day", "WindowExhausted"), ("lacks", "MissingFields: presentation"), ("mode", "MissingFields: prices_per_id"),
         ("odd mode", "UnwritableRow"), ("refused", "QueryRejected"), ("twice", "DuplicateKey"),
     ]
     assert sorted((r.page_id, r.window_start.day, r.window_end.day) for r in again.collect()) == [("cut", 1, 4), ("cut", 5, 7)]
-    nothing = capture.pages_to_raw(df.limit(0), names)
+    nothing = capture.pages_to_raw(df.limit(0), names, str(tmp_path / "none"))
     assert [x.count() for x in nothing] == [0, 0, 0]
 
 

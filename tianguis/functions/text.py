@@ -22,6 +22,31 @@ def unescape(text: Column) -> Column:
     return entities(text)
 
 
+#: Marks that HTML can't hold: between cells, between rows, and before a page's table.
+CELL_END, ROW_END, TABLE_START = "\u0001", "\u0002", "\u0003"
+
+
+def decoded_page(text: Column) -> Column:
+    """A page with its table joined by the marks above, entities decoded: (plain, cells), cells as ``squeezed`` gives them.
+
+    One crossing to Python a page, in Arrow batches.  It counts as non-deterministic, so that no filter above is
+    pushed below it with a second call.
+    """
+
+    @F.pandas_udf("plain string, cells array<array<string>>")
+    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        import html
+        import re
+
+        runs = re.compile("[ \t\n\x0b\f\r\u00a0]+")
+        for s in batches:
+            pages = [(None, []) if x is None else html.unescape(x).partition(TABLE_START)[::2] for x in s]
+            cells = [[[runs.sub(" ", c).strip(" ") or None for c in row.split(CELL_END)] for row in table.split(ROW_END)] if table else [] for _, table in pages]
+            yield pd.DataFrame({"plain": [p for p, _ in pages], "cells": cells})
+
+    return decode.asNondeterministic()(text)
+
+
 def squeezed(text: Column) -> Column:
     """White-space runs, no-break spaces among them, to one space; trimmed; blank to null."""
     return F.nullif(F.trim(F.regexp_replace(text, r"[\s\u00a0]+", " ")), F.lit(""))

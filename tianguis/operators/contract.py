@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,19 +28,33 @@ def row_date(served: Column, start: Column, end: Column) -> Column:
     return F.coalesce(served, F.when(F.datediff(end, start) == 0, F.date_format(start, "dd/MM/yyyy")))
 
 
+def key_parts(of: Callable[[str], Column], dated: Column) -> dict[str, Column]:
+    """The natural key's parts of a row whose fields ``of`` gives; ``dated`` is its date."""
+    return {
+        "date": dated,
+        "product": criterion_key(product_label(of("product"), of("quality")), of("product_id")),
+        "presentation": of("presentation"),
+        "origin": criterion_key(of("origin"), of("origin_id")),
+        "destination": criterion_key(of("destination"), of("destination_id")),
+        "prices_per_id": of("prices_per_id"),
+    }
+
+
+def missing_parts(parts: dict[str, Column]) -> Column:
+    """Names of the empty parts, in order."""
+    return F.array_compact(F.array(*[F.when(blank_to_null(parts[k]).isNull(), F.lit(k)) for k in KEY]))
+
+
 def with_identity(rows: DataFrame) -> DataFrame:
     """Adds ``natural_key`` (array, in order) and ``missing`` (names of empty parts, in order)."""
     dated = row_date(F.col("date"), F.col("window_start"), F.col("window_end")) if "window_start" in rows.columns else F.col("date")
-    parts = {
-        "date": dated,
-        "product": criterion_key(product_label(F.col("product"), F.col("quality")), F.col("product_id")),
-        "presentation": F.col("presentation"),
-        "origin": criterion_key(F.col("origin"), F.col("origin_id")),
-        "destination": criterion_key(F.col("destination"), F.col("destination_id")),
-        "prices_per_id": F.col("prices_per_id"),
-    }
-    missing = F.array_compact(F.array(*[F.when(blank_to_null(parts[k]).isNull(), F.lit(k)) for k in KEY]))
-    return rows.withColumns({"natural_key": F.array(*[parts[k] for k in KEY]), "missing": missing})
+    parts = key_parts(F.col, dated)
+    return rows.withColumns({"natural_key": F.array(*[parts[k] for k in KEY]), "missing": missing_parts(parts)})
+
+
+def key_text(natural_key: Column) -> Column:
+    """A key as one text that no other key gives: each part after its length; null and empty parts are alike."""
+    return F.array_join(F.transform(natural_key, lambda p: F.concat(F.length(F.coalesce(p, F.lit(""))).cast("string"), F.lit(":"), F.coalesce(p, F.lit("")))), "")
 
 
 def row_key(natural_key: Column) -> Column:
@@ -47,13 +63,14 @@ def row_key(natural_key: Column) -> Column:
 
 
 def _narrow(keyed: DataFrame, *more: Column) -> DataFrame:
-    """What a verdict needs of each row, by page: one shuffle serves the groupings by key and by page."""
-    return keyed.select("page_id", "natural_key", "missing", *more).repartition(F.col("page_id"))
+    """What a verdict needs of each row, by page: one shuffle of digests serves the groupings by key and by page."""
+    key = F.unhex(F.sha2(key_text(F.col("natural_key")), 256)).alias("key")
+    return keyed.select("page_id", key, "missing", *more).repartition(F.col("page_id"))
 
 
 def duplicate_keys(rows: DataFrame) -> DataFrame:
     """Natural keys that a page holds more than once: (page_id, natural_key joined by pipes, n)."""
-    same = _narrow(with_identity(rows)).groupBy("page_id", "natural_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    same = with_identity(rows).groupBy("page_id", "natural_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return same.select("page_id", F.array_join("natural_key", "|").alias("natural_key"), "n")
 
 
@@ -66,7 +83,7 @@ def page_reasons(keyed: DataFrame, broken: Column | None = None, unwritable: Col
     """
     none = F.lit(None)
     own, odd = none.cast("string") if broken is None else broken, none.cast("boolean") if unwritable is None else unwritable
-    keys = _narrow(keyed, own.alias("own"), odd.alias("odd")).groupBy("page_id", "natural_key")
+    keys = _narrow(keyed, own.alias("own"), odd.alias("odd")).groupBy("page_id", "key")
     keys = keys.agg(F.count(F.lit(1)).alias("n"), F.first("missing").alias("missing"), F.min("own").alias("own"), F.max("odd").alias("odd"))
     lacks = F.array_sort(F.array_distinct(F.flatten(F.collect_set("missing"))))
     page = keys.groupBy("page_id").agg(F.sum("n").alias("rows"), F.max("n").alias("same"), lacks.alias("lacks"), F.min("own").alias("own"), F.max("odd").alias("odd"))
@@ -79,13 +96,17 @@ def page_reasons(keyed: DataFrame, broken: Column | None = None, unwritable: Col
     return page.select("page_id", reason.alias("reason"), "rows").where("reason is not null")
 
 
-def accepted_and_rejected(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def accepted_and_rejected(rows: DataFrame, store: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows of good pages, and one line for each bad page (page_id, reason, rows): one bad row rejects its whole page.
 
     Whole rows are not shuffled by page: verdicts come from a narrow aggregate, and bad pages
-    are taken out by an anti-join that Spark broadcasts if they are few.
+    are taken out by an anti-join that Spark broadcasts if they are few.  ``rows`` are computed twice,
+    for the verdicts and for the result, unless ``store`` names a path: then they are written there and read twice.
     """
     keyed = with_identity(rows)
+    if store:
+        keyed.write.parquet(store)
+        keyed = rows.sparkSession.read.schema(keyed.schema).parquet(store)
     bad = page_reasons(keyed)
     return keyed.join(bad.select("page_id"), "page_id", "left_anti"), bad
 

@@ -49,7 +49,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 
 def _typed(spark: SparkSession, d: str) -> DataFrame:
-    good, _ = contract.accepted_and_rejected(adapter.parsed(spark, d))
+    good, _ = contract.accepted_and_rejected(adapter.parsed(spark, d), _scratch(spark, "keyed"))
     return rawrows.to_raw_rows(good).where("reject_reason is null").drop("reject_reason")
 
 
@@ -105,7 +105,7 @@ def silent_markets(spark, d):
  concat_ws(',', CASE WHEN price_min IS NULL THEN 'precio_ausente' WHEN low IS NULL THEN 'precio_no_numerico' WHEN low = 0 THEN 'precio_cero' END,
   CASE WHEN high = 0 THEN 'precio_cero' END, CASE WHEN NOT (low <= freq AND freq <= high) THEN 'precios_incoherentes' END) AS flags FROM typed""", True)
 def price_typing_flags(spark, d):
-    good, _ = contract.accepted_and_rejected(adapter.parsed(spark, d))
+    good, _ = contract.accepted_and_rejected(adapter.parsed(spark, d), _scratch(spark, "keyed"))
     return rawrows.with_prices(good).select(
         "page_id", "row_pos", dates.parse_day(F.col("natural_key")[0]).alias("fecha"), F.col("product").alias("producto_raw"), F.col("destination").alias("destino_raw"), F.col("destination_id").cast("long").alias("destino_id"), rawrows.price_mode(F.col("prices_per_id")).alias("tipo_precio"),
         *[F.col(c).cast("double").alias(n) for c, n in (("precio_min", "low"), ("precio_max", "high"), ("precio_frecuente", "freq"))],
@@ -481,8 +481,7 @@ def page_roundtrip(spark, d):
         F.col("l_linenumber").cast("string").alias("obs"), F.when(F.col("l_quantity") >= 10, F.col("l_quantity").cast("long").cast("string")).alias("price_min"), F.col("l_linestatus").alias("category"),
     )
     html = pages.result_html(li, "l_orderkey", "place", {"Fecha": "date", "Producto": "product", "Obs.": "obs", "Precio Mín": "price_min"}, "category")
-    readable = pages.page_verdicts(html).where("reject_reason is null").select("page_id", "html")
-    return pages.parsed_rows(readable).where("reject_reason is null").select("page_id", "date", "product", "obs", "price_min", "category")
+    return pages.parsed_rows(html).where("reject_reason is null").select("page_id", "date", "product", "obs", "price_min", "category")
 
 
 _PAGES_SQL = """, p AS (SELECT *, CAST(page_id AS VARCHAR) AS pid, page_id % 50 AS k, CASE WHEN page_id % 50 <> 6 THEN CAST(1 + page_id % 2 AS VARCHAR) END AS mode FROM parsed),
@@ -519,18 +518,18 @@ def _captured(spark, d) -> DataFrame:
 @_query(_PAGES_SQL + """SELECT q.pid AS page_id, sha256(nk) AS llave_fila, CAST(strptime("date", '%d/%m/%Y') AS DATE) AS fecha, product AS producto_raw, destination AS destino_raw, category AS grupo_raw,
  CAST(TRY_CAST(replace(price_frequent, ',', '') AS DECIMAL(38,9)) AS DOUBLE) AS freq FROM q JOIN r ON r.pid = q.pid WHERE reason IS NULL AND r.k NOT IN (1, 5)""", True)
 def page_to_raw(spark, d):
-    raw, _, _ = capture.pages_to_raw(_captured(spark, d))
+    raw, _, _ = capture.pages_to_raw(_captured(spark, d), None, _scratch(spark, "judged"))
     return raw.select("page_id", "llave_fila", "fecha", "producto_raw", "destino_raw", "grupo_raw", F.col("precio_frecuente").cast("double").alias("freq"))
 
 
 @_query(_PAGES_SQL + "SELECT pid AS page_id, reason FROM r WHERE reason IS NOT NULL", True)
 def page_rejections(spark, d):
-    return capture.pages_to_raw(_captured(spark, d))[1]
+    return capture.pages_to_raw(_captured(spark, d), None, _scratch(spark, "judged"))[1]
 
 
 @_query(""", f AS (SELECT page_id, row_pos, CAST(freq AS DOUBLE) AS central FROM typed) SELECT page_id, row_pos, round(central * 0.95 * 0.9 - 2.5, 6) AS farm_gate FROM f""", True)
 def farm_gate_price(spark, d):
-    good, _ = contract.accepted_and_rejected(adapter.parsed(spark, d))
+    good, _ = contract.accepted_and_rejected(adapter.parsed(spark, d), _scratch(spark, "keyed"))
     rows = good.withColumn("precio_frecuente", rawrows.price(F.col("price_frequent")).cast("double"))
     out = prices.farm_gate(rows, F.lit(0.05), F.lit(0.10), F.lit(2.5))
     return out.select("page_id", "row_pos", F.round("farm_gate", 6).alias("farm_gate"))
