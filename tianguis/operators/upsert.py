@@ -58,6 +58,11 @@ def upsert(stage: DataFrame, path: str, key: str = KEY, day: str = DAY, cluster:
 
 
 def newest(stage: DataFrame, key: str = KEY, moment: str = "extraido_en") -> DataFrame:
-    """One row a key, the latest by ``moment`` (a stream's micro-batch may hold revisions of one row)."""
-    latest = Window.partitionBy(key).orderBy(F.desc(moment))
+    """One row a key, the latest by ``moment`` (a stream's micro-batch may hold revisions of one row).
+
+    Of rows with equal moments the greatest by their columns counts, in the columns' order: the same
+    rows give the same result, however they are dealt out.
+    """
+    rest = [F.desc_nulls_last(c) for c, t in stage.dtypes if c not in (key, moment) and not t.startswith("map")]
+    latest = Window.partitionBy(key).orderBy(F.desc_nulls_last(moment), *rest)
     return stage.withColumn("__n", F.row_number().over(latest)).where("__n = 1").drop("__n")

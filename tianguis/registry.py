@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from .functions import dates, text
 from .operators import capture, catalogs, contract, coverage, monitor, pages, prices, rawrows, upsert
-from .plans import adapter, requests
+from .plans import adapter, requests, worklist
 from .plans.adapter import table
 from .sources import readers, sinks
-from .streaming import upserts
+from .streaming import lines, upserts
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -28,7 +28,7 @@ def _query(oracle: str | None = None, adapted: bool = False):
     def add(f):
         QUERIES[f.__name__] = f
         if oracle:
-            ORACLES[f.__name__] = f"WITH {adapter.SQL} {oracle}" if adapted else oracle
+            ORACLES[f.__name__] = f"WITH RECURSIVE {adapter.SQL} {oracle}" if adapted else oracle
         return f
 
     return add
@@ -527,6 +527,92 @@ def page_rejections(spark, d):
     return capture.pages_to_raw(_captured(spark, d), None, _scratch(spark, "judged"))[1]
 
 
+#: Rows of a response in the queries that ask again until windows are complete, and the days of their first windows.
+CAPACITY, SPAN, RUN_CAPACITY = 4, 39, 12
+
+
+def _source(rows: DataFrame, capacity: int):
+    """A source that answers requests from rows (destination_id, prices_per_id, day and served fields): at most ``capacity`` rows a page, and how many pages there would be."""
+    served = {"Fecha": "date", "Producto": "product", "Calidad": "quality", "Presentación": "presentation", "Origen": "origin", "Destino": "destination", "Precio Mín": "price_min", "Precio Max": "price_max", "Precio Frec": "price_frequent"}
+    market = rows.select(F.col("destination_id").alias("m"), F.col("prices_per_id").alias("p"), "day", "place", *served.values())
+
+    def ask(wanted: DataFrame) -> DataFrame:
+        met = wanted.join(market, (F.col("m") == F.col("destination_id")) & (F.col("p") == F.col("prices_per_id")) & F.col("day").between(F.col("window_start"), F.col("window_end")))
+        line = Window.partitionBy("url").orderBy("day", "place")
+        shown = met.select("url", F.row_number().over(line).alias("n"), F.count(F.lit(1)).over(Window.partitionBy("url")).alias("total"), *served.values())
+        html = pages.result_html(shown.where(F.col("n") <= capacity), "url", "n", served)
+        totals = shown.groupBy(F.col("url").alias("page_id")).agg(F.ceil(F.max("total") / capacity).alias("of"))
+        html = html.join(totals, "page_id").select("page_id", F.replace("html", F.lit("de&nbsp; 1<"), F.concat(F.lit("de&nbsp; "), F.col("of").cast("string"), F.lit("<"))).alias("html"))
+        answer = wanted.join(html, F.col("url") == F.col("page_id"), "left")
+        return answer.select(F.col("url").alias("page_id"), F.coalesce("html", F.lit(f"<html>{pages.EMPTY}</html>")).alias("html"), F.col("url").alias("source_url"), F.lit("1998-04-01 00:00:00").cast("timestamp").alias("fetched_at"), F.lit("-1").alias("product_id"), F.lit("-1").alias("origin_id"), "destination_id", "prices_per_id", "window_start", "window_end")
+
+    return ask
+
+
+def _offered(spark, d) -> DataFrame:
+    """Line items as what the source has: a row each, with a place of its own within its day."""
+    rows = adapter.parsed(spark, d).where("row_pos < 100 and presentation <> ''")
+    rows = rows.withColumns({"day": dates.parse_day(F.col("date")), "place": F.concat_ws("/", F.col("page_id").cast("string"), F.col("row_pos").cast("string")), "product": F.concat_ws(" ", "product", F.col("page_id").cast("string"), F.col("row_pos").cast("string"))})
+    path = _scratch(spark, "offered")
+    rows.write.parquet(path)  # every round asks it
+    return spark.read.parquet(path)
+
+
+_OFFERED = """, o AS (SELECT destination_id, prices_per_id, CAST(strptime("date", '%d/%m/%Y') AS DATE) AS day, product || ' ' || page_id || ' ' || row_pos AS product, quality, presentation, origin, destination, price_frequent
+ FROM parsed WHERE row_pos < 100 AND presentation <> '')"""
+
+
+@_query(_OFFERED + f""", b AS (SELECT CAST(min(day) AS DATE) AS lo, CAST(max(day) AS DATE) AS hi FROM o),
+r AS (SELECT DISTINCT CAST(s_suppkey AS VARCHAR) AS destination_id, m AS prices_per_id, lo + CAST(i * {SPAN} AS INTEGER) AS a, lo + CAST(i * {SPAN} + {SPAN - 1} AS INTEGER) AS z FROM supplier, (VALUES ('1'), ('2')) AS t(m), b, range(0, 200) AS g(i) WHERE lo + CAST(i * {SPAN} AS INTEGER) <= hi),
+t AS (SELECT destination_id, prices_per_id, a, z, CAST(NULL AS DATE) AS pa, CAST(NULL AS DATE) AS pz, 0 AS round FROM r),
+w AS (SELECT * FROM t UNION ALL SELECT destination_id, prices_per_id, CASE h WHEN 0 THEN a ELSE a + CAST((z - a + 2) // 2 AS INTEGER) END, CASE h WHEN 0 THEN a + CAST((z - a + 2) // 2 AS INTEGER) - 1 ELSE z END, a, z, round + 1 FROM w, (VALUES (0), (1)) AS v(h) WHERE z > a),
+c AS (SELECT w.destination_id, w.prices_per_id, a, z, pa, pz, round, count(o.day) AS n, count(o.day) FILTER (WHERE o.day IS NOT NULL) AS k FROM w LEFT JOIN o ON o.destination_id = w.destination_id AND o.prices_per_id = w.prices_per_id AND o.day BETWEEN a AND z GROUP BY ALL),
+p AS (SELECT DISTINCT destination_id, prices_per_id, a AS pa, z AS pz, n AS pn FROM c)
+SELECT destination_id, prices_per_id, a AS window_start, z AS window_end, round, CASE WHEN n = 0 THEN 'empty' WHEN n <= {CAPACITY} THEN 'complete' WHEN a = z THEN 'WindowExhausted' ELSE 'split' END AS state, CAST(least(n, {CAPACITY}) AS INTEGER) AS n_rows
+FROM c LEFT JOIN p USING (destination_id, prices_per_id, pa, pz) WHERE pa IS NULL OR pn > {CAPACITY}""", True)
+def windows_to_fixpoint(spark, d):
+    """Every market and mode over spans of 39 days, halved until each page is whole or a day is exhausted."""
+    rows = _offered(spark, d)
+    ends = rows.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
+    spans = ends.select(F.explode(F.sequence("lo", "hi", F.expr(f"interval {SPAN} days"))).alias("window_start"))
+    markets = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("destination_id"))
+    wanted = markets.crossJoin(F.broadcast(spans)).withColumns({"window_end": F.date_add("window_start", SPAN - 1), "prices_per_id": F.explode(F.array(F.lit("1"), F.lit("2")))})  # a few dozen spans
+    wanted = wanted.withColumn("url", requests.request_url(_BASE, F.col("window_start"), F.col("window_end"), F.lit("-1"), F.lit("-1"), F.col("destination_id"), F.col("prices_per_id")))
+    judged = worklist.until_complete(wanted, _source(rows, CAPACITY), _BASE, _scratch(spark, "rounds"))
+    state = F.when(F.col("state") == "rejected", F.col("reason")).otherwise(F.col("state"))
+    return judged.select("destination_id", "prices_per_id", "window_start", "window_end", "round", state.alias("state"), F.col("n_rows").cast("int").alias("n_rows"))
+
+
+_RUN_KEY = "sha256(concat_ws('|', strftime(day, '%d/%m/%Y'), product || ' - ' || quality, presentation, origin, destination, prices_per_id))"
+
+
+@_query(_OFFERED + f""", w AS (SELECT * FROM o WHERE day BETWEEN DATE '{START}' AND DATE '{END}'),
+n AS (SELECT *, count(*) OVER (PARTITION BY destination_id, prices_per_id, day) AS n FROM w)
+SELECT {_RUN_KEY} AS llave_fila, day AS fecha, CAST(destination_id AS BIGINT) AS destino_id, CAST(CAST(price_frequent AS DECIMAL(38,9)) + 1 AS DOUBLE) AS freq FROM n WHERE n <= {RUN_CAPACITY}""", True)
+def daily_run(spark, d):
+    """A run over a quarter's window, run again, and run with every price revised: the table holds the revised rows once."""
+    rows = _offered(spark, d)
+    markets = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("destination_id"))
+    store, path = _scratch(spark, "runs"), _scratch(spark, "table")
+    revised = rows.withColumn("price_frequent", (F.col("price_frequent").cast("decimal(38,9)") + 1).cast("string"))
+    for run, offered in (("1", rows), ("1", rows), ("2", revised)):
+        worklist.daily_run(markets, _day(START), _day(END), _day(TODAY), _source(offered, RUN_CAPACITY), _BASE, path, store, run)
+    return readers.window(spark, path, START, END).select("llave_fila", "fecha", "destino_id", F.col("precio_frecuente").cast("double").alias("freq"))
+
+
+@_query(f"""SELECT sha256(llave_fila || page_id) AS llave_fila, fecha, product AS producto_raw, CAST(destination_id AS BIGINT) AS destino_id, CAST(high AS DOUBLE) AS high FROM typed WHERE fecha BETWEEN DATE '{START}' AND DATE '{END}'""", True)
+def stream_lines(spark, d):
+    """A quarter's rows arrive in several files; each batch adds to the lines by day, market and mode, over what an earlier run left."""
+    key = F.sha2(F.concat("llave_fila", F.col("page_id").cast("string")), 256)
+    rows = _typed(spark, d).withColumn("llave_fila", key).drop("page_id").where(F.col("fecha").between(_day(START), _day(END)))
+    arrivals, root = _scratch(spark, "arrivals"), _scratch(spark, "lines")
+    rows.repartition(3).write.parquet(arrivals)
+    arrived = spark.read.parquet(arrivals)
+    sinks.write_lines(arrived.withColumn("precio_max", F.lit(0).cast("decimal(38,9)")), root)  # an earlier run's
+    lines.stream_lines(upserts.files(spark, arrivals, arrived.schema, per_batch=1), root, _scratch(spark, "progress")).awaitTermination()
+    return readers.raw_lines(spark, root).select("llave_fila", "fecha", "producto_raw", "destino_id", F.col("precio_max").cast("double").alias("high"))
+
+
 @_query(""", f AS (SELECT page_id, row_pos, CAST(freq AS DOUBLE) AS central FROM typed) SELECT page_id, row_pos, round(central * 0.95 * 0.9 - 2.5, 6) AS farm_gate FROM f""", True)
 def farm_gate_price(spark, d):
     good, _ = contract.accepted_and_rejected(adapter.parsed(spark, d), _scratch(spark, "keyed"))

@@ -15,13 +15,19 @@ from ..schemas import RAW_SCHEMA, REQUIRED
 from . import readers
 
 
+#: Folders of raw lines.
+LINE_KEYS = ("fecha", "destino", "precio")
+
+
+def as_lines(raw: DataFrame) -> DataFrame:
+    """One JSON object a row (``value``), all fields, and the folders that it belongs to."""
+    line = F.to_json(F.struct(*[f.name for f in RAW_SCHEMA]), {"ignoreNullFields": "false"})
+    return raw.select(line.alias("value"), "fecha", F.coalesce(F.col("destino_id").cast("string"), F.lit("todos")).alias("destino"), F.col("tipo_precio").alias("precio"))
+
+
 def write_lines(raw: DataFrame, root: str) -> None:
-    """One JSON object a line, all fields, under fecha=/destino=/precio=; only touched partitions are replaced."""
-    fields = [f.name for f in RAW_SCHEMA]
-    line = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-    out = raw.select(line.alias("value"), "fecha", F.coalesce(F.col("destino_id").cast("string"), F.lit("todos")).alias("destino"), F.col("tipo_precio").alias("precio"))
-    keys = ["fecha", "destino", "precio"]
-    renamed = out.repartition(*keys).sortWithinPartitions(*keys).write.partitionBy(*keys)
+    """One JSON object a line under fecha=/destino=/precio=; only touched partitions are replaced."""
+    renamed = as_lines(raw).repartition(*LINE_KEYS).sortWithinPartitions(*LINE_KEYS).write.partitionBy(*LINE_KEYS)
     renamed.mode("overwrite").option("partitionOverwriteMode", "dynamic").text(root)
 
 
