@@ -467,6 +467,25 @@ def test_very_long_words_equal_tiktoken():
         assert mine.tolist() == enc.encode_ordinary(t), t[:40]
 
 
+def test_bpe_round_trip_of_very_long_texts():
+    """Decoding one text has bounded blocks: DuckDB's memory would not hold these at once."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    b, coder = bpe._held(path, pattern)
+    enc, rng = tiktoken_encoding(path, pattern), random.Random(17)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(1, 9))) for _ in range(5_000)]
+    texts = [" ".join(rng.choice(words) for _ in range(2_000_000)), "\x01\x02" * 1_500_000, None, "short", "7 " * 1_200_000]
+    ids, counts = coder.encode(pa.array(texts))
+    assert max(counts) > 1_500_000
+    at = 0
+    for text, n, back in zip(texts, counts, bpe._decoded(b, ids, counts)):
+        assert back == (text or "").encode()
+        assert ids[at : at + n].tolist() == enc.encode_ordinary(text or "")
+        at += n
+
+
 def test_bpe_coder_equals_tiktoken_on_many_texts():
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     coder, enc, texts = bpe._held(path, pattern)[1], tiktoken_encoding(path, pattern), many_odd_texts(16, 20_000)

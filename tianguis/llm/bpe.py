@@ -258,16 +258,20 @@ def encode(text: Column, path: str, pattern: str) -> Column:
 
 
 def _decoded(bpe: Bpe, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
-    """The bytes of each run of ids, in blocks of bounded size."""
+    """The bytes of each run of ids, in blocks of at most DECODE_IDS ids; a longer run is decoded piece by piece and joined."""
+    pieces = np.maximum(-(-counts // DECODE_IDS), 1)
+    first = np.concatenate([[0], np.cumsum(pieces)])
+    sizes = np.full(first[-1], DECODE_IDS, np.int64)
+    sizes[first[1:] - 1] = counts - (pieces - 1) * DECODE_IDS
     out: list[bytes] = []
-    ends = np.cumsum(counts)
+    ends = np.cumsum(sizes)
     i = 0
-    while i < len(counts):
-        start = ends[i] - counts[i]
+    while i < len(sizes):
+        start = ends[i] - sizes[i]
         k = max(i + 1, int(np.searchsorted(ends, start + DECODE_IDS, side="right")))
-        out += bpe.decode(ids[start : ends[k - 1]], counts[i:k])
+        out += bpe.decode(ids[start : ends[k - 1]], sizes[i:k])
         i = k
-    return out
+    return [out[a] if b == a + 1 else b"".join(out[a:b]) for a, b in zip(first, first[1:])]
 
 
 def decode(ids: Column, path: str, pattern: str) -> Column:
