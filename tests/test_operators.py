@@ -1,6 +1,7 @@
 """Small cases of the operators: keys, flags, windows, pages, upserts, alerts, catalogs."""
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -196,6 +197,25 @@ def test_season_goes_by_iso_years_and_earlier_observations(spark):
     assert got == {(1, 2025): (0, 0, None), (1, 2026): (1, 2, 0.0), (53, 2026): (0, 0, None)}
 
 
+def test_season_from_sketches_keeps_its_error_bound(spark):
+    rng = random.Random(9)
+    rows = [("x" if rng.random() < 0.7 else "y", D.fromisocalendar(2000 + y, 1 + rng.randrange(2), 1 + rng.randrange(7)), rng.gauss(100 + y, 10)) for y in range(6) for _ in range(4000)]
+    df = spark.createDataFrame([*rows, ("z", D(2001, 1, 1), None)], "g string, fecha date, precio_frecuente double")
+    exact = {(r.g, r.week, r.year): r for r in prices.season_position(df, ["g"], 2).collect()}
+    halves = [prices.season_sketches(df.where(c), ["g"], k=200) for c in ("precio_frecuente < 100", "precio_frecuente >= 100")]
+    got = {(r.g, r.week, r.year): r for r in prices.season_distribution(prices.merged_sketches(*halves, ["g"]), ["g"], 2).collect()}
+    assert got.keys() == exact.keys()
+    past = lambda g, w, y, q: sum(p <= q for a, d, p in rows if a == g and d.isocalendar()[1] == w and d.isocalendar()[0] < y)
+    for k, r in got.items():
+        assert (r.years, r.observations) == (exact[k].years, exact[k].observations)
+        assert (r.share is None) == (exact[k].share_below is None)
+        if r.share is not None:
+            assert abs(r.share - exact[k].share_below) <= 1.5 * prices.rank_error(200) + 1 / prices.GRID
+            for part, q in zip((0.25, 0.5, 0.75), r.quartiles):
+                assert abs(past(*k, q) / r.observations - part) <= 1.5 * prices.rank_error(200)
+    assert any(r.share is not None for r in got.values())
+
+
 def test_backfill_quarters_and_spans(spark):
     rows = spark.createDataFrame([("1", y, n) for y, n in ((1998, 5), (1999, 0), (2000, 2))] + [("2", 1998, 0)], "destination_id string, year int, rows long")
     s = coverage.summary(rows)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -34,6 +34,51 @@ def season_position(rows: DataFrame, by: list[str], min_years: int, price: str =
     return out.withColumn("share_below", F.when(F.col("years") >= min_years, F.col("__below") / F.col("observations"))).drop("__below")
 
 
+#: Quantiles of a distribution that a price is placed among; a power of two, so that ranks are exact.
+GRID = 256
+
+
+def rank_error(k: int) -> float:
+    """How far a sketch's rank may lie from the true one (with 99 % confidence; the published bound of these sketches).  Up to ``k`` observations it is exact."""
+    return 2.296 / k**0.9723
+
+
+def season_sketches(rows: DataFrame, by: list[str], k: int = 200, price: str = "precio_frecuente", day: str = "fecha") -> DataFrame:
+    """A sketch of the prices of each group, ISO week and year: ``price`` (sum and number of them) and ``sketch``, a few KB whatever the rows.
+
+    New rows need a sketch of their own only: ``merged_sketches`` joins it to the stored ones.
+    """
+    dated = rows.where(F.col(price).isNotNull()).select(*by, F.weekofyear(day).alias("week"), F.expr(f"extract(yearofweek from {day})").cast("int").alias("year"), F.col(price).cast("double").alias("__price"))
+    return dated.groupBy(*by, "week", "year").agg(F.sum("__price").alias("total"), F.count("__price").alias("n"), F.kll_sketch_agg_double("__price", k).alias("sketch"))
+
+
+def merged_sketches(stored: DataFrame, more: DataFrame, by: list[str]) -> DataFrame:
+    """Two tables of ``season_sketches`` over different rows as one."""
+    return stored.unionByName(more).groupBy(*by, "week", "year").agg(F.sum("total").alias("total"), F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def season_distribution(sketches: DataFrame, by: list[str], min_years: int) -> DataFrame:
+    """The mean price of each week of a year among all observations of that week in earlier years, from sketches alone.
+
+    One row for each group, week and year: ``years`` and ``observations`` (earlier ones), ``quartiles`` of
+    them and ``share``, the part of them at or below the mean, counted on a grid of GRID quantiles and so
+    within ``rank_error`` and 1 / GRID of the exact share; both null where fewer than ``min_years`` earlier years are known.  Earlier years' sketches are merged in one
+    sorted pass: no observation is read again, and a group's week has as many rows as years.
+    """
+    earlier = Window.partitionBy(*by, "week").orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
+    out = sketches.select(
+        *by, "week", "year", (F.col("total") / F.col("n")).alias("price"), F.count(F.lit(1)).over(earlier).alias("years"),
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("observations"), F.kll_merge_agg_double("sketch").over(earlier).alias("__past"),
+    )
+    known = (F.col("years") >= min_years) & (F.col("observations") > 0)
+    # ranks must be constants, a row's own price is none
+    grid = F.array(*[F.lit(i / GRID) for i in range(1, GRID + 1)])
+    out = out.withColumn("__grid", F.when(known, F.kll_sketch_get_quantile_double("__past", grid)))
+    share = F.size(F.filter("__grid", lambda q: q <= F.col("price"))) / GRID
+    quartiles = F.transform(F.array(*[F.lit(GRID * i // 4 - 1) for i in (1, 2, 3)]), lambda i: F.get("__grid", i))
+    return out.withColumns({"share": F.when(F.col("__grid").isNotNull(), share), "quartiles": F.when(F.col("__grid").isNotNull(), quartiles)}).drop("__past", "__grid")
+
+
 def final_table(rows: DataFrame, by: list[str]) -> DataFrame:
     """Aggregates for publication: rows, mean, least and greatest farm-gate price of each group."""
     return rows.groupBy(*by).agg(F.count("farm_gate").alias("n"), F.avg("farm_gate").alias("mean"), F.min("farm_gate").alias("least"), F.max("farm_gate").alias("greatest"))

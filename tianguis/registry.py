@@ -20,6 +20,8 @@ ORACLES: dict[str, str] = {}
 
 #: The window of days that the run queries look at, and their "today".
 START, END, TODAY = "1998-01-01", "1998-03-31", "1998-04-07"
+#: The end of the month that is written as lines of real days, markets and modes: a file for nearly every row.
+MONTH_END = "1998-01-31"
 
 
 def _query(oracle: str | None = None, adapted: bool = False):
@@ -600,11 +602,11 @@ def daily_run(spark, d):
     return readers.window(spark, path, START, END).select("llave_fila", "fecha", "destino_id", F.col("precio_frecuente").cast("double").alias("freq"))
 
 
-@_query(f"""SELECT sha256(llave_fila || page_id) AS llave_fila, fecha, product AS producto_raw, CAST(destination_id AS BIGINT) AS destino_id, CAST(high AS DOUBLE) AS high FROM typed WHERE fecha BETWEEN DATE '{START}' AND DATE '{END}'""", True)
+@_query(f"""SELECT sha256(llave_fila || page_id) AS llave_fila, fecha, product AS producto_raw, CAST(destination_id AS BIGINT) AS destino_id, CAST(high AS DOUBLE) AS high FROM typed WHERE fecha BETWEEN DATE '{START}' AND DATE '{MONTH_END}'""", True)
 def stream_lines(spark, d):
-    """A quarter's rows arrive in several files; each batch adds to the lines by day, market and mode, over what an earlier run left."""
+    """A month's rows arrive in several files; each batch adds to the lines by day, market and mode, over what an earlier run left."""
     key = F.sha2(F.concat("llave_fila", F.col("page_id").cast("string")), 256)
-    rows = _typed(spark, d).withColumn("llave_fila", key).drop("page_id").where(F.col("fecha").between(_day(START), _day(END)))
+    rows = _typed(spark, d).withColumn("llave_fila", key).drop("page_id").where(F.col("fecha").between(_day(START), _day(MONTH_END)))
     arrivals, root = _scratch(spark, "arrivals"), _scratch(spark, "lines")
     rows.repartition(3).write.parquet(arrivals)
     arrived = spark.read.parquet(arrivals)
@@ -631,6 +633,23 @@ def season_position(spark, d):
     return prices.season_position(rows, ["producto_raw"], 2).select("producto_raw", "week", "year", "years", "observations", F.round("share_below", 6).alias("share_below"))
 
 
+@_query(""", o AS (SELECT product, CAST(week(fecha) AS INTEGER) AS week, CAST(isoyear(fecha) AS INTEGER) AS year, CAST(freq AS DOUBLE) AS price FROM typed WHERE freq IS NOT NULL),
+m AS (SELECT product, week, year, avg(price) AS price FROM o GROUP BY 1, 2, 3),
+j AS (SELECT a.product AS producto_raw, a.week, a.year, count(DISTINCT b.year) AS years, count(b.year) AS observations, max(a.price) AS price, list_sort(list(b.price) FILTER (WHERE b.price IS NOT NULL)) AS past
+ FROM m a LEFT JOIN o b ON a.product = b.product AND a.week = b.week AND b.year < a.year GROUP BY a.product, a.week, a.year)
+SELECT producto_raw, week, year, years, observations, CASE WHEN years >= 2 THEN round(len([i FOR i IN range(1, 257) IF past[(i * observations + 255) // 256] <= price]) / 256, 6) END AS share, CASE WHEN years >= 2 THEN round(past[(observations + 1) // 2], 6) END AS median FROM j""", True)
+def season_distribution(spark, d):
+    """From sketches of 4 096, stored in two parts and merged: exact up to that many observations of a product's week."""
+    rows = _typed(spark, d)
+    parts = []
+    for part in (rows.where("destino_id % 2 = 0"), rows.where("destino_id % 2 <> 0 or destino_id is null")):
+        path = _scratch(spark, "sketches")
+        prices.season_sketches(part, ["producto_raw"], k=4096).write.parquet(path)
+        parts.append(spark.read.parquet(path))
+    out = prices.season_distribution(prices.merged_sketches(*parts, ["producto_raw"]), ["producto_raw"], 2)
+    return out.select("producto_raw", "week", "year", "years", "observations", F.round("share", 6).alias("share"), F.round(F.col("quartiles")[1], 6).alias("median"))
+
+
 @_query("""SELECT product AS producto_raw, CAST(year(fecha) AS INTEGER) AS year, count(*) AS n, round(avg(CAST(freq AS DOUBLE) * 0.95 * 0.9 - 2.5), 2) AS mean FROM typed GROUP BY 1, 2""", True)
 def final_prices(spark, d):
     rows = _typed(spark, d).withColumn("precio_frecuente", F.col("precio_frecuente").cast("double")).withColumn("year", F.year("fecha"))

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.coverage import remaining
-from ..operators.rawrows import violations
 from ..operators.upsert import upsert
 from ..plans.requests import failure_line
 from ..schemas import RAW_SCHEMA, REQUIRED
@@ -83,20 +82,24 @@ def write_failures(rejections: DataFrame, path: str) -> None:
     rejections.select(line.alias("value")).write.mode("overwrite").text(path)
 
 
-def load(spark: SparkSession, root: str, table: str) -> DataFrame:
+def load(spark: SparkSession, root: str, table: str, staging: str | None = None) -> DataFrame:
     """Upserts all raw lines below ``root`` into the table at ``table``: one row with files, staged_rows, affected_rows, table and dates.
 
-    A file outside any day's folder, an empty input and a null in a required field are errors.
+    A file outside any day's folder, an empty input and a null in a required field are errors.  Lines are parsed
+    once: rows, and nulls of required fields, are observed while they are staged as Parquet (at ``staging``, beside
+    the table unless named), and the upsert reads that.  A refused stage stays there to be looked at; the next load replaces it.
     """
     days = readers.checked_days(spark, root)
     # a year has 366 days: the report's list is as long as the days that were touched
     files = days.agg(F.sum("n_files").alias("files"), F.array_sort(F.collect_set("day")).alias("dates")).first()
     if not files["files"]:
         raise ValueError(f"no raw lines below {root}")
-    stage = readers.raw_lines(spark, root)
-    # Parquet keeps no "not null": required fields are checked before they are written
-    nulls = [r["check"] for r in violations(stage).where("check like 'null %'").collect()]
+    seen, staging = Observation(), staging or f"{table.rstrip('/')}.stage"
+    # Parquet keeps no "not null": required fields are checked before they reach the table
+    stage = readers.raw_lines(spark, root).observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in REQUIRED])
+    stage.write.mode("overwrite").parquet(staging)
+    nulls = [f"null {c}" for c in REQUIRED if seen.get[c]]
     if nulls:
         raise ValueError(f"required fields without a value: {', '.join(sorted(nulls))}")
-    staged = upsert(stage, table)
-    return spark.createDataFrame([(files["files"], staged, staged, table, files["dates"])], "files long, staged_rows long, affected_rows long, table string, dates array<date>")
+    staged = upsert(spark.read.schema(RAW_SCHEMA).parquet(staging), table)
+    return spark.createDataFrame([(files["files"], seen.get["rows"], staged, table, files["dates"])], "files long, staged_rows long, affected_rows long, table string, dates array<date>")
