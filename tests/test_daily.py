@@ -200,3 +200,33 @@ def test_accepted_rows_may_be_written_first(spark, tmp_path):
     rows = adapter.parsed(spark, d)
     a, b = contract.accepted_and_rejected(rows), contract.accepted_and_rejected(rows, str(tmp_path / "rows"))
     assert [x.count() for x in a] == [x.count() for x in b]
+
+
+def test_archived_pages_arrive_as_files(spark, tmp_path):
+    """Pages with their context from the manifest's urls, in their own charset, as a stream and as a batch."""
+    import json
+
+    from tianguis.streaming import captures
+
+    d, folder = D(2026, 7, 1), tmp_path / "pages"
+    folder.mkdir()
+    url = lambda market: f"{BASE}?fechaInicio=01%2F07%2F2026&fechaFinal=07%2F07%2F2026&ProductoId=-1&OrigenId=-1&DestinoId={market}&PreciosPorId=2&RegistrosPorPagina=5000"
+    made = {"good": page(HEAD, row(d, "Maíz")), "latin": "<meta charset=iso-8859-1>" + page(HEAD, row(d, "Ñame")), "cut": page(HEAD, row(d), n=3), "unlisted": page(HEAD, row(d)), "odd": "<meta charset=none-such>" + page(HEAD, row(d)[:3] + [""] + row(d)[4:])}
+    for name, html in made.items():
+        (folder / f"{name}.html").write_bytes(html.encode("iso-8859-1" if name == "latin" else "utf-8"))
+    listed = {n: {"file": f"pages/{n}.html", "url": url(i), "purpose": "x", "bytes": 1} for i, n in enumerate(made) if n != "unlisted"}
+    (tmp_path / "manifest.json").write_text(json.dumps(listed))
+    listed = readers.manifest(spark, str(tmp_path / "manifest.json"))
+    batch = readers.archived_pages(spark.read.format("binaryFile").load(str(folder)), listed)
+    assert {(r.page_id, r.destination_id, r.window_end) for r in batch.collect()} == {("good", "0", D(2026, 7, 7)), ("latin", "1", D(2026, 7, 7)), ("cut", "2", D(2026, 7, 7)), ("unlisted", None, None), ("odd", "4", D(2026, 7, 7))}
+    rows, bad, again = capture.pages_to_raw(batch, None, str(tmp_path / "judged"))
+    assert {(r.page_id, r.producto_raw, r.destino_id) for r in rows.collect()} == {("good", "Maíz", 0), ("latin", "Ñame", 1)}
+    assert again.count() == 2
+    stream = readers.archived_pages(captures.page_files(spark, str(folder), per_batch=2), listed)
+    out = str(tmp_path / "out")
+    captures.stream_captures(stream, out, str(tmp_path / "progress")).awaitTermination()
+    got = spark.read.parquet(f"{out}/rows"), spark.read.parquet(f"{out}/rejections")
+    assert len([x for x in os.listdir(f"{out}/rows") if x.startswith("batch=")]) > 1
+    for x, y in zip(got, (rows, bad)):
+        assert sorted(map(str, x.drop("batch").collect())) == sorted(map(str, y.collect()))
+    assert {(r.page_id, r.reason) for r in got[1].collect()} == {("unlisted", "MissingFields: destination, prices_per_id"), ("odd", "MissingFields: presentation")}

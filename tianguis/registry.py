@@ -13,7 +13,7 @@ from .operators import capture, catalogs, contract, coverage, monitor, pages, pr
 from .plans import adapter, requests, worklist
 from .plans.adapter import table
 from .sources import readers, sinks
-from .streaming import lines, upserts
+from .streaming import captures, lines, upserts
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -529,6 +529,18 @@ def page_rejections(spark, d):
     return capture.pages_to_raw(_captured(spark, d), None, _scratch(spark, "judged"))[1]
 
 
+@_query(_PAGES_SQL + """SELECT q.pid AS page_id, sha256(nk) AS llave_fila, NULL AS reason FROM q JOIN r ON r.pid = q.pid WHERE reason IS NULL AND r.k NOT IN (1, 5)
+UNION ALL SELECT pid, NULL, reason FROM r WHERE reason IS NOT NULL""", True)
+def stream_captures(spark, d):
+    """The archive of pages as a stream of files: rows and reasons of all micro-batches."""
+    shown, arrivals, out = _captured(spark, d), _scratch(spark, "arrivals"), _scratch(spark, "captures")
+    shown.repartition(4).write.parquet(arrivals)
+    captures.stream_captures(upserts.files(spark, arrivals, shown.schema, per_batch=2), out, _scratch(spark, "progress")).awaitTermination()
+    rows, bad = spark.read.parquet(f"{out}/rows"), spark.read.parquet(f"{out}/rejections")
+    none = F.lit(None).cast("string")
+    return rows.select("page_id", "llave_fila", none.alias("reason")).unionByName(bad.select("page_id", none.alias("llave_fila"), "reason"))
+
+
 #: Rows of a response in the queries that ask again until windows are complete, and the days of their first windows.
 CAPACITY, SPAN, RUN_CAPACITY = 4, 39, 12
 
