@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -664,9 +665,10 @@ def season_distribution(spark, d):
 
 @_query("""SELECT product AS producto_raw, CAST(year(fecha) AS INTEGER) AS year, count(*) AS n, round(avg(CAST(freq AS DOUBLE) * 0.95 * 0.9 - 2.5), 2) AS mean FROM typed GROUP BY 1, 2""", True)
 def final_prices(spark, d):
-    rows = _typed(spark, d).withColumn("precio_frecuente", F.col("precio_frecuente").cast("double")).withColumn("year", F.year("fecha"))
-    out = prices.final_table(prices.farm_gate(rows, F.lit(0.05), F.lit(0.10), F.lit(2.5)), ["producto_raw", "year"])
-    return out.select("producto_raw", "year", "n", F.round("mean", 2).alias("mean"))
+    # exact: means of doubles that lie on a half cent are rounded by the order of their rows
+    rows = _typed(spark, d).withColumn("precio_frecuente", F.col("precio_frecuente").cast("decimal(18,4)")).withColumn("year", F.year("fecha"))
+    out = prices.final_table(prices.farm_gate(rows, *[F.lit(Decimal(x)) for x in ("0.05", "0.10", "2.5")]), ["producto_raw", "year"])
+    return out.select("producto_raw", "year", "n", F.round("mean", 2).cast("double").alias("mean"))
 
 
 @_query("SELECT destination_id, last_year FROM (SELECT CAST(l_suppkey AS VARCHAR) AS destination_id, CAST(max(year(l_shipdate)) AS INTEGER) AS last_year FROM lineitem GROUP BY 1)")
