@@ -392,7 +392,6 @@ def test_coder_equals_the_library(name):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(public_tokenizers.path(name))
-    tok.encode_special_tokens = True
     texts = odd_texts(7) + [f"Été{chr(i)},b {chr(i)}. x{chr(i)} ,{chr(i)} 3.1{chr(i)}" for i in range(1, 256)]
     texts += ["\u0130,", "\u0130.", "\u0130 ,", "i\u0307,", "A\u0301,", "=\u0338,a", "a\u0338."] + many_odd_texts(14, 20_000)
     ids, counts = tokens.library_coder(public_tokenizers.path(name)).encode(pa.array(texts))
@@ -400,6 +399,25 @@ def test_coder_equals_the_library(name):
         assert mine.tolist() == e.ids, repr(t)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_strings_of_added_tokens_have_their_ids(name):
+    """As the library's plain call gives them, whatever stands around and in pieces that are no such string."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path(name))
+    rng = random.Random(15)
+    marks = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "<|", "|>", "<", ">", "|"]
+    pool = marks * 2 + [" ", "  ", "\n", "\n\n", "\t", "a", "Bc", "don't", "'s", "'", "1", "é", "e\u0301", "\u0301", "\u0338", "\u00a0", "\u0130", "😀", "!?", "\x1c", "the", " the"]
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(1, 14))) for _ in range(30_000)]
+    # a string that two neighbouring texts make together is none
+    texts += ["x!!<|endof", "text|>!!", "<|endoftext|>" * 5_000 + "a"]
+    ids, counts = tokens.library_coder(public_tokenizers.path(name)).encode(pa.array(texts))
+    for t, mine, e in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), tok.encode_batch(texts, add_special_tokens=False)):
+        assert mine.tolist() == e.ids, repr(t)
+    end = tok.token_to_id("<|endoftext|>")
+    assert end in ids and (np.split(ids, np.cumsum(counts)[:-1])[-1] == end).sum() == 5_000
+
+
 def test_coder_takes_nulls_slices_and_nothing():
     coder = tokens.library_coder(public_tokenizers.path("byte_bpe_50k.json"))
     whole = pa.array(["x", None, "a b", "", None, "é é"])
@@ -502,9 +520,8 @@ def test_packing_keeps_every_id_once(spark):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     rng = random.Random(10)
-    rows = [(i, prose(rng, rng.choice([1, 20, 90, 300, 1500]))) for i in range(150)] + [(1001, None), (1002, ""), (1003, "x" * 50_000)]
+    rows = [(i, prose(rng, rng.choice([1, 20, 90, 300, 1500]))) for i in range(150)] + [(1000, "an <|endoftext|> inside<|endoftext|>"), (1001, None), (1002, ""), (1003, "x" * 50_000)]
     df = docs(spark, *rows).repartition(3)
     got = packing.pack(df, path).toPandas()
     text = dict(rows)
@@ -574,9 +591,8 @@ def test_files_round_trip(spark, monkeypatch):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     rng = random.Random(13)
-    rows = [(3 * i, prose(rng, rng.choice([0, 5, 400, 3000]))) for i in range(60)] + [(1, None), (None, "null id"), (7, "ß Σ"), (7, "ß Σ")]
+    rows = [(3 * i, prose(rng, rng.choice([0, 5, 400, 3000]))) for i in range(60)] + [(1, None), (None, "null id"), (7, "ß Σ"), (7, "ß Σ"), (8, "<|startoftext|>Été <|ENDOFTEXT|> <|endoftext|>")]
     rng.shuffle(rows)
     got = sorted(huffman.round_trip(docs(spark, *rows), path).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in got] == sorted((r[0] for r in rows), key=lambda k: (k is not None, k))

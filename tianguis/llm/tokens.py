@@ -5,11 +5,15 @@ crosses, whatever stands around them.  So a unit's ids do not depend on its neig
 distinct unit is encoded once for each worker process (as long as the store remembers it),
 and a text's ids are gathered from the store.  Cutting, finding the distinct units and
 gathering run over whole batches in Arrow and numpy.
+
+The strings of a file's added tokens (such as an end mark) are found in texts as the library
+finds them: each is one unit, with the id of that token.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -117,10 +121,15 @@ class Store:
 
 
 class Coder:
-    """Ids of texts: ``cuts`` marks where units begin, ``encode_units`` encodes distinct units."""
+    """Ids of texts: ``cuts`` marks where units begin, ``encode_units`` encodes distinct units.
+
+    ``whole`` are strings that are units by themselves wherever they stand.
+    """
 
-    def __init__(self, encode_units: Callable[[list[str]], Ids], cuts: Callable[[np.ndarray], np.ndarray], limit: int = STORE_UNITS):
+    def __init__(self, encode_units: Callable[[list[str]], Ids], cuts: Callable[[np.ndarray], np.ndarray], limit: int = STORE_UNITS, whole: tuple[str, ...] = ()):
         self.cuts, self.store = cuts, Store(encode_units, limit)
+        # the longest first, as one may begin like another
+        self.whole = re.compile(b"|".join(re.escape(w.encode()) for w in sorted(whole, key=len, reverse=True))) if whole else None
         self.size = 0  # of the vocabulary, where known
 
     def encode(self, texts: pa.Array) -> Ids:
@@ -144,6 +153,13 @@ class Coder:
             return np.empty(0, np.uint32), np.zeros(len(starts) - 1, np.int64)
         cut = self.cuts(data)
         cut[starts[starts < len(data)]] = True
+        if self.whole:
+            for first, last in zip(starts, starts[1:]):
+                for found in self.whole.finditer(data, first, last):
+                    cut[found.start() + 1 : found.end()] = False
+                    cut[found.start()] = True
+                    if found.end() < len(data):
+                        cut[found.end()] = True
         at = np.nonzero(cut)[0].astype(np.int32)
         units = pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(np.append(at, np.int32(len(data)))), pa.py_buffer(data)]).dictionary_encode()
         places = self.store.places(units.dictionary.to_numpy(zero_copy_only=False).tolist())[units.indices.to_numpy()]
@@ -220,9 +236,12 @@ def library_coder(path: str) -> Coder:
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True  # their strings in a text are ordinary text
         keeps_space = tok.normalizer is None
-        coder = Coder(_library_units(tok, keeps_space), spaced_cuts if keeps_space else bare_cuts)
+        # the library looks for these first, in the text as it stands, and encodes what lies between them by itself
+        added = tok.get_added_tokens_decoder().values()
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added):
+            raise ValueError(f"{path}: added tokens that depend on what stands around them")
+        coder = Coder(_library_units(tok, keeps_space), spaced_cuts if keeps_space else bare_cuts, whole=tuple(t.content for t in added))
         coder.size = tok.get_vocab_size()
         _CODERS[path] = coder
     return _CODERS[path]
