@@ -221,6 +221,63 @@ def test_base_spans_equal_brute_force(spark):
         assert all(s["end"] <= t["start"] or t["end"] <= s["start"] for s in r["_base"] for t in r["random"])
 
 
+def plain_redaction(text, spans):
+    out, at = [], 0
+    for start, end in sorted(spans):
+        if out and start <= at:
+            at = max(at, end)
+            continue
+        out += [text[at:start], "[SECRET]"]
+        at = end
+    return "".join([*out, text[at:]])
+
+
+def test_many_hits_in_one_text_equal_brute_force(spark):
+    """Some 20 000 hits, overlapping ones and ones side by side among them, and runs that the battery judges."""
+    rng = random.Random(21)
+    letters = secrets._ALPHABETS["base64"]
+    draw = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    makers = [
+        lambda: draw("0123456789abcdef", 40),
+        lambda: "token=" + draw("0123456789abcdef", 33),
+        lambda: "AKIA" + draw("ABCDEFGH", 16),
+        lambda: "a1Z" + draw(letters, 50),
+        lambda: "secret: é" + "😀" * rng.randint(1, 30),
+        lambda: draw("0123456789abcdef", 32) + "AKIA" + draw("XYZ", 14),
+        lambda: "the-thing-that-was-there " * 3,
+    ]
+    rows = [(n, " ".join(rng.choice(makers)() for _ in range(n))) for n in (1, 2, 3, 9, 100, 2_000, 25_000)]
+    rows += [(-1, "password=" + "0a" * 16), (-2, "0a" * 16), (-3, "é" * 5_000 + " " + "0b" * 20 + "\n" * 3_000), (-4, "0a" * 16 + "G" + "0a" * 16)]
+    got = secrets.scan_secrets(docs(spark, *rows)).collect()
+    clean = {r.doc_id: r.text for r in secrets.redact(docs(spark, *rows)).collect()}
+    held = {r.doc_id: r.c for r in docs(spark, *rows).select("doc_id", secrets.candidates(F.col("text")).alias("c")).collect()}
+    for r in got:
+        base = [(s["start"], s["ord"], s["end"]) for s in r["_base"]]
+        assert base == brute_spans(r["text"])
+        judged = [(m.start(), m.end()) for m in re.finditer(secrets.RUN, r["text"]) if len(m[0]) >= secrets.RUN_LEAST and infer(m[0])]
+        assert [(c["start"], c["end"]) for c in held[r["doc_id"]]] == judged
+        covered = np.zeros(len(r["text"]) + 1, bool)
+        for start, _, end in base:
+            covered[start:end] = True
+        added = [(s["start"], s["end"]) for s in r["random"]]
+        assert set(added) <= {(a, b) for a, b in judged if not covered[a:b].any()}
+        assert clean[r["doc_id"]] == plain_redaction(r["text"], [(a, b) for a, _, b in base] + added)
+    most = max(got, key=lambda r: r["doc_id"])
+    assert len(most["_base"]) > 15_000 and len(most["random"]) > 2_000
+
+
+def test_a_hundred_thousand_keys_in_one_text(spark):
+    """Time follows the hits: the same keys in one text, and in fifty of them."""
+    import time
+
+    rng = random.Random(22)
+    keys = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(100_000)]
+    began = time.time()
+    r = secrets.scan_secrets(docs(spark, (1, "\n".join(keys)))).collect()[0]
+    assert [(s["start"], s["end"]) for s in r["_base"]] == [(41 * i, 41 * i + 40) for i in range(100_000)]
+    assert time.time() - began < 60
+
+
 def test_battery_tells_keys_from_words(spark):
     rng = random.Random(4)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
