@@ -138,6 +138,60 @@ def test_rows_dealt_out_grow_with_the_rows():
             assert len(rows) == len(fp) and np.median(sizes[sizes > 0]) <= 2 * simhash.CELL_ROWS
 
 
+def pairs_compared(members: dict) -> int:
+    return sum(len(left) * (len(left) - 1) // 2 if right is None else len(left) * len(right) for left, right in members.values())
+
+
+def test_large_cells_go_through_inner_trees(spark, monkeypatch):
+    """Boundary shards and pruned pairs above zero on the default path, every pair of a cell met once, same groups as brute force."""
+    rng = np.random.default_rng(12)
+    fp = clustered(rng, 700)
+    monkeypatch.setattr(simhash, "CELL_ROWS", 250)
+    bands = simhash.band_masks(1, 5)
+    trees = simhash.plan_trees(fp[:, None], len(fp), bands, 0, 1, 2_000)  # few outer cells, all of them large
+    cells = defaultdict(int)
+    for _, cell, _, _ in simhash._banded([fp], bands, trees):
+        for c in cell.tolist():
+            cells[c] += 1
+    large = {c: n for c, n in cells.items() if n > 250}
+    inner = simhash.plan_inner(fp[:, None], bands, trees, large, 4)
+    assert any(t.nodes[0] is not None for t in inner.trees.values())
+    met, shards, compared, before = defaultdict(int), 0, 0, 0
+    for rows, cell, role, _ in simhash._banded([fp], bands, trees):
+        outer = dict(zip(rows.tolist(), cell.tolist()))
+        sizes = np.unique(cell, return_counts=True)[1]
+        before += int((sizes * (sizes - 1) // 2).sum())
+        members = {}
+        r, c, s = inner.route(fp, rows, cell, role)
+        for key in np.unique(c).tolist():
+            here = c == key
+            sided = (s[here] >= 2).any()
+            members[key] = r[here & (s % 2 == 0)], r[here & (s % 2 == 1)] if sided else None
+            shards += int((s[here] >= 2).sum())
+        compared += pairs_compared(members)
+        for left, right in members.values():
+            found = lambda a, b: [met.__setitem__((min(x, y), max(x, y)), met[min(x, y), max(x, y)] + (outer[x] == outer[y])) for x, y in zip(a.tolist(), b.tolist())]
+            simhash._pairs_in(fp, left, right, 4, np.random.default_rng(0), found)
+    want = {(i, int(j)) for i in range(len(fp)) for j in np.nonzero(np.bitwise_count(fp ^ fp[i]) <= 4)[0] if j > i}
+    assert set(met) == want and max(met.values()) <= 5
+    assert shards > 0 and compared < before
+    # and in Spark, where tasks search large runs of a value by bounds as well
+    monkeypatch.setattr(simhash, "LEAF_ROWS", 8)
+    monkeypatch.setattr(simhash, "plan_trees", lambda *_: trees)
+    seen = []
+    kept = simhash.plan_inner
+    monkeypatch.setattr(simhash, "plan_inner", lambda *a: seen.append(kept(*a)) or seen[-1])
+    reps = spark.createDataFrame([(int(x), int(x), 0) for x in fp.view(np.int64)], "id long, l0 long, size int")
+    links = simhash.links_between(reps, 1, bands, 0, 4).collect()
+    assert len(seen) == 1
+    assert all(bin((r.a ^ r.b) & (2**64 - 1)).count("1") == r.bits <= 4 for r in links)
+    group, at = list(range(len(fp))), {int(x): i for i, x in enumerate(fp.view(np.int64))}
+    for r in links:
+        a, b = group[at[r.a]], group[at[r.b]]
+        group = [min(a, b) if g in (a, b) else g for g in group]
+    assert group == brute_groups([int(x) for x in fp], list(range(len(fp))), 4)
+
+
 def test_near_duplicates_equal_brute_force(spark):
     rng = random.Random(2)
     rows = []

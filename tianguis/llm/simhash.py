@@ -11,13 +11,16 @@
    lie within r of the boundary, so a node splits exactly into pairs(inner), pairs(outer)
    and pairs(inner boundary x outer boundary); a two-sided node splits into four.  At radius
    0 nothing lies in the boundary, and a tree deals every row out once.
-5. Leaves are cells.  A cell that is still too large (rows that no pivot can part) is cut into
-   blocks, every two of which meet in one task.  A task gives back a spanning forest of its
+5. Leaves are cells.  A cell of a single lane that is too large for one task goes on through an inner tree
+   over all 64 bits at the whole radius r, with boundary shards.  What is still too large then
+   (rows that no pivot can part) is cut into blocks, every two of which meet in one task.
+   Within a task, large runs of one band value are searched by a tree over all bits too.  A task gives back a spanning forest of its
    links (fewer rows than it has members), never all pairs within a group.
 6. Connected components over the forests give the groups.
 
-One tree over all 64 bits would deal unlike fingerprints out 1.7 times over at each level, as
-two thirds of them lie within 4 bits of any median: rows would grow near N^1.75.
+One tree over all 64 bits deals unlike fingerprints out 1.7 times over at each level, as
+two thirds of them lie within 4 bits of any median: rows would grow near N^1.75.  So the bands come
+first, and the trees over all bits only take the levels that the bands' values leave open.
 """
 
 from __future__ import annotations
@@ -268,10 +271,18 @@ def _same_band(lanes: np.ndarray, size: np.ndarray, value: np.ndarray, left: np.
     values, first = np.unique(value[left], return_index=True)
     lows, highs = np.searchsorted(value[other], values), np.searchsorted(value[other], values, side="right")
     columns = [np.ascontiguousarray(c) for c in lanes.T]
+    rng = np.random.default_rng(1)
+
+    def near(a, b):
+        found(a, b, _near(columns[0][a], columns[0][b]).astype(np.int64))
+
     for k, (start, end) in enumerate(zip(first, np.append(first[1:], len(left)))):
         run = other[lows[k] : highs[k]]
         if not len(run) or right is None and len(run) < 2:
             continue
+        if len(columns) == 1 and not ratio and (end - start) * len(run) > LEAF_ROWS * LEAF_ROWS:
+            _pairs_in(columns[0], left[start:end], None if right is None else run, bits, rng, near)
+            continue
         sizes, step = size[run], max(1, COMPARED // len(run))
         for i in range(start, end, step):
             a = left[i : min(i + step, end)]
@@ -335,6 +346,51 @@ def plan_trees(sample: np.ndarray, total: int, bands: list, radius: int, partiti
     return [Tree(band_values(sample[:, lane], first, bits), per, cell, radius) for lane, first, bits in bands]
 
 
+#: Inner trees are for radii that bounds can prune at; their leaves are numbered above a cell's own bits.
+INNER_RADIUS, INNER_SHIFT = 8, 40
+
+
+class Inner:
+    """Trees over all 64 bits for cells that are too large: ``depth`` of each such cell (a power of two of tasks), a tree for each depth."""
+
+    def __init__(self, cells: dict[int, int], sample: np.ndarray, sample_cells: np.ndarray, radius: int):
+        self.cells = np.array(sorted(cells), np.int64)
+        self.depth = np.array([int(np.ceil(np.log2(cells[c] / CELL_ROWS))) for c in self.cells.tolist()], np.int64)
+        # pivots come from rows of these cells where the sample has enough of them
+        own = sample[np.isin(sample_cells, self.cells).any(axis=0)] if len(sample) else sample
+        pivots = own if len(own) >= 64 * NODE_SAMPLE else sample
+        self.trees = {d: Tree(pivots, (CELL_ROWS << d) / max(1, len(pivots)), CELL_ROWS, radius) for d in np.unique(self.depth).tolist()}
+
+    def route(self, lane: np.ndarray, rows: np.ndarray, cell: np.ndarray, role: np.ndarray) -> tuple:
+        """Rows of these cells by the leaves of their trees, once for each leaf that they take part in; others as they are."""
+        at = np.searchsorted(self.cells, cell)
+        at[at == len(self.cells)] = 0
+        large = self.cells[at] == cell
+        out = [(rows[~large], cell[~large], role[~large])]
+        for d, tree in self.trees.items():
+            mine = np.nonzero(large & (self.depth[at] == d))[0]
+            some, leaf, side = tree.route(lane[rows[mine]])
+            some = mine[some]
+            out.append((rows[some], cell[some] | (leaf + 1) << INNER_SHIFT, side))
+        return tuple(map(np.concatenate, zip(*out)))
+
+
+def _banded(lanes: list[np.ndarray], bands: list, trees: list[Tree]) -> Iterator[tuple]:
+    """For each band: rows, cells, roles, and the band's value of every row."""
+    for band, ((lane, first, width), tree) in enumerate(zip(bands, trees)):
+        value = band_values(lanes[lane], first, width)
+        rows, leaf, role = tree.route(value)
+        yield rows, band << 32 | leaf, role, value
+
+
+def plan_inner(sample: np.ndarray, bands: list, trees: list[Tree], cells: dict[int, int], radius: int) -> Inner:
+    """Inner trees of the one-sided cells (radius 0: one cell a band and row) that have so many rows."""
+    where = np.zeros((len(bands), len(sample)), np.int64)
+    for i, (rows, cell, _, _) in enumerate(_banded([sample[:, 0]], bands, trees)):
+        where[i, rows] = cell
+    return Inner(cells, sample[:, 0], where, radius)
+
+
 def links_between(reps: DataFrame, lanes: int, bands: list, band_radius: int, bits: int, similarity: float = 0.0) -> DataFrame:
     """Links ``(a, b, bits)`` among ``reps`` (id, l0.. lanes, size): a spanning forest for each task.
 
@@ -345,24 +401,39 @@ def links_between(reps: DataFrame, lanes: int, bands: list, band_radius: int, bi
     spark = reps.sparkSession
     total, sample = reps.count(), _sample(reps, lanes)
     trees = plan_trees(sample, total, bands, band_radius, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shared = spark.sparkContext.broadcast((bands, trees))
     names = ["id", *[f"l{k}" for k in range(lanes)], "size"]
 
-    def routed(batch: pa.RecordBatch) -> Iterator[tuple]:
-        for band, ((lane, first, width), tree) in enumerate(zip(*shared.value)):
-            value = band_values(batch.column(1 + lane).to_numpy().view(np.uint64), first, width)
-            rows, leaf, role = tree.route(value)
-            yield rows, band << 32 | leaf, role, value
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, cell, role, _ in routed(batch):
-                kinds, n = np.unique(cell * 4 + role, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(n)], names=["kind", "n"])
-
-    # as many rows as the trees have leaves, which the sample bounds
-    counted = reps.select(*names).mapInArrow(count, "kind long, n long").groupBy("kind").agg(F.sum("n").alias("n")).where(F.col("n") > CELL_ROWS).collect()
-    blocks = spark.sparkContext.broadcast({r["kind"]: -(-r["n"] // CELL_ROWS) for r in counted})
+    def routing(inner: Inner | None):
+        shared = spark.sparkContext.broadcast((bands, trees, inner))
+
+        def routed(batch: pa.RecordBatch) -> Iterator[tuple]:
+            bands, trees, inner = shared.value
+            columns = [batch.column(1 + k).to_numpy().view(np.uint64) for k in range(lanes)]
+            for rows, cell, role, value in _banded(columns, bands, trees):
+                if inner is not None:
+                    rows, cell, role = inner.route(columns[0], rows, cell, role)
+                yield rows, cell, role, value
+
+        return routed
+
+    def large_kinds(routed) -> dict[int, int]:
+        """Rows of each cell and role above CELL_ROWS: no more than the trees have leaves, which the sample bounds."""
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for _, cell, role, _ in routed(batch):
+                    kinds, n = np.unique(cell * 4 + role, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(n)], names=["kind", "n"])
+
+        counted = reps.select(*names).mapInArrow(count, "kind long, n long").groupBy("kind").agg(F.sum("n").alias("n")).where(F.col("n") > CELL_ROWS)
+        return {r["kind"]: r["n"] for r in counted.collect()}
+
+    routed = routing(None)
+    large = large_kinds(routed)
+    if large and lanes == 1 and not band_radius and not similarity and bits <= INNER_RADIUS:
+        routed = routing(plan_inner(sample, bands, trees, {kind >> 2: n for kind, n in large.items()}, bits))
+        large = large_kinds(routed)
+    blocks = spark.sparkContext.broadcast({kind: -(-n // CELL_ROWS) for kind, n in large.items()})
     schema = ", ".join(f"{n} long" for n in names[:-1]) + ", size int, value long, cell long, x int, y int, role int"
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
