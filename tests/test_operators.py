@@ -320,6 +320,50 @@ def test_load_refuses_nulls_and_counts_go_on(spark, tmp_path):
     assert sorted(tuple(r) for r in readers.stored_counts(spark, path).collect()) == [("1", 1998, 7), ("1", 1999, 7), ("2", 1998, 7)]
 
 
+def test_counting_that_fails_keeps_its_earlier_slices(spark, tmp_path):
+    grid = spark.createDataFrame([(str(m), y) for m in range(12) for y in (1998, 1999)], "destination_id string, year int")
+    path, asked = f"file://{tmp_path}/counts", []
+
+    def count(cells):
+        asked.append({tuple(r) for r in cells.collect()})
+        if len(asked) == 3:
+            raise OSError("the source is gone")
+        return cells.withColumn("rows", F.col("year").cast("long"))
+
+    with pytest.raises(OSError):
+        sinks.resume_counts(grid, path, count, slices=5)
+    kept = {(r.destination_id, r.year) for r in readers.stored_counts(spark, path).collect()}
+    assert kept == asked[0] | asked[1] and len(kept) < 24
+    assert sinks.resume_counts(grid, path, count, slices=5) == 24 - len(kept)
+    assert not any(kept & cells for cells in asked[2:]) and sinks.resume_counts(grid, path, count, slices=5) == 0
+    got = [tuple(r) for r in readers.stored_counts(spark, path).collect()]
+    assert sorted(got) == sorted((str(m), y, y) for m in range(12) for y in (1998, 1999))
+    with pytest.raises(ValueError):
+        sinks.resume_counts(grid, path, count, slices=0)
+
+
+def test_season_position_equals_brute_force(spark):
+    """Ties with the mean, equal means of several years, weeks of one year, null prices and null groups."""
+    rng = random.Random(5)
+    rows = [(g, D(y, 1, 5) + dt.timedelta(days=7 * w), rng.choice([1.0, 2.0, 2.0, 3.0, 4.5, None])) for g in ("a", "b", None) for y in range(2001, 2009) for w in range(3) for _ in range(rng.randint(0, 9))]
+    rows += [("even", D(y, 3, 5), 2.0) for y in (2001, 2002, 2003) for _ in range(3)] + [("one", D(2001, 3, 5), 1.0)]
+    got = {(r.g, r.week, r.year): (r.price, r.years, r.observations, r.share_below) for r in prices.season_position(spark.createDataFrame(rows, "g string, fecha date, precio_frecuente double"), ["g"], 2).collect()}
+    held = {}
+    for g, d, p in rows:
+        if p is not None:
+            year, week, _ = d.isocalendar()
+            held.setdefault((g, week), {}).setdefault(year, []).append(p)
+    want = {}
+    for (g, week), years in held.items():
+        for year, mine in years.items():
+            mean, past = sum(mine) / len(mine), {y: p for y, p in years.items() if y < year and g is not None}
+            seen = [p for ps in past.values() for p in ps]
+            want[g, week, year] = mean, len(past), len(seen), sum(p < mean for p in seen) / len(seen) if len(past) >= 2 else None
+    assert got.keys() == want.keys()
+    for key, row in want.items():
+        assert got[key] == pytest.approx(row), key
+
+
 def test_failures_are_lines_that_the_monitor_reads(spark, tmp_path):
     bad = spark.createDataFrame([("210", "2", D(2026, 7, 1), D(2026, 7, 3), "DuplicateKey", "two rows"), ("9", None, None, None, "E", None)], "destination_id string, prices_per_id string, window_start date, window_end date, reason string, message string")
     path = f"file://{tmp_path}/failed"

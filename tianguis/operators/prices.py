@@ -23,15 +23,28 @@ def season_position(rows: DataFrame, by: list[str], min_years: int, price: str =
     Weeks and years are ISO ones (29 December may lie in week 1 of the next year).  Returns one
     row for each group, week and year with a price: ``years`` (earlier years with prices),
     ``observations`` and ``share_below``, the share of them below the mean; null where fewer than
-    ``min_years`` earlier years are known.  An observation meets the means of later years
-    alone, so it is read as often as there are such years.
+    ``min_years`` earlier years are known.
+
+    Equal prices of a year's week are counted before they are shuffled, and each count is placed once among the
+    week's means (one for each year); what is left are sums by year and place, whatever the observations.
     """
+    week = [*by, "week"]
     dated = rows.where(F.col(price).isNotNull()).select(*by, F.weekofyear(day).alias("week"), F.expr(f"extract(yearofweek from {day})").cast("int").alias("year"), F.col(price).alias("__price"))
-    means = dated.groupBy(*by, "week", "year").agg(F.avg("__price").alias("price"))
-    past = dated.select(*by, "week", F.col("year").alias("__year"), "__price")
-    met = means.join(past, [*by, "week"]).where("__year < year").groupBy(*by, "week", "year").agg(F.countDistinct("__year").alias("years"), F.count("__price").alias("observations"), F.count_if(F.col("__price") < F.col("price")).alias("__below"))
-    out = means.join(met, [*by, "week", "year"], "left").withColumns({"years": F.coalesce("years", F.lit(0)), "observations": F.coalesce("observations", F.lit(0))})
-    return out.withColumn("share_below", F.when(F.col("years") >= min_years, F.col("__below") / F.col("observations"))).drop("__below")
+    # as many as years, in order of price
+    means = dated.groupBy(*week, "year").agg(F.avg("__price").alias("price")).groupBy(*week).agg(F.sort_array(F.collect_list(F.struct("price", "year"))).alias("__means"))
+    counted = dated.groupBy(*week, "year", "__price").agg(F.count(F.lit(1)).alias("n"))
+    place = F.size(F.filter("__means", lambda m: m["price"] <= F.col("__price"))).alias("place")
+    placed = counted.join(means, week).select(*week, "year", place, "n").groupBy(*week, "year", "place").agg(F.sum("n").alias("n"))
+    # at most (years + 1) for each year
+    sums = placed.groupBy(*week).agg(F.collect_list(F.struct("year", "place", "n")).alias("__past"))
+    each = means.join(sums, week, "left").select(*week, "__means", F.coalesce("__past", F.array()).alias("__past"), F.explode("__means").alias("m"))
+    each = each.select(*week, F.col("m.year").alias("year"), F.col("m.price").alias("price"), F.filter("__past", lambda p: p["year"] < F.col("m.year")).alias("__past"),
+                       F.size(F.filter("__means", lambda x: x["price"] < F.col("m.price"))).alias("__less"))
+    total = lambda past: F.aggregate(past, F.lit(0).cast("long"), lambda acc, p: acc + p["n"])
+    out = each.withColumns({"years": F.size(F.array_distinct(F.transform("__past", lambda p: p["year"]))), "observations": total(F.col("__past"))})
+    # a price lies below a mean if no mean from this one on is at or below it
+    below = total(F.filter("__past", lambda p: p["place"] <= F.col("__less")))
+    return out.withColumn("share_below", F.when((F.col("years") >= min_years) & (F.col("observations") > 0), below / F.col("observations"))).drop("__past", "__less")
 
 
 #: Quantiles of a distribution that a price is placed among; a power of two, so that ranks are exact.

@@ -54,18 +54,24 @@ def write_catalog(rows: DataFrame, path: str, id_col: str) -> None:
     flat.orderBy(F.col(id_col).cast("long")).coalesce(1).write.mode("overwrite").csv(path, header=True, escape='"')
 
 
-def resume_counts(grid: DataFrame, path: str, count: Callable[[DataFrame], DataFrame]) -> int:
+def resume_counts(grid: DataFrame, path: str, count: Callable[[DataFrame], DataFrame], slices: int = 1) -> int:
     """Counts the cells of ``grid`` (destination_id, year) that the table at ``path`` lacks and appends them.
 
-    ``count`` gives rows (destination_id, year, rows) of the cells it is handed.  After a failure the next call
-    goes on with what is missing.  Returns how many cells were missing.
+    ``count`` gives rows (destination_id, year, rows) of the cells it is handed.  The cells are dealt into ``slices``
+    by hash, the same ones in every run, and each slice is appended before the next one is counted: a failure loses
+    its own slice alone, and the next call goes on with what is missing.  Returns how many cells were missing.
     """
-    known = readers.stored_counts(grid.sparkSession, path)
-    rest = remaining(grid, known)
-    n = rest.count()
-    if n:
-        append(count(rest).select("destination_id", "year", "rows"), path)
-    return n
+    if slices < 1:
+        raise ValueError("at least one slice")
+    spark, total = grid.sparkSession, 0
+    of = F.pmod(F.xxhash64(F.col("destination_id").cast("string"), F.col("year").cast("int")), F.lit(slices))
+    for k in range(slices):
+        rest = remaining(grid.where(of == k), readers.stored_counts(spark, path))
+        n = rest.count()
+        if n:
+            append(count(rest).select("destination_id", "year", "rows"), path)
+        total += n
+    return total
 
 
 def append(rows: DataFrame, path: str) -> None:
