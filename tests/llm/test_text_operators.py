@@ -717,3 +717,25 @@ def test_files_round_trip(spark, monkeypatch):
     first, again = (sorted((r.doc_id, r.start, bytes(r.ids)) for r in huffman.round_trip(t, path).collect()) for t in (twice, twice.repartition(5)))
     assert first == again
     assert huffman.round_trip(docs(spark), path).count() == 0
+
+
+def test_rows_of_one_id_are_dealt_over_several_ranges(spark, monkeypatch):
+    """An id on a third of the rows, and null ids on another: no range holds them all, and their order stays."""
+    monkeypatch.setattr(huffman, "RANGE_SAMPLE", 3_000)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = random.Random(29)
+    words = [w for w in prose(rng, 4000).split()]
+    rows = [(None if i % 3 == 0 else 500 if i % 3 == 1 else i, " ".join(rng.choices(words, k=5))) for i in range(9_000)]
+    table = docs(spark, *rows)
+    bounds = huffman._bounds(table, "doc_id", 12)
+    assert len(bounds) == 11 and bounds == sorted(bounds)
+    dealt = huffman._sorted_ids(table, path, "doc_id", "text", 1, bounds, 12, "<u2").collect()
+    held = {k: {r.shard for r in dealt if r.id == k} for k in (None, 500)}
+    assert all(len(v) >= 3 for v in held.values())
+    most = max(sum(r.shard == s for r in dealt) for s in range(12))
+    assert most < 3_000
+    order = [(r.id is not None, r.id, bytes(r.ids)) for r in sorted(dealt, key=lambda r: (r.shard, r.before))]
+    assert order == sorted(order)
+    back = sorted(huffman.round_trip(table, path).collect(), key=lambda r: r.start)
+    assert [r.start for r in back] == [0, *np.cumsum([r.n_tokens for r in back])[:-1].tolist()]
+    assert [(r.doc_id is not None, r.doc_id) for r in back] == sorted((r[0] is not None, r[0]) for r in rows)

@@ -1,7 +1,8 @@
 """Token ids in files of canonical, length-limited Huffman codes.
 
 1. Texts are encoded once and their ids dealt out by ranges of the document id, sorted, and
-   written to a table in the shared folder.
+   written to a table beside the files (``PATH-ids``).  The rows of an id that holds several
+   ranges (repeated ids, null ids) are dealt over them in order of their token ids.
 2. Each task of a scan over that table counts ids and tokens; counts are summed by id.  The
    code lengths (package-merge, at most ``LIMIT`` bits) follow from the global counts and
    are as many as the vocabulary, so the driver computes them.
@@ -16,8 +17,8 @@ the block.  A block can be decoded by itself, from any checkpoint on, with a tab
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -139,14 +140,34 @@ def _width(tokenizer: str) -> str:
     return "<u2" if library_coder(tokenizer).size <= 1 << 16 else "<u4"
 
 
+def _order(key) -> tuple:
+    """Null ids come first."""
+    return (key is not None, key)
+
+
 def _bounds(docs: DataFrame, id_col: str, shards: int) -> list:
-    """Ids that part the table in about equal ranges, from a sample of bounded expected size."""
-    ids = docs.select(id_col).where(F.col(id_col).isNotNull())
+    """Ids (by ``_order``) that part the rows in about equal ranges, from a sample of bounded expected size.
+
+    Equal ids of the sample are counted together before they are gathered.  An id that holds several
+    ranges of rows stands there as many times (``_shard`` deals its rows over them).
+    """
+    ids = docs.select(F.col(id_col).alias("id"))
     total = ids.count()
     if shards < 2 or not total:
         return []
-    some = sorted(r[0] for r in ids.where(F.abs(F.xxhash64(id_col)) % 1_000_003 <= 1_000_003 * min(1.0, RANGE_SAMPLE / total)).collect())
-    return sorted({some[i * len(some) // shards] for i in range(1, shards)}) if some else []
+    some = sorted((_order(r["id"]), r["n"]) for r in ids.sample(min(1.0, RANGE_SAMPLE / total), 1).groupBy("id").agg(F.count(F.lit(1)).alias("n")).collect())
+    upto = np.cumsum([n for _, n in some])
+    return [some[i][0] for i in np.searchsorted(upto, np.arange(1, shards) * upto[-1] // shards, side="right")] if some else []
+
+
+def _shard(bounds: list, key, ids: Callable[[], bytes]) -> int:
+    """The range of a row; of an id with several ranges by the first bytes of its token ids, in their order."""
+    k = _order(key)
+    high = bisect_right(bounds, k)
+    ranges = high - bisect_left(bounds, k)
+    if ranges < 2:
+        return high
+    return high - ranges + 1 + (ranges * int.from_bytes(ids()[:8].ljust(8, b"\0"), "big") >> 64)
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1) -> None:
@@ -160,9 +181,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
     bounds = _bounds(docs, id_col, shards)
     kind = docs.schema[id_col].dataType
     form = _width(tokenizer)
+    beside = f"{path.rstrip('/')}-ids"
     with _shuffles_removed(spark):
-        _sorted_ids(docs, tokenizer, id_col, text_col, end_id, bounds, shards, form).write.option("compression", "zstd").parquet(f"{path}/ids")
-    ids = spark.read.parquet(f"{path}/ids")
+        _sorted_ids(docs, tokenizer, id_col, text_col, end_id, bounds, shards, form).write.option("compression", "zstd").parquet(beside)
+    ids = spark.read.parquet(beside)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, tokens = np.zeros(0, np.int64), {}
@@ -253,8 +275,9 @@ def _sorted_ids(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end
         names, coder = to_arrow_schema(schema), library_coder(tokenizer)
         for b in batches:
             ids, counts = with_end(*coder.encode(b.column(1)), end_id)
-            shard = [0 if k is None else bisect_right(bounds, k) for k in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), b.column(0), binary_array(ids.astype(form), counts)], schema=names)
+            made = binary_array(ids.astype(form), counts)
+            shard = [_shard(bounds, k, lambda i=i: made[i].as_py()) for i, k in enumerate(b.column(0).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), b.column(0), made], schema=names)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
