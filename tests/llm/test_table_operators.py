@@ -30,6 +30,33 @@ def test_components_equal_brute_force(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_a_hub_of_many_aliases_is_split_over_tasks(spark):
+    """One page that 100 000 aliases name: adaptive execution splits its links, as both sides of the join are shuffles."""
+    from tianguis.llm import components
+
+    names = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    before = {n: spark.conf.get(n, None) for n in names}
+    hub = spark.range(1, 100_001).select(F.col("id").alias("a"), F.lit(0).cast("long").alias("b"))
+    try:
+        for n, v in names.items():
+            spark.conf.set(n, v)
+        # links from the hub to each alias, as the large step turns them
+        star = components._large_star(hub.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        star.collect()
+        assert "skew=true" in star._jdf.queryExecution().executedPlan().toString()
+        found = connected_components(hub)
+        assert (found.count(), found.where("component <> 0").count()) == (100_000, 0)
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
 # --- urls -----------------------------------------------------------------------------
 
 PAGES = "page_id long, url string, html string, host string, verdict string"

@@ -3,6 +3,10 @@
 Every round is two groupings by node with a map-side minimum, a join and a distinct; no
 node's neighbours are ever gathered in one place.  A checkpoint ends each round, so a lost
 executor costs one round at most.
+
+The least neighbours are checkpointed too before the links are joined with them: both sides
+of the join are then plain shuffles, and adaptive execution can split a hub's links over
+many tasks (above an aggregate it can't) or broadcast few least neighbours.
 """
 
 from __future__ import annotations
@@ -24,14 +28,14 @@ def _stamp(edges: DataFrame) -> tuple:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     return (
         both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
     )
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = cut(edges.groupBy("u").agg(F.min("v").alias("m")))
     moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
