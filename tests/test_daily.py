@@ -4,11 +4,12 @@ import os
 import re
 from datetime import date as D
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from tianguis.operators import capture, upsert
+from tianguis.operators import capture, published, upsert
 from tianguis.plans import requests, worklist
 from tianguis.schemas import PAGES, RAW_SCHEMA
 from tianguis.sources import readers, sinks
@@ -230,3 +231,95 @@ def test_archived_pages_arrive_as_files(spark, tmp_path):
     for x, y in zip(got, (rows, bad)):
         assert sorted(map(str, x.drop("batch").collect())) == sorted(map(str, y.collect()))
     assert {(r.page_id, r.reason) for r in got[1].collect()} == {("unlisted", "MissingFields: destination, prices_per_id"), ("odd", "MissingFields: presentation")}
+
+
+def test_published_prices_follow_upserts(spark, tmp_path):
+    """After revisions the tables equal a full build; only the touched days of the raw table are read."""
+    table, parts, final = (f"file://{tmp_path}/{n}" for n in ("t", "p", "f"))
+    by, priced = ["product"], lambda r: r.withColumn("farm_gate", F.col("price") - 1)
+
+    def rows(*made):
+        return spark.createDataFrame([(f"{day}{key}", D.fromisoformat(day), product, price and Decimal(price)) for day, key, product, price in made], "llave_fila string, fecha date, product string, price decimal(10,2)")
+
+    def upserted_and_refreshed(stage):
+        upsert.upsert(stage, table, cluster=("product",))
+        days = published.touched_days(stage)
+        published.refresh(spark.read.parquet(table), days, parts, final, by, priced)
+        return days
+
+    def shown():
+        return {(r.product, r.period): (r.n, r["mean"] and float(r["mean"]), r.least and float(r.least), r.greatest and float(r.greatest)) for r in spark.read.parquet(final).collect()}
+
+    def rebuilt():
+        whole = published.finals_of(published.parts_of(priced(spark.read.parquet(table)), by), by)
+        return {(r.product, r.period): (r.n, r["mean"] and float(r["mean"]), r.least and float(r.least), r.greatest and float(r.greatest)) for r in whole.collect()}
+
+    assert published.refresh(rows(), [], parts, final, by, priced) is None
+    upserted_and_refreshed(rows(("2025-12-31", "a", "x", "5"), ("2026-01-02", "a", "x", "7.5"), ("2026-01-02", "b", "x", "3"), ("2026-01-05", "c", "y", None), ("2026-01-05", "d", "x", "9")))
+    assert shown() == rebuilt() == {("x", 2025): (1, 4.0, 4.0, 4.0), ("x", 2026): (3, 5.5, 2.0, 8.0), ("y", 2026): (0, None, None, None)}
+    old = {p.name for p in (tmp_path / "f" / "period=2025").glob("*.parquet")}
+    # a revised least price, a product that a day loses, a new day
+    for stage in (rows(("2026-01-02", "b", "x", "8")), rows(("2026-01-05", "c", "z", "2")), rows(("2026-03-01", "e", "x", "1.25"))):
+        for _ in range(2):
+            upserted_and_refreshed(stage)
+            assert shown() == rebuilt()
+    assert shown()[("x", 2026)][2] == 0.25 and ("y", 2026) not in shown()
+    # other periods' files are left alone
+    assert {p.name for p in (tmp_path / "f" / "period=2025").glob("*.parquet")} == old
+    # only touched days' partitions are listed
+    scan = published.touched_rows(spark.read.parquet(table), [D(2026, 1, 5)])
+    assert len(scan.inputFiles()) == 4
+    read = scan.select(F.input_file_name().alias("f")).distinct().collect()
+    assert read and all("fecha=2026-01-05" in r.f for r in read)
+
+
+def test_row_groups_are_skipped_by_each_clustering_column(spark, tmp_path):
+    """A clustered day lets row groups be skipped by product, by market and by mode; counted by the scan's own metric."""
+    n = 40_000
+    i = F.col("id")
+    rows = spark.range(n).select(
+        F.sha2(i.cast("string"), 256).alias("llave_fila"), F.lit(D(2026, 7, 1)).alias("fecha"),
+        F.format_string("p%03d", i * 7919 % 200).alias("producto_raw"), (F.xxhash64(i) % 128).alias("destino_id"),
+        F.when(i % 64 == 0, "presentacion_comercial").otherwise("kilogramo_calculado").alias("tipo_precio"),
+    )
+    path = f"file://{tmp_path}/t"
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "1250")
+    try:
+        upsert.upsert(rows, path)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    table = spark.read.parquet(path)
+    every = len(table.inputFiles())
+    assert every >= 30 and table.count() == n
+    for where in ("producto_raw = 'p017'", "destino_id = 5", "tipo_precio = 'presentacion_comercial'"):
+        wanted = rows.where(where).count()
+        found = table.where(where)
+        assert found.count() == wanted > 0
+        read = rows_scanned(found)
+        assert wanted <= read < n / 2, (where, read)
+    assert spark.read.parquet(path).exceptAll(rows.select(*table.columns)).count() == 0
+
+
+def test_interleaved_order_takes_odd_columns(spark):
+    rows = spark.createDataFrame([(None, None, 1), ("a", 1.5, 1), ("b", None, 1), ("c", 2.5, 1)], "a string, b double, c int")
+    bounds = upsert.cluster_bounds(rows, ["a", "b", "c"], 4)
+    assert bounds == [("a", ["b", "c"]), ("b", [2.5]), ("c", [])]
+    got = [r.z for r in rows.withColumns(upsert.ranges_of(bounds)).select(upsert.interleaved(bounds).alias("z")).collect()]
+    # two bits of a, one of b between them
+    assert got == [0b000, 0b000, 0b001, 0b110]
+    assert upsert.cluster_bounds(rows.limit(0), ["a"], 0) == [("a", [])]
+    assert rows.select(upsert.interleaved([]).alias("z")).distinct().count() == 1
+
+
+def rows_scanned(df):
+    """Rows that the Parquet reader handed on (groups skipped by their statistics are not among them)."""
+    qe = df._jdf.queryExecution()
+    qe.executedPlan().executeCollect()
+
+    def leaf(node):
+        kids = node.children()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            return leaf(node.executedPlan())
+        return node if kids.isEmpty() else leaf(kids.head())
+
+    return leaf(qe.executedPlan()).metrics().apply("numOutputRows").value()

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KEY, DAY = "llave_fila", "fecha"
+#: Columns that a day's rows lie together by.
+CLUSTER = ("producto_raw", "destino_id", "tipo_precio")
+#: Rows that the ranges of clustering columns are read from, at most (about), and ranges of a column (a power of two).
+CLUSTER_SAMPLE, CLUSTER_RANGES = 10_000, 16
 
 
 def merged(target: DataFrame, stage: DataFrame, key: str = KEY, day: str = DAY) -> DataFrame:
@@ -31,12 +35,51 @@ def upserted(target: DataFrame, stage: DataFrame, key: str = KEY, day: str = DAY
     return merged(target, stage, key, day).unionByName(untouched.select(*stage.columns))
 
 
-def upsert(stage: DataFrame, path: str, key: str = KEY, day: str = DAY, cluster: tuple[str, ...] = ("producto_raw", "destino_id", "tipo_precio")) -> int:
+def ranges_of(bounds: list[tuple[str, list]]) -> dict[str, Column]:
+    """The range of each column's value, from 0 on, under the names that ``interleaved`` reads.
+
+    ``bounds`` gives for each column the least values of its ranges but the first, ascending; nulls lie in the first range.
+    """
+
+    def of(column: str, least: list) -> Column:
+        return F.size(F.filter(F.lit(least), lambda x: x <= F.col(column)))
+
+    return {f"__range_{c}": of(c, least) for c, least in bounds if least}
+
+
+def interleaved(bounds: list[tuple[str, list]]) -> Column:
+    """One number whose order keeps rows together by all columns: the bits of their ranges in turn, highest first.
+
+    A column with few ranges has few bits, which count as its highest ones.
+    """
+    bits_of = [(F.col(f"__range_{c}"), len(least).bit_length()) for c, least in bounds if least]
+    number = F.lit(0).cast("long")
+    for level in range(max((bits for _, bits in bits_of), default=0)):
+        for of, bits in bits_of:
+            if level < bits:
+                number = F.shiftleft(number, 1).bitwiseOR(F.shiftright(of, bits - 1 - level).bitwiseAND(F.lit(1)).cast("long"))
+    return number
+
+
+def cluster_bounds(stage: DataFrame, columns: list[str], n_rows: int) -> list[tuple[str, list]]:
+    """Ranges of the columns for ``interleaved``, from a sample of bounded size: they shape the order of rows alone, never the rows."""
+    some = stage.select(*columns).sample(min(1.0, CLUSTER_SAMPLE / max(n_rows, 1)), 1).collect() if columns else []
+    out = []
+    for c in columns:
+        values = sorted(r[c] for r in some if r[c] is not None)
+        known = sorted(set(values))
+        if len(known) > CLUSTER_RANGES:
+            known = sorted({values[len(values) * i // CLUSTER_RANGES] for i in range(CLUSTER_RANGES)})
+        out.append((c, known[1:]))
+    return out
+
+
+def upsert(stage: DataFrame, path: str, key: str = KEY, day: str = DAY, cluster: tuple[str, ...] = CLUSTER) -> int:
     """Replaces the touched days under ``path``; other days stay.  One writer at a time.  Returns the rows staged.
 
     A stage with a key twice in a day is refused.  The stage is read once and kept while
-    it is used.  Rows are sorted within a day by the cluster columns, so that row groups can
-    be skipped; a day that is too large for one task is split over several (adaptive rebalancing).
+    it is used.  Within a day rows lie in the interleaved order of the cluster columns, so that row groups can be
+    skipped by each of them; a day that is too large for one task is split over several (adaptive rebalancing).
     """
     spark, stage = stage.sparkSession, stage.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -50,7 +93,9 @@ def upsert(stage: DataFrame, path: str, key: str = KEY, day: str = DAY, cluster:
                 raise
             rows = stage
         sort = [c for c in cluster if c in stage.columns]
-        out = rows.hint("rebalance", F.col(day)).sortWithinPartitions(day, *sort)
+        bounds = cluster_bounds(stage, sort, checks["n"] or 0)
+        places = ranges_of(bounds)  # columns of their own: each is found once a row
+        out = rows.hint("rebalance", F.col(day)).withColumns(places).sortWithinPartitions(day, interleaved(bounds), *sort).drop(*places)
         out.write.partitionBy(day).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
         return checks["n"] or 0
     finally:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import dates, text
-from .operators import capture, catalogs, contract, coverage, monitor, pages, prices, rawrows, upsert
+from .operators import capture, catalogs, contract, coverage, monitor, pages, prices, published, rawrows, upsert
 from .plans import adapter, requests, worklist
 from .plans.adapter import table
 from .sources import readers, sinks
@@ -671,6 +671,31 @@ def final_prices(spark, d):
     return out.select("producto_raw", "year", "n", F.round("mean", 2).cast("double").alias("mean"))
 
 
+@_query(f""", o AS (SELECT product, fecha, CAST(CASE WHEN fecha BETWEEN DATE '{START}' AND DATE '{END}' THEN freq + 1 ELSE freq END AS DECIMAL(18, 4)) AS freq FROM typed WHERE fecha <= DATE '{END}' OR CAST(destination_id AS BIGINT) % 2 = 0),
+g AS (SELECT product, CAST(year(fecha) AS INTEGER) AS year, CAST(freq AS DECIMAL(18, 4)) * CAST(0.855 AS DECIMAL(4, 3)) - CAST(2.5 AS DECIMAL(3, 1)) AS price FROM o)
+SELECT product AS producto_raw, year, count(price) AS n, round(CAST(sum(price) AS DOUBLE) / count(price), 6) AS mean, CAST(min(price) AS DOUBLE) AS least, CAST(max(price) AS DOUBLE) AS greatest FROM g GROUP BY 1, 2""", True)
+def published_prices(spark, d):
+    """Finals built once and brought up to date after an upsert: rows of the window come with other prices, some for the first time.
+
+    Days are months here: one file for each of the tables' days would be thousands of them.
+    """
+    path, parts, final = (_scratch(spark, n) for n in ("table", "parts", "final"))
+    rows = _typed(spark, d).select(F.sha2(F.concat_ws("|", "page_id", "llave_fila"), 256).alias("llave_fila"), "producto_raw", "destino_id", "fecha", F.col("precio_frecuente").cast("decimal(18,4)").alias("precio_frecuente"))
+    # both deliveries and their days come from these rows
+    kept = _scratch(spark, "rows")
+    rows.withColumn("month", F.trunc("fecha", "month").cast("date")).write.parquet(kept)
+    rows = spark.read.parquet(kept)
+    first = rows.where(f"fecha < '{START}' or destino_id % 2 = 0")
+    stage = rows.where(F.col("fecha").between(_day(START), _day(END))).withColumn("precio_frecuente", (F.col("precio_frecuente") + 1).cast("decimal(18,4)"))
+    priced = lambda r: prices.farm_gate(r, *[F.lit(Decimal(x)) for x in ("0.05", "0.10", "2.5")])
+    for some in (first, stage):
+        upsert.upsert(some, path, day="month", cluster=("producto_raw", "destino_id"))
+        raw = spark.read.schema(rows.schema).parquet(path)
+        published.refresh(raw, published.touched_days(some, "month"), parts, final, ["producto_raw"], priced, day="month")
+    out = spark.read.parquet(final)
+    return out.select("producto_raw", F.col(published.PERIOD).alias("year"), "n", F.round(F.col("mean").cast("double"), 6).alias("mean"), F.col("least").cast("double").alias("least"), F.col("greatest").cast("double").alias("greatest"))
+
+
 @_query("SELECT destination_id, last_year FROM (SELECT CAST(l_suppkey AS VARCHAR) AS destination_id, CAST(max(year(l_shipdate)) AS INTEGER) AS last_year FROM lineitem GROUP BY 1)")
 def coverage_csv_roundtrip(spark, d):
     """The summary as a catalog file, read back."""

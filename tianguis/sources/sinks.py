@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.coverage import remaining
-from ..operators.upsert import upsert
+from ..operators.upsert import CLUSTER, upsert
 from ..plans.requests import failure_line
 from ..schemas import RAW_SCHEMA, REQUIRED
 from . import readers
@@ -42,10 +42,10 @@ def load_report(stage: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def create_table(spark: SparkSession, name: str, path: str | None = None) -> None:
-    """The raw table: Parquet, partitioned by day, with its fields' constraints as comments."""
+    """The raw table: Parquet, partitioned by day, with its fields' constraints as comments; a property names what ``upsert`` clusters a day by."""
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()} COMMENT '{'required' if f.name in REQUIRED else 'optional'}'" for f in RAW_SCHEMA)
     place = f" LOCATION '{path}'" if path else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (fecha){place}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (fecha){place} TBLPROPERTIES ('clustered_by' = '{",".join(CLUSTER)}')")
 
 
 def write_catalog(rows: DataFrame, path: str, id_col: str) -> None:
