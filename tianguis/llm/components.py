@@ -4,9 +4,10 @@ Every round is two groupings by node with a map-side minimum, a join and a disti
 node's neighbours are ever gathered in one place.  A checkpoint ends each round, so a lost
 executor costs one round at most.
 
-The least neighbours are checkpointed too before the links are joined with them: both sides
-of the join are then plain shuffles, and adaptive execution can split a hub's links over
-many tasks (above an aggregate it can't) or broadcast few least neighbours.
+With ``split_hubs`` the least neighbours are checkpointed too before the links are joined with
+them: both sides of the join are then plain shuffles, and adaptive execution can split a
+hub's links over many tasks (above an aggregate it can't) or broadcast few least neighbours.
+It costs two more jobs a round.
 """
 
 from __future__ import annotations
@@ -26,21 +27,23 @@ def _stamp(edges: DataFrame) -> tuple:
     return row["n"], row["s"]
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, split_hubs: bool = False) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = cut(least) if split_hubs else least
     return (
         both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = cut(edges.groupBy("u").agg(F.min("v").alias("m")))
+def _small_star(edges: DataFrame, split_hubs: bool = False) -> DataFrame:
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = cut(least) if split_hubs else least
     moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60, split_hubs: bool = False) -> DataFrame:
     """Rows ``(node, component)`` for every node of ``edges`` but the least one of each component.
 
     ``component`` is the least node reachable.  Self-links, repeated links and links with a
@@ -57,7 +60,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     for _ in range(max_rounds):
         if not before[0]:
             break
-        e = cut(_small_star(_large_star(e)))
+        e = cut(_small_star(_large_star(e, split_hubs), split_hubs))
         after = _stamp(e)
         if after == before:
             break

@@ -110,7 +110,7 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", html_col: st
     # host and path follow from the key
     nodes = nodes.groupBy("key").agg(F.min("host").alias("host"), F.min("path").alias("path"))
     ruled = cut(match_rules(nodes, rules))
-    member = connected_components(pairs)
+    member = connected_components(pairs, split_hubs=True)
     member = cut(member.unionByName(member.select(F.col("component").alias("node"), "component").distinct()))
     blocked = ruled.where("verdict = 'block'").join(member, F.col("key") == F.col("node")).select("component").distinct()
     aliases = member.join(blocked, "component", "left_semi").select(F.col("node").alias("key"), F.lit(True).alias("blocked"))
