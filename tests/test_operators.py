@@ -477,3 +477,14 @@ def test_stream_keeps_the_newest_and_is_idempotent(spark, tmp_path):
     totals = upserts.day_totals(upserts.files(spark, source, RAW_SCHEMA), "extraido_en").writeStream.format("memory").queryName("totals").outputMode("complete").trigger(availableNow=True).start()
     totals.awaitTermination()
     assert spark.table("totals").agg(F.sum("n_rows")).first()[0] == 3
+
+
+def test_grids_are_never_broadcast(spark):
+    """Spark's estimates don't count what ``explode`` adds: a grid of millions of cells would look small."""
+    markets = spark.range(50).select(F.col("id").cast("string").alias("destination_id"))
+    grid = coverage.year_grid(markets, 1990, F.lit(2019))
+    counts = spark.range(300).select((F.col("id") % 50).cast("string").alias("destination_id"), (1990 + F.col("id") % 30).cast("int").alias("year"), F.lit(2).cast("long").alias("rows"))
+    by = coverage.dense(grid, counts.distinct())
+    rest = coverage.remaining(by.select("destination_id", "year"), by.where("rows > 0"))
+    assert rest.count() == 50 * 30 - by.where("rows > 0").count() == 50 * 30 - 150
+    assert "Broadcast" not in rest._jdf.queryExecution().executedPlan().toString()

@@ -18,13 +18,17 @@ def year_grid(markets: DataFrame, first: int, last: Column) -> DataFrame:
 
 
 def dense(grid: DataFrame, counts: DataFrame) -> DataFrame:
-    """A row for each cell of the grid, zeros included."""
-    return grid.join(counts, ["destination_id", "year"], "left").select("destination_id", "year", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"))
+    """A row for each cell of the grid, zeros included.
+
+    The joins with a grid are merge joins: Spark takes a grid for as small as its markets, since its estimates don't count
+    what ``explode`` adds, and would gather millions of cells in the driver to broadcast them.
+    """
+    return grid.hint("merge").join(counts, ["destination_id", "year"], "left").select("destination_id", "year", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"))
 
 
 def remaining(grid: DataFrame, known: DataFrame) -> DataFrame:
     """Cells of the grid not counted yet."""
-    return grid.join(known.select("destination_id", "year"), ["destination_id", "year"], "left_anti")
+    return grid.hint("merge").join(known.select("destination_id", "year"), ["destination_id", "year"], "left_anti")
 
 
 def summary(by_year: DataFrame) -> DataFrame:
