@@ -488,3 +488,21 @@ def test_grids_are_never_broadcast(spark):
     rest = coverage.remaining(by.select("destination_id", "year"), by.where("rows > 0"))
     assert rest.count() == 50 * 30 - by.where("rows > 0").count() == 50 * 30 - 150
     assert "Broadcast" not in rest._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_without_a_catalog_of_markets_are_not_shuffled(spark):
+    """An empty catalog joined by market sent all rows of pages without a market (-1) to one task."""
+    rows = records(spark, {"destination_id": "-1", "destination": "Puebla"}, {"destination_id": "210", "destination": " "}, {"destination_id": "x", "destination": ""})
+    raw = rawrows.to_raw_rows(contract.with_identity(rows))
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    empty = rawrows.to_raw_rows(contract.with_identity(rows), spark.createDataFrame([], "destination_id string, label string"))
+    assert sorted(map(str, raw.collect())) == sorted(map(str, empty.collect()))
+    assert {(r.destino_raw, r.destino_id) for r in raw.collect()} == {("Puebla", None), (" ", 210), (None, None)}
+
+
+def test_pages_are_made_with_one_shuffle(spark):
+    rows = spark.createDataFrame([(1, 2, "b", "x"), (1, 1, "a", "x"), (2, 1, "c", "y")], "page long, place int, product string, category string")
+    html = pages.result_html(rows, "page", "place", {"Producto": "product", "Obs.": "category"}, "category")
+    assert html._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert [(r.page_id, r.product, r.category) for r in pages.parsed_rows(html).orderBy("page_id", "row_pos").collect()] == [("1", "a", "x"), ("1", "b", "x"), ("2", "c", "y")]
