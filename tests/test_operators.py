@@ -506,3 +506,15 @@ def test_pages_are_made_with_one_shuffle(spark):
     html = pages.result_html(rows, "page", "place", {"Producto": "product", "Obs.": "category"}, "category")
     assert html._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert [(r.page_id, r.product, r.category) for r in pages.parsed_rows(html).orderBy("page_id", "row_pos").collect()] == [("1", "a", "x"), ("1", "b", "x"), ("2", "c", "y")]
+
+
+def test_lines_are_packed(spark, tmp_path):
+    n, root = 2_000, f"file://{tmp_path}/raw"
+    one = raw(spark, ("2026-07-01", "a", 1))
+    rows = spark.range(n).select(F.sha2(F.col("id").cast("string"), 256).alias("llave_fila")).crossJoin(one.drop("llave_fila")).select(one.columns)
+    sinks.write_lines(rows, root)
+    files = list((tmp_path / "raw").rglob("part-*"))
+    assert files and all(p.name.endswith(".gz") for p in files)
+    assert sum(p.stat().st_size for p in files) < 150 * n  # a line has over 400 characters
+    back = sinks.read_lines(spark, root)
+    assert back.exceptAll(rows).count() == 0 and back.count() == n
