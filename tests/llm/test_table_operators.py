@@ -278,3 +278,11 @@ def test_control_strings_never_survive_in_texts(spark):
     for r in df.select("t", chat.escape(F.col("t")).alias("e"), chat.unescape(chat.escape(F.col("t"))).alias("u")).collect():
         assert r.u == r.t
         assert not any(m in r.e for m in ("[INST]", "[/INST]", "<s>", "</s>", "<<SYS>>", "<</SYS>>", "[ROLE]", "[TEXT]", "[/ROLE]"))
+
+
+def test_examples_are_expanded_to_their_whole_text(spark):
+    turns = [(1, 0, "user", "a"), (1, 1, "assistant", "b </s>"), (1, 2, "user", "c"), (1, 3, "assistant", "d"), (None, 0, "assistant", "e")]
+    formatted = chat.format_conversations(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    each = chat.expanded(formatted).withColumn("loss", chat.masked(F.col("text"), F.col("loss_start"), F.col("loss_end")))
+    first = "[INST] a [/INST]<s> b <\\/s> </s>"
+    assert {(r.conv_id, r.example): (r.text, r.loss) for r in each.collect()} == {(1, 0): (first, "b </s>"), (1, 1): (first + "[INST] c [/INST]<s> d </s>", "d"), (None, 0): ("<s> e </s>", "e")}

@@ -113,6 +113,22 @@ def example_text(formatted: Column, context_chars: Column, target: Column) -> Co
     return F.concat(F.substr(formatted, F.lit(1), context_chars), target)
 
 
+def expanded(formatted: DataFrame) -> DataFrame:
+    """``examples`` with the text of each: ``text``, its whole context and its target, which ``loss_start`` and ``loss_end`` refer to.
+
+    A reply's context is repeated in every later example, so a conversation of n turns gives n^2 of text; it is
+    put together row by row behind the join, and never shuffled.
+    """
+    whole = formatted.select(F.col("conv_id").alias("__conv"), F.col("formatted").alias("__formatted"))
+    each = examples(formatted).join(whole, F.col("conv_id").eqNullSafe(F.col("__conv")))
+    return each.withColumn("text", example_text(F.col("__formatted"), F.col("context_chars"), F.col("target"))).drop("__conv", "__formatted")
+
+
+def masked(text: Column, loss_start: Column, loss_end: Column) -> Column:
+    """The text under the loss mask of an example's whole text, unescaped."""
+    return unescape(F.substr(text, loss_start + 1, loss_end - loss_start))
+
+
 def trainable(target: Column, context_chars: Column, loss_start: Column, loss_end: Column) -> Column:
     """The text under an example's loss mask, unescaped."""
     return unescape(F.substr(target, loss_start - context_chars + 1, loss_end - loss_start))

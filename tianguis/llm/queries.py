@@ -104,7 +104,7 @@ def op8_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations formatted, expanded to one example a reply, and read back."""
-    from .chat import examples, format_conversations, parse, trainable
+    from .chat import expanded, format_conversations, masked, parse
 
     turns = _table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
     marks = "</s>[INST] ok [/INST]"
@@ -117,7 +117,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.transform(back, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
-    each = examples(formatted).select("conv_id", F.struct("example", trainable(F.col("target"), F.col("context_chars"), F.col("loss_start"), F.col("loss_end")).alias("text")).alias("x"))
+    each = expanded(formatted).select("conv_id", F.struct("example", masked(F.col("text"), F.col("loss_start"), F.col("loss_end")).alias("text")).alias("x"))
     loss = each.groupBy("conv_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["text"]), "").alias("loss"))
     joined = whole.join(loss.withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c")), "left").withColumn("loss", F.coalesce("loss", F.lit("")))
     return joined.select(
