@@ -216,6 +216,27 @@ def test_season_from_sketches_keeps_its_error_bound(spark):
     assert any(r.share is not None for r in got.values())
 
 
+def test_season_from_counts_is_exact_beyond_any_sketch(spark):
+    rng = random.Random(5)
+    rows = [("x", D.fromisocalendar(2000 + y, 1 + rng.randrange(2), 1 + rng.randrange(7)), Decimal(rng.randrange(100, 9000)) / 100) for y in (0, 1, 3, 4) for _ in range(3000)]
+    df = spark.createDataFrame([*rows, ("x", D.fromisocalendar(2003, 9, 1), Decimal(1)), ("x", D(2001, 1, 1), None)], "g string, fecha date, precio_frecuente decimal(38,9)")
+    halves = [prices.season_counts(df.where(c), ["g"]) for c in ("precio_frecuente < 40", "precio_frecuente >= 40")]
+    got = {(r.week, r.year): r for r in prices.exact_distribution(prices.merged_counts(*halves, ["g"]), ["g"], 2).collect()}
+    of = lambda w, years: sorted(float(p) for _, d, p in rows if d.isocalendar()[1] == w and d.isocalendar()[0] in years)
+    assert got.keys() == {(w, y) for w in (1, 2) for y in (2000, 2001, 2003, 2004)} | {(9, 2003)}
+    for (w, y), r in got.items():
+        past = of(w, range(2000, y))
+        assert (r.years, r.observations) == (sum(z < y for z in (2000, 2001, 2003)) if w < 9 else 0, len(past))
+        if r.years < 2:
+            assert r.share is None and r.quartiles is None
+            continue
+        mean = sum(of(w, [y])) / len(of(w, [y]))
+        assert r.share == sum(past[-(-i * len(past) // 256) - 1] <= mean for i in range(1, 257)) / 256
+        assert r.quartiles == [past[-(-i * len(past) // 4) - 1] for i in (1, 2, 3)]
+    assert max(r.observations for r in got.values()) > 4096
+    assert prices.exact_distribution(prices.season_counts(df.limit(0), ["g"]), ["g"], 2).collect() == []
+
+
 def test_backfill_quarters_and_spans(spark):
     rows = spark.createDataFrame([("1", y, n) for y, n in ((1998, 5), (1999, 0), (2000, 2))] + [("2", 1998, 0)], "destination_id string, year int, rows long")
     s = coverage.summary(rows)
