@@ -184,6 +184,33 @@ def test_streamed_lines_are_those_of_a_batch(spark, tmp_path):
     assert readers.raw_lines(spark, root).count() == 61
 
 
+def test_lines_in_day_folders_still_go_by_market_and_mode(spark, tmp_path):
+    rows = [(D(2026, 7, 1 + i % 3), None if i % 4 == 0 else i % 20, f"k{i}") for i in range(60)]
+    source, root = (str(tmp_path / n) for n in ("source", "root"))
+    for i in range(3):
+        raw(spark, *rows[i * 20 : i * 20 + 20]).coalesce(1).write.mode("append").parquet(source)
+    stream = lambda: spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+    held = lambda: sorted(r.llave_fila for r in readers.raw_lines(spark, root).collect())
+    # partitions that the stream touches, one in a touched day that it doesn't, and another day's
+    old = [(D(2026, 7, 1), 3, "old"), (D(2026, 7, 1), None, "old too"), (D(2026, 7, 1), 99, "stays"), (D(2020, 1, 1), 3, "elsewhere")]
+    sinks.write_lines(raw(spark, *old), root, sinks.DAY_FOLDERS)
+    sinks.write_lines(raw(spark, (D(2026, 7, 1), 98, "stays too")), root, sinks.DAY_FOLDERS)
+    sinks.write_lines(raw(spark, (D(2026, 7, 1), 3, "older than the stream")), root, sinks.DAY_FOLDERS)
+    assert held() == sorted(["older than the stream", "old too", "stays", "stays too", "elsewhere"])
+    want = sorted([r[2] for r in rows] + ["stays", "stays too", "elsewhere"])
+    for n in range(2):  # a rerun replaces the partitions
+        lines.stream_lines(stream(), root, str(tmp_path / f"progress{n}"), sinks.DAY_FOLDERS).awaitTermination()
+        assert held() == want
+    commits = tmp_path / "progress1" / "progress" / "commits"
+    last = max(int(x) for x in os.listdir(commits) if x.isdigit())
+    for f in [commits / str(last), *commits.glob(f".{last}.*")]:
+        f.unlink()
+    lines.stream_lines(stream(), root, str(tmp_path / "progress1"), sinks.DAY_FOLDERS).awaitTermination()
+    assert held() == want
+    # a file a task and day, not one for each market
+    assert sum(f.startswith("part-") for _, _, fs in os.walk(root) for f in fs) <= 4 * 4 < len(set(rows)) / 2
+
+
 def test_newest_is_settled_also_where_moments_are_equal(spark):
     rows = [("k", 1, "a"), ("k", 1, "b"), ("k", 1, None), ("k", 0, "z"), ("n", None, "y"), ("n", 5, "x")]
     for parts in (1, 3):
