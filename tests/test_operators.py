@@ -522,6 +522,25 @@ def test_rows_without_a_catalog_of_markets_are_not_shuffled(spark):
     assert {(r.destino_raw, r.destino_id) for r in raw.collect()} == {("Puebla", None), (" ", 210), (None, None)}
 
 
+def test_pages_are_made_by_one_grouping_and_read_by_one_call(spark):
+    rows = spark.createDataFrame([(p, n, x, c) for p in (1, 2) for n, x, c in ((2, "b", "k"), (1, "<a> & \u00a0 b", None), (2, "a", "k"), (3, None, "l"), (4, "z", None))], "page long, n int, x string, c string")
+    html = pages.result_html(rows, "page", "n", {"Producto": "x", "Obs.": "n"}, "c")
+    plan = html._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("Exchange hashpartitioning") == 1
+    read = pages.parsed_rows(html)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    # the patterns are sought where entities are decoded, and cells come back as text
+    assert plan.count("ArrowEvalPython") == 1 and "regexp_extract_all" not in plan
+    got = sorted((r.page_id, r.row_pos, r.product, r.obs, r.category) for r in read.collect())
+    one = [(0, "<a> & b", "1", None), (2, "a", "2", "k"), (3, "b", "2", "k"), (5, None, "3", "l"), (7, "z", "4", None)]
+    assert got == [(p, *r) for p in "12" for r in one]
+    # a table of one blank cell has a row, one without cells has none; a page without a table keeps its text
+    odd = spark.createDataFrame([("1", "a&nbsp;1<TABLE id=tblResultados><tr><td> </td></tr></TABLE>b"), ("2", "<table id='tblResultados'></table>"), ("3", "no &amp; table"), ("4", None)], "page_id string, html string")
+    from tianguis.functions import text as cells
+    found = {r.page_id: (r.p.plain, r.p.has, r.c) for r in odd.select("page_id", cells.decoded_page(F.col("html"), pages._TABLE, pages._ROW, pages._CELL).alias("p")).withColumn("c", cells.table_cells(F.col("p.table"))).collect()}
+    assert found == {"1": ("a\u00a01 b", True, [[None]]), "2": (" ", True, []), "3": ("no & table", False, []), "4": (None, False, [])}
+
+
 def test_pages_are_made_with_one_shuffle(spark):
     rows = spark.createDataFrame([(1, 2, "b", "x"), (1, 1, "a", "x"), (2, 1, "c", "y")], "page long, place int, product string, category string")
     html = pages.result_html(rows, "page", "place", {"Producto": "product", "Obs.": "category"}, "category")
