@@ -3,7 +3,7 @@
 import os
 import re
 from datetime import date as D
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -350,3 +350,46 @@ def rows_scanned(df):
         return node if kids.isEmpty() else leaf(kids.head())
 
     return leaf(qe.executedPlan()).metrics().apply("numOutputRows").value()
+
+
+def test_requests_meet_a_source_and_its_pages_once(spark):
+    """Windows asked for again and again: one join with the source's rows and one with the requests, before pages are records."""
+    from tianguis import registry
+
+    day = D(2026, 6, 1)
+    fields = "date string, product string, quality string, presentation string, origin string, destination string, price_min string, price_max string, price_frequent string"
+    rows = [("1", "1", day + timedelta(i % 3), f"{i:02}", "01/06/2026", f"p<{i:02}&", None, "kg", "o", "d", "1", "3", "2") for i in range(9)]
+    offered = spark.createDataFrame(rows, f"destination_id string, prices_per_id string, day date, place string, {fields}")
+    asked = wanted(spark, ["1", "2"], day, day + timedelta(2))
+    answered = worklist._answered(asked, registry._source(offered, 4))
+    plan = answered._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2
+    # pages are read after the last join, so that no records are shuffled
+    assert plan.index("ArrowEvalPython") < plan.index("Join ")
+    got = {(r.destination_id, r.prices_per_id): r for r in answered.collect()}
+    assert {k: (r.state, r.n_pages, r.n_rows) for k, r in got.items()} == {("1", "1"): ("split", 3, 4), ("1", "2"): ("empty", None, 0), ("2", "1"): ("empty", None, 0), ("2", "2"): ("empty", None, 0)}
+    # the first rows by day and place
+    assert [x.product for x in got["1", "1"].records] == ["p<00&", "p<03&", "p<06&", "p<01&"]
+
+
+def test_tags_out_of_step_are_read_as_before(spark):
+    """Tables whose tags are in capitals, never closed or nested give the cells of the lazy patterns."""
+    from tianguis.functions.text import decoded_page, table_cells
+    from tianguis.operators import pages
+
+    inner = ["<tr><td>a</td><td>b</td></tr>", "<TR><td>a</TD></tr><tr><td>b</td></TR>", "<tr><td>a<td>b</td></tr>", "<tr foo</tr><tr><td>a</td></tr>", "<tr><td>a</td>", "x</tr><tr><td>a</td></tr>",
+             "<tr><td><b>a</b></td><td c=1>b  c</td></tr>", "<trx><td>a</td></tr><tr><tdx>b</td></tr>", "<tr><td>\n a</td></tr></tr><tr></tr>"]
+    made = [f'<table id="tblResultados">{x}</table>' for x in inner] + [f'<table id="tblResultados">{inner[0]}</TABLE>', f'<table id="tblResultados">{inner[0]}', "none"]
+
+    def lazy(text):
+        found = re.search(pages._TABLE, text)
+        rows = [[re.sub("<[^>]*>", "", c) for c in re.findall(pages._CELL, r)] for r in re.findall(pages._ROW, found[0])] if found else []
+        # an empty row and an empty cell are one text
+        flat = [[" ".join(c.split()) or None for c in r] or [None] for r in rows]
+        return [] if flat in ([], [[None]]) else flat
+
+    df = spark.createDataFrame(list(enumerate(made)), "i int, html string").select("i", decoded_page(F.col("html"), pages._TABLE, pages._ROW, pages._CELL).alias("p"))
+    got = {r.i: r for r in df.select("i", "p.has", table_cells(F.col("p.table")).alias("cells")).collect()}
+    for i, text in enumerate(made):
+        assert got[i].has == bool(re.search(pages._TABLE, text)), text
+        assert [list(r) for r in got[i].cells] == lazy(text), text
