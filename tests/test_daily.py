@@ -393,3 +393,17 @@ def test_tags_out_of_step_are_read_as_before(spark):
     for i, text in enumerate(made):
         assert got[i].has == bool(re.search(pages._TABLE, text)), text
         assert [list(r) for r in got[i].cells] == lazy(text), text
+
+
+def test_lines_of_many_markets_share_files(spark):
+    from tianguis import registry
+
+    d = "/root/testdata/sf0.01"
+    if not os.path.isdir(d):
+        pytest.skip("no tables")
+    root = registry._lines(spark, d).removeprefix("file://")
+    files = [os.path.join(p, f) for p, _, fs in os.walk(root) for f in fs if f.startswith("part-")]
+    # seven years; a folder for each market and mode made 154 files of 59 998 rows
+    assert 7 <= len(files) <= 7 * 4 and not any("destino=" in f for f in files)
+    rows = readers.raw_lines(spark, root)
+    assert rows.count() == registry._typed(spark, d).count() and rows.where("destino_id is null").count() > rows.where("destino_id is not null").count() > 0
