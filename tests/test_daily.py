@@ -407,3 +407,27 @@ def test_lines_of_many_markets_share_files(spark):
     assert 7 <= len(files) <= 7 * 4 and not any("destino=" in f for f in files)
     rows = readers.raw_lines(spark, root)
     assert rows.count() == registry._typed(spark, d).count() and rows.where("destino_id is null").count() > rows.where("destino_id is not null").count() > 0
+
+
+def test_a_stored_stage_is_not_kept_twice(spark, tmp_path):
+    stage, path = str(tmp_path / "stage"), str(tmp_path / "table")
+    spark.createDataFrame([(D(2026, 7, 1 + i % 2), f"k{i}", i) for i in range(40)], "fecha date, llave_fila string, n int").write.parquet(stage)
+    kept = []
+    real = upsert.merged
+    upsert.merged = lambda target, rows, *more: kept.append(rows.storageLevel.useMemory or rows.storageLevel.useDisk) or real(target, rows, *more)
+    try:
+        for _ in range(2):
+            assert upsert.upsert(spark.read.parquet(stage), path, cluster=(), stored=True) == 40
+    finally:
+        upsert.merged = real
+    assert kept and not any(kept) and spark.read.parquet(path).count() == 40
+
+
+def test_repeated_keys_are_told_from_equal_hashes(spark, monkeypatch):
+    rows = lambda *pairs: spark.createDataFrame([(D(2026, 7, d), k) for d, k in pairs], "fecha date, llave_fila string")
+    for real in (True, False):
+        if not real:  # all hashes are equal
+            monkeypatch.setattr(upsert.F, "xxhash64", lambda *_: F.lit(1).cast("long"))
+        assert upsert.repeated(rows((1, "a"), (1, "b"), (2, "a"))) == (3, False)
+        assert upsert.repeated(rows((1, "a"), (1, "b"), (1, "a"))) == (3, True)
+        assert upsert.repeated(rows((1, "a")).limit(0)) == (0, False)
