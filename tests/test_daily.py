@@ -431,3 +431,21 @@ def test_repeated_keys_are_told_from_equal_hashes(spark, monkeypatch):
         assert upsert.repeated(rows((1, "a"), (1, "b"), (2, "a"))) == (3, False)
         assert upsert.repeated(rows((1, "a"), (1, "b"), (1, "a"))) == (3, True)
         assert upsert.repeated(rows((1, "a")).limit(0)) == (0, False)
+
+
+def test_rows_of_good_pages_come_from_one_pass(spark):
+    from tianguis import registry
+    from tianguis.operators import contract
+    from tianguis.plans import adapter
+
+    d = "/root/testdata/sf0.01"
+    if not os.path.isdir(d):
+        pytest.skip("no tables")
+    plan = registry.season_position(spark, d)._jdf.queryExecution().optimizedPlan().toString()
+    one = registry._typed(spark, d)._jdf.queryExecution().optimizedPlan().toString()
+    assert one.count("Relation [l_orderkey") == 1 and "Join LeftAnti" not in one + plan
+    rows = adapter.parsed(spark, d)
+    good, bad = contract.accepted_and_rejected(rows)
+    left = rows.join(bad.select("page_id"), "page_id", "left_anti").select("page_id", "row_pos")
+    assert good.columns == contract.with_identity(rows).columns and {r.reason for r in bad.select("reason").distinct().collect()} == {"DuplicateKey", "MissingFields: presentation"}
+    assert sorted(good.select("page_id", "row_pos").collect()) == sorted(left.collect())
