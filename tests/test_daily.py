@@ -449,3 +449,16 @@ def test_rows_of_good_pages_come_from_one_pass(spark):
     left = rows.join(bad.select("page_id"), "page_id", "left_anti").select("page_id", "row_pos")
     assert good.columns == contract.with_identity(rows).columns and {r.reason for r in bad.select("reason").distinct().collect()} == {"DuplicateKey", "MissingFields: presentation"}
     assert sorted(good.select("page_id", "row_pos").collect()) == sorted(left.collect())
+
+
+def test_judged_pages_hold_no_keys_and_rows_have_them(spark, tmp_path):
+    d, store = D(2026, 7, 1), str(tmp_path / "judged")
+    pages = captured(spark, [("good", page(HEAD, row(d), row(d, "Maíz"))), ("twice", page(HEAD, row(d), row(d)))])
+    raw, bad, _ = capture.pages_to_raw(pages, None, store)
+    held = spark.read.parquet(store)
+    assert "natural_key" not in held.schema["records"].dataType.elementType.names and all(".zstd." in f for f in held.inputFiles())
+    key = lambda name: "|".join(["01/07/2026", f"{name} - Primera", "Saco", "Puebla", "id:210", "2"])
+    import hashlib
+
+    assert {r.llave_fila for r in raw.collect()} == {hashlib.sha256(key(x).encode()).hexdigest() for x in ("Papa", "Maíz")}
+    assert [tuple(r) for r in bad.collect()] == [("twice", "DuplicateKey")]
