@@ -451,6 +451,21 @@ def test_rows_of_good_pages_come_from_one_pass(spark):
     assert sorted(good.select("page_id", "row_pos").collect()) == sorted(left.collect())
 
 
+def test_the_archive_of_pages_is_streamed_as_it_lies(spark, monkeypatch):
+    from tianguis import registry
+
+    d = "/root/testdata/sf0.001"
+    if not os.path.isdir(d):
+        pytest.skip("no tables")
+    made, real = {}, registry._scratch
+    monkeypatch.setattr(registry, "_scratch", lambda s, name: made.setdefault(name, real(s, name)))
+    n = registry.stream_captures(spark, d).count()
+    # no second copy of the pages, and every table of the run in zstd
+    assert n > 0 and set(made) == {"pages", "captures", "progress"}
+    files = [os.path.join(p, f) for x in ("pages", "captures") for p, _, fs in os.walk(made[x].removeprefix("file://")) for f in fs if f.endswith(".parquet")]
+    assert files and all(".zstd." in f for f in files)
+
+
 def test_judged_pages_hold_no_keys_and_rows_have_them(spark, tmp_path):
     d, store = D(2026, 7, 1), str(tmp_path / "judged")
     pages = captured(spark, [("good", page(HEAD, row(d), row(d, "Maíz"))), ("twice", page(HEAD, row(d), row(d)))])

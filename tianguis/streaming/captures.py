@@ -26,7 +26,7 @@ def stream_captures(pages: DataFrame, out: str, checkpoint: str, destinations: D
         judged = judge_pages(arrived).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for name, made in (("rows", raw_rows(judged, destinations)), ("rejections", rejections(judged))):
-                made.write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
+                made.write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/{name}/batch={number}")
         finally:
             judged.unpersist()
 
