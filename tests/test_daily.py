@@ -477,3 +477,43 @@ def test_judged_pages_hold_no_keys_and_rows_have_them(spark, tmp_path):
 
     assert {r.llave_fila for r in raw.collect()} == {hashlib.sha256(key(x).encode()).hexdigest() for x in ("Papa", "Maíz")}
     assert [tuple(r) for r in bad.collect()] == [("twice", "DuplicateKey")]
+
+
+def test_a_round_matches_pages_by_their_requests_alone(spark, tmp_path):
+    """Pages of other requests are left out, and a page without a url gets its request's; requests without a page are told."""
+    start, end = D(2026, 6, 1), D(2026, 6, 3)
+    rows = [(m, "1", start + timedelta(i % 3), f"p{i}", "1") for m in ("1", "2") for i in range(4)]
+    asked = wanted(spark, ["1", "2", "3"], start, end)
+    usual = Source(spark, rows, 7, silent=("3",))
+
+    def odd(todo):
+        pages = usual(todo)
+        stray = pages.where("destination_id = '1'").withColumn("destination_id", F.lit("9"))
+        return pages.withColumn("source_url", F.when(F.col("destination_id") != "2", F.col("source_url"))).unionByName(stray)
+
+    told = lambda df: sorted(str([r[c] for c in (*worklist.REQUEST, "page_id", "source_url", "state", "reason", "n_rows", "records")]) for r in df.collect())
+    want = told(worklist._answered(asked, usual))
+    assert len(want) == 6 and sum("unanswered" in x for x in want) == 2
+    for n, ask in enumerate((usual, odd)):
+        store = str(tmp_path / f"s{n}")
+        assert told(worklist.until_complete(asked, ask, BASE, store)) == want
+        assert os.listdir(store) == ["round=0"] and os.path.exists(f"{store}/round=0/_SUCCESS")
+
+
+def test_rounds_do_not_shuffle_the_source_again(spark):
+    from tianguis import registry
+
+    d = "/root/testdata/sf0.001"
+    if not os.path.isdir(d):
+        pytest.skip("no tables")
+    offered = registry._offered(spark, d)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        asked = wanted(spark, [str(i) for i in range(10)], D(1998, 1, 1), D(1998, 3, 31))
+        pages = registry._source(offered, 4)(spark.createDataFrame(asked.collect(), asked.schema))
+        # the requests alone
+        assert pages._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        assert pages.count() == 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
