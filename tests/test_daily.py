@@ -517,3 +517,19 @@ def test_rounds_do_not_shuffle_the_source_again(spark):
         assert pages.count() == 20
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_dealt_by_page_are_not_dealt_again(spark):
+    from tianguis.operators import contract, pages
+    from tianguis.plans import adapter
+
+    d = "/root/testdata/sf0.001"
+    if not os.path.isdir(d):
+        pytest.skip("no tables")
+    rows = adapter.parsed(spark, d, by_page=True)
+    for df in (contract.whole_pages(rows), pages.result_html(rows, "page_id", "row_pos", {"Fecha": "date"}, "category")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # before they are texts
+        assert plan.count("Exchange hashpartitioning(l_orderkey") == plan.count("Exchange hashpartitioning") == 1
+    same = lambda df: sorted(map(str, df.collect()))
+    assert same(rows) == same(adapter.parsed(spark, d))
